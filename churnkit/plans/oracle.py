@@ -63,6 +63,25 @@ prepared AS (
   WHERE userId <> ''
 )"""
 
+# P5 only, every column kept, plus state and dates
+CLEAN = """
+clean_events AS (
+  SELECT *,
+         CAST(make_timestamp(CAST(ts AS BIGINT) * 1000) AS DATE) AS ts_todate,
+         CAST(make_timestamp(CAST(registration AS BIGINT) * 1000) AS DATE) AS registration_todate,
+         CAST(month(CAST(make_timestamp(CAST(ts AS BIGINT) * 1000) AS DATE)) AS INTEGER) AS month,
+         string_split(location, ', ')[2] AS state,
+         string_split(string_split(location, ', ')[2], '-')[1] AS state1
+  FROM event_log
+  WHERE userId <> ''
+)"""
+
+LABELLED = """
+labelled AS (
+  SELECT ce.*, lb.churn_label AS churn_lab
+  FROM clean_events ce JOIN labels lb ON ce.userId = lb.userId
+)"""
+
 LABELS = """
 labels AS (
   SELECT userId, CAST(max(CASE WHEN page = 'Cancellation Confirmation' THEN 1 ELSE 0 END) AS INTEGER) AS churn_label
@@ -147,6 +166,8 @@ features AS ({FEATURE_SELECT}
 
 _CTES = {
     "event_log": EVENT_LOG,
+    "clean_events": CLEAN,
+    "labelled": LABELLED,
     "prepared": PREPARED,
     "labels": LABELS,
     "firsts": FIRSTS,
@@ -158,6 +179,8 @@ _CTES = {
 }
 _DEPS = {
     "event_log": [],
+    "clean_events": ["event_log"],
+    "labelled": ["clean_events", "labels"],
     "prepared": ["event_log"],
     "labels": ["prepared"],
     "firsts": ["prepared"],
@@ -186,3 +209,10 @@ def with_ctes(body: str, *needs: str, extra: str = "") -> str:
     if extra.strip():
         parts.append(extra.strip())
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+
+
+def first_of(source: str, cols, key: str = "userId") -> str:
+    """Subquery: each key's values at its earliest event by (ts, event_id)."""
+    c = ", ".join(cols)
+    return (f"(SELECT {key}, {c} FROM (SELECT {key}, {c}, row_number() OVER "
+            f"(PARTITION BY {key} ORDER BY ts, event_id) AS rn FROM {source}) WHERE rn = 1)")
