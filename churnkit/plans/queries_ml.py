@@ -1 +1,371 @@
-"""(filled below)"""
+"""Registered ML preparation, evaluation, training and scoring queries.
+
+Keys whose output is a deterministic function of the tables (indexing,
+encoding, assembling, scaling, the split, evaluator arithmetic on a fixed
+scorer) carry DuckDB SQL; keys built on fitted models are rows-only.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from churnkit.operators import evaluate, mlprep, score, train
+from churnkit.plans import oracle as O
+from churnkit.plans.registry import register, user_table
+from churnkit.schema import CATEGORICAL_COLUMNS, FEATURE_COLUMNS, PAGE_COLUMNS
+from churnkit.session import scratch_path
+
+W = O.with_ctes
+NUMERIC = list(mlprep.NUMERIC_INPUTS)
+_STRINGS = ("userId", "gender", "state")
+
+
+def _filled_sql():
+    cols = []
+    for c in FEATURE_COLUMNS:
+        if c in _STRINGS:
+            cols.append(c)
+        elif c == "churn_label":
+            cols.append("CAST(coalesce(churn_label, 0) AS INTEGER) AS churn_label")
+        else:
+            cols.append(f"coalesce({c}, 0) AS {c}")
+    return "filled AS (SELECT " + ", ".join(cols) + " FROM features)"
+
+
+def _idx_sql(c):
+    return (f"{c}_idx AS (SELECT {c}, CAST(row_number() OVER (ORDER BY n DESC, {c}) - 1 AS DOUBLE) AS idx "
+            f"FROM (SELECT {c}, count(*) AS n FROM features WHERE {c} IS NOT NULL GROUP BY {c}))")
+
+
+ML_CTES = ",\n".join([_filled_sql(), _idx_sql("state"), _idx_sql("gender")])
+
+
+def _users_filled(spark, sf_dir):
+    return mlprep.label_cast(mlprep.fill_nulls(user_table(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# M: preparation
+# ---------------------------------------------------------------------------
+
+@register("string_index", W(
+    "SELECT f.userId, f.gender, coalesce(g.idx, (SELECT count(*) FROM gender_idx)) AS gender_index, "
+    "f.state, coalesce(s.idx, (SELECT count(*) FROM state_idx)) AS state_index FROM features f "
+    "LEFT JOIN gender_idx g ON f.gender = g.gender LEFT JOIN state_idx s ON f.state = s.state",
+    "features", extra=ML_CTES))
+def q_string_index(spark, sf_dir):
+    users = user_table(spark, sf_dir)
+    model = mlprep.string_indexer().fit(users)
+    return model.transform(users).select("userId", "gender", "gender_index", "state", "state_index")
+
+
+@register("label_cast", W("SELECT userId, churn_label, CAST(churn_label AS DOUBLE) AS label FROM features",
+                          "features"))
+def q_label_cast(spark, sf_dir):
+    return mlprep.label_cast(user_table(spark, sf_dir)).select("userId", "churn_label", "label")
+
+
+@register("one_hot", W(
+    "SELECT f.userId, 'state_encoded' AS feature, CAST(s.idx AS INTEGER) AS slot, 1.0 AS value FROM features f "
+    "JOIN state_idx s ON f.state = s.state UNION ALL "
+    "SELECT f.userId, 'gender_encoded', CAST(g.idx AS INTEGER), 1.0 FROM features f "
+    "JOIN gender_idx g ON f.gender = g.gender", "features", extra=ML_CTES))
+def q_one_hot(spark, sf_dir):
+    users = user_table(spark, sf_dir)
+    indexed = mlprep.string_indexer().fit(users).transform(users)
+    encoded = mlprep.one_hot_encoder().fit(indexed).transform(indexed)
+    parts = [mlprep.vector_long(encoded, mlprep.encoded_col(c), nonzero=True)
+             .select("userId", F.lit(mlprep.encoded_col(c)).alias("feature"), F.col("pos").alias("slot"), "value")
+             for c in CATEGORICAL_COLUMNS]
+    return parts[0].unionByName(parts[1])
+
+
+def _assembled_sql():
+    n = len(NUMERIC)
+    numeric = " UNION ALL ".join(
+        f"SELECT userId, {i} AS pos, CAST({c} AS DOUBLE) AS value FROM filled" for i, c in enumerate(NUMERIC))
+    return W(
+        "SELECT userId, CAST(pos AS INTEGER) AS pos, value FROM (" + numeric +
+        f" UNION ALL SELECT f.userId, {n} + CAST(s.idx AS INTEGER), 1.0 FROM features f "
+        "JOIN state_idx s ON f.state = s.state"
+        f" UNION ALL SELECT f.userId, {n} + CAST((SELECT count(*) FROM state_idx) AS INTEGER)"
+        " + CAST(g.idx AS INTEGER), 1.0 FROM features f JOIN gender_idx g ON f.gender = g.gender"
+        ") WHERE value <> 0", "features", extra=ML_CTES)
+
+
+@register("assemble_features", _assembled_sql())
+def q_assemble_features(spark, sf_dir):
+    users = _users_filled(spark, sf_dir)
+    stages = mlprep.transform_stages()[:3]
+    from pyspark.ml import Pipeline
+    out = Pipeline(stages=stages).fit(users).transform(users)
+    return mlprep.vector_long(out, "features", nonzero=True)
+
+
+def _scaled_sql():
+    numeric = " UNION ALL ".join(
+        f"SELECT userId, {i} AS pos, CAST({c} AS DOUBLE) AS x FROM filled" for i, c in enumerate(NUMERIC))
+    return W(
+        "SELECT userId, CAST(pos AS INTEGER) AS pos, "
+        "round(CASE WHEN sd IS NULL OR sd = 0 THEN 0.0 ELSE (x - mu) / sd END, 6) + 0.0 AS value FROM ("
+        "SELECT userId, pos, x, avg(x) OVER (PARTITION BY pos) AS mu, "
+        "stddev_samp(x) OVER (PARTITION BY pos) AS sd FROM (" + numeric + "))",
+        "features", extra=_filled_sql())
+
+
+@register("standard_scale", _scaled_sql())
+def q_standard_scale(spark, sf_dir):
+    from pyspark.ml import Pipeline
+    users = _users_filled(spark, sf_dir)
+    out = Pipeline(stages=[mlprep.assembler(NUMERIC), mlprep.scaler()]).fit(users).transform(users)
+    long = mlprep.vector_long(out, "scaled_features", digits=6)
+    return long.withColumn("value", F.col("value") + F.lit(0.0))
+
+
+@register("train_val_test_split", W(
+    "SELECT userId, CASE WHEN b < 70 THEN 'train' WHEN b < 85 THEN 'validation' ELSE 'test' END AS split "
+    "FROM (SELECT userId, CAST(('0x' || substr(md5(userId), 1, 8)) AS BIGINT) % 100 AS b FROM features)",
+    "features"))
+def q_train_val_test_split(spark, sf_dir):
+    return mlprep.assign_split(user_table(spark, sf_dir)).select("userId", "split")
+
+
+@register("feature_transform")
+def q_feature_transform(spark, sf_dir):
+    s = train.PreparedSplits(user_table(spark, sf_dir))
+    parts = [df.select("userId", F.lit(name).alias("split"), "label",
+                       vector_to_array("scaled_features").alias("scaled_features"))
+             for name, df in (("train", s.train), ("validation", s.validation), ("test", s.test))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# ---------------------------------------------------------------------------
+# E: evaluation on the fixed error-share scorer (exact oracles)
+# ---------------------------------------------------------------------------
+
+_TOTAL = " + ".join(f"coalesce({c}, 0)" for c in PAGE_COLUMNS)
+RULE = (f"rule AS (SELECT userId, CAST(churn_label AS DOUBLE) AS label, "
+        f"CAST(Error AS DOUBLE) / nullif({_TOTAL}, 0) AS score FROM features), "
+        "rule_pred AS (SELECT userId, label, score, CASE WHEN score > 0.2 THEN 1.0 ELSE 0.0 END AS prediction "
+        "FROM rule)")
+COUNTS = ("counts AS (SELECT count(*) FILTER (WHERE prediction = 1.0 AND label = 1.0) AS tp, "
+          "count(*) FILTER (WHERE prediction = 1.0 AND label = 0.0) AS fp, "
+          "count(*) FILTER (WHERE prediction = 0.0 AND label = 0.0) AS tn, "
+          "count(*) FILTER (WHERE prediction = 0.0 AND label = 1.0) AS fn FROM rule_pred)")
+
+
+def _d(a, b):
+    return f"(CASE WHEN ({b}) = 0 THEN 0.0 ELSE ({a}) / ({b}) END)"
+
+
+METRICS_SQL = (
+    "SELECT " + _d("tp + tn", "n") + " AS accuracy, w0 * p0 + w1 * p1 AS weighted_precision, "
+    "w0 * r0 + w1 * r1 AS weighted_recall, w0 * f0 + w1 * f1 AS weighted_f1, p1 AS churn_precision, "
+    "r1 AS churn_recall, f1 AS churn_f1 FROM ("
+    "SELECT *, " + _d("p1 * r1 * 2.0", "p1 + r1") + " AS f1, " + _d("p0 * r0 * 2.0", "p0 + r0") + " AS f0 FROM ("
+    "SELECT *, " + _d("tp", "tp + fp") + " AS p1, " + _d("tp", "tp + fn") + " AS r1, "
+    + _d("tn", "tn + fn") + " AS p0, " + _d("tn", "tn + fp") + " AS r0, "
+    + _d("tp + fn", "n") + " AS w1, " + _d("tn + fp", "n") + " AS w0 FROM ("
+    "SELECT CAST(tp AS DOUBLE) AS tp, CAST(fp AS DOUBLE) AS fp, CAST(tn AS DOUBLE) AS tn, "
+    "CAST(fn AS DOUBLE) AS fn, CAST(tp AS DOUBLE) + CAST(fp AS DOUBLE) + CAST(tn AS DOUBLE) + CAST(fn AS DOUBLE) AS n "
+    "FROM counts)))")
+
+
+def _rule(spark, sf_dir):
+    return score.error_share_scores(user_table(spark, sf_dir))
+
+
+@register("confusion_matrix", W("SELECT tp, fp, tn, fn FROM counts", "features", extra=RULE + ",\n" + COUNTS))
+def q_confusion_matrix(spark, sf_dir):
+    return evaluate.confusion_counts(_rule(spark, sf_dir))
+
+
+@register("confusion_pct", W(
+    "SELECT " + ", ".join(f"{_d(f'CAST({c} AS DOUBLE)', 'CAST(tp + fp + tn + fn AS DOUBLE)')} * 100.0 AS {c}_pct"
+                          for c in ("tp", "fp", "tn", "fn")) + " FROM counts",
+    "features", extra=RULE + ",\n" + COUNTS))
+def q_confusion_pct(spark, sf_dir):
+    return evaluate.confusion_pct(evaluate.confusion_counts(_rule(spark, sf_dir)))
+
+
+@register("classification_metrics", W(METRICS_SQL, "features", extra=RULE + ",\n" + COUNTS))
+def q_classification_metrics(spark, sf_dir):
+    return evaluate.classification_metrics(_rule(spark, sf_dir))
+
+
+@register("auc", W(
+    "SELECT round((sum(r) FILTER (WHERE label = 1.0) - npos * (npos + 1) / 2.0) / (npos * nneg), 6) AS auc, "
+    "CAST(npos AS BIGINT) AS n_pos, CAST(nneg AS BIGINT) AS n_neg FROM ("
+    "SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r, "
+    "count(*) FILTER (WHERE label = 1.0) OVER () AS npos, count(*) FILTER (WHERE label = 0.0) OVER () AS nneg "
+    "FROM rule_pred) GROUP BY npos, nneg", "features", extra=RULE))
+def q_auc(spark, sf_dir):
+    pred = _rule(spark, sf_dir)
+    value = evaluate.area_under_roc(pred, raw="rawPrediction", num_bins=0)
+    counts = pred.agg(F.count_if(F.col("label") == 1.0).alias("n_pos"),
+                      F.count_if(F.col("label") == 0.0).alias("n_neg"))
+    return counts.select(F.round(F.lit(value), 6).alias("auc"), "n_pos", "n_neg")
+
+
+# ---------------------------------------------------------------------------
+# T / R: fitted models (rows-only)
+# ---------------------------------------------------------------------------
+
+def _splits(spark, sf_dir):
+    return train.PreparedSplits(user_table(spark, sf_dir))
+
+
+def _fit_predict(spark, sf_dir, name):
+    s = _splits(spark, sf_dir)
+    model, _, pred = train.train_and_evaluate(train.ESTIMATORS[name](), s.train, s.validation)
+    return score.scored(pred)
+
+
+@register("train_lr")
+def q_train_lr(spark, sf_dir):
+    return _fit_predict(spark, sf_dir, "Logistic Regression")
+
+
+@register("train_rf")
+def q_train_rf(spark, sf_dir):
+    return _fit_predict(spark, sf_dir, "Random Forest")
+
+
+@register("train_gbt")
+def q_train_gbt(spark, sf_dir):
+    return _fit_predict(spark, sf_dir, "Gradient Boosted Trees")
+
+
+@register("train_and_evaluate")
+def q_train_and_evaluate(spark, sf_dir):
+    s = _splits(spark, sf_dir)
+    _, metrics, _ = train.train_and_evaluate(train.logistic_regression(), s.train, s.validation)
+    return spark.createDataFrame([train.metric_row("Logistic Regression", metrics)], list(train.METRIC_COLUMNS))
+
+
+def _all_models(spark, sf_dir):
+    s = _splits(spark, sf_dir)
+    fitted = [(name, make().fit(s.train)) for name, make in train.ESTIMATORS.items()]
+    return s, fitted
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    s, fitted = _all_models(spark, sf_dir)
+    table, _ = train.compare_models(spark, fitted, s.validation)
+    return table
+
+
+@register("select_best_model")
+def q_select_best_model(spark, sf_dir):
+    s, fitted = _all_models(spark, sf_dir)
+    table, best = train.compare_models(spark, fitted, s.validation)
+    return table.filter(F.col("model") == best[0]).select("model", "f1_score", "area_under_roc")
+
+
+@register("cross_validate")
+def q_cross_validate(spark, sf_dir):
+    s = _splits(spark, sf_dir)
+    _, table = train.cross_validate(s.raw_train, s.inputs)
+    return table
+
+
+def _best_lr(spark, sf_dir):
+    s = _splits(spark, sf_dir)
+    model = train.logistic_regression().fit(s.train)
+    return s, model
+
+
+@register("score_users")
+def q_score_users(spark, sf_dir):
+    s, model = _best_lr(spark, sf_dir)
+    return score.scored(model.transform(s.test))
+
+
+@register("predicted_churners")
+def q_predicted_churners(spark, sf_dir):
+    s, model = _best_lr(spark, sf_dir)
+    return score.predicted_churners(model.transform(s.test))
+
+
+@register("actual_churners")
+def q_actual_churners(spark, sf_dir):
+    s, model = _best_lr(spark, sf_dir)
+    return score.actual_churners(model.transform(s.test))
+
+
+def _saved_pipeline(spark, sf_dir):
+    from pyspark.ml import Pipeline
+    s = _splits(spark, sf_dir)
+    full = Pipeline(stages=[*mlprep.transform_stages(s.inputs), train.logistic_regression()]).fit(s.raw_train)
+    path = scratch_path(spark, "model")
+    score.save_model(full, path, s.inputs)
+    return s, full, path
+
+
+@register("score_with_saved_model")
+def q_score_with_saved_model(spark, sf_dir):
+    s, _, path = _saved_pipeline(spark, sf_dir)
+    users = user_table(spark, sf_dir)
+    test_ids = mlprep.assign_split(users).filter(F.col("split") == "test").select("userId")
+    return score.score_with_saved_model(spark, path, users.join(test_ids, "userId"))
+
+
+@register("model_save_load")
+def q_model_save_load(spark, sf_dir):
+    s, full, path = _saved_pipeline(spark, sf_dir)
+    loaded, _ = score.load_model(spark, path)
+    before = score.scored(full.transform(s.raw_test)).select("userId", F.col("prediction").alias("before"))
+    after = score.scored(loaded.transform(s.raw_test)).select("userId", F.col("prediction").alias("after"))
+    return before.join(after, "userId").withColumn("same", F.col("before") == F.col("after"))
+
+
+@register("predictions_parquet_roundtrip")
+def q_predictions_parquet_roundtrip(spark, sf_dir):
+    s, model = _best_lr(spark, sf_dir)
+    path = scratch_path(spark, "predictions")
+    model.transform(s.test).select("userId", "prediction", "probability", "rawPrediction", "label") \
+        .write.mode("overwrite").parquet(path)
+    return score.scored(spark.read.parquet(path))
+
+
+@register("coefficient_ranking")
+def q_coefficient_ranking(spark, sf_dir):
+    s, model = _best_lr(spark, sf_dir)
+    return score.top_features(score.coefficient_table(spark, model, s.train), 10)
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    s = _splits(spark, sf_dir)
+    rf = train.random_forest().fit(s.train)
+    return score.feature_importance(spark, rf, s.train)
+
+
+def _topk(spark, sf_dir):
+    s, model = _best_lr(spark, sf_dir)
+    top = score.top_features(score.coefficient_table(spark, model, s.train), 10)
+    indices = [r["idx"] for r in top.select("idx").collect()]  # 10 slot numbers
+    top_model = score.topk_estimator(indices).fit(s.train)
+    return s, model, top_model
+
+
+@register("topk_retrain")
+def q_topk_retrain(spark, sf_dir):
+    s, model, top_model = _topk(spark, sf_dir)
+    rows = []
+    for name, m in (("Logistic Regression all data", model), ("Logistic Regression top features", top_model)):
+        for split, df in (("validation", s.validation), ("test", s.test)):
+            pred = m.transform(df)
+            met = evaluate.classification_metrics(pred).first().asDict()
+            met["area_under_roc"] = evaluate.area_under_roc(pred)
+            rows.append((split,) + train.metric_row(name, met))
+    return spark.createDataFrame(rows, ["split", *train.METRIC_COLUMNS])
+
+
+@register("confusion_comparison")
+def q_confusion_comparison(spark, sf_dir):
+    s, model, top_model = _topk(spark, sf_dir)
+    return evaluate.confusion_comparison([("Logistic Regression all data", model.transform(s.test)),
+                                          ("Logistic Regression top features", top_model.transform(s.test))])
