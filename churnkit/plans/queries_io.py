@@ -1 +1,72 @@
-"""(filled below)"""
+"""Registered source / sink round trips and catalog queries.
+
+Round trips write into a fresh folder under the shared checkpoint
+directory (``spark.checkpoint.dir``) and read back with declared schemas.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from churnkit.operators import clean
+from churnkit.plans import oracle as O
+from churnkit.plans.registry import events, register, user_table
+from churnkit.schema import EVENT_SCHEMA, FEATURE_COLUMNS
+from churnkit.session import scratch_path
+from churnkit.sources import io
+
+W = O.with_ctes
+EVENT_COLS = ", ".join(f.name for f in EVENT_SCHEMA.fields)
+
+
+@register("scan_json", W(f"SELECT {EVENT_COLS} FROM event_log", "event_log"))
+def q_scan_json(spark, sf_dir):
+    path = scratch_path(spark, "events-json")
+    io.write_json(events(spark, sf_dir), path)
+    return io.read_events_json(spark, path)
+
+
+@register("scan_parquet", W(f"SELECT {EVENT_COLS} FROM event_log", "event_log"))
+def q_scan_parquet(spark, sf_dir):
+    path = scratch_path(spark, "events-parquet")
+    io.write_parquet(events(spark, sf_dir), path)
+    return io.read_parquet(spark, path)
+
+
+@register("feature_json_roundtrip", W("SELECT * FROM features", "features"))
+def q_feature_json_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "features-json")
+    io.write_json(user_table(spark, sf_dir), path)
+    return io.read_features_json(spark, path)
+
+
+@register("scan_csv", W("SELECT * FROM features", "features"))
+def q_scan_csv(spark, sf_dir):
+    path = scratch_path(spark, "features-csv")
+    io.write_csv(user_table(spark, sf_dir), path)
+    return io.read_features_csv(spark, path)
+
+
+@register("preview_topn", W(
+    "SELECT userId, event_id, ts, page FROM prepared ORDER BY ts, event_id LIMIT 10", "prepared"))
+def q_preview_topn(spark, sf_dir):
+    ev = clean.prepare_events(events(spark, sf_dir)).select("userId", "event_id", "ts", "page")
+    return io.preview(ev, 10, "ts", "event_id")
+
+
+@register("describe_schema")
+def q_describe_schema(spark, sf_dir):
+    return io.describe_schema(user_table(spark, sf_dir))
+
+
+@register("sql_view_query", W(
+    "SELECT page, count(*) AS visits, count(DISTINCT userId) AS n_users FROM prepared GROUP BY page",
+    "prepared"))
+def q_sql_view_query(spark, sf_dir):
+    """S11 + the SQL path: register a temp view, query it with Spark SQL."""
+    clean.prepare_events(events(spark, sf_dir)).createOrReplaceTempView("churnkit_events")
+    return spark.sql("SELECT page, count(*) AS visits, count(DISTINCT userId) AS n_users "
+                     "FROM churnkit_events GROUP BY page")
+
+
+__all__ = ["FEATURE_COLUMNS", "F"]
