@@ -2,17 +2,19 @@
 
 Plan (see README, "Feature job plan"):
 
-1. events -> (userId, date, gender, state) hash aggregate. Partial
-   aggregation runs before the shuffle, so a user owning a large share of
-   all events reaches the exchange as about one row per (map task, day).
-2. those rows -> ``repartition(userId)`` -> day -> (userId, month) -> userId.
-   All three aggregates reuse that hash partitioning (no further exchange);
-   a user has about one row per active day here, so no task is skewed.
-3. distinct artists / songs per user in a second branch over the same scan
-   (Catalyst's Expand; its shuffle key includes the artist / song, so a hot
-   user is spread too). Column pruning makes the two scans read almost
-   disjoint columns.
-4. join 2 and 3 on userId (both hash-partitioned on it).
+1. events -> (userId, date) hash aggregate. Partial aggregation runs
+   before the shuffle, so a user owning a large share of all events reaches
+   the exchange as one row per (map task, day).
+2. day rows -> ``repartition(userId)`` -> (userId, month) -> userId. Both
+   hash aggregates reuse that partitioning (no further exchange); a user has
+   one row per active day here, so no task is skewed.
+3. distinct artists / songs per user in a second branch (Catalyst's Expand;
+   its shuffle key includes the artist / song, so a hot user is spread too).
+4. first gender / state per user in a third branch (``first_values``: hash
+   aggregate on (user, gender, state) keeping the earliest event order,
+   then a pick per user over the reduced rows).
+5. join 2, 3 and 4 on userId (all hash-partitioned on it). Column pruning
+   makes the three scans read mostly disjoint columns.
 
 Averages over months / days divide the exact total by the number of groups
 whose sum is non-null, which equals ``avg`` over per-group sums.
@@ -22,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from churnkit.functions.columns import event_order, exact_length, is_churn_event
+from churnkit.functions.columns import exact_length, first_values, is_churn_event
 from churnkit.schema import FEATURE_COLUMNS, PAGE_COLUMNS, PAGES
 
 _PAGE_PAIRS = tuple(zip(PAGES, PAGE_COLUMNS))
@@ -34,20 +36,17 @@ def _ratio(num, den):
 
 
 def daily_aggregates(prepared: DataFrame, key: str = "userId") -> DataFrame:
-    """Per (user, date[, gender, state1]): length / item sums and counts,
-    event count, page counts, churn flag and the earliest event order.
-
-    Gender and state ride along as grouping keys, so every buffer is
-    fixed-width and the aggregate over raw events stays hash-based."""
+    """Per (user, date): length / item sums and counts, event count, page
+    counts and churn flag. Every buffer is fixed-width, so the aggregate
+    over raw events is a code-generated hash aggregate."""
     page_counts = [F.count_if(F.col("page") == p).alias(c) for p, c in _PAGE_PAIRS]
-    return prepared.groupBy(key, "ts_todate", "gender", "state1").agg(
+    return prepared.groupBy(key, "ts_todate").agg(
         F.sum(exact_length()).alias("len_sum"),
         F.count("length").alias("len_cnt"),
         F.sum("itemInSession").alias("items_sum"),
         F.count("itemInSession").alias("items_cnt"),
         F.count(F.lit(1)).alias("n_events"),
         F.max(is_churn_event()).alias("churned"),
-        F.min(event_order()).alias("first_order"),
         *page_counts,
     )
 
@@ -55,17 +54,6 @@ def daily_aggregates(prepared: DataFrame, key: str = "userId") -> DataFrame:
 _ADDITIVE = ("len_cnt", "items_cnt", "n_events", *PAGE_COLUMNS)
 
 
-def _merge_day(fine: DataFrame, key: str) -> DataFrame:
-    """Merge the (gender, state) sub-groups of a day into one row per day."""
-    return fine.groupBy(key, "ts_todate").agg(
-        F.sum("len_sum").alias("len_sum"),
-        F.sum("items_sum").alias("items_sum"),
-        *[F.sum(c).alias(c) for c in _ADDITIVE],
-        F.max("churned").alias("churned"),
-        F.min(F.struct("first_order", "gender", "state1")).alias("first_ev"),
-    )
-
-
 def _rollup(df: DataFrame, keys: list[str], level: str) -> DataFrame:
     """Sum the additive measures of ``df`` up to ``keys``; count the child
     groups (``level``) and those with a non-null length / item sum."""
@@ -78,20 +66,17 @@ def _rollup(df: DataFrame, keys: list[str], level: str) -> DataFrame:
         F.count("len_sum").alias(f"n_{level}_len"),
         F.count("items_sum").alias(f"n_{level}_items"),
         F.max("churned").alias("churned"),
-        F.min("first_ev").alias("first_ev"),
     )
 
 
 def user_activity(prepared: DataFrame, key: str = "userId") -> DataFrame:
-    """L4 (without distinct counts) + L5 + L6 + L7 in one aggregation chain."""
-    fine = daily_aggregates(prepared, key).repartition(key)
-    daily = _merge_day(fine, key).withColumn("month", F.month("ts_todate"))
+    """L4 measures (without distinct counts and first values) + L5 + L6 + L7
+    in one aggregation chain: day -> repartition(user) -> month -> user."""
+    daily = daily_aggregates(prepared, key).repartition(key).withColumn("month", F.month("ts_todate"))
     monthly = _rollup(daily, [key, "month"], "days")
     user = _rollup(monthly, [key], "months")
     return user.select(
         key,
-        F.col("first_ev.gender").alias("gender"),
-        F.col("first_ev.state1").alias("state"),
         F.col("len_sum").cast("double").alias("total_session_length"),
         _ratio(F.col("len_sum"), F.col("len_cnt")).alias("avg_session_length"),
         F.col("churned").cast("int").alias("churn_label"),
@@ -107,6 +92,11 @@ def user_activity(prepared: DataFrame, key: str = "userId") -> DataFrame:
     )
 
 
+def user_profile(prepared: DataFrame, key: str = "userId") -> DataFrame:
+    """Gender and (first) state of each user's earliest event."""
+    return first_values(prepared, key, ["gender", "state1"]).withColumnRenamed("state1", "state")
+
+
 def distinct_catalogue(prepared: DataFrame, key: str = "userId") -> DataFrame:
     """Distinct artists and songs per user (nulls ignored; 0 when none)."""
     return prepared.groupBy(key).agg(
@@ -117,7 +107,9 @@ def distinct_catalogue(prepared: DataFrame, key: str = "userId") -> DataFrame:
 
 def user_features(prepared: DataFrame, key: str = "userId") -> DataFrame:
     """The one-row-per-user feature table (``FEATURE_SCHEMA`` order)."""
-    joined = user_activity(prepared, key).join(distinct_catalogue(prepared, key), on=key)
+    joined = (user_activity(prepared, key)
+              .join(distinct_catalogue(prepared, key), on=key)
+              .join(user_profile(prepared, key), on=key))
     return joined.select(*FEATURE_COLUMNS)
 
 

@@ -31,12 +31,16 @@ def join_user_aggregates(*tables: DataFrame, key: str = "userId") -> DataFrame:
     return out
 
 
-def semi_join(events: DataFrame, ids: DataFrame, key: str = "userId",
-              anti: bool = False, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def semi_join(events: DataFrame, ids: DataFrame, key: str = "userId", anti: bool = False,
+              max_broadcast_rows: int | None = None) -> DataFrame:
     """Keep events whose ``key`` is (or, with ``anti``, is not) in ``ids``.
 
     Replaces "collect the ids to the driver, then ``isin``": the id set stays
-    distributed and is broadcast only when its size is proven small."""
+    distributed. By default AQE decides at run time from the materialised
+    size of ``ids`` (broadcast under its threshold, else a shuffle join with
+    skew splitting). ``max_broadcast_rows`` forces an up-front row-count
+    check instead (worth it only when ``ids`` is cheap to count)."""
     ids = ids.select(key).distinct()
-    return events.join(sized_broadcast(ids, max_broadcast_rows), on=key,
-                       how="left_anti" if anti else "left_semi")
+    if max_broadcast_rows is not None:
+        ids = sized_broadcast(ids, max_broadcast_rows)
+    return events.join(ids, on=key, how="left_anti" if anti else "left_semi")

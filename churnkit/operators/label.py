@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from churnkit.functions.columns import is_churn_event
-from churnkit.operators.joins import semi_join, sized_broadcast
+from churnkit.operators.joins import semi_join
 from churnkit.schema import CHURN_PAGE
 
 
@@ -20,15 +20,16 @@ def user_labels(events: DataFrame, key: str = "userId") -> DataFrame:
     return events.groupBy(key).agg(F.max(is_churn_event()).cast("int").alias("churn_label"))
 
 
-def label_events(events: DataFrame, key: str = "userId",
-                 max_broadcast_rows: int = 200_000) -> DataFrame:
+def label_events(events: DataFrame, key: str = "userId") -> DataFrame:
     """L1: ``churn_lab`` on every event of its user.
 
     The churner set is computed distributed and joined back (no driver
-    round trip); it is broadcast only when proven small, otherwise the join
-    shuffles with AQE skew splitting."""
+    round trip, no id list in the plan). Its size is only known at run
+    time: AQE broadcasts it when the materialised side is under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``, otherwise the join
+    stays a shuffle join whose skewed (hot-user) partitions AQE splits."""
     flags = churned_users(events, key).withColumn("_churned", F.lit(1))
-    out = events.join(sized_broadcast(flags, max_broadcast_rows), on=key, how="left")
+    out = events.join(flags, on=key, how="left")
     return out.withColumn("churn_lab", F.coalesce(F.col("_churned"), F.lit(0))).drop("_churned")
 
 

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from churnkit.functions.dates import epoch_ms_to_date
-from churnkit.operators.joins import sized_broadcast
 from churnkit.session import table_path
 
 # ---------------------------------------------------------------------------
@@ -35,8 +34,6 @@ PLAIN_LOCATION_EVERY = 29
 PAID_BALANCE = 4500
 # Distinct artists.
 ARTISTS = 20
-# Small dimension tables (nation x region) are broadcast below this many rows.
-GEO_MAX_ROWS = 10_000
 
 
 def epoch_millis(ts_type: T.DataType, col: str = "ts"):
@@ -56,11 +53,14 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = spark.read.parquet(table_path(sf_dir, "nation"))
     r = spark.read.parquet(table_path(sf_dir, "region"))
 
-    geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
-    cust = c.join(sized_broadcast(geo, GEO_MAX_ROWS), c.c_nationkey == geo.n_nationkey)
-    # events x customer: both sides grow with the data -> shuffle join on the
-    # user key; AQE splits a hot user's partition (skew join).
-    j = e.join(cust, e.user_id == cust.c_custkey)
+    # events x customer first: both grow with the data, so this is a shuffle
+    # join on the user key at scale (AQE splits a hot user's partition), and
+    # a broadcast of customer only while its file-size estimate is under the
+    # broadcast threshold. nation and region are fixed-size dimensions joined
+    # afterwards; the planner broadcasts them on their file-size statistics.
+    j = (e.join(c, e.user_id == c.c_custkey)
+         .join(n, F.col("c_nationkey") == n.n_nationkey)
+         .join(r, F.col("n_regionkey") == r.r_regionkey))
 
     k = F.get_json_object("props", "$.k").cast("bigint")
     etype = F.col("event_type")
