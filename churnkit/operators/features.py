@@ -1,33 +1,46 @@
 """User feature table.
 
-Plan (see README, "Feature job plan"):
-
-1. events -> (userId, date) hash aggregate. Partial aggregation runs
-   before the shuffle, so a user owning a large share of all events reaches
-   the exchange as one row per (map task, day).
-2. day rows -> ``repartition(userId)`` -> (userId, month) -> userId. Both
-   hash aggregates reuse that partitioning (no further exchange); a user has
-   one row per active day here, so no task is skewed.
-3. distinct artists / songs per user in a second branch (Catalyst's Expand;
-   its shuffle key includes the artist / song, so a hot user is spread too).
-4. first gender / state per user in a third branch (``first_values``: hash
-   aggregate on (user, gender, state) keeping the earliest event order,
-   then a pick per user over the reduced rows).
-5. join 2, 3 and 4 on userId (all hash-partitioned on it). Column pruning
-   makes the three scans read mostly disjoint columns.
+Flagship plan (``user_features``), one scan of the event log:
+
+1. GROUPING SETS over the cleaned events: (user, day), (user, artist),
+   (user, song), (user, gender, state), (user, page). One Expand (six
+   small aggregate functions per copy), then a hash aggregate
+   that combines map-side, then ONE exchange of raw-derived rows. A user
+   owning a large share of all events is spread over its days / artists /
+   songs and reduced before the shuffle.
+2. Hash aggregate of those grains per (user, gender, state): day rows give
+   sums, counts, non-null day counts and 12-bit month masks (``bit_or``);
+   artist / song rows give the distinct counts; page rows the 19 page
+   counts (the churn label is "marker page count > 0"); (gender, state)
+   rows keep their earliest event order. Map-side combined again, so a hot user
+   reaches the exchange as one row per task.
+3. Per user: add up (about two rows per user) and pick gender / state of
+   the earliest event.
 
 Averages over months / days divide the exact total by the number of groups
-whose sum is non-null, which equals ``avg`` over per-group sums.
+whose sum is non-null, which equals ``avg`` over per-group sums; months
+are counted with ``bit_count`` of the mask (the month number has no year,
+1-12). Song lengths are summed as decimals, so results do not depend on
+partitioning.
+
+``user_totals``, ``user_monthly_averages``, ``user_daily_averages`` and
+``page_pivot`` are the per-table aggregates of the source workflow (L4-L7);
+``join_user_aggregates`` joins them (J1). They are kept as operators of
+their own and serve as an independent cross-check of the one-pass plan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from churnkit.functions.columns import exact_length, first_values, is_churn_event
-from churnkit.schema import FEATURE_COLUMNS, PAGE_COLUMNS, PAGES
+from churnkit.functions.columns import event_order, exact_length, first_values, is_churn_event
+from churnkit.schema import CHURN_PAGE, FEATURE_COLUMNS, PAGE_COLUMNS, PAGES
 
 _PAGE_PAIRS = tuple(zip(PAGES, PAGE_COLUMNS))
+_CHURN_COLUMN = dict(_PAGE_PAIRS)[CHURN_PAGE]
+_GRAIN_COLS = ("ts_todate", "artist", "song", "gender", "state1", "page")
+_SETS = {"day": ("ts_todate",), "artist": ("artist",), "song": ("song",), "first": ("gender", "state1"),
+         "page": ("page",)}
 
 
 def _ratio(num, den):
@@ -35,103 +48,142 @@ def _ratio(num, den):
     return F.try_divide(num.cast("double"), den)
 
 
-def daily_aggregates(prepared: DataFrame, key: str = "userId") -> DataFrame:
-    """Per (user, date): length / item sums and counts, event count, page
-    counts and churn flag. Every buffer is fixed-width, so the aggregate
-    over raw events is a code-generated hash aggregate."""
-    page_counts = [F.count_if(F.col("page") == p).alias(c) for p, c in _PAGE_PAIRS]
-    return prepared.groupBy(key, "ts_todate").agg(
-        F.sum(exact_length()).alias("len_sum"),
-        F.count("length").alias("len_cnt"),
-        F.sum("itemInSession").alias("items_sum"),
-        F.count("itemInSession").alias("items_cnt"),
-        F.count(F.lit(1)).alias("n_events"),
-        F.max(is_churn_event()).alias("churned"),
-        *page_counts,
-    )
+def _gid(present) -> int:
+    """``grouping_id()`` of a grouping set over (key, *_GRAIN_COLS)."""
+    n = len(_GRAIN_COLS)
+    return sum(1 << (n - 1 - i) for i, c in enumerate(_GRAIN_COLS) if c not in present)
+
+
+GID = {name: _gid(cols) for name, cols in _SETS.items()}
+
+
+def _page_counts():
+    return [F.count_if(F.col("page") == p).alias(c) for p, c in _PAGE_PAIRS]
+
+
+def event_grains(prepared: DataFrame, key: str = "userId") -> DataFrame:
+    """Step 1: the four per-user grains in one pass (GROUPING SETS)."""
+    sets = [[key, *cols] for cols in _SETS.values()]
+    return (prepared.withColumn("_order", event_order())
+            .groupingSets(sets, key, *_GRAIN_COLS)
+            .agg(F.grouping_id().alias("_gid"),
+                 F.sum(exact_length()).alias("len_sum"),
+                 F.count("length").alias("len_cnt"),
+                 F.sum("itemInSession").alias("items_sum"),
+                 F.count("itemInSession").alias("items_cnt"),
+                 F.count(F.lit(1)).alias("n_events"),
+                 F.min("_order").alias("first_order")))
 
 
-_ADDITIVE = ("len_cnt", "items_cnt", "n_events", *PAGE_COLUMNS)
+def _month_bit(cond: Column) -> Column:
+    return F.when(cond, F.expr("shiftleft(1, month(ts_todate))"))
 
 
-def _rollup(df: DataFrame, keys: list[str], level: str) -> DataFrame:
-    """Sum the additive measures of ``df`` up to ``keys``; count the child
-    groups (``level``) and those with a non-null length / item sum."""
-    carried = [c for c in ("n_days", "n_days_len", "n_days_items") if c in df.columns]
-    return df.groupBy(*keys).agg(
-        F.sum("len_sum").alias("len_sum"),
-        F.sum("items_sum").alias("items_sum"),
-        *[F.sum(c).alias(c) for c in list(_ADDITIVE) + carried],
-        F.count(F.lit(1)).alias(f"n_{level}"),
-        F.count("len_sum").alias(f"n_{level}_len"),
-        F.count("items_sum").alias(f"n_{level}_items"),
-        F.max("churned").alias("churned"),
+_DAY_SUMS = ("len_sum", "len_cnt", "items_sum", "items_cnt", "n_events")
+_MASKS = ("months", "months_len", "months_items")
+_COUNTS = ("n_days", "n_days_len", "n_days_items", "unique_artist_count", "unique_song_count")
+
+
+def _user_rollup(grains: DataFrame, key: str) -> DataFrame:
+    """Step 2: per (user, gender, state); only the grain rows that carry a
+    measure contribute to it."""
+    gid = F.col("_gid")
+    day, first, page = gid == GID["day"], gid == GID["first"], gid == GID["page"]
+    has_len, has_items = F.col("len_sum").isNotNull(), F.col("items_sum").isNotNull()
+    return grains.groupBy(key, "gender", "state1").agg(
+        *[F.sum(F.when(day, F.col(c))).alias(c) for c in _DAY_SUMS],
+        *[F.sum(F.when(page & (F.col("page") == p), F.col("n_events"))).alias(c) for p, c in _PAGE_PAIRS],
+        F.count_if(day).alias("n_days"),
+        F.count_if(day & has_len).alias("n_days_len"),
+        F.count_if(day & has_items).alias("n_days_items"),
+        F.bit_or(_month_bit(day)).alias("months"),
+        F.bit_or(_month_bit(day & has_len)).alias("months_len"),
+        F.bit_or(_month_bit(day & has_items)).alias("months_items"),
+        F.count_if((gid == GID["artist"]) & F.col("artist").isNotNull()).alias("unique_artist_count"),
+        F.count_if((gid == GID["song"]) & F.col("song").isNotNull()).alias("unique_song_count"),
+        F.min(F.when(first, F.col("first_order"))).alias("first_order"),
     )
 
 
-def user_activity(prepared: DataFrame, key: str = "userId") -> DataFrame:
-    """L4 measures (without distinct counts and first values) + L5 + L6 + L7
-    in one aggregation chain: day -> repartition(user) -> month -> user."""
-    daily = daily_aggregates(prepared, key).repartition(key).withColumn("month", F.month("ts_todate"))
-    monthly = _rollup(daily, [key, "month"], "days")
-    user = _rollup(monthly, [key], "months")
-    return user.select(
+def user_features(prepared: DataFrame, key: str = "userId") -> DataFrame:
+    """The one-row-per-user feature table (``FEATURE_SCHEMA`` order)."""
+    part = _user_rollup(event_grains(prepared, key), key)
+    first = F.when(F.col("first_order").isNotNull(), F.struct("first_order", "gender", "state1"))
+    user = part.groupBy(key).agg(
+        *[F.sum(c).alias(c) for c in _DAY_SUMS + _COUNTS],
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in PAGE_COLUMNS],
+        *[F.bit_or(c).alias(c) for c in _MASKS],
+        F.min(first).alias("first_ev"),
+    )
+    n_months = {m: F.bit_count(F.col(m)) for m in _MASKS}
+    out = user.select(
         key,
+        F.col("first_ev.gender").alias("gender"),
+        F.col("unique_artist_count"),
+        F.col("first_ev.state1").alias("state"),
         F.col("len_sum").cast("double").alias("total_session_length"),
         _ratio(F.col("len_sum"), F.col("len_cnt")).alias("avg_session_length"),
-        F.col("churned").cast("int").alias("churn_label"),
+        (F.col(_CHURN_COLUMN) > 0).cast("int").alias("churn_label"),
+        F.col("unique_song_count"),
         F.col("items_sum").alias("total_items"),
         _ratio(F.col("items_sum"), F.col("items_cnt")).alias("avg_items"),
-        _ratio(F.col("len_sum"), F.col("n_months_len")).alias("avg_session_length_per_month"),
-        _ratio(F.col("items_sum"), F.col("n_months_items")).alias("avg_items_per_month"),
-        _ratio(F.col("n_events"), F.col("n_months")).alias("avg_count_session_per_month"),
+        _ratio(F.col("len_sum"), n_months["months_len"]).alias("avg_session_length_per_month"),
+        _ratio(F.col("items_sum"), n_months["months_items"]).alias("avg_items_per_month"),
+        _ratio(F.col("n_events"), n_months["months"]).alias("avg_count_session_per_month"),
         _ratio(F.col("len_sum"), F.col("n_days_len")).alias("avg_session_length_per_day"),
         _ratio(F.col("items_sum"), F.col("n_days_items")).alias("avg_items_per_day"),
         _ratio(F.col("n_events"), F.col("n_days")).alias("avg_count_session_per_day"),
         *[F.col(c) for c in PAGE_COLUMNS],
     )
+    return out.select(*FEATURE_COLUMNS)
+
 
+def user_activity(prepared: DataFrame, key: str = "userId") -> DataFrame:
+    """Measures, label and page counts from the one-pass plan."""
+    return user_features(prepared, key).drop("gender", "state", "unique_artist_count", "unique_song_count")
+
+
+# -- the per-table aggregates of the source workflow (L4-L7, J1) --------------
 
 def user_profile(prepared: DataFrame, key: str = "userId") -> DataFrame:
     """Gender and (first) state of each user's earliest event."""
     return first_values(prepared, key, ["gender", "state1"]).withColumnRenamed("state1", "state")
 
 
-def distinct_catalogue(prepared: DataFrame, key: str = "userId") -> DataFrame:
-    """Distinct artists and songs per user (nulls ignored; 0 when none)."""
-    return prepared.groupBy(key).agg(
+def user_totals(prepared: DataFrame, key: str = "userId") -> DataFrame:
+    """L4: first gender / state, label, distinct counts, length and item totals."""
+    totals = prepared.groupBy(key).agg(
         F.count_distinct("artist").alias("unique_artist_count"),
+        F.sum(exact_length()).cast("double").alias("total_session_length"),
+        _ratio(F.sum(exact_length()), F.count("length")).alias("avg_session_length"),
+        F.max(is_churn_event()).cast("int").alias("churn_label"),
         F.count_distinct("song").alias("unique_song_count"),
+        F.sum("itemInSession").alias("total_items"),
+        _ratio(F.sum("itemInSession"), F.count("itemInSession")).alias("avg_items"),
+    )
+    return totals.join(user_profile(prepared, key), key).select(
+        key, "gender", "unique_artist_count", "state", "total_session_length", "avg_session_length",
+        "churn_label", "unique_song_count", "total_items", "avg_items")
+
+
+def _two_level(prepared: DataFrame, key: str, group: str, suffix: str) -> DataFrame:
+    per = prepared.groupBy(key, group).agg(
+        F.sum(exact_length()).alias("l"), F.sum("itemInSession").alias("i"), F.count(F.lit(1)).alias("n"))
+    return per.groupBy(key).agg(
+        _ratio(F.sum("l"), F.count("l")).alias(f"avg_session_length_per_{suffix}"),
+        _ratio(F.sum("i"), F.count("i")).alias(f"avg_items_per_{suffix}"),
+        _ratio(F.sum("n"), F.count(F.lit(1))).alias(f"avg_count_session_per_{suffix}"),
     )
-
-
-def user_features(prepared: DataFrame, key: str = "userId") -> DataFrame:
-    """The one-row-per-user feature table (``FEATURE_SCHEMA`` order)."""
-    joined = (user_activity(prepared, key)
-              .join(distinct_catalogue(prepared, key), on=key)
-              .join(user_profile(prepared, key), on=key))
-    return joined.select(*FEATURE_COLUMNS)
-
-
-# -- the separate per-user tables of the source workflow (L4-L7) -------------
-
-def user_totals(prepared: DataFrame, key: str = "userId") -> DataFrame:
-    """L4: first gender / state, label, distinct counts, length and item totals."""
-    return user_features(prepared, key).select(
-        key, "gender", "unique_artist_count", "state", "total_session_length",
-        "avg_session_length", "churn_label", "unique_song_count", "total_items", "avg_items")
 
 
 def user_monthly_averages(prepared: DataFrame, key: str = "userId") -> DataFrame:
     """Averages over a user's months of monthly length, items and events."""
-    return user_activity(prepared, key).select(
-        key, "avg_session_length_per_month", "avg_items_per_month", "avg_count_session_per_month")
+    return _two_level(prepared, key, "month", "month")
 
 
 def user_daily_averages(prepared: DataFrame, key: str = "userId") -> DataFrame:
     """Averages over a user's active days."""
-    return user_activity(prepared, key).select(
-        key, "avg_session_length_per_day", "avg_items_per_day", "avg_count_session_per_day")
+    return _two_level(prepared, key, "ts_todate", "day")
 
 
 def page_pivot(prepared: DataFrame, key: str = "userId", label: str | None = None) -> DataFrame:
@@ -139,10 +191,9 @@ def page_pivot(prepared: DataFrame, key: str = "userId", label: str | None = Non
 
     The declared page list keeps the schema fixed (no job to discover the
     values) and the counts are conditional counts inside one map-side-combined
-    aggregate. ``label`` adds the user's churn flag as a grouping column."""
-    aggs = [F.count_if(F.col("page") == p).alias(c) for p, c in _PAGE_PAIRS]
+    aggregate. ``label`` adds the user's churn flag."""
+    aggs = _page_counts()
     if label:
-        aggs.append(F.max(label).cast("int").alias(label))
-        out = prepared.groupBy(key).agg(*aggs)
+        out = prepared.groupBy(key).agg(*aggs, F.max(label).cast("int").alias(label))
         return out.select(key, label, *PAGE_COLUMNS)
     return prepared.groupBy(key).agg(*aggs)
