@@ -35,17 +35,22 @@ def event_order() -> Column:
     ).cast("decimal(38,0)")
 
 
-def first_values(df: DataFrame, key: str, cols) -> DataFrame:
+def first_values(df: DataFrame, key: str, cols, with_label: str | None = None) -> DataFrame:
     """(key, *cols) of each key's earliest event by (ts, event_id).
 
     Stage 1 is a hash aggregate on (key, *cols) keeping the earliest order
     value; it combines map-side, so a hot key shrinks to one row per value
     combination before the shuffle. Stage 2 picks, per key, the combination
-    holding the overall earliest event (small input)."""
+    holding the overall earliest event (small input). ``with_label`` adds
+    the key's churn flag under that name from the same pass (no second
+    scan, no join)."""
     cols = list(cols)
-    stage1 = df.groupBy(key, *cols).agg(F.min(event_order()).alias("_order"))
+    extra1 = [F.max(is_churn_event()).alias("_churn")] if with_label else []
+    stage1 = df.groupBy(key, *cols).agg(F.min(event_order()).alias("_order"), *extra1)
     first = F.min(F.struct(F.col("_order"), *[F.col(c) for c in cols])).alias("_first")
-    return stage1.groupBy(key).agg(first).select(key, *[F.col(f"_first.{c}").alias(c) for c in cols])
+    extra2 = [F.max("_churn").cast("int").alias(with_label)] if with_label else []
+    out = stage1.groupBy(key).agg(first, *extra2)
+    return out.select(key, *[F.col(f"_first.{c}").alias(c) for c in cols], *([with_label] if with_label else []))
 
 
 def first_by_time(*cols: str) -> Column:

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from churnkit.functions.columns import exact_length, first_values
 from churnkit.functions.dates import days_between
-from churnkit.operators.label import user_labels
 from churnkit.schema import CHURN_PAGE
 
 
@@ -108,11 +107,9 @@ def users_by_first(events: DataFrame, cols: Sequence[str], with_label: bool = Tr
                    key: str = "userId") -> DataFrame:
     """Users counted by the value(s) of their first
     event (and label)."""
-    firsts = first_values(events, key, cols)
-    if with_label:
-        firsts = firsts.join(user_labels(events, key).withColumnRenamed("churn_label", "churn_lab"), key)
-        cols = [*cols, "churn_lab"]
-    return firsts.groupBy(*cols).agg(F.count(F.lit(1)).alias("user_count"))
+    firsts = first_values(events, key, cols, with_label="churn_lab" if with_label else None)
+    group = [*cols, "churn_lab"] if with_label else list(cols)
+    return firsts.groupBy(*group).agg(F.count(F.lit(1)).alias("user_count"))
 
 
 def listening_per_user(events: DataFrame) -> DataFrame:
@@ -125,9 +122,12 @@ def listening_per_user(events: DataFrame) -> DataFrame:
 
 def page_visits_per_user(events: DataFrame) -> DataFrame:
     """Visits per (user, page), with the user's label."""
+    from pyspark.sql import Window
     visits = events.groupBy("userId", "page").agg(F.count(F.lit(1)).alias("visits"))
-    labels = user_labels(events).withColumnRenamed("churn_label", "churn_lab")
-    return visits.join(labels, "userId")
+    # label from the reduced rows (at most one per page and user): one scan,
+    # and the per-user window holds at most #pages rows
+    churned = F.max((F.col("page") == CHURN_PAGE).cast("int")).over(Window.partitionBy("userId"))
+    return visits.withColumn("churn_lab", churned)
 
 
 def mean_visits_by_page_label(page_visits: DataFrame) -> DataFrame:
@@ -146,9 +146,7 @@ def days_since_registration(events: DataFrame, key: str = "userId") -> DataFrame
     """Days from registration to the user's first event, with label."""
     with_days = events.withColumn(
         "NumDaysSinceRegistration", days_between("ts_todate", "registration_todate"))
-    firsts = first_values(with_days, key, ["NumDaysSinceRegistration"])
-    labels = user_labels(events, key).withColumnRenamed("churn_label", "churn_lab")
-    return firsts.join(labels, key)
+    return first_values(with_days, key, ["NumDaysSinceRegistration"], with_label="churn_lab")
 
 
 def metric_summary_by_label(users: DataFrame, metrics: Sequence[str], label: str = "churn_label",

@@ -359,9 +359,10 @@ def q_items_per_user(spark, sf_dir):
     + O.first_of("clean_events", ["userAgent", "gender", "state1"])
     + " f JOIN labels lb ON f.userId = lb.userId", "clean_events", "labels"))
 def q_first_value_per_user(spark, sf_dir):
+    from churnkit.functions.columns import first_values
     ev = clean_events(spark, sf_dir)
-    firsts = clean.dedup_by_user(ev, ["userAgent", "gender", "state1"]).withColumnRenamed("state1", "state")
-    return firsts.join(label.user_labels(ev), "userId")
+    return first_values(ev, "userId", ["userAgent", "gender", "state1"], with_label="churn_label") \
+        .withColumnRenamed("state1", "state")
 
 
 @register("avg_events_per_month", W(
