@@ -70,3 +70,29 @@ def q_sql_view_query(spark, sf_dir):
 
 
 __all__ = ["FEATURE_COLUMNS", "F"]
+
+
+# ---------------------------------------------------------------------------
+# Streaming: the events table read as a file stream
+# ---------------------------------------------------------------------------
+
+_STREAM_SQL = W(
+    "SELECT userId, count(*) AS n_events, count(length) AS n_songs, "
+    f"CAST(sum({O.LEN}) AS DOUBLE) AS total_session_length, "
+    "CAST(sum(itemInSession) AS BIGINT) AS total_items, "
+    "CAST(max(CASE WHEN page = 'Cancellation Confirmation' THEN 1 ELSE 0 END) AS INTEGER) AS churn_label, "
+    "min(ts) AS first_ts, max(ts) AS last_ts, "
+    + O.PAGE_COUNTS + " FROM event_log WHERE userId <> '' GROUP BY userId", "event_log")
+
+
+@register("streaming_user_activity", _STREAM_SQL)
+def q_streaming_user_activity(spark, sf_dir):
+    from churnkit.sources.adapter import event_log_from
+    from churnkit.streaming import activity
+    raw = (spark.readStream.schema(activity.RAW_EVENTS_SCHEMA)
+           .option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    stream = event_log_from(spark, sf_dir, raw)
+    changelog, ckpt = scratch_path(spark, "activity-log"), scratch_path(spark, "activity-ckpt")
+    query = activity.start_activity_stream(stream, changelog, ckpt)
+    query.awaitTermination()
+    return activity.latest_activity(spark, changelog)

@@ -48,7 +48,12 @@ def epoch_millis(ts_type: T.DataType, col: str = "ts"):
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event log (``EVENT_SCHEMA`` columns) derived from the test tables."""
-    e = spark.read.parquet(table_path(sf_dir, "events"))
+    return event_log_from(spark, sf_dir, spark.read.parquet(table_path(sf_dir, "events")))
+
+
+def event_log_from(spark: SparkSession, sf_dir: str, e: DataFrame) -> DataFrame:
+    """Same mapping for a given ``events`` DataFrame (batch or streaming;
+    a stream joins the static customer / nation / region tables)."""
     c = spark.read.parquet(table_path(sf_dir, "customer"))
     n = spark.read.parquet(table_path(sf_dir, "nation"))
     r = spark.read.parquet(table_path(sf_dir, "region"))
