@@ -67,9 +67,11 @@ def count_nonnull_by_group(events: DataFrame, col: str) -> DataFrame:
     return events.groupBy(col).agg(F.count(col).alias("n_nonnull"), F.count(F.lit(1)).alias("n_rows"))
 
 
-def label_distribution(labelled: DataFrame) -> DataFrame:
-    """Events per label."""
-    return labelled.groupBy("churn_lab").agg(F.count(F.lit(1)).alias("n_events"))
+def label_distribution(events: DataFrame, key: str = "userId") -> DataFrame:
+    """Events per label. Aggregate first (events and label per user, one
+    pass), then add up per label: no event-level join."""
+    per_user = per_user_with_label(events, [F.count(F.lit(1)).alias("n")], key)
+    return per_user.groupBy("churn_lab").agg(F.sum("n").alias("n_events"))
 
 
 def churn_rate(labels: DataFrame) -> DataFrame:
@@ -93,9 +95,14 @@ def events_per_user(events: DataFrame) -> DataFrame:
     return per_user_with_label(events, [F.count(F.lit(1)).alias("n_events")])
 
 
-def artist_plays_by_label(labelled: DataFrame) -> DataFrame:
-    """Plays per (artist, label); the null artist (non-song events) is a group."""
-    return labelled.groupBy("artist", "churn_lab").agg(F.count(F.lit(1)).alias("plays"))
+def artist_plays_by_label(events: DataFrame, key: str = "userId") -> DataFrame:
+    """Plays per (artist, label); the null artist (non-song events) is a
+    group. Events are first reduced to (user, artist) counts, the label is
+    joined at that grain, then counts are added up per (artist, label)."""
+    plays = events.groupBy(key, "artist").agg(F.count(F.lit(1)).alias("n"))
+    labels = per_user_with_label(events, [], key)
+    return (plays.join(labels, key).groupBy("artist", "churn_lab")
+            .agg(F.sum("n").alias("plays")))
 
 
 def distinct_per_user(events: DataFrame, col: str, alias: str) -> DataFrame:

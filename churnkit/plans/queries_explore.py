@@ -114,14 +114,14 @@ def q_distinct_values(spark, sf_dir):
 @register("artist_plays_by_label", W(
     "SELECT artist, churn_lab, count(*) AS plays FROM labelled GROUP BY artist, churn_lab", "labelled"))
 def q_artist_plays_by_label(spark, sf_dir):
-    return explore.artist_plays_by_label(labelled(spark, sf_dir))
+    return explore.artist_plays_by_label(clean_events(spark, sf_dir))
 
 
 @register("top_artists", W(
     "SELECT artist, churn_lab, count(*) AS plays FROM labelled GROUP BY artist, churn_lab "
     "ORDER BY plays DESC, artist ASC NULLS FIRST, churn_lab ASC LIMIT 10", "labelled"))
 def q_top_artists(spark, sf_dir):
-    plays = explore.artist_plays_by_label(labelled(spark, sf_dir))
+    plays = explore.artist_plays_by_label(clean_events(spark, sf_dir))
     return clean.top_n(plays, 10, F.desc("plays"), F.asc_nulls_first("artist"), F.asc("churn_lab"))
 
 
@@ -235,7 +235,7 @@ def q_count_nonnull_by_group(spark, sf_dir):
 @register("label_distribution", W(
     "SELECT churn_lab, count(*) AS n_events FROM labelled GROUP BY churn_lab", "labelled"))
 def q_label_distribution(spark, sf_dir):
-    return explore.label_distribution(labelled(spark, sf_dir))
+    return explore.label_distribution(clean_events(spark, sf_dir))
 
 
 @register("churn_rate", W(
