@@ -66,7 +66,9 @@ class PreparedSplits:
     """Fitted transform model and the transformed train / validation / test splits."""
 
     def __init__(self, users: DataFrame, inputs: Sequence[str] | None = None, null_policy: str = "zero"):
-        base = mlprep.label_cast(mlprep.fill_nulls(users, null_policy))
+        # one row per user: checkpoint it once, so the many fitting and
+        # evaluation jobs read it instead of re-running the event-log job
+        base = materialize(mlprep.label_cast(mlprep.fill_nulls(users, null_policy)))
         train, validation, test = mlprep.split_users(base)
         self.inputs = list(inputs or mlprep.model_inputs())
         self.raw_train, self.raw_validation, self.raw_test = train, validation, test
