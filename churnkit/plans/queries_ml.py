@@ -194,6 +194,15 @@ def q_classification_metrics(spark, sf_dir):
     return evaluate.classification_metrics(_rule(spark, sf_dir))
 
 
+@register("metrics_on_churn_label", W(METRICS_SQL, "features", extra=RULE + ",\n" + COUNTS))
+def q_metrics_on_churn_label(spark, sf_dir):
+    """The same metrics scored against ``churn_label`` instead of ``label``
+    (equal, since the label is the cast churn flag)."""
+    pred = _rule(spark, sf_dir).join(user_table(spark, sf_dir).select("userId", "churn_label"), "userId")
+    return evaluate.classification_metrics(pred.withColumn("churn_label", F.col("churn_label").cast("double")),
+                                           label="churn_label")
+
+
 @register("auc", W(
     "SELECT round((sum(r) FILTER (WHERE label = 1.0) - npos * (npos + 1) / 2.0) / (npos * nneg), 6) AS auc, "
     "CAST(npos AS BIGINT) AS n_pos, CAST(nneg AS BIGINT) AS n_neg FROM ("
@@ -266,8 +275,17 @@ def q_select_best_model(spark, sf_dir):
 
 @register("cross_validate")
 def q_cross_validate(spark, sf_dir):
+    """Grid search by 5-fold AUC; the best row also carries the tuned
+    model's AUC and weighted F1 on the validation and test splits."""
     s = _splits(spark, sf_dir)
-    _, table = train.cross_validate(s.raw_train, s.inputs)
+    cv_model, table = train.cross_validate(s.raw_train, s.inputs)
+    scores = {}
+    for split, df in (("validation", s.raw_validation), ("test", s.raw_test)):
+        pred = cv_model.bestModel.transform(df)
+        scores[f"{split}_auc"] = evaluate.area_under_roc(pred)
+        scores[f"{split}_f1"] = evaluate.classification_metrics(pred).first()["weighted_f1"]
+    for name, value in scores.items():
+        table = table.withColumn(name, F.when(F.col("is_best"), F.lit(value)))
     return table
 
 
