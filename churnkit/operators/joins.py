@@ -39,8 +39,13 @@ def semi_join(events: DataFrame, ids: DataFrame, key: str = "userId", anti: bool
     distributed. By default AQE decides at run time from the materialised
     size of ``ids`` (broadcast under its threshold, else a shuffle join with
     skew splitting). ``max_broadcast_rows`` forces an up-front row-count
-    check instead (worth it only when ``ids`` is cheap to count)."""
-    ids = ids.select(key).distinct()
+    check instead (worth it only when ``ids`` is cheap to count).
+
+    ``ids`` is used as given: duplicates do not change a semi / anti join,
+    and re-de-duplicating on ``key`` here would leave that side partitioned
+    on the key, which turns off AQE's skew split (see
+    ``label.churned_users``)."""
+    ids = ids.select(key)
     if max_broadcast_rows is not None:
         ids = sized_broadcast(ids, max_broadcast_rows)
     return events.join(ids, on=key, how="left_anti" if anti else "left_semi")

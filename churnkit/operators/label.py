@@ -10,8 +10,16 @@ from churnkit.schema import CHURN_PAGE
 
 
 def churned_users(events: DataFrame, key: str = "userId") -> DataFrame:
-    """Distinct ids of users with a churn-marker event."""
-    return events.filter(F.col("page") == CHURN_PAGE).select(key).distinct()
+    """Distinct ids of users with a churn-marker event.
+
+    De-duplicated on (user, page) over the marker rows: the same rows as the
+    distinct users, since the filter fixes the page. The result is then
+    hash-partitioned on the pair, not on the user alone, so a join on the
+    user gives this side a shuffle of its own. AQE's skew-join split needs a
+    shuffle stage under both join inputs; were this side already partitioned
+    on the user, the planner would skip its exchange and the events of a hot
+    user on the other side would stay whole in one task."""
+    return events.filter(F.col("page") == CHURN_PAGE).select(key, "page").distinct().select(key)
 
 
 def user_labels(events: DataFrame, key: str = "userId") -> DataFrame:
