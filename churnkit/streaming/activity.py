@@ -12,6 +12,11 @@ resumes from the last committed batch.
 
 Distinct counts and the day / month averages need the whole history per
 user (or unbounded state) and stay in the batch job.
+
+The state holds one row per user ever seen, so it grows with the user
+base. Unless the session names a state store, the RocksDB provider keeps
+it in native memory and on local disk with incremental checkpoints,
+instead of the default provider's executor heap.
 """
 
 from __future__ import annotations
@@ -55,9 +60,16 @@ def _finish(df: DataFrame) -> DataFrame:
     return df.withColumn("total_session_length", F.col("len_sum").cast("double")).select(*ACTIVITY_COLUMNS)
 
 
+STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def start_activity_stream(events_stream: DataFrame, changelog: str, checkpoint: str,
                           available_now: bool = True):
     """Start the streaming query; returns the ``StreamingQuery``."""
+    spark = events_stream.sparkSession
+    if spark.conf.get(STATE_STORE_CONF, None) is None:
+        spark.conf.set(STATE_STORE_CONF, ROCKSDB_PROVIDER)
     agg = activity_aggregate(events_stream)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
