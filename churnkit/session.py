@@ -12,12 +12,16 @@ from pyspark.sql import SparkSession
 #  * UTC session time: dates are derived from epoch milliseconds.
 #  * AQE with skew-join splitting and partition coalescing: one user may
 #    own a large share of all events.
+#  * No Python call-site capture: with it, every PySpark function call
+#    makes several extra driver round trips to record where it was called
+#    (used only to annotate error messages).
 ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

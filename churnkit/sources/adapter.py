@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from churnkit.functions.dates import epoch_ms_to_date
-from churnkit.session import table_path
+from churnkit.sources.io import read_table
 
 # ---------------------------------------------------------------------------
 # Fixed values of the mapping
@@ -48,15 +48,15 @@ def epoch_millis(ts_type: T.DataType, col: str = "ts"):
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event log (``EVENT_SCHEMA`` columns) derived from the test tables."""
-    return event_log_from(spark, sf_dir, spark.read.parquet(table_path(sf_dir, "events")))
+    return event_log_from(spark, sf_dir, read_table(spark, sf_dir, "events"))
 
 
 def event_log_from(spark: SparkSession, sf_dir: str, e: DataFrame) -> DataFrame:
     """Same mapping for a given ``events`` DataFrame (batch or streaming;
     a stream joins the static customer / nation / region tables)."""
-    c = spark.read.parquet(table_path(sf_dir, "customer"))
-    n = spark.read.parquet(table_path(sf_dir, "nation"))
-    r = spark.read.parquet(table_path(sf_dir, "region"))
+    c = read_table(spark, sf_dir, "customer")
+    n = read_table(spark, sf_dir, "nation")
+    r = read_table(spark, sf_dir, "region")
 
     # events x customer first: both grow with the data, so this is a shuffle
     # join on the user key at scale (AQE splits a hot user's partition), and

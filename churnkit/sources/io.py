@@ -8,9 +8,15 @@ CSV do not keep the ML vector type.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from churnkit.schema import EVENT_SCHEMA, FEATURE_SCHEMA
+from churnkit.session import table_path
+
+# Parquet footer schemas seen in this process, by (path, modification time).
+_FOOTER_SCHEMAS: dict[tuple[str, float], T.StructType] = {}
 
 
 def read_events_json(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
@@ -33,6 +39,23 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A Parquet table of ``sf_dir``. A local table's footer schema is
+    inferred once per file version (path and modification time) and
+    declared on later reads, which then plan without an inference job.
+    Other locations are inferred on every read."""
+    path = table_path(sf_dir, name)
+    if not os.path.exists(path):
+        return spark.read.parquet(path)
+    key = (path, os.path.getmtime(path))
+    schema = _FOOTER_SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _FOOTER_SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """One file per task, overwrite."""
     df.write.mode("overwrite").json(path)
