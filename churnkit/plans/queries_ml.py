@@ -131,8 +131,7 @@ def q_train_val_test_split(spark, sf_dir):
     return mlprep.assign_split(user_table(spark, sf_dir)).select("userId", "split")
 
 
-@register("transform_pipeline")  # M6 under its survey name
-@register("feature_transform")
+@register("feature_transform")  # M6
 def q_feature_transform(spark, sf_dir):
     s = train.PreparedSplits(user_table(spark, sf_dir))
     parts = [df.select("userId", F.lit(name).alias("split"), "label",
