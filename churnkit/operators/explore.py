@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from churnkit.functions.columns import exact_length, first_values
+from churnkit.functions.columns import exact_length, first_values, is_churn_event
 from churnkit.functions.dates import days_between
 from churnkit.schema import CHURN_PAGE
 
@@ -97,11 +97,15 @@ def events_per_user(events: DataFrame) -> DataFrame:
 
 def artist_plays_by_label(events: DataFrame, key: str = "userId") -> DataFrame:
     """Plays per (artist, label); the null artist (non-song events) is a
-    group. Events are first reduced to (user, artist) counts, the label is
-    joined at that grain, then counts are added up per (artist, label)."""
-    plays = events.groupBy(key, "artist").agg(F.count(F.lit(1)).alias("n"))
-    labels = per_user_with_label(events, [], key)
-    return (plays.join(labels, key).groupBy("artist", "churn_lab")
+    group. One scan: events are reduced to (user, artist) counts that also
+    carry "marker seen"; every event falls in one of its user's (user,
+    artist) groups, so the user's label is the max over those rows (a window
+    over at most one row per artist of the user, not over events). Counts are
+    then added up per (artist, label)."""
+    plays = events.groupBy(key, "artist").agg(F.count(F.lit(1)).alias("n"),
+                                              F.max(is_churn_event()).alias("_churn"))
+    label = F.max("_churn").over(Window.partitionBy(key)).cast("int")
+    return (plays.withColumn("churn_lab", label).groupBy("artist", "churn_lab")
             .agg(F.sum("n").alias("plays")))
 
 
@@ -129,7 +133,6 @@ def listening_per_user(events: DataFrame) -> DataFrame:
 
 def page_visits_per_user(events: DataFrame) -> DataFrame:
     """Visits per (user, page), with the user's label."""
-    from pyspark.sql import Window
     visits = events.groupBy("userId", "page").agg(F.count(F.lit(1)).alias("visits"))
     # label from the reduced rows (at most one per page and user): one scan,
     # and the per-user window holds at most #pages rows
