@@ -24,16 +24,17 @@ are counted with ``bit_count`` of the mask (the month number has no year,
 partitioning.
 
 ``user_totals``, ``user_monthly_averages``, ``user_daily_averages`` and
-``page_pivot`` are the per-table aggregates of the source workflow (L4-L7);
-``join_user_aggregates`` joins them (J1). They are kept as operators of
-their own and serve as an independent cross-check of the one-pass plan.
+``page_pivot`` are the per-table aggregates of the source workflow (L4-L7),
+one scan each. ``user_tables`` computes the same four from the grain rows,
+so that J1 (``join_user_aggregates``) can join four separately computed
+tables while the event log is read once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from churnkit.functions.columns import event_order, exact_length, first_values, is_churn_event
+from churnkit.functions.columns import event_order, exact_length, first_values
 from churnkit.schema import CHURN_PAGE, FEATURE_COLUMNS, PAGE_COLUMNS, PAGES
 
 _PAGE_PAIRS = tuple(zip(PAGES, PAGE_COLUMNS))
@@ -107,7 +108,12 @@ def _user_rollup(grains: DataFrame, key: str) -> DataFrame:
 
 def user_features(prepared: DataFrame, key: str = "userId") -> DataFrame:
     """The one-row-per-user feature table (``FEATURE_SCHEMA`` order)."""
-    part = _user_rollup(event_grains(prepared, key), key)
+    return features_from_grains(event_grains(prepared, key), key)
+
+
+def features_from_grains(grains: DataFrame, key: str = "userId") -> DataFrame:
+    """Steps 2 and 3 of the flagship over the grain rows of ``event_grains``."""
+    part = _user_rollup(grains, key)
     first = F.when(F.col("first_order").isNotNull(), F.struct("first_order", "gender", "state1"))
     user = part.groupBy(key).agg(
         *[F.sum(c).alias(c) for c in _DAY_SUMS + _COUNTS],
@@ -145,25 +151,56 @@ def user_activity(prepared: DataFrame, key: str = "userId") -> DataFrame:
 
 # -- the per-table aggregates of the source workflow (L4-L7, J1) --------------
 
+TOTALS_COLUMNS = ("userId", "gender", "unique_artist_count", "state", "total_session_length",
+                  "avg_session_length", "churn_label", "unique_song_count", "total_items", "avg_items")
+
+
 def user_profile(prepared: DataFrame, key: str = "userId") -> DataFrame:
     """Gender and (first) state of each user's earliest event."""
     return first_values(prepared, key, ["gender", "state1"]).withColumnRenamed("state1", "state")
 
 
 def user_totals(prepared: DataFrame, key: str = "userId") -> DataFrame:
-    """L4: first gender / state, label, distinct counts, length and item totals."""
-    totals = prepared.groupBy(key).agg(
-        F.count_distinct("artist").alias("unique_artist_count"),
-        F.sum(exact_length()).cast("double").alias("total_session_length"),
-        _ratio(F.sum(exact_length()), F.count("length")).alias("avg_session_length"),
-        F.max(is_churn_event()).cast("int").alias("churn_label"),
-        F.count_distinct("song").alias("unique_song_count"),
-        F.sum("itemInSession").alias("total_items"),
-        _ratio(F.sum("itemInSession"), F.count("itemInSession")).alias("avg_items"),
-    )
-    return totals.join(user_profile(prepared, key), key).select(
-        key, "gender", "unique_artist_count", "state", "total_session_length", "avg_session_length",
-        "churn_label", "unique_song_count", "total_items", "avg_items")
+    """L4: first gender / state, label, distinct counts, length and item
+    totals: the totals columns of the one-pass plan (one scan; the planner
+    drops the aggregates these columns do not use)."""
+    return user_features(prepared, key).select(*TOTALS_COLUMNS)
+
+
+def user_tables(grains: DataFrame, key: str = "userId") -> tuple[DataFrame, ...]:
+    """L4, L5, L6, L7 as four per-user aggregates over the grain rows of
+    ``event_grains`` (the input of J1). Every measure is a conditional
+    aggregate of the rows of one grouping set:
+
+    * L4: the totals of the one-pass plan (``features_from_grains``).
+    * L5: day rows summed per (user, month), then averaged per user (the
+      source's two levels; the (user, null month) group of the other sets
+      has null sums and is skipped like any null group).
+    * L6: day rows averaged per user (a day row is one (user, day) group).
+    * L7: page rows summed per user and page; no visits = 0.
+    """
+    gid = F.col("_gid")
+    day, page = gid == GID["day"], gid == GID["page"]
+
+    def on_days(c: str) -> Column:
+        return F.when(day, F.col(c))
+
+    totals = features_from_grains(grains, key).select(*TOTALS_COLUMNS)
+    per_month = grains.groupBy(key, F.month("ts_todate").alias("month")).agg(
+        F.sum(on_days("len_sum")).alias("l"), F.sum(on_days("items_sum")).alias("i"),
+        F.sum(on_days("n_events")).alias("n"))
+    monthly = per_month.groupBy(key).agg(
+        _ratio(F.sum("l"), F.count("l")).alias("avg_session_length_per_month"),
+        _ratio(F.sum("i"), F.count("i")).alias("avg_items_per_month"),
+        _ratio(F.sum("n"), F.count("n")).alias("avg_count_session_per_month"))
+    daily = grains.groupBy(key).agg(
+        _ratio(F.sum(on_days("len_sum")), F.count(on_days("len_sum"))).alias("avg_session_length_per_day"),
+        _ratio(F.sum(on_days("items_sum")), F.count(on_days("items_sum"))).alias("avg_items_per_day"),
+        _ratio(F.sum(on_days("n_events")), F.count(on_days("n_events"))).alias("avg_count_session_per_day"))
+    pages = grains.groupBy(key).agg(
+        *[F.coalesce(F.sum(F.when(page & (F.col("page") == p), F.col("n_events"))), F.lit(0)).alias(c)
+          for p, c in _PAGE_PAIRS])
+    return totals, monthly, daily, pages
 
 
 def _two_level(prepared: DataFrame, key: str, group: str, suffix: str) -> DataFrame:

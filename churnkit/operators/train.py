@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from churnkit.operators import evaluate, mlprep
 from churnkit.schema import LR_GRID
-from churnkit.session import checkpoint_dir
+from churnkit.session import reliable_checkpoint
 
 SEED = 42
 
@@ -52,8 +52,7 @@ ESTIMATORS = {
 
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (cuts lineage)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return reliable_checkpoint(df)
 
 
 def require_both_classes(df: DataFrame, name: str, label: str = "label") -> None:

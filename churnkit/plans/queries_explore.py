@@ -10,6 +10,7 @@ from churnkit.operators.joins import join_user_aggregates
 from churnkit.plans import oracle as O
 from churnkit.plans.registry import events, prepared, register, user_table
 from churnkit.schema import EVENT_SCHEMA, FEATURE_COLUMNS, PAGE_COLUMNS, PAGES, UNUSED_EVENT_COLUMNS
+from churnkit.session import reliable_checkpoint
 
 
 def clean_events(spark, sf_dir):
@@ -437,12 +438,12 @@ def q_user_daily_averages(spark, sf_dir):
 
 @register("join_user_aggregates", W("SELECT * FROM features", "features"))
 def q_join_user_aggregates(spark, sf_dir):
-    """J1 in the source's shape: four per-user tables joined on userId."""
-    ev = prepared(spark, sf_dir)
-    joined = join_user_aggregates(
-        features.user_totals(ev), features.user_monthly_averages(ev),
-        features.user_daily_averages(ev), features.page_pivot(ev))
-    return joined.select(*FEATURE_COLUMNS)
+    """J1 in the source's shape: four per-user tables (L4-L7) joined on
+    userId. The tables are computed from one reliably checkpointed grain
+    table (one scan of the event log); each would otherwise prune the shared
+    grain aggregate differently, and the log would be scanned once per table."""
+    grains = reliable_checkpoint(features.event_grains(prepared(spark, sf_dir)))
+    return join_user_aggregates(*features.user_tables(grains)).select(*FEATURE_COLUMNS)
 
 
 @register("prepare_data", W("SELECT * FROM features", "features"))

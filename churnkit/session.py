@@ -62,6 +62,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+def reliable_checkpoint(df):
+    """Eager, reliable ``DataFrame.checkpoint`` into the shared checkpoint
+    folder: cuts the lineage, and a lost executor re-reads the files
+    instead of recomputing from the source."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")

@@ -84,10 +84,37 @@ def test_first_tie_break_by_event_id(log):
     assert {r.userId: r.p for r in first.collect()}["u2"] == "Home"
 
 
+def _direct_totals(ev):
+    """L4 as plain aggregates over events (independent of the one-pass plan)."""
+    from pyspark.sql import functions as F
+    from churnkit.functions.columns import exact_length, is_churn_event
+    totals = ev.groupBy("userId").agg(
+        F.count_distinct("artist").alias("unique_artist_count"),
+        F.sum(exact_length()).cast("double").alias("total_session_length"),
+        F.try_divide(F.sum(exact_length()).cast("double"), F.count("length")).alias("avg_session_length"),
+        F.max(is_churn_event()).cast("int").alias("churn_label"),
+        F.count_distinct("song").alias("unique_song_count"),
+        F.sum("itemInSession").alias("total_items"),
+        F.try_divide(F.sum("itemInSession").cast("double"), F.count("itemInSession")).alias("avg_items"))
+    return totals.join(features.user_profile(ev), "userId").select(*features.TOTALS_COLUMNS)
+
+
 def test_feature_chain_equals_aggregate_and_join(log):
     from churnkit.operators.joins import join_user_aggregates
     from churnkit.schema import FEATURE_COLUMNS
     ev = clean.prepare_events(log)
-    naive = join_user_aggregates(features.user_totals(ev), features.user_monthly_averages(ev),
+    naive = join_user_aggregates(_direct_totals(ev), features.user_monthly_averages(ev),
                                  features.user_daily_averages(ev), features.page_pivot(ev)).select(*FEATURE_COLUMNS)
-    assert sorted(map(tuple, naive.collect())) == sorted(map(tuple, features.user_features(ev).collect()))
+    want = sorted(map(tuple, features.user_features(ev).collect()))
+    assert sorted(map(tuple, naive.collect())) == want
+    assert sorted(map(tuple, features.user_totals(ev).collect())) == sorted(map(tuple, _direct_totals(ev).collect()))
+
+
+def test_per_user_tables_from_grains(log):
+    """J1's inputs computed from the grain rows equal the per-table
+    aggregates computed from events."""
+    ev = clean.prepare_events(log)
+    totals, monthly, daily, pages = features.user_tables(features.event_grains(ev))
+    for got, want in ((totals, _direct_totals(ev)), (monthly, features.user_monthly_averages(ev)),
+                      (daily, features.user_daily_averages(ev)), (pages, features.page_pivot(ev))):
+        assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
