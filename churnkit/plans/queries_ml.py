@@ -75,10 +75,12 @@ def q_one_hot(spark, sf_dir):
     users = user_table(spark, sf_dir)
     indexed = mlprep.string_indexer().fit(users).transform(users)
     encoded = mlprep.one_hot_encoder().fit(indexed).transform(indexed)
-    parts = [mlprep.vector_long(encoded, mlprep.encoded_col(c), nonzero=True)
-             .select("userId", F.lit(mlprep.encoded_col(c)).alias("feature"), F.col("pos").alias("slot"), "value")
-             for c in CATEGORICAL_COLUMNS]
-    return parts[0].unionByName(parts[1])
+    # both encoded vectors unfolded in one pass over the user table
+    vectors = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), vector_to_array(c).alias("v"))
+                                  for c in map(mlprep.encoded_col, CATEGORICAL_COLUMNS)]))
+    long = (encoded.select("userId", vectors.alias("f"))
+            .select("userId", F.col("f.feature").alias("feature"), F.posexplode("f.v").alias("slot", "value")))
+    return long.filter(F.col("value") != 0).withColumn("slot", F.col("slot").cast("int"))
 
 
 def _assembled_sql():
