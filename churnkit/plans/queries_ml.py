@@ -14,7 +14,7 @@ from churnkit.operators import evaluate, mlprep, score, train
 from churnkit.plans import oracle as O
 from churnkit.plans.registry import register, user_table
 from churnkit.schema import CATEGORICAL_COLUMNS, FEATURE_COLUMNS, PAGE_COLUMNS
-from churnkit.session import scratch_path
+from churnkit.session import reliable_checkpoint, scratch_path
 
 W = O.with_ctes
 NUMERIC = list(mlprep.NUMERIC_INPUTS)
@@ -45,6 +45,13 @@ def _users_filled(spark, sf_dir):
     return mlprep.label_cast(mlprep.fill_nulls(user_table(spark, sf_dir)))
 
 
+def _fit_input(users):
+    """The user table checkpointed once before a fit + transform: the fit's
+    jobs and the transformed result then read the checkpoint instead of
+    each recomputing the feature job over the event log."""
+    return reliable_checkpoint(users)
+
+
 # ---------------------------------------------------------------------------
 # M: preparation
 # ---------------------------------------------------------------------------
@@ -55,7 +62,7 @@ def _users_filled(spark, sf_dir):
     "LEFT JOIN gender_idx g ON f.gender = g.gender LEFT JOIN state_idx s ON f.state = s.state",
     "features", extra=ML_CTES))
 def q_string_index(spark, sf_dir):
-    users = user_table(spark, sf_dir)
+    users = _fit_input(user_table(spark, sf_dir))
     model = mlprep.string_indexer().fit(users)
     return model.transform(users).select("userId", "gender", "gender_index", "state", "state_index")
 
@@ -72,7 +79,7 @@ def q_label_cast(spark, sf_dir):
     "SELECT f.userId, 'gender_encoded', CAST(g.idx AS INTEGER), 1.0 FROM features f "
     "JOIN gender_idx g ON f.gender = g.gender", "features", extra=ML_CTES))
 def q_one_hot(spark, sf_dir):
-    users = user_table(spark, sf_dir)
+    users = _fit_input(user_table(spark, sf_dir))
     indexed = mlprep.string_indexer().fit(users).transform(users)
     encoded = mlprep.one_hot_encoder().fit(indexed).transform(indexed)
     # both encoded vectors unfolded in one pass over the user table
@@ -98,7 +105,7 @@ def _assembled_sql():
 
 @register("assemble_features", _assembled_sql())
 def q_assemble_features(spark, sf_dir):
-    users = _users_filled(spark, sf_dir)
+    users = _fit_input(_users_filled(spark, sf_dir))
     stages = mlprep.transform_stages()[:3]
     from pyspark.ml import Pipeline
     out = Pipeline(stages=stages).fit(users).transform(users)
@@ -119,7 +126,7 @@ def _scaled_sql():
 @register("standard_scale", _scaled_sql())
 def q_standard_scale(spark, sf_dir):
     from pyspark.ml import Pipeline
-    users = _users_filled(spark, sf_dir)
+    users = _fit_input(_users_filled(spark, sf_dir))
     out = Pipeline(stages=[mlprep.assembler(NUMERIC), mlprep.scaler()]).fit(users).transform(users)
     long = mlprep.vector_long(out, "scaled_features", digits=6)
     return long.withColumn("value", F.col("value") + F.lit(0.0))
@@ -212,7 +219,7 @@ def q_metrics_on_churn_label(spark, sf_dir):
     "count(*) FILTER (WHERE label = 1.0) OVER () AS npos, count(*) FILTER (WHERE label = 0.0) OVER () AS nneg "
     "FROM rule_pred) GROUP BY npos, nneg", "features", extra=RULE))
 def q_auc(spark, sf_dir):
-    pred = _rule(spark, sf_dir)
+    pred = _fit_input(_rule(spark, sf_dir))  # read by the evaluator's jobs and by the counts
     value = evaluate.area_under_roc(pred, raw="rawPrediction", num_bins=0)
     counts = pred.agg(F.count_if(F.col("label") == 1.0).alias("n_pos"),
                       F.count_if(F.col("label") == 0.0).alias("n_neg"))
