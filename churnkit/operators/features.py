@@ -3,16 +3,17 @@
 Flagship plan (``user_features``), one scan of the event log:
 
 1. GROUPING SETS over the cleaned events: (user, day), (user, artist),
-   (user, song), (user, gender, state), (user, page). One Expand (six
-   small aggregate functions per copy), then a hash aggregate
+   (user, song), (user, gender, state, page). One Expand (four copies of
+   an event, six small aggregate functions each), then a hash aggregate
    that combines map-side, then ONE exchange of raw-derived rows. A user
    owning a large share of all events is spread over its days / artists /
    songs and reduced before the shuffle.
 2. Hash aggregate of those grains per (user, gender, state): day rows give
    sums, counts, non-null day counts and 12-bit month masks (``bit_or``);
-   artist / song rows give the distinct counts; page rows the 19 page
-   counts (the churn label is "marker page count > 0"); (gender, state)
-   rows keep their earliest event order. Map-side combined again, so a hot user
+   artist / song rows give the distinct counts; profile rows (gender,
+   state, page) the 19 page counts (the churn label is "marker page count
+   > 0") and the earliest event order of each (gender, state) (the
+   minimum over its pages). Map-side combined again, so a hot user
    reaches the exchange as one row per task.
 3. Per user: add up (about two rows per user) and pick gender / state of
    the earliest event.
@@ -40,8 +41,8 @@ from churnkit.schema import CHURN_PAGE, FEATURE_COLUMNS, PAGE_COLUMNS, PAGES
 _PAGE_PAIRS = tuple(zip(PAGES, PAGE_COLUMNS))
 _CHURN_COLUMN = dict(_PAGE_PAIRS)[CHURN_PAGE]
 _GRAIN_COLS = ("ts_todate", "artist", "song", "gender", "state1", "page")
-_SETS = {"day": ("ts_todate",), "artist": ("artist",), "song": ("song",), "first": ("gender", "state1"),
-         "page": ("page",)}
+_SETS = {"day": ("ts_todate",), "artist": ("artist",), "song": ("song",),
+         "profile": ("gender", "state1", "page")}
 
 
 def _ratio(num, den):
@@ -89,11 +90,11 @@ def _user_rollup(grains: DataFrame, key: str) -> DataFrame:
     """Step 2: per (user, gender, state); only the grain rows that carry a
     measure contribute to it."""
     gid = F.col("_gid")
-    day, first, page = gid == GID["day"], gid == GID["first"], gid == GID["page"]
+    day, profile = gid == GID["day"], gid == GID["profile"]
     has_len, has_items = F.col("len_sum").isNotNull(), F.col("items_sum").isNotNull()
     return grains.groupBy(key, "gender", "state1").agg(
         *[F.sum(F.when(day, F.col(c))).alias(c) for c in _DAY_SUMS],
-        *[F.sum(F.when(page & (F.col("page") == p), F.col("n_events"))).alias(c) for p, c in _PAGE_PAIRS],
+        *[F.sum(F.when(profile & (F.col("page") == p), F.col("n_events"))).alias(c) for p, c in _PAGE_PAIRS],
         F.count_if(day).alias("n_days"),
         F.count_if(day & has_len).alias("n_days_len"),
         F.count_if(day & has_items).alias("n_days_items"),
@@ -102,7 +103,7 @@ def _user_rollup(grains: DataFrame, key: str) -> DataFrame:
         F.bit_or(_month_bit(day & has_items)).alias("months_items"),
         F.count_if((gid == GID["artist"]) & F.col("artist").isNotNull()).alias("unique_artist_count"),
         F.count_if((gid == GID["song"]) & F.col("song").isNotNull()).alias("unique_song_count"),
-        F.min(F.when(first, F.col("first_order"))).alias("first_order"),
+        F.min(F.when(profile, F.col("first_order"))).alias("first_order"),
     )
 
 
@@ -177,10 +178,11 @@ def user_tables(grains: DataFrame, key: str = "userId") -> tuple[DataFrame, ...]
       source's two levels; the (user, null month) group of the other sets
       has null sums and is skipped like any null group).
     * L6: day rows averaged per user (a day row is one (user, day) group).
-    * L7: page rows summed per user and page; no visits = 0.
+    * L7: profile rows (user, gender, state, page) summed per user and page;
+      no visits = 0.
     """
     gid = F.col("_gid")
-    day, page = gid == GID["day"], gid == GID["page"]
+    day, profile = gid == GID["day"], gid == GID["profile"]
 
     def on_days(c: str) -> Column:
         return F.when(day, F.col(c))
@@ -198,7 +200,7 @@ def user_tables(grains: DataFrame, key: str = "userId") -> tuple[DataFrame, ...]
         _ratio(F.sum(on_days("items_sum")), F.count(on_days("items_sum"))).alias("avg_items_per_day"),
         _ratio(F.sum(on_days("n_events")), F.count(on_days("n_events"))).alias("avg_count_session_per_day"))
     pages = grains.groupBy(key).agg(
-        *[F.coalesce(F.sum(F.when(page & (F.col("page") == p), F.col("n_events"))), F.lit(0)).alias(c)
+        *[F.coalesce(F.sum(F.when(profile & (F.col("page") == p), F.col("n_events"))), F.lit(0)).alias(c)
           for p, c in _PAGE_PAIRS])
     return totals, monthly, daily, pages
 
