@@ -8,19 +8,16 @@ under both inputs), so the hot user's events are spread over many tasks.
 """
 
 import contextlib
-import os
 import re
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from scripts.check_oracle import compare, duck
+from scripts.skew_report import SKEW_CONF, derive_skewed_copy
 from tests.conftest import SF01
 
-HOT_SHARE_EVERY = 3
-
 # event-level keys whose plans shuffle or join events on the user key
 SKEW_KEYS = [
     "user_features", "label_events", "churned_user_events", "retained_user_events", "label_distribution",
@@ -33,17 +30,10 @@ SKEW_KEYS = [
 
 @pytest.fixture(scope="module")
 def skewed_dir(spark):
+    from pyspark.sql import functions as F
     out = tempfile.mkdtemp(prefix="churnkit-skew-")
-    ev = spark.read.parquet(f"{SF01}/events.parquet")
-    cu = spark.read.parquet(f"{SF01}/customer.parquet")
-    hot = (ev.join(cu, ev.user_id == cu.c_custkey).groupBy("user_id").count()
-           .orderBy(F.desc("count"), "user_id").first()["user_id"])
-    skewed = ev.withColumn("user_id", F.when(F.col("event_id") % HOT_SHARE_EVERY == 0, F.lit(hot))
-                           .otherwise(F.col("user_id")))
-    skewed.repartition(8).write.parquet(os.path.join(out, "events.parquet"))
-    for t in ("customer", "nation", "region"):
-        os.symlink(os.path.join(SF01, f"{t}.parquet"), os.path.join(out, f"{t}.parquet"))
-    share = (spark.read.parquet(os.path.join(out, "events.parquet"))
+    hot = derive_skewed_copy(spark, SF01, out)
+    share = (spark.read.parquet(f"{out}/events.parquet")
              .agg(F.avg((F.col("user_id") == hot).cast("double"))).first()[0])
     assert share > 1 / 3
     return out
@@ -64,18 +54,6 @@ def conf(spark, settings):
                 spark.conf.set(k, v)
 
 
-# Tiny thresholds so that the test data counts as skewed; broadcasts off so
-# that every join is a shuffle join (the case at scale).
-SKEW_CONF = {
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
-    "spark.sql.adaptive.coalescePartitions.enabled": "false",
-}
-
-
 @pytest.fixture(scope="module")
 def skew_duck(skewed_dir):
     return duck(skewed_dir)
