@@ -21,8 +21,10 @@ def scored(pred: DataFrame) -> DataFrame:
 
 
 def predicted_churners(pred: DataFrame) -> DataFrame:
-    """R2: users predicted to churn, most likely first."""
-    return scored(pred).filter(F.col("prediction") == 1.0)
+    """R2: users predicted to churn, most likely first (a range-partitioned
+    sort; ties by user id)."""
+    return (scored(pred).filter(F.col("prediction") == 1.0)
+            .orderBy(F.desc("churn_probability"), F.asc("userId")))
 
 
 def actual_churners(pred: DataFrame) -> DataFrame:
