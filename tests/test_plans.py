@@ -37,3 +37,21 @@ def test_sized_broadcast(spark):
     assert "broadcast" in sized_broadcast(small, 100)._jdf.queryExecution().logical().toString().lower()
     big = spark.range(1000)
     assert sized_broadcast(big, 100) is big
+
+
+def _event_scans(df):
+    import re
+    df.collect()  # final adaptive plan of this DataFrame's own execution
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return len(re.findall(r"FileScan parquet \[[^\]]*\] .*?events\.parquet", plan))
+
+
+def test_one_read_of_the_event_log(spark):
+    """Keys that once read the log several times now read it once (J1 and
+    the ML preparation keys read it in their checkpoint job instead)."""
+    import __spark_entry__ as E
+    q = E.queries()
+    for key in ("user_features", "user_totals", "top_artists", "artist_plays_by_label"):
+        assert _event_scans(q[key](spark, SF01)) == 1, key
+    for key in ("join_user_aggregates", "one_hot"):
+        assert _event_scans(q[key](spark, SF01)) == 0, key
