@@ -58,14 +58,16 @@ def event_log_from(spark: SparkSession, sf_dir: str, e: DataFrame) -> DataFrame:
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
 
-    # events x customer first: both grow with the data, so this is a shuffle
-    # join on the user key at scale (AQE splits a hot user's partition), and
-    # a broadcast of customer only while its file-size estimate is under the
-    # broadcast threshold. nation and region are fixed-size dimensions joined
-    # afterwards; the planner broadcasts them on their file-size statistics.
-    j = (e.join(c, e.user_id == c.c_custkey)
-         .join(n, F.col("c_nationkey") == n.n_nationkey)
-         .join(r, F.col("n_regionkey") == r.r_regionkey))
+    # The dimension chain first (customer x nation x region: customer-sized;
+    # nation and region are fixed-size and broadcast by the planner on their
+    # file sizes), then ONE join of the events with it. Customer grows with
+    # the data, so at scale that join shuffles both sides on the user key
+    # (AQE splits a hot user's partition) and broadcasts the chain only
+    # while its size estimate is under the threshold. Even with broadcasts
+    # turned off, only this one join moves event-sized data.
+    dims = (c.join(n, F.col("c_nationkey") == n.n_nationkey)
+            .join(r, F.col("n_regionkey") == r.r_regionkey))
+    j = e.join(dims, e.user_id == dims.c_custkey)
 
     k = F.get_json_object("props", "$.k").cast("bigint")
     etype = F.col("event_type")
