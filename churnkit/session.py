@@ -15,6 +15,8 @@ from pyspark.sql import SparkSession
 #  * No Python call-site capture: with it, every PySpark function call
 #    makes several extra driver round trips to record where it was called
 #    (used only to annotate error messages).
+#  * Checkpoint files are deleted once their RDD is garbage-collected, so
+#    the shared checkpoint folder does not fill up with finished jobs.
 ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -22,6 +24,7 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
