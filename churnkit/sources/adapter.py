@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from churnkit.functions.dates import epoch_ms_to_date
-from churnkit.sources.io import read_table
+from churnkit.sources.io import read_small_table, read_table
 
 # ---------------------------------------------------------------------------
 # Fixed values of the mapping
@@ -34,6 +34,8 @@ PLAIN_LOCATION_EVERY = 29
 PAID_BALANCE = 4500
 # Distinct artists.
 ARTISTS = 20
+# Row bound under which nation / region are broadcast (they hold 25 and 5).
+DIMENSION_ROWS = 1000
 
 
 def epoch_millis(ts_type: T.DataType, col: str = "ts"):
@@ -55,19 +57,22 @@ def event_log_from(spark: SparkSession, sf_dir: str, e: DataFrame) -> DataFrame:
     """Same mapping for a given ``events`` DataFrame (batch or streaming;
     a stream joins the static customer / nation / region tables)."""
     c = read_table(spark, sf_dir, "customer")
-    n = read_table(spark, sf_dir, "nation")
-    r = read_table(spark, sf_dir, "region")
+    n = read_small_table(spark, sf_dir, "nation", DIMENSION_ROWS)
+    r = read_small_table(spark, sf_dir, "region", DIMENSION_ROWS)
 
-    # The dimension chain first (customer x nation x region: customer-sized;
-    # nation and region are fixed-size and broadcast by the planner on their
-    # file sizes), then ONE join of the events with it. Customer grows with
-    # the data, so at scale that join shuffles both sides on the user key
-    # (AQE splits a hot user's partition) and broadcasts the chain only
-    # while its size estimate is under the threshold. Even with broadcasts
-    # turned off, only this one join moves event-sized data.
-    dims = (c.join(n, F.col("c_nationkey") == n.n_nationkey)
-            .join(r, F.col("n_regionkey") == r.r_regionkey))
-    j = e.join(dims, e.user_id == dims.c_custkey)
+    # events x customer: both grow with the data, so at scale this is a
+    # shuffle join on the user key (AQE splits a hot user's partition); the
+    # planner broadcasts customer only while its file-size estimate is under
+    # the threshold. nation and region are fixed-size dimensions, broadcast
+    # after a row-count check (a hint, so they stay broadcast even where a
+    # cluster turns size-based broadcasting off): whatever the settings,
+    # only the customer join can move event-sized data. (Joining the
+    # dimensions first would not help: without statistics a join's size
+    # estimate is the product of its inputs, so the chain would never be
+    # broadcast and the events side would be.)
+    j = (e.join(c, e.user_id == c.c_custkey)
+         .join(n, F.col("c_nationkey") == n.n_nationkey)
+         .join(r, F.col("n_regionkey") == r.r_regionkey))
 
     k = F.get_json_object("props", "$.k").cast("bigint")
     etype = F.col("event_type")

@@ -17,6 +17,9 @@ from churnkit.session import table_path
 
 # Parquet footer schemas seen in this process, by (path, modification time).
 _FOOTER_SCHEMAS: dict[tuple[str, float], T.StructType] = {}
+# Row-count bounds proven for a table version: (path, mtime) -> largest
+# bound checked and found to hold.
+_ROW_BOUNDS: dict[tuple[str, float], int] = {}
 
 
 def read_events_json(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
@@ -56,6 +59,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def read_small_table(spark: SparkSession, sf_dir: str, name: str, max_rows: int) -> DataFrame:
+    """A table to be broadcast: marked for broadcast once it is proven to
+    hold at most ``max_rows`` rows (a bounded count). For a local table the
+    proof is kept per file version, so repeated reads skip the count; a
+    larger table is returned unmarked (the join then shuffles)."""
+    from churnkit.operators.joins import sized_broadcast
+    df = read_table(spark, sf_dir, name)
+    path = table_path(sf_dir, name)
+    if not os.path.exists(path):
+        return sized_broadcast(df, max_rows)
+    key = (path, os.path.getmtime(path))
+    if _ROW_BOUNDS.get(key, -1) >= max_rows:
+        return F.broadcast(df)
+    out = sized_broadcast(df, max_rows)
+    if out is not df:
+        _ROW_BOUNDS[key] = max_rows
+    return out
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """One file per task, overwrite."""
     df.write.mode("overwrite").json(path)

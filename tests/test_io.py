@@ -24,3 +24,18 @@ def test_schema_declared_after_first_read(spark):
     changed = io.read_table(spark, d, "t")
     assert [f.name for f in changed.schema.fields] == ["id", "v"]
     assert changed.count() == 2
+
+
+def _is_broadcast(df):
+    return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+
+
+def test_small_table_broadcast_after_a_proven_bound(spark):
+    d = tempfile.mkdtemp(prefix="churnkit-io-")
+    spark.range(25).write.parquet(os.path.join(d, "dim.parquet"))
+    spark.range(50).write.parquet(os.path.join(d, "big.parquet"))
+    assert _is_broadcast(io.read_small_table(spark, d, "dim", 100))
+    key = (os.path.join(d, "dim.parquet"), os.path.getmtime(os.path.join(d, "dim.parquet")))
+    assert io._ROW_BOUNDS[key] == 100
+    assert _is_broadcast(io.read_small_table(spark, d, "dim", 100))  # proof reused, no count
+    assert not _is_broadcast(io.read_small_table(spark, d, "big", 10))  # bound fails: no hint
