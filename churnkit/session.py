@@ -49,8 +49,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when nothing is configured (local runs and
-    tests) a private folder is created and registered.
+    Read from the session. Only a local-mode session (local runs and tests)
+    without one gets a private folder; on a cluster a machine-local folder
+    would be unreadable from other executors, so the setting is required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,6 +61,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage "
+                           "(e.g. HDFS or an object store) that every executor can read")
     local = tempfile.mkdtemp(prefix="churnkit-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
