@@ -28,10 +28,13 @@ def event_order() -> Column:
 
     A fixed-width decimal keeps ``min`` inside a hash aggregate; a struct or
     string buffer would force a sort-based aggregate over the raw events.
-    ts (epoch ms) < 10^17 and event_id + 2^63 < 10^20 keep the packing exact."""
+    Value ts * 10^20 + event_id: two event ids differ by less than
+    2^64 < 10^20, so a later ts always gives a larger value, and at equal ts
+    the id decides (negative ids included); |ts| < 10^17 (epoch ms) keeps
+    the value within 38 digits."""
     return F.expr(
-        "CAST(ts AS DECIMAL(38,0)) * CAST(100000000000000000000 AS DECIMAL(21,0))"
-        " + (CAST(event_id AS DECIMAL(38,0)) + CAST(9223372036854775808 AS DECIMAL(20,0)))"
+        "CAST(ts AS DECIMAL(20,0)) * CAST(100000000000000000000 AS DECIMAL(21,0))"
+        " + CAST(event_id AS DECIMAL(20,0))"
     ).cast("decimal(38,0)")
 
 
