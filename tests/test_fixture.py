@@ -118,3 +118,11 @@ def test_per_user_tables_from_grains(log):
     for got, want in ((totals, _direct_totals(ev)), (monthly, features.user_monthly_averages(ev)),
                       (daily, features.user_daily_averages(ev)), (pages, features.page_pivot(ev))):
         assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_event_order_key_sorts_like_ts_then_id(spark):
+    from churnkit.functions.columns import event_order
+    lo, hi = -(2 ** 63), 2 ** 63 - 1
+    rows = [(1, lo), (1, hi), (2, lo), (0, 5), (10 ** 17 - 1, hi), (-5, 0), (1, 0)]
+    df = spark.createDataFrame(rows, "ts long, event_id long").withColumn("o", event_order())
+    assert [(r.ts, r.event_id) for r in df.orderBy("o").collect()] == sorted(rows)
