@@ -71,8 +71,13 @@ def test_hot_user_join_is_split(spark, skewed_dir, key):
         df = E.queries()[key](spark, skewed_dir)
         df.collect()  # runs this DataFrame's own query execution; its final plan is then readable
         final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # every join on userId is split; so is the adapter's events x customer
+    # join on the event path (the churner-set branch joins only the few
+    # marker events, its filter being pushed below that join)
     joins = [ln for ln in final.splitlines() if "SortMergeJoin" in ln and "userId" in ln]
     assert joins and all("skew=true" in ln for ln in joins), final
+    adapter = [ln for ln in final.splitlines() if "SortMergeJoin" in ln and "user_id" in ln]
+    assert any("skew=true" in ln for ln in adapter), final
 
 
 def test_feature_shuffle_spreads_a_user(spark):
