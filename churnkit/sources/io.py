@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from churnkit.schema import EVENT_SCHEMA, FEATURE_SCHEMA
 from churnkit.session import table_path
 
-# Parquet footer schemas seen in this process, by (path, modification time).
-_FOOTER_SCHEMAS: dict[tuple[str, float], T.StructType] = {}
+# Parquet footer schemas seen in this process, by (application, path,
+# modification time): a new session may infer types differently.
+_FOOTER_SCHEMAS: dict[tuple[str, str, float], T.StructType] = {}
 # Row-count bounds proven for a table version: (path, mtime) -> largest
 # bound checked and found to hold.
 _ROW_BOUNDS: dict[tuple[str, float], int] = {}
@@ -44,13 +45,13 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A Parquet table of ``sf_dir``. A local table's footer schema is
-    inferred once per file version (path and modification time) and
-    declared on later reads, which then plan without an inference job.
-    Other locations are inferred on every read."""
+    inferred once per session and file version (path and modification
+    time) and declared on later reads, which then plan without an
+    inference job. Other locations are inferred on every read."""
     path = table_path(sf_dir, name)
     if not os.path.exists(path):
         return spark.read.parquet(path)
-    key = (path, os.path.getmtime(path))
+    key = (spark.sparkContext.applicationId, path, os.path.getmtime(path))
     schema = _FOOTER_SCHEMAS.get(key)
     if schema is None:
         df = spark.read.parquet(path)

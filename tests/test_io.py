@@ -12,7 +12,7 @@ def test_schema_declared_after_first_read(spark):
     path = os.path.join(d, "t.parquet")
     spark.range(3).selectExpr("id", "CAST(id AS STRING) AS s").write.parquet(path)
     first = io.read_table(spark, d, "t")
-    key = (path, os.path.getmtime(path))
+    key = (spark.sparkContext.applicationId, path, os.path.getmtime(path))
     assert io._FOOTER_SCHEMAS[key] == first.schema
     again = io.read_table(spark, d, "t")
     assert again.schema == first.schema and again.count() == 3
