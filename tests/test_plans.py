@@ -55,3 +55,18 @@ def test_one_read_of_the_event_log(spark):
         assert _event_scans(q[key](spark, SF01)) == 1, key
     for key in ("join_user_aggregates", "one_hot"):
         assert _event_scans(q[key](spark, SF01)) == 0, key
+
+
+def test_features_do_not_depend_on_partitioning(spark):
+    """Exact decimal sums and the packed order key: the same rows whatever
+    the number of shuffle partitions (and so whatever the merge order)."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    try:
+        results = []
+        for n in ("1", "37"):
+            spark.conf.set(key, n)
+            results.append(sorted(map(tuple, registry.user_table(spark, SF01).collect())))
+    finally:
+        spark.conf.set(key, old)
+    assert results[0] == results[1]
