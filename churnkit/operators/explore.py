@@ -159,20 +159,53 @@ def days_since_registration(events: DataFrame, key: str = "userId") -> DataFrame
     return first_values(with_days, key, ["NumDaysSinceRegistration"], with_label="churn_lab")
 
 
+QUARTILES = (0.25, 0.5, 0.75)
+
+
 def metric_summary_by_label(users: DataFrame, metrics: Sequence[str], label: str = "churn_label",
                             accuracy: int = 10_000) -> DataFrame:
     """Five-number summary (min, quartiles, max) of per-user metrics by
     label; the numbers behind the box plots.
 
-    Quartiles use ``percentile_approx``: a mergeable sketch of bounded size
-    per group (exact while a group has fewer values than ``accuracy``), so a
-    label holding most users never gathers all its values in one task."""
+    Quartiles are exact: the value at rank max(1, ceil(p * n)) of the
+    group's non-null values (a discrete percentile). No task gathers a
+    group's values:
+
+    1. One mergeable aggregate per (metric, label): n, min, max and, from a
+       bounded quantile sketch, two values whose ranks are within the
+       sketch's error (n / ``accuracy``) below and above each target rank,
+       so the target value lies between them.
+    2. A second pass counts, per group and quartile, the values below that
+       band and the occurrences of each distinct value inside it; a running
+       count over those few band rows picks the exact value.
+    """
+    group = ["metric", label]
     pairs = ", ".join(f"'{m}', CAST(`{m}` AS DOUBLE)" for m in metrics)
     long = users.selectExpr(label, f"stack({len(metrics)}, {pairs}) AS (metric, value)")
-    q = F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy)
-    return (long.groupBy("metric", label)
-            .agg(F.count("value").alias("n"), F.min("value").alias("min_value"), q.alias("_q"),
-                 F.max("value").alias("max_value"))
-            .select("metric", label, "n", "min_value",
-                    F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                    F.col("_q")[2].alias("q3"), "max_value"))
+    slack = 2.0 / accuracy
+    band_probs = [x for p in QUARTILES for x in (max(0.0, p - slack), min(1.0, p + slack))]
+    stats = long.groupBy(*group).agg(
+        F.count("value").alias("n"), F.min("value").alias("min_value"), F.max("value").alias("max_value"),
+        F.percentile_approx("value", band_probs, accuracy).alias("_band"))
+    targets = stats.filter(F.col("n") > 0).select(*group, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("q"),
+                 F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("n"))).cast("long").alias("rank"),
+                 F.col("_band")[2 * i].alias("lo"), F.col("_band")[2 * i + 1].alias("hi"))
+        for i, p in enumerate(QUARTILES)])).alias("t")).select(*group, "t.*")
+    # targets: 3 rows per (metric, label) group, i.e. at most 3 x metrics x
+    # label values (a 0/1 flag): a size fixed by the call, safe to broadcast
+    value = F.col("value")
+    kind = F.when(value < F.col("lo"), 0).when(value <= F.col("hi"), 1).otherwise(2)
+    counted = (long.filter(value.isNotNull()).join(F.broadcast(targets), group)
+               .groupBy(*group, "q", "rank", kind.alias("kind"), F.when(kind == 1, value).alias("v"))
+               .agg(F.count(F.lit(1)).alias("c")))
+    below = F.sum(F.when(F.col("kind") == 0, F.col("c"))).over(Window.partitionBy(*group, "q"))
+    running = F.sum(F.when(F.col("kind") == 1, F.col("c"))).over(
+        Window.partitionBy(*group, "q").orderBy(F.col("kind"), F.col("v"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counted.withColumn("_upto", F.coalesce(below, F.lit(0)) + running)
+    picked = (ranked.filter((F.col("kind") == 1) & (F.col("_upto") >= F.col("rank")))
+              .groupBy(*group).pivot("q", list(range(len(QUARTILES)))).agg(F.min("v"))
+              .toDF(*group, "q1", "median", "q3"))
+    return (stats.join(picked, group, "left")
+            .select("metric", label, "n", "min_value", "q1", "median", "q3", "max_value"))

@@ -396,7 +396,9 @@ SUMMARY_METRICS = ("unique_artist_count", "total_session_length", "avg_session_l
                          for m in SUMMARY_METRICS)
     + ") GROUP BY metric, churn_label", "features"))
 def q_metric_summary_by_label(spark, sf_dir):
-    return explore.metric_summary_by_label(user_table(spark, sf_dir), SUMMARY_METRICS)
+    # two passes over the user table (sketch bounds, then exact counts): checkpoint it once
+    users = reliable_checkpoint(user_table(spark, sf_dir))
+    return explore.metric_summary_by_label(users, SUMMARY_METRICS)
 
 
 # ---------------------------------------------------------------------------

@@ -70,3 +70,24 @@ def test_features_do_not_depend_on_partitioning(spark):
     finally:
         spark.conf.set(key, old)
     assert results[0] == results[1]
+
+
+def test_exact_quartiles_with_a_coarse_sketch(spark):
+    """The quartiles are exact whatever the sketch accuracy: with a sketch
+    of accuracy 5 the band holds many values and the exact count decides."""
+    import math
+    from churnkit.operators import explore
+    from churnkit.plans.queries_explore import SUMMARY_METRICS
+    from churnkit.session import reliable_checkpoint
+    users = reliable_checkpoint(registry.user_table(spark, SF01))
+    rows = users.collect()
+    want = {}
+    for m in SUMMARY_METRICS:
+        for lab in (0, 1):
+            vals = sorted(float(r[m]) for r in rows if r["churn_label"] == lab and r[m] is not None)
+            n = len(vals)
+            want[(m, lab)] = (n, *(vals[max(1, math.ceil(p * n)) - 1] if n else None for p in (0.25, 0.5, 0.75)))
+    for acc in (5, 50, 10_000):
+        got = {(r.metric, r.churn_label): (r.n, r.q1, r.median, r.q3)
+               for r in explore.metric_summary_by_label(users, SUMMARY_METRICS, accuracy=acc).collect()}
+        assert got == want, acc
