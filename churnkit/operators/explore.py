@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from churnkit.functions.columns import exact_length, first_values, is_churn_event
 from churnkit.functions.dates import days_between
+from churnkit.operators.joins import sized_broadcast
 from churnkit.schema import CHURN_PAGE
 
 
@@ -160,6 +161,8 @@ def days_since_registration(events: DataFrame, key: str = "userId") -> DataFrame
 
 
 QUARTILES = (0.25, 0.5, 0.75)
+# Label values up to which the per-group quartile targets are broadcast.
+MAX_LABEL_VALUES = 1000
 
 
 def metric_summary_by_label(users: DataFrame, metrics: Sequence[str], label: str = "churn_label",
@@ -192,11 +195,12 @@ def metric_summary_by_label(users: DataFrame, metrics: Sequence[str], label: str
                  F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("n"))).cast("long").alias("rank"),
                  F.col("_band")[2 * i].alias("lo"), F.col("_band")[2 * i + 1].alias("hi"))
         for i, p in enumerate(QUARTILES)])).alias("t")).select(*group, "t.*")
-    # targets: 3 rows per (metric, label) group, i.e. at most 3 x metrics x
-    # label values (a 0/1 flag): a size fixed by the call, safe to broadcast
+    # targets: 3 rows per (metric, label value); broadcast once that count is
+    # proven small (a 0/1 label gives 6 per metric), else a shuffle join
+    targets = sized_broadcast(targets, len(QUARTILES) * len(metrics) * MAX_LABEL_VALUES)
     value = F.col("value")
     kind = F.when(value < F.col("lo"), 0).when(value <= F.col("hi"), 1).otherwise(2)
-    counted = (long.filter(value.isNotNull()).join(F.broadcast(targets), group)
+    counted = (long.filter(value.isNotNull()).join(targets, group)
                .groupBy(*group, "q", "rank", kind.alias("kind"), F.when(kind == 1, value).alias("v"))
                .agg(F.count(F.lit(1)).alias("c")))
     below = F.sum(F.when(F.col("kind") == 0, F.col("c"))).over(Window.partitionBy(*group, "q"))
