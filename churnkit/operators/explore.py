@@ -200,7 +200,7 @@ def metric_summary_by_label(users: DataFrame, metrics: Sequence[str], label: str
     targets = sized_broadcast(targets, len(QUARTILES) * len(metrics) * MAX_LABEL_VALUES)
     value = F.col("value")
     kind = F.when(value < F.col("lo"), 0).when(value <= F.col("hi"), 1).otherwise(2)
-    counted = (long.filter(value.isNotNull()).join(targets, group)
+    counted = (_join_on_groups(long.filter(value.isNotNull()), targets, group)
                .groupBy(*group, "q", "rank", kind.alias("kind"), F.when(kind == 1, value).alias("v"))
                .agg(F.count(F.lit(1)).alias("c")))
     below = F.sum(F.when(F.col("kind") == 0, F.col("c"))).over(Window.partitionBy(*group, "q"))
@@ -211,5 +211,14 @@ def metric_summary_by_label(users: DataFrame, metrics: Sequence[str], label: str
     picked = (ranked.filter((F.col("kind") == 1) & (F.col("_upto") >= F.col("rank")))
               .groupBy(*group).pivot("q", list(range(len(QUARTILES)))).agg(F.min("v"))
               .toDF(*group, "q1", "median", "q3"))
-    return (stats.join(picked, group, "left")
+    return (_join_on_groups(stats, picked, group, "left")
             .select("metric", label, "n", "min_value", "q1", "median", "q3", "max_value"))
+
+
+def _join_on_groups(a: DataFrame, b: DataFrame, group: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on the group columns with null-safe equality (a null label is a
+    group like any other, as in ``groupBy``); the group columns of ``a`` stay."""
+    keys = {c: f"_group_{i}" for i, c in enumerate(group)}
+    b = b.withColumnsRenamed(keys)
+    cond = [a[c].eqNullSafe(b[k]) for c, k in keys.items()]
+    return a.join(b, cond, how).drop(*keys.values())
