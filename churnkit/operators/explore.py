@@ -15,6 +15,7 @@ from churnkit.functions.columns import exact_length, first_values, is_churn_even
 from churnkit.functions.dates import days_between
 from churnkit.operators.joins import sized_broadcast
 from churnkit.schema import CHURN_PAGE
+from churnkit.session import reliable_checkpoint
 
 
 def _avg_exact_len(col="length"):
@@ -174,10 +175,10 @@ def metric_summary_by_label(users: DataFrame, metrics: Sequence[str], label: str
     group's non-null values (a discrete percentile). No task gathers a
     group's values:
 
-    1. One mergeable aggregate per (metric, label): n, min, max and, from a
-       bounded quantile sketch, two values whose ranks are within the
-       sketch's error (n / ``accuracy``) below and above each target rank,
-       so the target value lies between them.
+    1. One mergeable aggregate per (metric, label), checkpointed (a row per
+       group): n, min, max and, from a bounded quantile sketch, two values
+       whose ranks are within the sketch's error (n / ``accuracy``) below
+       and above each target rank, so the target value lies between them.
     2. A second pass counts, per group and quartile, the values below that
        band and the occurrences of each distinct value inside it; a running
        count over those few band rows picks the exact value.
@@ -187,9 +188,11 @@ def metric_summary_by_label(users: DataFrame, metrics: Sequence[str], label: str
     long = users.selectExpr(label, f"stack({len(metrics)}, {pairs}) AS (metric, value)")
     slack = 2.0 / accuracy
     band_probs = [x for p in QUARTILES for x in (max(0.0, p - slack), min(1.0, p + slack))]
-    stats = long.groupBy(*group).agg(
+    # one row per (metric, label): checkpointed, so the size check below and
+    # the two uses of it do not each recompute the first pass
+    stats = reliable_checkpoint(long.groupBy(*group).agg(
         F.count("value").alias("n"), F.min("value").alias("min_value"), F.max("value").alias("max_value"),
-        F.percentile_approx("value", band_probs, accuracy).alias("_band"))
+        F.percentile_approx("value", band_probs, accuracy).alias("_band")))
     targets = stats.filter(F.col("n") > 0).select(*group, F.explode(F.array(*[
         F.struct(F.lit(i).alias("q"),
                  F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("n"))).cast("long").alias("rank"),
