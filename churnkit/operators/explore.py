@@ -181,7 +181,8 @@ def metric_summary_by_label(users: DataFrame, metrics: Sequence[str], label: str
        and above each target rank, so the target value lies between them.
     2. A second pass counts, per group and quartile, the values below that
        band and the occurrences of each distinct value inside it; a running
-       count over those few band rows picks the exact value.
+       count over those band rows (at most about 6 n / ``accuracy``
+       distinct values, whatever the duplicates) picks the exact value.
     """
     group = ["metric", label]
     pairs = ", ".join(f"'{m}', CAST(`{m}` AS DOUBLE)" for m in metrics)
