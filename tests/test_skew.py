@@ -25,6 +25,9 @@ SKEW_KEYS = [
     "distinct_artists_per_user", "distinct_songs_per_user", "page_visits_per_user", "page_pivot",
     "artist_plays_by_label", "days_since_registration", "avg_events_per_day", "avg_events_per_month",
     "user_monthly_averages", "user_daily_averages", "join_user_aggregates", "listening_per_user",
+    "users_by_gender_label", "users_by_level_label", "users_per_location", "events_per_user", "items_per_user",
+    "top_artists", "mean_visits_by_page_label", "user_totals", "sql_view_query", "distinct_pages_per_user",
+    "users_per_auth", "users_per_level", "churn_rate",
 ]
 
 
