@@ -95,7 +95,8 @@ def test_exact_quartiles_with_a_coarse_sketch(spark):
 
 def test_quartiles_keep_a_null_label_group(spark):
     from churnkit.operators import explore
-    users = spark.createDataFrame([(None, 1.0), (None, 3.0), (None, 2.0), (1, 5.0)], "lab int, x double")
+    users = spark.createDataFrame([(None, 1.0), (None, 3.0), (None, 2.0), (1, 5.0), (2, None)], "lab int, x double")
     got = {r.lab: (r.n, r.q1, r.median, r.q3) for r in
            explore.metric_summary_by_label(users, ["x"], label="lab", accuracy=5).collect()}
-    assert got == {None: (3, 1.0, 2.0, 3.0), 1: (1, 5.0, 5.0, 5.0)}
+    # a group of only nulls keeps its row: n = 0, no quartiles
+    assert got == {None: (3, 1.0, 2.0, 3.0), 1: (1, 5.0, 5.0, 5.0), 2: (0, None, None, None)}
