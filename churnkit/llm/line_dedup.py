@@ -142,7 +142,9 @@ def drop_common_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, b
     above drops taken out: every input column, ``text`` replaced, plus
     ``n_lines`` and ``n_dropped``."""
     rows = reliable_checkpoint(line_rows(docs, min_chars))
-    common = common_lines(docs, rows, min_docs, batches, fanout)
+    # written, so that the join below exchanges both sides and a line of a
+    # third of all documents is split among tasks
+    common = reliable_checkpoint(common_lines(docs, rows, min_docs, batches, fanout))
     drops = (rows.join(common, ["h1", "h2"]).where("doc <> holder")
              .groupBy("doc").agg(F.collect_list(F.struct("h1", "h2")).alias("gone"))
              .select(F.col("doc").alias("__doc"), "gone"))

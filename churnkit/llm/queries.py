@@ -6,14 +6,19 @@ derives the contract's digest columns from the operator's own output.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnkit.llm import line_dedup
+from churnkit.llm import (
+    bpe, chat, edit_fingerprint, embedding_dedup, line_dedup, packing, quality, simhash, substring_dedup, toxicity)
 from churnkit.llm.common import table
 
+#: the folder of the public tokenizers' files, on every machine
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
@@ -50,12 +55,73 @@ FROM marked GROUP BY doc_id
 """
 
 
+@register("op1_best_fit_packing")
+def op1(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op2_substring_dedup")
+def op2(spark, sf_dir):
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
+
+
+@register("op3_toxicity")
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op4_bpe")
+def op4(spark, sf_dir):
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
+@register("op5_embedding_near_dedup")
+def op5(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+CHAT_SQL = """
+WITH logged AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn) AS turns FROM conversations GROUP BY conv_id),
+one AS (SELECT turns, min(conv_id) AS conv_id, count(*) AS n_copies FROM logged GROUP BY turns),
+begun AS (SELECT DISTINCT turns[1:k] AS turns FROM (SELECT turns, unnest(range(1, len(turns))) AS k FROM one))
+SELECT conv_id, len(turns) AS n_turns, n_copies,
+       array_to_string(list_transform(turns, lambda t: '<|' || replace(coalesce(t.role, ''), '<|', '< |') || '|>' || chr(10)
+                       || replace(coalesce(t.text, ''), '<|', '< |') || '<|end|>' || chr(10)), '') AS rendered
+FROM one WHERE turns NOT IN (SELECT turns FROM begun)
+"""
+
+
+@register("op6_chat_formatting", CHAT_SQL)
+def op6(spark, sf_dir):
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
+@register("op7_simhash_near_dedup")
+def op7(spark, sf_dir):
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register("op8_document_fingerprints")
+def op8(spark, sf_dir):
+    return edit_fingerprint.document_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register("op9_line_dedup", LINE_SQL)
 def op9(spark, sf_dir):
     kept = line_dedup.drop_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", text_sha("text").alias("kept_sha256"))
 
 
+@register("op10_quality_classifier")
+def op10(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
