@@ -126,3 +126,22 @@ def with_text(docs: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """The columns of ``documents`` after ``text`` has changed: ``n_chars``
     follows it."""
     return docs.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast("long")).select(*columns)
+
+
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """Column names for internal use that none of ``columns`` has
+    (whatever the case of its letters)."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+def others_of(docs: DataFrame, *replaced: str) -> list[str]:
+    """The columns of ``docs`` besides those that an operator replaces."""
+    gone = {r.lower() for r in replaced}
+    return [c for c in docs.columns if c.lower() not in gone]

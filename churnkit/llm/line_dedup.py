@@ -17,7 +17,8 @@ all their lines except in the holder (the largest doc_id).
 Defined results: a null or empty text is one empty line; a null doc_id
 counts as a document below every other (it never holds a line another
 document has); rows that repeat a doc_id are one document in the counts
-and each keeps the lines that doc_id holds; other columns are ignored.
+and each keeps the lines that doc_id holds; other columns pass through
+(columns named ``n_lines`` or ``n_dropped`` are replaced).
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import byte_texts, slices
+from churnkit.llm.common import byte_texts, fresh, others_of, slices
 from churnkit.session import reliable_checkpoint, scratch_path
 
 BLANK = b" \t\n\x0b\x0c\r"
@@ -145,23 +146,23 @@ def drop_common_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, b
     # written, so that the join below exchanges both sides and a line of a
     # third of all documents is split among tasks
     common = reliable_checkpoint(common_lines(docs, rows, min_docs, batches, fanout))
+    key, gone = fresh(docs.columns, "doc_key", "gone_lines")
     drops = (rows.join(common, ["h1", "h2"]).where("doc <> holder")
-             .groupBy("doc").agg(F.collect_list(F.struct("h1", "h2")).alias("gone"))
-             .select(F.col("doc").alias("__doc"), "gone"))
-    joined = (docs.withColumn("__doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-              .join(drops, "__doc", "left"))
-    others = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+             .groupBy(F.col("doc").alias(key)).agg(F.collect_list(F.struct("h1", "h2")).alias(gone)))
+    others = others_of(docs, "text", "n_lines", "n_dropped")
+    joined = (docs.select(*others, "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias(key))
+              .join(drops, key, "left").select(*others, "text", gone))
     kinds = [docs.schema[c] for c in others]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE_BYTES):
             at = {n: i for i, n in enumerate(batch.schema.names)}
             texts, lines_in, lines_out = [], [], []
-            gone_col = batch.column(at["gone"])
-            for text, gone in zip(byte_texts(batch.column(at["text"])), gone_col.to_pylist()):
+            dropped = batch.column(at[gone]).to_pylist()
+            for text, lost_keys in zip(byte_texts(batch.column(at["text"])), dropped):
                 lines = text.split(b"\n")
-                if gone:
-                    keys = np.array([[g["h1"], g["h2"]] for g in gone], dtype="<i8").tobytes()
+                if lost_keys:
+                    keys = np.array([[g["h1"], g["h2"]] for g in lost_keys], dtype="<i8").tobytes()
                     lost = {keys[i:i + 16] for i in range(0, len(keys), 16)}
                     kept = [x for x in lines if (k := line_key(x, min_chars)) is None or k not in lost]
                 else:
@@ -177,4 +178,4 @@ def drop_common_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, b
     from pyspark.sql.types import LongType, StringType, StructField, StructType
     schema = StructType([*(StructField(k.name, k.dataType) for k in kinds), StructField("text", StringType()),
                          StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
-    return joined.select(*others, "text", "gone").mapInArrow(emit, schema)
+    return joined.mapInArrow(emit, schema)

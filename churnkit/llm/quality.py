@@ -15,7 +15,8 @@ The fit takes a bounded sample (``PER_CLASS`` documents of each class,
 ``MAX_CHARS`` characters of each); every text is scored whole.
 
 Defined results: a null or empty text is one block of zero bytes; a null
-doc_id is scored and counts as not held out; repeated rows get equal scores;
+doc_id is scored and counts as not held out; repeated rows get equal scores
+(to 0.00001: scores are rounded);
 without training rows of both classes every score is the share of good
 training rows (0 if there are none); other columns are ignored.
 """
@@ -99,6 +100,8 @@ class Network:
         x = EMBEDDING[raw].reshape(-1, half)
         response = x @ self.filters[:half]
         response[:-1] += (x @ self.filters[half:])[1:]
+        # the last position of a text (zeros alone) would look into the next
+        response[np.cumsum(blocks) * PER_BLOCK - 1] = -1e9
         best = response.reshape(-1, PER_BLOCK, FILTERS).max(axis=1)
         best = np.vstack([best, np.zeros((1, FILTERS), np.float32)])
         start, end, owner = _chunks(blocks)
@@ -117,7 +120,7 @@ class Network:
         return self.combined(chunk, owner, len(texts)) @ self.layer + self.offset
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        return sigmoid(self.curve[0] * self.logits(texts) + self.curve[1]) if texts else np.empty(0)
+        return np.round(sigmoid(self.curve[0] * self.logits(texts) + self.curve[1]), 5) if texts else np.empty(0)
 
     def train(self, texts: list[bytes], y: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> None:
         rng = np.random.default_rng(seed)
@@ -157,7 +160,8 @@ class Network:
         tail = EMBEDDING[raw[start[:, None] * BLOCK + CHUNK + np.arange(STRIDE)]].reshape(m, 1, half) @ self.filters[half:]
         b = np.concatenate([(x @ self.filters[half:]).reshape(m, positions, FILTERS)[:, 1:], tail], axis=1)
         response = a + b
-        beyond = np.arange(positions)[None, :] >= (end - start)[:, None] * PER_BLOCK
+        inside = (end - start) * PER_BLOCK - np.isin(end, np.cumsum(blocks))
+        beyond = np.arange(positions)[None, :] >= inside[:, None]
         response[beyond] = -1e9
         arg = response.argmax(axis=1)
         top = np.take_along_axis(response, arg[:, None, :], axis=1)[:, 0] + self.bias

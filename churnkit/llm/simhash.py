@@ -16,7 +16,7 @@ most one row per fingerprint, and become components by contraction.
 Defined results: a null or empty text has fingerprint zero and links like
 any other; a null doc_id takes part, but never names a component that has
 another document; rows that repeat a doc_id are separate rows of one
-document; other columns are ignored.
+document; other columns are ignored (``keep_one`` passes them through).
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import byte_texts, components, slices
+from churnkit.llm.common import byte_texts, components, fresh, slices
 from churnkit.session import reliable_checkpoint
 
 SEGMENTS, SEGMENT_BITS = 16, 4
@@ -209,8 +209,9 @@ def keep_one(docs: DataFrame, shingle: int = 3, k: int = 2) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each component
     does: the one that names it. Of rows that repeat its doc_id the one of
     least text stays."""
+    kept, rank = fresh(docs.columns, "kept_id", "rank")
     stay = (near_duplicates(docs, shingle, k).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("__kept")).distinct())
-    one = Window.partitionBy("__kept").orderBy("text")
-    return (docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept")))
-            .withColumn("__rank", F.row_number().over(one)).where("__rank = 1").select(*docs.columns))
+            .select(F.col("doc_id").alias(kept)).distinct())
+    one = Window.partitionBy(kept).orderBy("text")
+    return (docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col(kept)))
+            .withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1).select(*docs.columns))

@@ -28,7 +28,8 @@ after every other; rows that repeat both doc_id and text are one document
 listed again (same result in each), rows that repeat a doc_id with
 another text come in the order of a 32-bit hash of the text; fewer than
 ``window`` words are never removed on their own account; other columns
-are ignored.
+pass through (columns named ``n_words``, ``n_removed`` or ``kept_words``
+are replaced).
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from churnkit.llm.common import U64, byte_texts, mix, slices
+from churnkit.llm.common import U64, byte_texts, fresh, mix, others_of, slices
 
 NO_ID = 2 ** 63 - 1
 LEAD = 8
@@ -227,10 +228,15 @@ def repeats_of_group(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate([a.astype(np.int64), b.astype(np.int64)]) for a, b in zip(runs, done))
 
 
+def _key():
+    return (F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
+            F.expr("cast(xxhash64(coalesce(text, '')) & 4294967295 as long)"))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({
-        "__doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
-        "__tie": F.expr("cast(xxhash64(coalesce(text, '')) & 4294967295 as long)")})
+    """(doc, tie, text): the order of the documents, and their texts."""
+    doc, tie = _key()
+    return docs.select(doc.alias("doc"), tie.alias("tie"), "text")
 
 
 def _documents(batches: Iterator[pa.RecordBatch], words: Words):
@@ -262,8 +268,8 @@ def crowded_phrases(docs: DataFrame, window: int, n_docs: int) -> np.ndarray:
                 pairs = np.unique(np.stack([got[2].view(np.int64), got[0]]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[0]))], names=["phrase"])
 
-    sample = _keyed(docs).where(F.pmod(F.xxhash64("__doc", "__tie"), F.lit(every)) == 0)
-    got = (sample.select("__doc", "__tie", "text").mapInArrow(emit, "phrase long").groupBy("phrase").count()
+    sample = _keyed(docs).where(F.pmod(F.xxhash64("doc", "tie"), F.lit(every)) == 0)
+    got = (sample.mapInArrow(emit, "phrase long").groupBy("phrase").count()
            .where(F.col("count") >= CROWDED).select("phrase").toArrow())
     return np.sort(np.asarray(got.column("phrase").to_numpy(), dtype=np.int64).view(np.uint64))
 
@@ -288,7 +294,7 @@ def repeat_runs(docs: DataFrame, window: int = 20) -> DataFrame:
         found = repeats_of_group(group.column("blob").to_pylist())
         return pa.table([pa.array(x) for x in found], names=["doc", "tie", "start", "windows"])
 
-    parts = _keyed(docs).select("__doc", "__tie", "text").mapInArrow(split, "part int, blob binary")
+    parts = _keyed(docs).mapInArrow(split, "part int, blob binary")
     return parts.groupBy("part").applyInArrow(build, "doc long, tie long, start long, windows long")
 
 
@@ -299,8 +305,10 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     ``n_words``, ``n_removed`` and ``kept_words`` (the kept words joined by
     one space, as bytes)."""
     runs = repeat_runs(docs, window)
-    spans = runs.groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
-    others = [c for c in docs.columns if c not in ("text", "n_words", "n_removed", "kept_words")]
+    doc, tie, found = fresh(docs.columns, "doc_key", "tie_key", "spans")
+    spans = runs.groupBy(F.col("doc").alias(doc), F.col("tie").alias(tie)).agg(
+        F.collect_list(F.struct("start", "windows")).alias(found))
+    others = others_of(docs, "text", "n_words", "n_removed", "kept_words")
 
     def shrink(batches):
         press = zstandard.ZstdCompressor(level=1)
@@ -315,7 +323,7 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
         for batch in slices(batches, "text", BATCH_BYTES // 3):
             at = {n: i for i, n in enumerate(batch.schema.names)}
             grow = zstandard.ZstdDecompressor()
-            spans_col = batch.column(at["spans"])
+            spans_col = batch.column(at[found])
             offsets = spans_col.offsets.to_numpy() if len(spans_col) else np.zeros(1, np.int64)
             starts = spans_col.values.field("start").to_numpy()
             counts = spans_col.values.field("windows").to_numpy()
@@ -342,12 +350,10 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
                    pa.array(n_gone, pa.int64()), pa.array(kept_words, pa.binary())],
                 names=[*others, "text", "n_words", "n_removed", "kept_words"])
 
-    keyed = _keyed(docs).select("__doc", "__tie", *others, "text")
+    keyed = docs.select(*(c.alias(n) for c, n in zip(_key(), (doc, tie))), *others, "text")
     small = StructType([StructField(f.name, BinaryType() if f.name == "text" else f.dataType) for f in keyed.schema])
-    packed = keyed.mapInArrow(shrink, small)
-    joined = packed.join(spans.select(F.col("doc").alias("__doc"), F.col("tie").alias("__tie"), "spans"),
-                         ["__doc", "__tie"], "left")
+    joined = keyed.mapInArrow(shrink, small).join(spans, [doc, tie], "left").select(*others, "text", found)
     out = StructType([*(StructField(c, docs.schema[c].dataType) for c in others), docs.schema["text"],
                       StructField("n_words", LongType()), StructField("n_removed", LongType()),
                       StructField("kept_words", BinaryType())])
-    return joined.select(*others, "text", "spans").mapInArrow(cut, out)
+    return joined.mapInArrow(cut, out)

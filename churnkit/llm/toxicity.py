@@ -1,9 +1,10 @@
 """Toxicity by a subsequence string kernel, Nyström landmarks and an SVM.
 
 *Kernel.* Two words are compared by the letter triples they share as
-subsequences: an occurrence that spans up to ``SPAN`` letters counts with
-``DECAY`` to the power of the letters skipped, so inserted letters and
-gaps weaken a match without breaking it. Marks between letters are left
+subsequences: the tightest occurrence of a triple, of up to ``SPAN``
+letters, counts with ``DECAY`` to the power of the letters skipped, so
+inserted letters and gaps weaken a match without breaking it, and a long
+word that repeats a syllable gains nothing by it. Marks between letters are left
 out beforehand, a few digits and marks stand for letters (``LOOKALIKE``),
 and single letters in a row are read as one word.
 
@@ -16,8 +17,9 @@ The landmarks' kernel matrix to the power -1/2 (Nyström) maps that to the
 feature space of a linear SVM.
 
 *Training.* The labels are given for documents: the SVM is fitted on
-sentences, every sentence of a clean document being negative and, in
-turns, the highest-scoring sentence of each toxic document positive. A
+sentences, every sentence of a clean document being negative and, of each
+toxic document, the highest-scoring one and those that hold a toxic
+landmark nearly whole being positive, in ``ROUNDS`` turns. A
 logistic curve over a document's highest sentence gives its score.
 
 The model is fitted on a bounded sample (``PER_CLASS`` documents of each
@@ -45,9 +47,12 @@ from churnkit.llm.common import byte_texts, in_train, labelled_sample, sigmoid,
 
 SPAN, DECAY = 6, 0.5
 CLASSES = 32
-TRACE = 0.35
+#: distances of the second letter from the first and of the third from it
+GAPS = sorted(((a, b) for a in range(1, SPAN - 1) for b in range(1, SPAN - a)), key=sum)
+TRACE, WHOLE, ALIKE = 0.5, 0.9, 0.6
 PER_CLASS, MAX_CHARS = 3000, 20_000
 TOXIC_LANDMARKS, CLEAN_LANDMARKS = 56, 16
+ROUNDS = 4
 THRESHOLD = 0.3
 SLICE_BYTES = 8 << 20
 CACHE = 1 << 19
@@ -86,16 +91,16 @@ def _flat(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def triples(codes: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     """(triple code, word) of every subsequence of three letters of a word
-    within SPAN, with its weight, one gap pattern at a time."""
-    for first in range(1, SPAN - 1):
-        for second in range(1, SPAN - first):
-            reach = first + second
-            if len(codes) <= reach:
-                continue
-            n = len(codes) - reach
-            inside = owner[:n] == owner[reach:]
-            code = (codes[:n] * CLASSES + codes[first:first + n]) * CLASSES + codes[reach:]
-            yield code[inside], owner[:n][inside], DECAY ** (reach - 2)
+    within SPAN, with its weight, one gap pattern at a time, the heaviest
+    first."""
+    for first, second in GAPS:
+        reach = first + second
+        if len(codes) <= reach:
+            continue
+        n = len(codes) - reach
+        inside = owner[:n] == owner[reach:]
+        code = (codes[:n] * CLASSES + codes[first:first + n]) * CLASSES + codes[reach:]
+        yield code[inside], owner[:n][inside], DECAY ** (reach - 2)
 
 
 class Landmarks:
@@ -112,7 +117,7 @@ class Landmarks:
         self.slot[ids] = np.arange(len(ids))
         self.weights = np.zeros((len(ids), len(strings)), np.float32)
         for code, own, weight in found:
-            np.add.at(self.weights, (self.slot[code], own), weight)
+            np.maximum.at(self.weights, (self.slot[code], own), weight)
         self.gram = self.weights.T.astype(float) @ self.weights.astype(float)
         self.scaled = (self.weights / np.maximum(np.diag(self.gram), 1e-9)).astype(np.float32)
 
@@ -131,7 +136,9 @@ class Landmarks:
             weights.append(np.full(int(hit.sum()), weight, np.float32))
         if rows:
             row, slot, weight = np.concatenate(rows), np.concatenate(slots), np.concatenate(weights)
-            order = np.argsort(row, kind="stable")
+            key = row * len(self.weights) + slot
+            order = np.argsort(key, kind="stable")  # heaviest first among equals
+            order = order[np.r_[True, key[order][1:] != key[order][:-1]]] if len(order) else order
             row, slot, weight = row[order], slot[order], weight[order]
             for i in range(0, len(row), 1 << 17):
                 r = row[i:i + (1 << 17)]
@@ -196,14 +203,32 @@ class Traces:
         return out
 
 
+def _triple_weights(string: bytes) -> dict[int, float]:
+    """The triples of one string of letter classes, with their weights."""
+    codes = np.frombuffer(string, np.uint8).astype(np.int64)
+    out: dict[int, float] = {}
+    for code, _, weight in triples(codes, np.zeros(len(codes), np.int64)):
+        for t in code.tolist():
+            out.setdefault(t, weight)
+    return out
+
+
 def choose_landmarks(texts: list[bytes], y: np.ndarray) -> list[bytes]:
     """Strings over-represented in toxic texts (log-likelihood ratio),
     unlike one another, then common clean words."""
     counts = (Counter(), Counter())
     known: dict[bytes, bytes] = {}
+    contexts: tuple[set, set] = (set(), set())
     for text, label in zip(texts, y.tolist()):
-        seen = set()
-        for w in set(text.lower().split()):
+        seen, words = set(), text.lower().split()
+        met = contexts[label]
+        for around in set(zip([b"", *words], words, [*words[1:], b""])):
+            # a word between the same neighbours is a copy, not evidence
+            key = hash(around)
+            if key in met:
+                continue
+            met.add(key)
+            w = around[1]
             c = known.get(w)
             if c is None:
                 c = known[w] = letters(w)
@@ -216,40 +241,58 @@ def choose_landmarks(texts: list[bytes], y: np.ndarray) -> list[bytes]:
     def surprise(s: bytes) -> float:
         a, b = counts[1][s], counts[0][s]
         p, p1, p0 = (a + b) / (n1 + n0), a / n1, b / n0
-        if p1 <= p0 or a < 3:
+        if p1 <= p0 or a < 4:
             return 0.0
         ll = lambda k, n, q: k * np.log(max(q, 1e-12)) + (n - k) * np.log(max(1 - q, 1e-12))
         return float(ll(a, n1, p1) + ll(b, n0, p0) - ll(a, n1, p) - ll(b, n0, p)) * (p1 - p0) / max(p1, 1e-12)
 
     ranked = sorted(((surprise(s), len(s), s) for s in counts[1]), reverse=True)
+    extended: dict[bytes, list[bytes]] = {}
+    for x in counts[1]:
+        for n in range(4, len(x)):
+            extended.setdefault(x[:n], []).append(x)
     chosen: list[bytes] = []
+    weights: list[tuple[dict[int, float], float]] = []
     for value, _, s in ranked[:4000]:
-        if value < 8 or len(chosen) >= TOXIC_LANDMARKS:
+        if value < 12 or len(chosen) >= TOXIC_LANDMARKS:
             break
-        if chosen:
-            held = Landmarks([*chosen, s])
-            near = held.gram[-1, :-1] / np.maximum(np.diag(held.gram)[:-1], 1e-9)
-            back = held.gram[-1, :-1] / max(held.gram[-1, -1], 1e-9)
-            if max(near.max(), back.max()) >= 0.8:
-                continue
-        chosen.append(s)
+        # the longest string that is met about as often says more
+        s = max((x for x in extended.get(s, ()) if counts[1][x] >= 0.8 * counts[1][s]), key=len, default=s)
+        own = _triple_weights(s)
+        norm = sum(x * x for x in own.values())
+        if norm and all(sum(x * other.get(t, 0.0) for t, x in own.items()) < ALIKE * min(norm, size)
+                        for other, size in weights):
+            chosen.append(s)
+            weights.append((own, norm))
     common = [s for s, _ in counts[0].most_common(400) if len(s) >= 5 and surprise(s) == 0]
     return chosen + common[:CLEAN_LANDMARKS]
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, steps: int = 300):
-    """Linear SVM (squared hinge, primal, accelerated gradient): (w, b)."""
+def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-4, steps: int = 40):
+    """Linear SVM (squared hinge, primal, Newton steps on the rows within
+    the margin): (w, b)."""
     x1 = np.hstack([x, np.ones((len(x), 1))])
-    sign = 2.0 * y - 1
-    weight = weight / weight.sum()
+    sign, weight = 2.0 * y - 1, weight / weight.sum()
     reg = np.full(x1.shape[1], ridge)
     reg[-1] = 1e-8
-    rate = 1.0 / (2 * np.linalg.norm((x1 * weight[:, None]).T @ x1, 2) + ridge)
-    w = v = np.zeros(x1.shape[1])
-    for k in range(steps):
-        slack = np.maximum(0, 1 - sign * (x1 @ v))
-        new = v - rate * (-2 * x1.T @ (weight * slack * sign) + reg * v)
-        v, w = new + k / (k + 3) * (new - w), new
+
+    def loss(w):
+        return float(weight @ np.maximum(0, 1 - sign * (x1 @ w)) ** 2 + 0.5 * reg @ (w * w))
+
+    w = np.zeros(x1.shape[1])
+    now = loss(w)
+    for _ in range(steps):
+        slack = 1 - sign * (x1 @ w)
+        on = slack > 0
+        a = x1[on]
+        grad = -2 * a.T @ (weight[on] * slack[on] * sign[on]) + reg * w
+        hess = 2 * (a * weight[on, None]).T @ a + np.diag(reg)
+        step, size = np.linalg.solve(hess, grad), 1.0
+        while (new := loss(w - size * step)) > now and size > 1e-4:
+            size /= 2
+        if now - new < 1e-9 * max(now, 1e-12):
+            break
+        w, now = w - size * step, new
     return w[:-1], w[-1]
 
 
@@ -279,22 +322,26 @@ class Model:
         scale = np.sqrt(np.maximum(np.diag(self.landmarks.gram), 1e-9))
         values, vectors = np.linalg.eigh(self.landmarks.gram / scale / scale[:, None])
         self.root = (vectors / np.sqrt(np.maximum(values, 0.05))) @ vectors.T
-        mapped = [b @ self.root for b in bags]
-        clean = np.vstack([m for m, t in zip(mapped, y) if not t])
-        toxic = [m for m, t, b in zip(mapped, y, bags) if t and b.any()]
+        # sentences repeat: one row with its weight for each distinct vector
+        raw_clean, times = np.unique(np.vstack([b for b, t in zip(bags, y) if not t]), axis=0, return_counts=True)
+        clean = raw_clean @ self.root
+        toxic = [b @ self.root for b, t in zip(bags, y) if t and b.any()]
         # only a share of the sample's documents is toxic in the corpus
         weight_of = np.where(y == 1, (prior or self.share) / max(self.share, 1e-9),
                              (1 - (prior or self.share)) / max(1 - self.share, 1e-9))
-        w, b = self.root @ np.r_[np.ones(len(self.landmarks.strings) - CLEAN_LANDMARKS),
-                                 np.zeros(CLEAN_LANDMARKS)][:len(self.landmarks.strings)] \
-            if len(self.landmarks.strings) > CLEAN_LANDMARKS else np.zeros(len(self.root)), 0.0
-        for _ in range(4):
+        # positive sentences: in each toxic document the highest-scoring one
+        # (at first the nearest to the toxic landmarks) and every one that
+        # holds a toxic landmark nearly whole
+        n_toxic = max(len(self.landmarks.strings) - CLEAN_LANDMARKS, 1)
+        holds = [(b[:, :n_toxic] >= WHOLE).any(axis=1) for b, t in zip(bags, y) if t and b.any()]
+        w, b = np.linalg.solve(self.root, (np.arange(len(self.root)) < n_toxic).astype(float)), 0.0
+        for _ in range(ROUNDS):
             if not toxic:
                 break
-            witness = np.array([m[np.argmax(m @ w)] for m in toxic])
+            witness = np.vstack([m[h | (np.arange(len(m)) == np.argmax(m @ w))] for m, h in zip(toxic, holds)])
             x = np.vstack([clean, witness])
             t = np.r_[np.zeros(len(clean)), np.ones(len(witness))]
-            w, b = fit_svm(x, t, np.where(t == 1, len(clean) / max(len(witness), 1), 1.0))
+            w, b = fit_svm(x, t, np.r_[times / times.sum(), np.full(len(witness), 1 / len(witness))])
         self.weights = self.root @ w
         self.bias = float(b)
         z = np.array([self._highest(v) for v in bags])
