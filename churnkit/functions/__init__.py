@@ -6,5 +6,5 @@ from churnkit.functions.dates import (  # noqa: F401
 )
 from churnkit.functions.location import state_of, first_state, city_of  # noqa: F401
 from churnkit.functions.columns import (  # noqa: F401
-    sanitize_names, exact_length, first_by_time, is_churn_event,
+    sanitize_names, exact_length, is_churn_event, total_length,
 )

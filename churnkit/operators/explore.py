@@ -11,15 +11,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from churnkit.functions.columns import exact_length, first_values, is_churn_event
+from churnkit.functions.columns import first_values, total_length
 from churnkit.functions.dates import days_between
 from churnkit.operators.joins import sized_broadcast
+from churnkit.operators.label import churned_users, label_events
 from churnkit.schema import CHURN_PAGE
 from churnkit.session import reliable_checkpoint
 
 
-def _avg_exact_len(col="length"):
-    return F.try_divide(F.sum(exact_length(col)).cast("double"), F.count(col))
+def _mean_length(col="length"):
+    return F.try_divide(total_length(col), F.count(col))
 
 
 def table_dims(tables: dict[str, DataFrame]) -> DataFrame:
@@ -99,16 +100,14 @@ def events_per_user(events: DataFrame) -> DataFrame:
 
 def artist_plays_by_label(events: DataFrame, key: str = "userId") -> DataFrame:
     """Plays per (artist, label); the null artist (non-song events) is a
-    group. One scan: events are reduced to (user, artist) counts that also
-    carry "marker seen"; every event falls in one of its user's (user,
-    artist) groups, so the user's label is the max over those rows (a window
-    over at most one row per artist of the user, not over events). Counts are
-    then added up per (artist, label)."""
-    plays = events.groupBy(key, "artist").agg(F.count(F.lit(1)).alias("n"),
-                                              F.max(is_churn_event()).alias("_churn"))
-    label = F.max("_churn").over(Window.partitionBy(key)).cast("int")
-    return (plays.withColumn("churn_lab", label).groupBy("artist", "churn_lab")
-            .agg(F.sum("n").alias("plays")))
+    group. Events are reduced to (user, artist) counts, which are joined to
+    the churners as events are in ``label_events``: neither side of the join
+    is partitioned on the user beforehand, so a user with a large catalogue
+    is split among tasks. Counts are then added up per (artist, label). The
+    second scan keeps the marker rows and two columns."""
+    plays = events.groupBy(key, "artist").agg(F.count(F.lit(1)).alias("n"))
+    return label_events(plays, key, churned_users(events, key)).groupBy("artist", "churn_lab").agg(
+        F.sum("n").alias("plays"))
 
 
 def distinct_per_user(events: DataFrame, col: str, alias: str) -> DataFrame:
@@ -128,8 +127,8 @@ def users_by_first(events: DataFrame, cols: Sequence[str], with_label: bool = Tr
 def listening_per_user(events: DataFrame) -> DataFrame:
     """Total and mean song length per user (null when no song)."""
     return per_user_with_label(events, [
-        F.sum(exact_length()).cast("double").alias("total_session_length"),
-        _avg_exact_len().alias("avg_session_length"),
+        total_length().alias("total_session_length"),
+        _mean_length().alias("avg_session_length"),
     ])
 
 

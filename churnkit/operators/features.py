@@ -11,7 +11,7 @@ Flagship plan (``user_features``), one scan of the event log:
 2. Hash aggregate of those grains per (user, gender, state): day rows give
    sums, counts, non-null day counts and 12-bit month masks (``bit_or``);
    artist / song rows give the distinct counts; profile rows (gender,
-   state, page) the 19 page counts (the churn label is "marker page count
+   state, page) the page counts (the churn label is "marker page count
    > 0") and the earliest event order of each (gender, state) (the
    minimum over its pages). Map-side combined again, so a hot user
    reaches the exchange as one row per task.
@@ -26,7 +26,7 @@ partitioning.
 
 ``user_totals``, ``user_monthly_averages``, ``user_daily_averages`` and
 ``page_pivot`` are the per-table aggregates of the source workflow (L4-L7),
-one scan each. ``user_tables`` computes the same four from the grain rows,
+one scan each. ``user_tables`` computes the same four from step 2's rows,
 so that J1 (``join_user_aggregates``) can join four separately computed
 tables while the event log is read once.
 """
@@ -35,11 +35,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from churnkit.functions.columns import event_order, exact_length, first_values
-from churnkit.schema import CHURN_PAGE, FEATURE_COLUMNS, PAGE_COLUMNS, PAGES
+from churnkit.functions.columns import (
+    event_order, exact_length, first_values, length_sum, other_length)
+from churnkit.schema import CHURN_PAGE, PAGES, feature_columns, page_column
 
-_PAGE_PAIRS = tuple(zip(PAGES, PAGE_COLUMNS))
-_CHURN_COLUMN = dict(_PAGE_PAIRS)[CHURN_PAGE]
+_CHURN_COLUMN = page_column(CHURN_PAGE)
+# Pages beyond which a pivot is refused (a column each).
+MAX_PAGES = 500
 _GRAIN_COLS = ("ts_todate", "artist", "song", "gender", "state1", "page")
 _SETS = {"day": ("ts_todate",), "artist": ("artist",), "song": ("song",),
          "profile": ("gender", "state1", "page")}
@@ -59,17 +61,29 @@ def _gid(present) -> int:
 GID = {name: _gid(cols) for name, cols in _SETS.items()}
 
 
-def _page_counts():
-    return [F.count_if(F.col("page") == p).alias(c) for p, c in _PAGE_PAIRS]
+def pages_of(events: DataFrame) -> tuple[str, ...]:
+    """The declared pages and, after them in alphabetical order, whatever
+    other pages the events hold: no visit is left out of a pivot. One
+    aggregate over the page column; more than ``MAX_PAGES`` are refused."""
+    found = (events.select("page").where(F.col("page").isNotNull() & ~F.col("page").isin(*PAGES))
+             .distinct().limit(MAX_PAGES + 1).collect())
+    if len(found) > MAX_PAGES:
+        raise ValueError(f"more than {MAX_PAGES} pages; name the ones to count")
+    return (*PAGES, *sorted(r["page"] for r in found))
+
+
+def _page_counts(pages):
+    return [F.count_if(F.col("page") == p).alias(page_column(p)) for p in pages]
 
 
 def event_grains(prepared: DataFrame, key: str = "userId") -> DataFrame:
     """Step 1: the four per-user grains in one pass (GROUPING SETS)."""
     sets = [[key, *cols] for cols in _SETS.values()]
-    return (prepared.withColumn("_order", event_order())
+    return (prepared.withColumn("_order", event_order(prepared.columns))
             .groupingSets(sets, key, *_GRAIN_COLS)
             .agg(F.grouping_id().alias("_gid"),
                  F.sum(exact_length()).alias("len_sum"),
+                 F.sum(other_length()).alias("len_other"),
                  F.count("length").alias("len_cnt"),
                  F.sum("itemInSession").alias("items_sum"),
                  F.count("itemInSession").alias("items_cnt"),
@@ -81,20 +95,21 @@ def _month_bit(cond: Column) -> Column:
     return F.when(cond, F.expr("shiftleft(1, month(ts_todate))"))
 
 
-_DAY_SUMS = ("len_sum", "len_cnt", "items_sum", "items_cnt", "n_events")
+_DAY_SUMS = ("len_sum", "len_other", "len_cnt", "items_sum", "items_cnt", "n_events")
 _MASKS = ("months", "months_len", "months_items")
 _COUNTS = ("n_days", "n_days_len", "n_days_items", "unique_artist_count", "unique_song_count")
 
 
-def _user_rollup(grains: DataFrame, key: str) -> DataFrame:
+def user_rollup(grains: DataFrame, pages, key: str = "userId") -> DataFrame:
     """Step 2: per (user, gender, state); only the grain rows that carry a
-    measure contribute to it."""
+    measure contribute to it. The marker page is always counted."""
+    pages = dict.fromkeys((*pages, CHURN_PAGE))
     gid = F.col("_gid")
     day, profile = gid == GID["day"], gid == GID["profile"]
-    has_len, has_items = F.col("len_sum").isNotNull(), F.col("items_sum").isNotNull()
+    has_len, has_items = F.col("len_cnt") > 0, F.col("items_sum").isNotNull()
     return grains.groupBy(key, "gender", "state1").agg(
         *[F.sum(F.when(day, F.col(c))).alias(c) for c in _DAY_SUMS],
-        *[F.sum(F.when(profile & (F.col("page") == p), F.col("n_events"))).alias(c) for p, c in _PAGE_PAIRS],
+        *[F.sum(F.when(profile & (F.col("page") == p), F.col("n_events"))).alias(page_column(p)) for p in pages],
         F.count_if(day).alias("n_days"),
         F.count_if(day & has_len).alias("n_days_len"),
         F.count_if(day & has_items).alias("n_days_items"),
@@ -107,47 +122,51 @@ def _user_rollup(grains: DataFrame, key: str) -> DataFrame:
     )
 
 
-def user_features(prepared: DataFrame, key: str = "userId") -> DataFrame:
-    """The one-row-per-user feature table (``FEATURE_SCHEMA`` order)."""
-    return features_from_grains(event_grains(prepared, key), key)
+def user_features(prepared: DataFrame, key: str = "userId", pages=None) -> DataFrame:
+    """The one-row-per-user feature table. ``pages`` names the page
+    counts; by default all pages that occur (``pages_of``, one more pass over
+    the page column)."""
+    pages = pages_of(prepared) if pages is None else tuple(pages)
+    return features_from_rollup(user_rollup(event_grains(prepared, key), pages, key), pages, key)
 
 
-def features_from_grains(grains: DataFrame, key: str = "userId") -> DataFrame:
-    """Steps 2 and 3 of the flagship over the grain rows of ``event_grains``."""
-    part = _user_rollup(grains, key)
+def features_from_rollup(part: DataFrame, pages, key: str = "userId") -> DataFrame:
+    """Step 3 of the flagship over the rows of ``user_rollup``."""
+    columns = [page_column(p) for p in pages]
     first = F.when(F.col("first_order").isNotNull(), F.struct("first_order", "gender", "state1"))
     user = part.groupBy(key).agg(
         *[F.sum(c).alias(c) for c in _DAY_SUMS + _COUNTS],
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in PAGE_COLUMNS],
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in dict.fromkeys((*columns, _CHURN_COLUMN))],
         *[F.bit_or(c).alias(c) for c in _MASKS],
         F.min(first).alias("first_ev"),
     )
+    length = length_sum(F.col("len_sum"), F.col("len_other"))
     n_months = {m: F.bit_count(F.col(m)) for m in _MASKS}
     out = user.select(
         key,
         F.col("first_ev.gender").alias("gender"),
         F.col("unique_artist_count"),
         F.col("first_ev.state1").alias("state"),
-        F.col("len_sum").cast("double").alias("total_session_length"),
-        _ratio(F.col("len_sum"), F.col("len_cnt")).alias("avg_session_length"),
+        length.alias("total_session_length"),
+        _ratio(length, F.col("len_cnt")).alias("avg_session_length"),
         (F.col(_CHURN_COLUMN) > 0).cast("int").alias("churn_label"),
         F.col("unique_song_count"),
         F.col("items_sum").alias("total_items"),
         _ratio(F.col("items_sum"), F.col("items_cnt")).alias("avg_items"),
-        _ratio(F.col("len_sum"), n_months["months_len"]).alias("avg_session_length_per_month"),
+        _ratio(length, n_months["months_len"]).alias("avg_session_length_per_month"),
         _ratio(F.col("items_sum"), n_months["months_items"]).alias("avg_items_per_month"),
         _ratio(F.col("n_events"), n_months["months"]).alias("avg_count_session_per_month"),
-        _ratio(F.col("len_sum"), F.col("n_days_len")).alias("avg_session_length_per_day"),
+        _ratio(length, F.col("n_days_len")).alias("avg_session_length_per_day"),
         _ratio(F.col("items_sum"), F.col("n_days_items")).alias("avg_items_per_day"),
         _ratio(F.col("n_events"), F.col("n_days")).alias("avg_count_session_per_day"),
-        *[F.col(c) for c in PAGE_COLUMNS],
+        *[F.col(c) for c in columns],
     )
-    return out.select(*FEATURE_COLUMNS)
+    return out.select(*feature_columns(pages))
 
 
-def user_activity(prepared: DataFrame, key: str = "userId") -> DataFrame:
+def user_activity(prepared: DataFrame, key: str = "userId", pages=None) -> DataFrame:
     """Measures, label and page counts from the one-pass plan."""
-    return user_features(prepared, key).drop("gender", "state", "unique_artist_count", "unique_song_count")
+    return user_features(prepared, key, pages).drop("gender", "state", "unique_artist_count", "unique_song_count")
 
 
 # -- the per-table aggregates of the source workflow (L4-L7, J1) --------------
@@ -165,51 +184,36 @@ def user_totals(prepared: DataFrame, key: str = "userId") -> DataFrame:
     """L4: first gender / state, label, distinct counts, length and item
     totals: the totals columns of the one-pass plan (one scan; the planner
     drops the aggregates these columns do not use)."""
-    return user_features(prepared, key).select(*TOTALS_COLUMNS)
-
-
-def user_tables(grains: DataFrame, key: str = "userId") -> tuple[DataFrame, ...]:
-    """L4, L5, L6, L7 as four per-user aggregates over the grain rows of
-    ``event_grains`` (the input of J1). Every measure is a conditional
-    aggregate of the rows of one grouping set:
-
-    * L4: the totals of the one-pass plan (``features_from_grains``).
-    * L5: day rows summed per (user, month), then averaged per user (the
-      source's two levels; the (user, null month) group of the other sets
-      has null sums and is skipped like any null group).
-    * L6: day rows averaged per user (a day row is one (user, day) group).
-    * L7: profile rows (user, gender, state, page) summed per user and page;
-      no visits = 0.
-    """
-    gid = F.col("_gid")
-    day, profile = gid == GID["day"], gid == GID["profile"]
-
-    def on_days(c: str) -> Column:
-        return F.when(day, F.col(c))
-
-    totals = features_from_grains(grains, key).select(*TOTALS_COLUMNS)
-    per_month = grains.groupBy(key, F.month("ts_todate").alias("month")).agg(
-        F.sum(on_days("len_sum")).alias("l"), F.sum(on_days("items_sum")).alias("i"),
-        F.sum(on_days("n_events")).alias("n"))
-    monthly = per_month.groupBy(key).agg(
-        _ratio(F.sum("l"), F.count("l")).alias("avg_session_length_per_month"),
-        _ratio(F.sum("i"), F.count("i")).alias("avg_items_per_month"),
-        _ratio(F.sum("n"), F.count("n")).alias("avg_count_session_per_month"))
-    daily = grains.groupBy(key).agg(
-        _ratio(F.sum(on_days("len_sum")), F.count(on_days("len_sum"))).alias("avg_session_length_per_day"),
-        _ratio(F.sum(on_days("items_sum")), F.count(on_days("items_sum"))).alias("avg_items_per_day"),
-        _ratio(F.sum(on_days("n_events")), F.count(on_days("n_events"))).alias("avg_count_session_per_day"))
-    pages = grains.groupBy(key).agg(
-        *[F.coalesce(F.sum(F.when(profile & (F.col("page") == p), F.col("n_events"))), F.lit(0)).alias(c)
-          for p, c in _PAGE_PAIRS])
-    return totals, monthly, daily, pages
+    return user_features(prepared, key, pages=()).select(*TOTALS_COLUMNS)
+
+
+def user_tables(part: DataFrame, pages, key: str = "userId") -> tuple[DataFrame, ...]:
+    """L4, L5, L6, L7 as four per-user tables over the rows of
+    ``user_rollup`` (one per user and gender / state, the input of J1): its
+    day sums, month masks, day counts and page counts are all that the four
+    need."""
+    columns = [page_column(p) for p in pages]
+    length = length_sum(F.sum("len_sum"), F.sum("len_other"))
+    months = {m: F.bit_count(F.bit_or(m)) for m in _MASKS}
+    totals = features_from_rollup(part, pages, key).select(*TOTALS_COLUMNS)
+    monthly = part.groupBy(key).agg(
+        _ratio(length, months["months_len"]).alias("avg_session_length_per_month"),
+        _ratio(F.sum("items_sum"), months["months_items"]).alias("avg_items_per_month"),
+        _ratio(F.sum("n_events"), months["months"]).alias("avg_count_session_per_month"))
+    daily = part.groupBy(key).agg(
+        _ratio(length, F.sum("n_days_len")).alias("avg_session_length_per_day"),
+        _ratio(F.sum("items_sum"), F.sum("n_days_items")).alias("avg_items_per_day"),
+        _ratio(F.sum("n_events"), F.sum("n_days")).alias("avg_count_session_per_day"))
+    visits = part.groupBy(key).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns])
+    return totals, monthly, daily, visits
 
 
 def _two_level(prepared: DataFrame, key: str, group: str, suffix: str) -> DataFrame:
     per = prepared.groupBy(key, group).agg(
-        F.sum(exact_length()).alias("l"), F.sum("itemInSession").alias("i"), F.count(F.lit(1)).alias("n"))
+        F.sum(exact_length()).alias("l"), F.sum(other_length()).alias("o"), F.count("length").alias("c"),
+        F.sum("itemInSession").alias("i"), F.count(F.lit(1)).alias("n"))
     return per.groupBy(key).agg(
-        _ratio(F.sum("l"), F.count("l")).alias(f"avg_session_length_per_{suffix}"),
+        _ratio(length_sum(F.sum("l"), F.sum("o")), F.count_if(F.col("c") > 0)).alias(f"avg_session_length_per_{suffix}"),
         _ratio(F.sum("i"), F.count("i")).alias(f"avg_items_per_{suffix}"),
         _ratio(F.sum("n"), F.count(F.lit(1))).alias(f"avg_count_session_per_{suffix}"),
     )
@@ -225,14 +229,15 @@ def user_daily_averages(prepared: DataFrame, key: str = "userId") -> DataFrame:
     return _two_level(prepared, key, "ts_todate", "day")
 
 
-def page_pivot(prepared: DataFrame, key: str = "userId", label: str | None = None) -> DataFrame:
+def page_pivot(prepared: DataFrame, key: str = "userId", label: str | None = None, pages=None) -> DataFrame:
     """Page visit counts as columns, one row per user.
 
-    The declared page list keeps the schema fixed (no job to discover the
-    values) and the counts are conditional counts inside one map-side-combined
-    aggregate. ``label`` adds the user's churn flag."""
-    aggs = _page_counts()
+    The counts are conditional counts inside one map-side-combined
+    aggregate. ``pages`` fixes the schema; by default the declared pages and
+    whatever others occur. ``label`` adds the user's churn flag."""
+    pages = pages_of(prepared) if pages is None else tuple(pages)
+    aggs = _page_counts(pages)
     if label:
         out = prepared.groupBy(key).agg(*aggs, F.max(label).cast("int").alias(label))
-        return out.select(key, label, *PAGE_COLUMNS)
+        return out.select(key, label, *[page_column(p) for p in pages])
     return prepared.groupBy(key).agg(*aggs)

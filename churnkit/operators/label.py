@@ -28,15 +28,16 @@ def user_labels(events: DataFrame, key: str = "userId") -> DataFrame:
     return events.groupBy(key).agg(F.max(is_churn_event()).cast("int").alias("churn_label"))
 
 
-def label_events(events: DataFrame, key: str = "userId") -> DataFrame:
-    """L1: ``churn_lab`` on every event of its user.
+def label_events(events: DataFrame, key: str = "userId", churned: DataFrame | None = None) -> DataFrame:
+    """L1: ``churn_lab`` on every event of its user (or on rows derived from
+    events, given the ``churned`` users).
 
     The churner set is computed distributed and joined back (no driver
     round trip, no id list in the plan). Its size is only known at run
     time: AQE broadcasts it when the materialised side is under
     ``spark.sql.adaptive.autoBroadcastJoinThreshold``, otherwise the join
     stays a shuffle join whose skewed (hot-user) partitions AQE splits."""
-    flags = churned_users(events, key).withColumn("_churned", F.lit(1))
+    flags = (churned_users(events, key) if churned is None else churned).withColumn("_churned", F.lit(1))
     out = events.join(flags, on=key, how="left")
     return out.withColumn("churn_lab", F.coalesce(F.col("_churned"), F.lit(0))).drop("_churned")
 

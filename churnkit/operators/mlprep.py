@@ -114,9 +114,9 @@ def split_users(users: DataFrame, key: str = "userId"):
 
 
 def vector_long(df: DataFrame, vec: str, key: str = "userId", nonzero: bool = False,
-                digits: int | None = None) -> DataFrame:
-    """A vector column as (key, pos, value) rows."""
-    out = df.select(key, F.posexplode(vector_to_array(F.col(vec))).alias("pos", "value"))
+                digits: int | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """A vector column as (key, *keep, pos, value) rows."""
+    out = df.select(key, *keep, F.posexplode(vector_to_array(F.col(vec))).alias("pos", "value"))
     if nonzero:
         out = out.filter(F.col("value") != 0)
     if digits is not None:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from churnkit.operators import mlprep
 from churnkit.operators.train import logistic_regression
+from churnkit.schema import PAGES, page_column
 
 
 def scored(pred: DataFrame) -> DataFrame:
@@ -52,10 +53,15 @@ def score_with_saved_model(spark: SparkSession, path: str, users: DataFrame) ->
     """Score a table of users with a saved end-to-end pipeline (batch,
     distributed; the table may hold one user or millions)."""
     model, inputs = load_model(spark, path)
-    missing = [c for c in inputs if c not in users.columns and not c.endswith("_encoded")]
+    needed = [c.removesuffix("_encoded") for c in inputs]  # an encoded input needs its own column
+    missing = [c for c in needed if c not in users.columns]
     if missing:
         raise ValueError(f"input columns missing for this model: {missing}")
-    prepared = mlprep.label_cast(mlprep.fill_nulls(users))
+    prepared = mlprep.fill_nulls(users)
+    if "churn_label" in users.columns:
+        prepared = mlprep.label_cast(prepared)
+    else:  # users whose outcome is not known yet
+        prepared = prepared.withColumn("label", F.lit(None).cast("double"))
     return scored(model.transform(prepared))
 
 
@@ -93,15 +99,14 @@ def topk_estimator(indices: Sequence[int]) -> Pipeline:
     ])
 
 
-def error_share_scores(users: DataFrame, threshold: float = 0.2) -> DataFrame:
+def error_share_scores(users: DataFrame, threshold: float = 0.2, pages=PAGES) -> DataFrame:
     """A fixed, training-free scorer used to check the evaluators exactly:
     score = share of a user's page events that are errors; predicted churn
     when the share exceeds ``threshold``."""
-    from churnkit.schema import PAGE_COLUMNS
-    total = sum((F.coalesce(F.col(c), F.lit(0)) for c in PAGE_COLUMNS), F.lit(0))
+    total = sum((F.coalesce(F.col(page_column(p)), F.lit(0)) for p in pages), F.lit(0))
     score = F.try_divide(F.col("Error").cast("double"), total)
     return users.select(
-        "userId",
+        "userId", "churn_label",
         F.col("churn_label").cast("double").alias("label"),
         score.alias("rawPrediction"),
         F.when(score > threshold, 1.0).otherwise(0.0).alias("prediction"),

@@ -8,13 +8,24 @@ DECIMAL(18,6) and averages divide the exact total by a count.
 
 from __future__ import annotations
 
-from churnkit.schema import PAGE_COLUMNS, PAGES
+from churnkit.schema import PAGES, feature_columns, page_column
+from churnkit.sources.adapter import EXTRA_PAGES, PAGES_BY_TYPE
 
-EVENT_LOG = """
+# The pages of the test tables' event log, and the feature columns they make.
+TEST_PAGES = (*PAGES, *EXTRA_PAGES)
+TEST_PAGE_COLUMNS = tuple(page_column(p) for p in TEST_PAGES)
+TEST_FEATURE_COLUMNS = feature_columns(TEST_PAGES)
+
+PLAYS = "e.event_type = 'view' AND c.c_custkey % 31 <> 0"
+PAGE_CASES = "\n         ".join(
+    f"WHEN e.event_type = '{kind}' THEN [" + ", ".join(f"'{p}'" for p in pages)
+    + f"][CAST(e.event_id % {len(pages)} AS INTEGER) + 1]" for kind, pages in PAGES_BY_TYPE.items())
+
+EVENT_LOG = f"""
 event_log AS (
   SELECT
     e.event_id AS event_id,
-    CASE WHEN e.event_type = 'view'
+    CASE WHEN {PLAYS}
          THEN 'artist_' || CAST(CAST(json_extract_string(e.props, '$.k') AS BIGINT) % 20 AS VARCHAR) END AS artist,
     CASE WHEN e.event_id % 37 = 0 THEN 'Guest'
          WHEN e.event_type = 'error' AND e.value > 200 THEN 'Cancelled'
@@ -23,20 +34,19 @@ event_log AS (
     CASE WHEN c.c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
     CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS itemInSession,
     n.n_name AS lastName,
-    CASE WHEN e.event_type = 'view' THEN e.value END AS length,
+    CASE WHEN {PLAYS} THEN e.value END AS length,
     CASE WHEN c.c_acctbal > 4500 THEN 'paid' ELSE 'free' END AS level,
     CASE WHEN c.c_custkey % 29 = 0 THEN n.n_name
          ELSE n.n_name || ', ' || substr(r.r_name, 1, 2) || '-' || substr(n.n_name, 1, 2) END AS location,
     CASE WHEN e.event_type IN ('view', 'signup') THEN 'GET' ELSE 'PUT' END AS method,
     CASE WHEN e.event_type = 'error' AND e.value > 200 THEN 'Cancellation Confirmation'
          WHEN e.event_type = 'error' THEN 'Error'
-         WHEN e.event_type = 'view' THEN 'NextSong'
-         WHEN e.event_type = 'click' THEN 'Thumbs Up'
-         WHEN e.event_type = 'purchase' THEN 'Add Friend'
+         WHEN {PLAYS} THEN 'NextSong'
+         {PAGE_CASES}
          ELSE 'Home' END AS page,
     CAST(1672531200000 + (c.c_custkey % 365) * 86400000 AS BIGINT) AS registration,
     CAST(e.user_id * 100 + day(e.ts) AS BIGINT) AS sessionId,
-    CASE WHEN e.event_type = 'view'
+    CASE WHEN {PLAYS}
          THEN 'song_' || CAST(CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS VARCHAR) END AS song,
     CAST(CASE WHEN e.event_id % 37 = 0 THEN NULL
               WHEN e.event_type = 'error' AND e.value <= 200 THEN 404
@@ -99,7 +109,7 @@ firsts AS (
 LEN = "CAST(length AS DECIMAL(18,6))"
 
 PAGE_COUNTS = ",\n    ".join(
-    f"count(*) FILTER (WHERE page = '{p}') AS {c}" for p, c in zip(PAGES, PAGE_COLUMNS))
+    f"count(*) FILTER (WHERE page = '{p}') AS {c}" for p, c in zip(TEST_PAGES, TEST_PAGE_COLUMNS))
 
 TOTALS = f"""
 totals AS (
@@ -158,7 +168,7 @@ FEATURE_SELECT = """
   JOIN monthly m ON t.userId = m.userId
   JOIN daily d ON t.userId = d.userId
   JOIN page_pivot p ON t.userId = p.userId""".format(
-    pages=", ".join(f"p.{c}" for c in PAGE_COLUMNS))
+    pages=", ".join(f"p.{c}" for c in TEST_PAGE_COLUMNS))
 
 FEATURES = f"""
 features AS ({FEATURE_SELECT}

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from churnkit.functions.columns import sanitize_names
+from churnkit.functions.location import city_of
 from churnkit.operators import clean, explore, features, label
 from churnkit.operators.joins import join_user_aggregates
 from churnkit.plans import oracle as O
 from churnkit.plans.registry import events, prepared, register, user_table
-from churnkit.schema import EVENT_SCHEMA, FEATURE_COLUMNS, PAGE_COLUMNS, PAGES, UNUSED_EVENT_COLUMNS
+from churnkit.plans.oracle import TEST_FEATURE_COLUMNS as FEATURE_COLUMNS, TEST_PAGE_COLUMNS as PAGE_COLUMNS
+from churnkit.schema import EVENT_SCHEMA, UNUSED_EVENT_COLUMNS
 from churnkit.session import reliable_checkpoint
 
 
@@ -170,9 +172,11 @@ def q_days_since_registration(spark, sf_dir):
     return explore.days_since_registration(prepared(spark, sf_dir))
 
 
-@register("split_location", W("SELECT DISTINCT location, state, state1 FROM clean_events", "clean_events"))
+@register("split_location", W(
+    "SELECT DISTINCT location, string_split(location, ', ')[1] AS city, state, state1 FROM clean_events",
+    "clean_events"))
 def q_split_location(spark, sf_dir):
-    return clean_events(spark, sf_dir).select("location", "state", "state1").distinct()
+    return clean_events(spark, sf_dir).select("location", city_of("location").alias("city"), "state", "state1").distinct()
 
 
 # ---------------------------------------------------------------------------
@@ -343,7 +347,7 @@ def q_page_pivot(spark, sf_dir):
 def q_rename_sanitize(spark, sf_dir):
     # pivot with the raw page names (spaces), then one renaming projection
     ev = prepared(spark, sf_dir)
-    raw = ev.groupBy("userId").pivot("page", list(PAGES)).agg(F.count(F.lit(1))).na.fill(0)
+    raw = ev.groupBy("userId").pivot("page", list(features.pages_of(ev))).agg(F.count(F.lit(1))).na.fill(0)
     return sanitize_names(raw)
 
 
@@ -370,7 +374,7 @@ def q_first_value_per_user(spark, sf_dir):
     "SELECT userId, avg_count_session_per_month AS avg_session_month, churn_label AS churn_lab "
     "FROM monthly JOIN labels USING (userId)", "monthly", "labels"))
 def q_avg_events_per_month(spark, sf_dir):
-    return features.user_activity(prepared(spark, sf_dir)).select(
+    return features.user_activity(prepared(spark, sf_dir), pages=()).select(
         "userId", F.col("avg_count_session_per_month").alias("avg_session_month"),
         F.col("churn_label").alias("churn_lab"))
 
@@ -379,7 +383,7 @@ def q_avg_events_per_month(spark, sf_dir):
     "SELECT userId, avg_count_session_per_day AS avg_session_day, churn_label AS churn_lab "
     "FROM daily JOIN labels USING (userId)", "daily", "labels"))
 def q_avg_events_per_day(spark, sf_dir):
-    return features.user_activity(prepared(spark, sf_dir)).select(
+    return features.user_activity(prepared(spark, sf_dir), pages=()).select(
         "userId", F.col("avg_count_session_per_day").alias("avg_session_day"),
         F.col("churn_label").alias("churn_lab"))
 
@@ -441,11 +445,14 @@ def q_user_daily_averages(spark, sf_dir):
 @register("join_user_aggregates", W("SELECT * FROM features", "features"))
 def q_join_user_aggregates(spark, sf_dir):
     """J1 in the source's shape: four per-user tables (L4-L7) joined on
-    userId. The tables are computed from one reliably checkpointed grain
-    table (one scan of the event log); each would otherwise prune the shared
-    grain aggregate differently, and the log would be scanned once per table."""
-    grains = reliable_checkpoint(features.event_grains(prepared(spark, sf_dir)))
-    return join_user_aggregates(*features.user_tables(grains)).select(*FEATURE_COLUMNS)
+    userId. The tables are computed from one reliably checkpointed rollup
+    (about one row per user, one scan of the event log); each would
+    otherwise prune the shared aggregate differently, and the log would be
+    scanned once per table."""
+    events = prepared(spark, sf_dir)
+    pages = features.pages_of(events)
+    part = reliable_checkpoint(features.user_rollup(features.event_grains(events), pages))
+    return join_user_aggregates(*features.user_tables(part, pages)).select(*FEATURE_COLUMNS)
 
 
 @register("prepare_data", W("SELECT * FROM features", "features"))

@@ -6,13 +6,11 @@ directory (``spark.checkpoint.dir``) and read back with declared schemas.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from churnkit.operators import clean
+from churnkit.operators import clean, features
 from churnkit.plans import oracle as O
 from churnkit.plans.registry import events, register, user_table
-from churnkit.schema import EVENT_SCHEMA, FEATURE_COLUMNS
-from churnkit.session import scratch_path
+from churnkit.schema import EVENT_SCHEMA, LOG_SCHEMA
+from churnkit.session import scratch_path, table_path
 from churnkit.sources import io
 
 W = O.with_ctes
@@ -26,8 +24,15 @@ def q_scan_json(spark, sf_dir):
     return io.read_events_json(spark, path)
 
 
-@register("scan_parquet", W(f"SELECT {EVENT_COLS} FROM event_log", "event_log"))
+@register("scan_parquet", "SELECT event_id, user_id, event_type, value FROM events WHERE event_type = 'view'")
 def q_scan_parquet(spark, sf_dir):
+    """The given table as it stands; columns and filter reach the scan."""
+    raw = io.read_parquet(spark, table_path(sf_dir, "events"))
+    return raw.where("event_type = 'view'").select("event_id", "user_id", "event_type", "value")
+
+
+@register("parquet_roundtrip", W(f"SELECT {EVENT_COLS} FROM event_log", "event_log"))
+def q_parquet_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "events-parquet")
     io.write_parquet(events(spark, sf_dir), path)
     return io.read_parquet(spark, path)
@@ -37,14 +42,29 @@ def q_scan_parquet(spark, sf_dir):
 def q_feature_json_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "features-json")
     io.write_json(user_table(spark, sf_dir), path)
-    return io.read_features_json(spark, path)
+    return io.read_features_json(spark, path, O.TEST_PAGES)
+
+
+_RAW_COLUMNS = ", ".join(f"r.{c}" if c in ("gender", "state") else f"f.{c}" for c in O.TEST_FEATURE_COLUMNS)
+
+
+@register("features_from_raw_log", W(
+    f"SELECT {_RAW_COLUMNS} FROM features f JOIN raw_firsts r ON f.userId = r.userId", "features",
+    extra="raw_firsts AS (SELECT userId, gender, state1 AS state FROM (SELECT userId, gender, state1, row_number() OVER ("
+          "PARTITION BY userId ORDER BY ts, coalesce(itemInSession, 0), gender NULLS FIRST, state1 NULLS FIRST) AS rn "
+          "FROM prepared) WHERE rn = 1)"))
+def q_features_from_raw_log(spark, sf_dir):
+    """L9 on the log as the service writes it: JSON lines, no event id."""
+    path = scratch_path(spark, "raw-log")
+    io.write_json(events(spark, sf_dir).drop("event_id"), path)
+    return features.user_features(clean.prepare_events(io.read_events_json(spark, path, LOG_SCHEMA)))
 
 
 @register("scan_csv", W("SELECT * FROM features", "features"))
 def q_scan_csv(spark, sf_dir):
     path = scratch_path(spark, "features-csv")
     io.write_csv(user_table(spark, sf_dir), path)
-    return io.read_features_csv(spark, path)
+    return io.read_features_csv(spark, path, O.TEST_PAGES)
 
 
 @register("preview_topn", W(
@@ -54,7 +74,12 @@ def q_preview_topn(spark, sf_dir):
     return io.preview(ev, 10, "ts", "event_id")
 
 
-@register("describe_schema")
+_TYPES = {f.name: f.dataType.simpleString() for f in io.feature_schema(O.TEST_PAGES).fields}
+
+
+@register("describe_schema", W(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS n_rows, count(*) - count({c}) AS n_nulls FROM features"
+    for c, t in _TYPES.items()), "features"))
 def q_describe_schema(spark, sf_dir):
     return io.describe_schema(user_table(spark, sf_dir))
 
@@ -69,9 +94,6 @@ def q_sql_view_query(spark, sf_dir):
                      "FROM churnkit_events GROUP BY page")
 
 
-__all__ = ["FEATURE_COLUMNS", "F"]
-
-
 # ---------------------------------------------------------------------------
 # Streaming: the events table read as a file stream
 # ---------------------------------------------------------------------------
@@ -82,17 +104,17 @@ _STREAM_SQL = W(
     "CAST(sum(itemInSession) AS BIGINT) AS total_items, "
     "CAST(max(CASE WHEN page = 'Cancellation Confirmation' THEN 1 ELSE 0 END) AS INTEGER) AS churn_label, "
     "min(ts) AS first_ts, max(ts) AS last_ts, "
-    + O.PAGE_COUNTS + " FROM event_log WHERE userId <> '' GROUP BY userId", "event_log")
+    + O.PAGE_COUNTS + ", CAST(0 AS BIGINT) AS other_pages FROM event_log WHERE userId <> '' GROUP BY userId",
+    "event_log")
 
 
 @register("streaming_user_activity", _STREAM_SQL)
 def q_streaming_user_activity(spark, sf_dir):
     from churnkit.sources.adapter import event_log_from
     from churnkit.streaming import activity
-    raw = (spark.readStream.schema(activity.RAW_EVENTS_SCHEMA)
-           .option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    raw = activity.read_events_stream(spark, table_path(sf_dir, "events"))
     stream = event_log_from(spark, sf_dir, raw)
     changelog, ckpt = scratch_path(spark, "activity-log"), scratch_path(spark, "activity-ckpt")
-    query = activity.start_activity_stream(stream, changelog, ckpt)
+    query = activity.start_activity_stream(stream, changelog, ckpt, pages=O.TEST_PAGES)
     query.awaitTermination()
-    return activity.latest_activity(spark, changelog)
+    return activity.latest_activity(spark, changelog, pages=O.TEST_PAGES)

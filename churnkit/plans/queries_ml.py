@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from churnkit.operators import evaluate, mlprep, score, train
 from churnkit.plans import oracle as O
 from churnkit.plans.registry import register, user_table
-from churnkit.schema import CATEGORICAL_COLUMNS, FEATURE_COLUMNS, PAGE_COLUMNS
+from churnkit.plans.oracle import TEST_FEATURE_COLUMNS as FEATURE_COLUMNS, TEST_PAGES, TEST_PAGE_COLUMNS as PAGE_COLUMNS
+from churnkit.schema import CATEGORICAL_COLUMNS
 from churnkit.session import reliable_checkpoint, scratch_path
 
 W = O.with_ctes
@@ -132,21 +133,68 @@ def q_standard_scale(spark, sf_dir):
     return long.withColumn("value", F.col("value") + F.lit(0.0))
 
 
-@register("train_val_test_split", W(
+SPLIT_SQL = (
     "SELECT userId, CASE WHEN b < 70 THEN 'train' WHEN b < 85 THEN 'validation' ELSE 'test' END AS split "
-    "FROM (SELECT userId, CAST(('0x' || substr(md5(userId), 1, 8)) AS BIGINT) % 100 AS b FROM features)",
-    "features"))
+    "FROM (SELECT userId, CAST(('0x' || substr(md5(userId), 1, 8)) AS BIGINT) % 100 AS b FROM features)")
+
+
+@register("train_val_test_split", W(SPLIT_SQL, "features"))
 def q_train_val_test_split(spark, sf_dir):
     return mlprep.assign_split(user_table(spark, sf_dir)).select("userId", "split")
 
 
-@register("feature_transform")  # M6
+def _train_idx_sql(c):
+    return (f"{c}_idx AS (SELECT {c}, row_number() OVER (ORDER BY n DESC, {c}) - 1 AS idx FROM "
+            f"(SELECT {c}, count(*) AS n FROM users WHERE {c} IS NOT NULL AND split = 'train' GROUP BY {c}))")
+
+
+def _transform_sql():
+    """Every slot of every user: numeric inputs and one-hot slots of the
+    training split's categories, scaled by the training split's moments."""
+    n = len(NUMERIC)
+    numeric = " UNION ALL ".join(
+        f"SELECT userId, split, {i} AS pos, CAST({c} AS DOUBLE) AS x FROM users" for i, c in enumerate(NUMERIC))
+    slots = " UNION ALL ".join(
+        f"SELECT u.userId, u.split, {n} + {shift} + i.idx, CASE WHEN u.{c} = i.{c} THEN 1.0 ELSE 0.0 END "
+        f"FROM users u CROSS JOIN {c}_idx i"
+        for c, shift in (("state", "0"), ("gender", "(SELECT count(*) FROM state_idx)")))
+    return ",\n".join([
+        _filled_sql(), f"splits AS ({SPLIT_SQL})", "users AS (SELECT f.*, s.split FROM filled f JOIN splits s USING (userId))",
+        _train_idx_sql("state"), _train_idx_sql("gender"), f"vals AS ({numeric} UNION ALL {slots})",
+        "moments AS (SELECT pos, avg(x) AS mu, stddev_samp(x) AS sd FROM vals WHERE split = 'train' GROUP BY pos)"])
+
+
+@register("feature_transform", W(  # M6
+    "SELECT v.userId, v.split, CAST(v.pos AS INTEGER) AS pos, "
+    "round(CASE WHEN sd IS NULL OR sd = 0 THEN 0.0 ELSE (x - mu) / sd END, 6) + 0.0 AS value "
+    "FROM vals v JOIN moments m ON v.pos = m.pos", "features", extra=_transform_sql()))
 def q_feature_transform(spark, sf_dir):
-    s = train.PreparedSplits(user_table(spark, sf_dir))
-    parts = [df.select("userId", F.lit(name).alias("split"), "label",
-                       vector_to_array("scaled_features").alias("scaled_features"))
+    return _transformed(train.PreparedSplits(user_table(spark, sf_dir)))
+
+
+def _transformed(s):
+    parts = [mlprep.vector_long(df.withColumn("split", F.lit(name)), "scaled_features", digits=6, keep=("split",))
              for name, df in (("train", s.train), ("validation", s.validation), ("test", s.test))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.withColumn("value", F.col("value") + F.lit(0.0))
+
+
+@register("splits_json_roundtrip", W(
+    "SELECT v.userId, v.split, CAST(v.pos AS INTEGER) AS pos, "
+    "round(CASE WHEN sd IS NULL OR sd = 0 THEN 0.0 ELSE (x - mu) / sd END, 6) + 0.0 AS value "
+    "FROM vals v JOIN moments m ON v.pos = m.pos", "features", extra=_transform_sql()))
+def q_splits_json_roundtrip(spark, sf_dir):
+    """The three transformed splits written as JSON and read again."""
+    from churnkit.sources import io
+    s = train.PreparedSplits(user_table(spark, sf_dir))
+    out = None
+    for name, df in (("train", s.train), ("validation", s.validation), ("test", s.test)):
+        path = scratch_path(spark, f"{name}-json")
+        io.write_split_json(df, path)
+        part = io.read_split_json(spark, path).withColumn("split", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    rows = out.select("userId", "split", F.posexplode("scaled_features").alias("pos", "value"))
+    return rows.withColumn("value", F.round("value", 6) + F.lit(0.0)).withColumn("pos", F.col("pos").cast("int"))
 
 
 # ---------------------------------------------------------------------------
@@ -182,7 +230,7 @@ METRICS_SQL = (
 
 
 def _rule(spark, sf_dir):
-    return score.error_share_scores(user_table(spark, sf_dir))
+    return score.error_share_scores(user_table(spark, sf_dir), pages=TEST_PAGES)
 
 
 @register("confusion_matrix", W("SELECT tp, fp, tn, fn FROM counts", "features", extra=RULE + ",\n" + COUNTS))
@@ -207,9 +255,8 @@ def q_classification_metrics(spark, sf_dir):
 def q_metrics_on_churn_label(spark, sf_dir):
     """The same metrics scored against ``churn_label`` instead of ``label``
     (equal, since the label is the cast churn flag)."""
-    pred = _rule(spark, sf_dir).join(user_table(spark, sf_dir).select("userId", "churn_label"), "userId")
-    return evaluate.classification_metrics(pred.withColumn("churn_label", F.col("churn_label").cast("double")),
-                                           label="churn_label")
+    pred = _rule(spark, sf_dir).withColumn("churn_label", F.col("churn_label").cast("double"))
+    return evaluate.classification_metrics(pred, label="churn_label")
 
 
 @register("auc", W(
@@ -255,6 +302,49 @@ def q_train_gbt(spark, sf_dir):
     return _fit_predict(spark, sf_dir, "Gradient Boosted Trees")
 
 
+# -- models with a known answer: one binary input ------------------------------
+# With a single 0/1 input every model below can only learn the two groups'
+# churn shares, which SQL can count.
+
+_GROUP_SQL = (
+    "SELECT userId, round({value}, 4) AS churn_probability FROM (SELECT userId, split, avg(CASE WHEN split = 'train' "
+    "THEN CAST(churn_label AS DOUBLE) END) OVER (PARTITION BY total_items % 2) AS share, avg(CASE WHEN split = 'train' "
+    "THEN CAST(churn_label AS DOUBLE) END) OVER () AS overall FROM features "
+    "JOIN (" + SPLIT_SQL + ") USING (userId)) WHERE split = 'validation'")
+
+
+def _on_parity(spark, sf_dir, estimator):
+    """Fit on the parity of a user's item total; score the validation split."""
+    from pyspark.ml.feature import VectorAssembler
+    users = mlprep.label_cast(user_table(spark, sf_dir).select("userId", "churn_label", "total_items"))
+    users = users.withColumn("odd", (F.coalesce("total_items", F.lit(0)) % 2).cast("double"))
+    users = _fit_input(VectorAssembler(inputCols=["odd"], outputCol="features").transform(users))
+    fit_on, check_on, _ = mlprep.split_users(users)
+    pred = estimator.fit(fit_on).transform(check_on)
+    return score.scored(pred).select("userId", F.round("churn_probability", 4).alias("churn_probability"))
+
+
+@register("lr_known_answer", W(_GROUP_SQL.format(value="share"), "features"))
+def q_lr_known_answer(spark, sf_dir):
+    """Unregularised logistic regression fits the groups' log odds."""
+    return _on_parity(spark, sf_dir, train.logistic_regression("features", tol=1e-10))
+
+
+@register("forest_known_answer", W(_GROUP_SQL.format(
+    value="CASE WHEN (min(share) OVER () > 0.5) = (max(share) OVER () > 0.5) THEN overall ELSE share END"), "features"))
+def q_forest_known_answer(spark, sf_dir):
+    """One tree of depth 1, not bootstrapped, has the shares as leaves,
+    merged into one where both predict the same class."""
+    return _on_parity(spark, sf_dir, train.random_forest("features").setNumTrees(1).setMaxDepth(1).setBootstrap(False))
+
+
+@register("boosting_known_answer", W(_GROUP_SQL.format(value="1 / (1 + exp(-2 * (2 * share - 1)))"), "features"))
+def q_boosting_known_answer(spark, sf_dir):
+    """The first boosted tree predicts the mean of labels -1 and 1, and
+    the probability is the logistic function of twice that."""
+    return _on_parity(spark, sf_dir, train.gradient_boosted_trees("features").setMaxIter(1).setMaxDepth(1))
+
+
 @register("train_and_evaluate")
 def q_train_and_evaluate(spark, sf_dir):
     s = _splits(spark, sf_dir)
@@ -287,10 +377,10 @@ def q_cross_validate(spark, sf_dir):
     """Grid search by 5-fold AUC; the best row also carries the tuned
     model's AUC and weighted F1 on the validation and test splits."""
     s = _splits(spark, sf_dir)
-    cv_model, table = train.cross_validate(s.raw_train, s.inputs)
+    model, table = train.cross_validate(s.raw_train, s.inputs)
     scores = {}
     for split, df in (("validation", s.raw_validation), ("test", s.raw_test)):
-        pred = cv_model.bestModel.transform(df)
+        pred = model.transform(df)
         scores[f"{split}_auc"] = evaluate.area_under_roc(pred)
         scores[f"{split}_f1"] = evaluate.classification_metrics(pred).first()["weighted_f1"]
     for name, value in scores.items():
@@ -298,6 +388,21 @@ def q_cross_validate(spark, sf_dir):
     return table
 
 
+@register("cross_validate_gbt", W(
+    "SELECT CAST(count(*) AS BIGINT) AS n_users, CAST(1 AS BIGINT) AS n_candidates, TRUE AS in_range FROM ("
+    + SPLIT_SQL + ") WHERE split = 'train'", "features"))
+def q_cross_validate_gbt(spark, sf_dir):
+    """T6 as the source's other run: boosted trees by weighted F1 over an
+    empty grid (one candidate, the estimator as it is)."""
+    s = _splits(spark, sf_dir)
+    _, table = train.cross_validate(s.raw_train, s.inputs, grid={}, folds=2,
+                                    estimator=train.gradient_boosted_trees(), metric="f1")
+    scores = [r["avg_f1"] for r in table.collect()]  # a row per candidate
+    return s.raw_train.agg(F.count(F.lit(1)).alias("n_users")).select(
+        "n_users", F.lit(len(scores)).cast("bigint").alias("n_candidates"),
+        F.lit(all(0 <= x <= 1 for x in scores)).alias("in_range"))
+
+
 def _best_lr(spark, sf_dir):
     s = _splits(spark, sf_dir)
     model = train.logistic_regression().fit(s.train)
@@ -322,6 +427,16 @@ def q_actual_churners(spark, sf_dir):
     return score.actual_churners(model.transform(s.test))
 
 
+SAME_SQL = "SELECT userId, TRUE AS same FROM (" + SPLIT_SQL + ") WHERE split = 'test'"
+
+
+def _same(before, after):
+    """(userId, same): is each user's score the same, probability and all?"""
+    after = after.select("userId", F.col("prediction").alias("q"), F.col("churn_probability").alias("p"))
+    equal = (F.col("prediction") == F.col("q")) & (F.col("churn_probability") == F.col("p"))
+    return before.join(after, "userId", "full").select("userId", F.coalesce(equal, F.lit(False)).alias("same"))
+
+
 def _saved_pipeline(spark, sf_dir):
     from pyspark.ml import Pipeline
     s = _splits(spark, sf_dir)
@@ -333,28 +448,33 @@ def _saved_pipeline(spark, sf_dir):
 
 @register("score_with_saved_model")
 def q_score_with_saved_model(spark, sf_dir):
+    s, _, path = _saved_pipeline(spark, sf_dir)  # its splits come from one checkpointed user table
+    return score.score_with_saved_model(spark, path, s.raw_test)
+
+
+@register("score_unlabelled_users", W(SAME_SQL, "features"))
+def q_score_unlabelled_users(spark, sf_dir):
+    """R4 on users that carry no label: the same scores as with it."""
     s, _, path = _saved_pipeline(spark, sf_dir)
-    users = user_table(spark, sf_dir)
-    test_ids = mlprep.assign_split(users).filter(F.col("split") == "test").select("userId")
-    return score.score_with_saved_model(spark, path, users.join(test_ids, "userId"))
+    known = score.score_with_saved_model(spark, path, s.raw_test)
+    unknown = score.score_with_saved_model(spark, path, s.raw_test.drop("churn_label", "label"))
+    return _same(known, unknown.where(F.col("label").isNull()))
 
 
-@register("model_save_load")
+@register("model_save_load", W(SAME_SQL, "features"))
 def q_model_save_load(spark, sf_dir):
     s, full, path = _saved_pipeline(spark, sf_dir)
     loaded, _ = score.load_model(spark, path)
-    before = score.scored(full.transform(s.raw_test)).select("userId", F.col("prediction").alias("before"))
-    after = score.scored(loaded.transform(s.raw_test)).select("userId", F.col("prediction").alias("after"))
-    return before.join(after, "userId").withColumn("same", F.col("before") == F.col("after"))
+    return _same(score.scored(full.transform(s.raw_test)), score.scored(loaded.transform(s.raw_test)))
 
 
-@register("predictions_parquet_roundtrip")
+@register("predictions_parquet_roundtrip", W(SAME_SQL, "features"))
 def q_predictions_parquet_roundtrip(spark, sf_dir):
     s, model = _best_lr(spark, sf_dir)
     path = scratch_path(spark, "predictions")
-    model.transform(s.test).select("userId", "prediction", "probability", "rawPrediction", "label") \
-        .write.mode("overwrite").parquet(path)
-    return score.scored(spark.read.parquet(path))
+    pred = model.transform(s.test).select("userId", "prediction", "probability", "rawPrediction", "label")
+    pred.write.mode("overwrite").parquet(path)
+    return _same(score.scored(pred), score.scored(spark.read.parquet(path)))
 
 
 @register("coefficient_ranking")
@@ -396,3 +516,37 @@ def q_confusion_comparison(spark, sf_dir):
     s, model, top_model = _topk(spark, sf_dir)
     return evaluate.confusion_comparison([("Logistic Regression all data", model.transform(s.test)),
                                           ("Logistic Regression top features", top_model.transform(s.test))])
+
+
+# -- what SQL can say of the fitted results --------------------------------------
+
+@register("confusion_totals", W(
+    "SELECT m.model, CAST(count(*) FILTER (WHERE churn_label = 1) AS BIGINT) AS n_churned, "
+    "CAST(count(*) FILTER (WHERE churn_label = 0) AS BIGINT) AS n_retained FROM features JOIN (" + SPLIT_SQL + ") USING (userId), "
+    "(VALUES ('Logistic Regression all data'), ('Logistic Regression top features')) AS m(model) "
+    "WHERE split = 'test' GROUP BY m.model", "features"))
+def q_confusion_totals(spark, sf_dir):
+    """Whatever the models say, their confusion counts add up to the test
+    split's churners and others."""
+    c = q_confusion_comparison(spark, sf_dir)
+    return c.select(F.col(c.columns[0]).alias("model"), (F.col("tp") + F.col("fn")).alias("n_churned"),
+                    (F.col("tn") + F.col("fp")).alias("n_retained"))
+
+
+@register("best_model_is_argmax", "SELECT CAST(3 AS BIGINT) AS n_models, TRUE AS is_argmax")
+def q_best_model_is_argmax(spark, sf_dir):
+    """The chosen model is the first of largest weighted F1."""
+    s, fitted = _all_models(spark, sf_dir)
+    table, best = train.compare_models(spark, fitted, s.validation)
+    return table.agg(F.count(F.lit(1)).alias("n_models"),
+                     (F.max("f1_score") == F.lit(float(best[1]))).alias("is_argmax"))
+
+
+@register("importance_slots", W(
+    "SELECT CAST(count(*) AS BIGINT) AS n_slots, TRUE AS sums_to_one FROM (SELECT pos FROM moments)", "features",
+    extra=_transform_sql()))
+def q_importance_slots(spark, sf_dir):
+    """One importance per vector slot, all of them adding up to 1."""
+    t = q_feature_importance(spark, sf_dir)
+    return t.agg(F.count_distinct("idx", "feature").alias("n_slots"),
+                 (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"))

@@ -71,8 +71,8 @@ LR_GRID = {
 # Split fractions (train / validation / test) of the user table.
 SPLIT_PERCENT = (70, 15, 15)
 
-# Song lengths are summed as decimals of this scale: sums become exact and
-# independent of partitioning and task order.
+# Song lengths that fit are summed as decimals of this scale: sums become
+# exact and independent of partitioning and task order.
 LENGTH_DECIMAL = T.DecimalType(18, 6)
 
 
@@ -131,3 +131,13 @@ FEATURE_SCHEMA = T.StructType(
 )
 
 FEATURE_COLUMNS = tuple(f.name for f in FEATURE_SCHEMA.fields)
+
+
+def feature_columns(pages=PAGES) -> tuple[str, ...]:
+    """The feature table's columns with the counts of the given pages."""
+    fixed = FEATURE_COLUMNS[:len(FEATURE_COLUMNS) - len(PAGES)]
+    return (*fixed, *(page_column(p) for p in pages))
+
+
+# The event log as the music service writes it: without an event id.
+LOG_SCHEMA = T.StructType([f for f in EVENT_SCHEMA.fields if f.name != "event_id"])

@@ -34,6 +34,16 @@ PLAIN_LOCATION_EVERY = 29
 PAID_BALANCE = 4500
 # Distinct artists.
 ARTISTS = 20
+# Customers whose key is divisible by this never play a song.
+NO_PLAYS_EVERY = 31
+# Page by event type and event_id modulo the number of pages. "Register" is
+# none of the declared pages.
+PAGES_BY_TYPE = {
+    "click": ("Thumbs Up", "Thumbs Down", "Add to Playlist", "Roll Advert"),
+    "purchase": ("Add Friend", "Upgrade", "Submit Upgrade"),
+    "signup": ("Register", "Home", "Logout", "Help", "About"),
+}
+EXTRA_PAGES = ("Register",)
 # Row bound under which nation / region are broadcast (they hold 25 and 5).
 DIMENSION_ROWS = 1000
 
@@ -78,13 +88,12 @@ def event_log_from(spark: SparkSession, sf_dir: str, e: DataFrame) -> DataFrame:
     etype = F.col("event_type")
     guest = (F.col("event_id") % GUEST_EVERY) == 0
     cancel = (etype == "error") & (F.col("value") > CANCEL_VALUE)
-    page = (F.when(cancel, "Cancellation Confirmation")
-            .when(etype == "error", "Error")
-            .when(etype == "view", "NextSong")
-            .when(etype == "click", "Thumbs Up")
-            .when(etype == "purchase", "Add Friend")
-            .otherwise("Home"))
-    view = etype == "view"
+    view = (etype == "view") & ((F.col("c_custkey") % NO_PLAYS_EVERY) != 0)
+    page = F.when(cancel, "Cancellation Confirmation").when(etype == "error", "Error").when(view, "NextSong")
+    for kind, pages in PAGES_BY_TYPE.items():
+        nth = F.get(F.array(*map(F.lit, pages)), (F.col("event_id") % len(pages)).cast("int"))
+        page = page.when(etype == kind, nth)
+    page = page.otherwise("Home")
     ts_ms = epoch_millis(e.schema["ts"].dataType) + (F.col("event_id") % SHIFTS) * F.lit(SHIFT_MS)
     location = F.when((F.col("c_custkey") % PLAIN_LOCATION_EVERY) == 0, F.col("n_name")).otherwise(
         F.concat(F.col("n_name"), F.lit(", "), F.substring("r_name", 1, 2), F.lit("-"),

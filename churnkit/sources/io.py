@@ -10,32 +10,71 @@ from __future__ import annotations
 
 import os
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from churnkit.schema import EVENT_SCHEMA, FEATURE_SCHEMA
+from churnkit.schema import EVENT_SCHEMA, FEATURE_SCHEMA, PAGES, feature_columns
 from churnkit.session import table_path
 
 # Parquet footer schemas seen in this process, by (application, path,
-# modification time): a new session may infer types differently.
-_FOOTER_SCHEMAS: dict[tuple[str, str, float], T.StructType] = {}
-# Row-count bounds proven for a table version: (path, mtime) -> largest
+# modification time, size): a new session may infer types differently.
+_FOOTER_SCHEMAS: dict[tuple, T.StructType] = {}
+# Row-count bounds proven for a table version: (path, mtime, size) -> largest
 # bound checked and found to hold.
-_ROW_BOUNDS: dict[tuple[str, float], int] = {}
+_ROW_BOUNDS: dict[tuple, int] = {}
 
 
-def read_events_json(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
-    """JSON-lines event log."""
-    return spark.read.schema(schema).json(path)
+# Where a line that does not fit the schema goes when it is kept.
+CORRUPT = "_corrupt_record"
+# A null in CSV.
+CSV_NULL = "\\N"
 
 
-def read_features_json(spark: SparkSession, path: str) -> DataFrame:
+def read_events_json(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA,
+                     keep_bad_lines: bool = False) -> DataFrame:
+    """JSON-lines event log. A line that does not fit the schema (broken,
+    or a field of another type) fails the read; with ``keep_bad_lines`` it
+    becomes a row with the line's text in ``_corrupt_record``. A log without
+    ``event_id`` reads as one whose ids are null."""
+    if not keep_bad_lines:
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    return spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+
+
+def feature_schema(pages=PAGES) -> T.StructType:
+    """The feature table's schema with the counts of the given pages."""
+    known = {f.name: f for f in FEATURE_SCHEMA.fields}
+    return T.StructType([known.get(c, T.StructField(c, T.LongType(), True)) for c in feature_columns(pages)])
+
+
+def read_features_json(spark: SparkSession, path: str, pages=PAGES) -> DataFrame:
     """S2."""
-    return spark.read.schema(FEATURE_SCHEMA).json(path)
+    return spark.read.schema(feature_schema(pages)).option("mode", "FAILFAST").json(path)
 
 
-def read_features_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_features_csv(spark: SparkSession, path: str, pages=PAGES) -> DataFrame:
     """S3: CSV with a header line, read with the declared schema."""
-    return spark.read.schema(FEATURE_SCHEMA).option("header", True).csv(path)
+    return read_csv(spark, path, feature_schema(pages))
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = False) -> DataFrame:
+    """CSV as ``write_csv`` writes it. ``line_breaks`` reads values that hold
+    line breaks, at the price of one task per file."""
+    return (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").option("escape", '"')
+            .option("nullValue", CSV_NULL).option("multiLine", line_breaks).csv(path))
+
+
+def write_split_json(split: DataFrame, path: str) -> None:
+    """A transformed split as JSON; vectors become arrays."""
+    vectors = [f.name for f in split.schema.fields if isinstance(f.dataType, VectorUDT)]
+    write_json(split.withColumns({c: vector_to_array(c) for c in vectors}), path)
+
+
+def read_split_json(spark: SparkSession, path: str) -> DataFrame:
+    """The users, labels and scaled features of a written split."""
+    return spark.read.schema("userId string, label double, scaled_features array<double>").json(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -43,15 +82,25 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def file_version(path: str) -> tuple[str, float, int] | None:
+    """What tells one version of a single local file from another; None for
+    a folder (whose own time says nothing of its files) or another store."""
+    if not os.path.isfile(path):
+        return None
+    s = os.stat(path)
+    return path, s.st_mtime, s.st_size
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A Parquet table of ``sf_dir``. A local table's footer schema is
-    inferred once per session and file version (path and modification
-    time) and declared on later reads, which then plan without an
+    """A Parquet table of ``sf_dir``. A single local file's footer schema is
+    inferred once per session and file version (path, modification time,
+    size) and declared on later reads, which then plan without an
     inference job. Other locations are inferred on every read."""
     path = table_path(sf_dir, name)
-    if not os.path.exists(path):
+    version = file_version(path)
+    if version is None:
         return spark.read.parquet(path)
-    key = (spark.sparkContext.applicationId, path, os.path.getmtime(path))
+    key = (spark.sparkContext.applicationId, *version)
     schema = _FOOTER_SCHEMAS.get(key)
     if schema is None:
         df = spark.read.parquet(path)
@@ -68,9 +117,9 @@ def read_small_table(spark: SparkSession, sf_dir: str, name: str, max_rows: int)
     from churnkit.operators.joins import sized_broadcast
     df = read_table(spark, sf_dir, name)
     path = table_path(sf_dir, name)
-    if not os.path.exists(path):
+    key = file_version(path)
+    if key is None:
         return sized_broadcast(df, max_rows)
-    key = (path, os.path.getmtime(path))
     if _ROW_BOUNDS.get(key, -1) >= max_rows:
         return F.broadcast(df)
     out = sized_broadcast(df, max_rows)
@@ -84,31 +133,31 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def write_parquet(df: DataFrame, path: str) -> None:
     """S6."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    df.write.mode("overwrite").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Distributed CSV with header (no collect to the driver)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Distributed CSV with header (no collect to the driver). Blanks at
+    the ends of a string stay, quotes are doubled, and a null is ``\\N``, so
+    that an empty string stays one."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"').option("nullValue", CSV_NULL)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def describe_schema(df: DataFrame) -> DataFrame:
-    """(column_name, data_type, nullable) rows from the schema."""
-    spark = df.sparkSession
-    rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
-    return spark.createDataFrame(rows, "column_name string, data_type string, nullable boolean")
+    """(column_name, data_type, n_rows, n_nulls) of every column, the
+    counts from one aggregate over the rows."""
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"),
+                    *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_{i}") for i, c in enumerate(df.columns)])
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                 F.col("_rows").alias("n_rows"), F.col(f"_{i}").alias("n_nulls"))
+        for i, f in enumerate(df.schema.fields)]))
+    return counts.select(rows.alias("r")).select("r.*")
 
 
 def preview(df: DataFrame, n: int, *order) -> DataFrame:
     """The first ``n`` rows in a deterministic order."""
     return df.orderBy(*order).limit(n)
-
-
-def row_count(df: DataFrame) -> DataFrame:
-    """S14 helper: a one-row count as a DataFrame."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows"))

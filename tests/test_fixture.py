@@ -87,11 +87,11 @@ def test_first_tie_break_by_event_id(log):
 def _direct_totals(ev):
     """L4 as plain aggregates over events (independent of the one-pass plan)."""
     from pyspark.sql import functions as F
-    from churnkit.functions.columns import exact_length, is_churn_event
+    from churnkit.functions.columns import is_churn_event, total_length
     totals = ev.groupBy("userId").agg(
         F.count_distinct("artist").alias("unique_artist_count"),
-        F.sum(exact_length()).cast("double").alias("total_session_length"),
-        F.try_divide(F.sum(exact_length()).cast("double"), F.count("length")).alias("avg_session_length"),
+        total_length().alias("total_session_length"),
+        F.try_divide(total_length(), F.count("length")).alias("avg_session_length"),
         F.max(is_churn_event()).cast("int").alias("churn_label"),
         F.count_distinct("song").alias("unique_song_count"),
         F.sum("itemInSession").alias("total_items"),
@@ -111,10 +111,11 @@ def test_feature_chain_equals_aggregate_and_join(log):
 
 
 def test_per_user_tables_from_grains(log):
-    """J1's inputs computed from the grain rows equal the per-table
+    """J1's inputs computed from the rollup rows equal the per-table
     aggregates computed from events."""
     ev = clean.prepare_events(log)
-    totals, monthly, daily, pages = features.user_tables(features.event_grains(ev))
+    found = features.pages_of(ev)
+    totals, monthly, daily, pages = features.user_tables(features.user_rollup(features.event_grains(ev), found), found)
     for got, want in ((totals, _direct_totals(ev)), (monthly, features.user_monthly_averages(ev)),
                       (daily, features.user_daily_averages(ev)), (pages, features.page_pivot(ev))):
         assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
@@ -124,5 +125,51 @@ def test_event_order_key_sorts_like_ts_then_id(spark):
     from churnkit.functions.columns import event_order
     lo, hi = -(2 ** 63), 2 ** 63 - 1
     rows = [(1, lo), (1, hi), (2, lo), (0, 5), (10 ** 17 - 1, hi), (-5, 0), (1, 0)]
-    df = spark.createDataFrame(rows, "ts long, event_id long").withColumn("o", event_order())
+    df = spark.createDataFrame(rows, "ts long, event_id long").withColumn("o", event_order(("ts", "event_id")))
     assert [(r.ts, r.event_id) for r in df.orderBy("o").collect()] == sorted(rows)
+
+
+def test_first_values_without_an_event_id(log, spark):
+    """The service's own log has no event id: ts, then itemInSession, then
+    the values decide."""
+    rows = [("u", 2, 0, "free"), ("u", 1, 5, "paid"), ("v", 1, 2, "free"), ("v", 1, 1, "paid"),
+            ("w", 1, 1, "paid"), ("w", 1, 1, "free"), ("x", None, 0, "late"), ("x", 9, 0, "early")]
+    df = spark.createDataFrame(rows, "userId string, ts long, itemInSession long, level string")
+    got = {r.userId: r.level for r in clean.dedup_by_user(df, ["level"]).collect()}
+    assert got == {"u": "paid", "v": "paid", "w": "free", "x": "early"}
+    # the whole feature job, with the column absent and with null ids
+    raw = clean.prepare_events(log.drop("event_id"))
+    nulls = clean.prepare_events(log.selectExpr("* except (event_id)", "CAST(null AS bigint) AS event_id"))
+    for events in (raw, nulls):
+        rows = {r.userId: r for r in features.user_features(events).collect()}
+        assert (rows["u1"].gender, rows["u1"].state, rows["u3"].gender) == ("F", "NY", "F")
+
+
+def test_no_page_is_dropped(log):
+    from pyspark.sql import functions as F
+    ev = clean.prepare_events(log.withColumn("page", F.when(F.col("page") == "Home", "Register").otherwise(F.col("page"))))
+    for table in (features.user_features(ev), features.page_pivot(ev)):
+        counted = sum(sum(r[c] for c in ("Register", "Help", "NextSong", "Add_to_Playlist", "Cancel",
+                                         "Cancellation_Confirmation")) for r in table.collect())
+        assert counted == 10
+    only = features.user_features(ev, pages=("Help",))
+    assert "Register" not in only.columns and {r.userId: r.churn_label for r in only.collect()}["u1"] == 1
+
+
+def test_too_many_pages_are_refused(spark):
+    many = spark.range(features.MAX_PAGES + 1).selectExpr("concat('p', id) AS page")
+    with pytest.raises(ValueError):
+        features.pages_of(many)
+
+
+def test_lengths_are_neither_rounded_nor_capped(spark):
+    import math
+    from churnkit.operators import explore
+    rows = [("fine", 0.1234567891), ("fine", 1.0), ("huge", 1e13), ("huge", 2.5), ("nan", float("nan")), ("nan", 10.0),
+            ("none", None), ("plain", 0.1), ("plain", 0.2)]
+    df = spark.createDataFrame([(u, x, "NextSong") for u, x in rows], "userId string, length double, page string")
+    got = {r.userId: (r.total_session_length, r.avg_session_length) for r in explore.listening_per_user(df).collect()}
+    assert got["fine"] == (1.1234567891, 1.1234567891 / 2)
+    assert got["huge"] == (1e13 + 2.5, (1e13 + 2.5) / 2)
+    assert all(map(math.isnan, got["nan"])) and got["none"] == (None, None)
+    assert got["plain"] == (0.3, 0.15)

@@ -43,3 +43,27 @@ def test_lr_metrics_deterministic(spark):
     _, m1, _ = train.train_and_evaluate(train.logistic_regression(), s.train, s.validation)
     _, m2, _ = train.train_and_evaluate(train.logistic_regression(), s.train, s.validation)
     assert m1 == m2
+
+
+def test_an_empty_grid_is_one_candidate():
+    assert len(train.param_grid(train.logistic_regression(), {})) == 1
+    assert len(train.param_grid(train.logistic_regression())) == 27
+
+
+def test_missing_inputs_are_named(spark):
+    from churnkit.operators import score
+    from churnkit.session import scratch_path
+    from pyspark.ml import Pipeline
+    s = train.PreparedSplits(registry.user_table(spark, SF01))
+    model = Pipeline(stages=[*mlprep.transform_stages(s.inputs), train.logistic_regression()]).fit(s.raw_train)
+    path = scratch_path(spark, "model")
+    score.save_model(model, path, s.inputs)
+    with pytest.raises(ValueError, match="state"):
+        score.score_with_saved_model(spark, path, s.raw_test.drop("state"))
+
+
+def test_written_splits_equal_the_transformed_ones(spark):
+    from churnkit.plans import queries_ml
+    got = E.queries()["splits_json_roundtrip"](spark, SF01)
+    want = queries_ml._transformed(train.PreparedSplits(registry.user_table(spark, SF01)))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))

@@ -27,3 +27,17 @@ def test_two_batches_equal_batch(spark):
     assert n_batches == 2
     want = activity._finish(activity.activity_aggregate(event_log(spark, SF001)))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+
+
+def test_a_folder_and_a_file_are_read_alike(spark):
+    src = tempfile.mkdtemp(prefix="churnkit-stream-src-")
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    events.repartition(3).write.parquet(f"{src}/events.parquet")
+    want = sorted(map(tuple, activity._finish(activity.activity_aggregate(event_log(spark, SF001))).collect()))
+    for folder in (SF001, src):
+        raw = activity.read_events_stream(spark, f"{folder}/events.parquet")
+        log, ckpt = (tempfile.mkdtemp(prefix="churnkit-stream-") for _ in range(2))
+        activity.start_activity_stream(event_log_from(spark, SF001, raw), log, ckpt).awaitTermination()
+        assert spark.conf.get(activity.STATE_STORE_CONF, None) is None
+        assert sorted(map(tuple, activity.latest_activity(spark, log).collect())) == want
+    assert any(r[-1] for r in want)  # visits to a page that is not named
