@@ -24,13 +24,13 @@ columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
+import heapq
 import json
 import os
 import unicodedata
 from collections.abc import Iterator
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import regex
@@ -42,6 +42,7 @@ from churnkit.llm.common import slices
 SLICE_BYTES = 4 << 20
 WORDS_KEPT = 600_000
 PAIRS_KEPT = 4_000_000
+LONG = 48
 #: Unicode white space (str.split() takes U+001C to U+001F besides)
 BLANKS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE = regex.compile(f"[{BLANKS}]+")
@@ -113,6 +114,8 @@ class Tokenizer:
         """Merge the pair of least rank (the leftmost of equals) until no
         pair can be merged."""
         out, ranks = list(symbols), self.ranks
+        if len(out) > LONG:
+            return self._merge_long(out)
         while len(out) > 1:
             best = None
             for i in range(len(out) - 1):
@@ -125,6 +128,25 @@ class Tokenizer:
             out[i:i + 2] = [joined]
         return out
 
+    def _merge_long(self, out: list) -> list[int]:
+        """The same for a long piece: a heap of pairs over a linked list."""
+        n, ranks = len(out), self.ranks
+        after, before = [*range(1, n), -1], [*range(-1, n - 1)]
+        heap = [(found[0], i, out[i], out[i + 1]) for i in range(n - 1) if (found := ranks.get((out[i], out[i + 1])))]
+        heapq.heapify(heap)
+        while heap:
+            _, i, a, b = heapq.heappop(heap)
+            j = after[i]
+            if out[i] != a or j < 0 or out[j] != b:
+                continue  # one of the two has been merged meanwhile
+            out[i], out[j], after[i] = ranks[a, b][1], None, after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+            for x, y in ((before[i], i), (i, after[i])):
+                if x >= 0 and y >= 0 and (found := ranks.get((out[x], out[y]))):
+                    heapq.heappush(heap, (found[0], x, out[x], out[y]))
+        return [t for t in out if t is not None]
+
     # speculation ---------------------------------------------------------
     def propose(self, piece: str) -> list[int]:
         """Greedy longest match; the last token carries the suffix."""

@@ -48,6 +48,18 @@ def test_bpe_equals_the_library_on_random_texts(library):
     check(library, ["".join(rng.choice(tokens) for _ in range(rng.randint(1, 4))) for _ in range(4000)])
 
 
+def test_bpe_long_words(library, monkeypatch):
+    rng = random.Random(8)
+    long = ["a" * 3001, "".join(rng.choice("abcdeth") for _ in range(30_000)), "!?" * 2000, "x" * 100_000]
+    check(library, long)
+    own = check.own
+    for _ in range(200):  # both ways of merging agree
+        piece = "".join(rng.choice("theingoras") for _ in range(rng.randint(2, 60)))
+        quick = own._merge_long(own.symbols(piece))
+        monkeypatch.setattr(bpe, "LONG", 100)
+        assert quick == own.merge(own.symbols(piece))
+
+
 def test_bpe_query(spark, library):
     got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in queries.queries()["op4_bpe"](spark, SF).collect()}
     for r in table(spark, SF, "documents").collect():
