@@ -119,7 +119,10 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, train,
             .select("id", "y", F.substring(F.coalesce("text", F.lit("")), 1, max_chars).alias("t"))
             .groupBy("id", "y").agg(F.min("t").alias("t")).orderBy("id", "y"))
     got = rows.toArrow()
-    return got.column("t").to_pylist(), np.array(got.column("y").to_pylist(), dtype=np.int64)
+    texts, y = got.column("t").to_pylist(), np.array(got.column("y").to_pylist(), dtype=np.int64)
+    del got
+    pa.default_memory_pool().release_unused()
+    return texts, y
 
 
 def with_text(docs: DataFrame, columns: tuple[str, ...]) -> DataFrame:

@@ -35,6 +35,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -50,7 +51,8 @@ CLASSES = 32
 #: distances of the second letter from the first and of the third from it
 GAPS = sorted(((a, b) for a in range(1, SPAN - 1) for b in range(1, SPAN - a)), key=sum)
 TRACE, WHOLE, ALIKE = 0.5, 0.9, 0.6
-PER_CLASS, MAX_CHARS = 3000, 20_000
+PER_CLASS, MAX_CHARS = 2500, 12_000
+CONTEXTS = 1 << 28
 TOXIC_LANDMARKS, CLEAN_LANDMARKS = 56, 16
 ROUNDS = 4
 THRESHOLD = 0.3
@@ -218,16 +220,16 @@ def choose_landmarks(texts: list[bytes], y: np.ndarray) -> list[bytes]:
     unlike one another, then common clean words."""
     counts = (Counter(), Counter())
     known: dict[bytes, bytes] = {}
-    contexts: tuple[set, set] = (set(), set())
+    met = (bytearray(CONTEXTS >> 3), bytearray(CONTEXTS >> 3))  # a bit a context, whatever the sample's size
     for text, label in zip(texts, y.tolist()):
         seen, words = set(), text.lower().split()
-        met = contexts[label]
+        known_here = met[label]
         for around in set(zip([b"", *words], words, [*words[1:], b""])):
             # a word between the same neighbours is a copy, not evidence
-            key = hash(around)
-            if key in met:
+            bit = zlib.crc32(b" ".join(around)) % CONTEXTS
+            if known_here[bit >> 3] >> (bit & 7) & 1:
                 continue
-            met.add(key)
+            known_here[bit >> 3] |= 1 << (bit & 7)
             w = around[1]
             c = known.get(w)
             if c is None:
@@ -318,7 +320,8 @@ class Model:
             return
         raw = [t.encode() for t in texts]
         self.landmarks = Landmarks(choose_landmarks(raw, y))
-        bags = Traces(self.landmarks).documents(raw)
+        traces = Traces(self.landmarks)
+        bags = [b for i in range(0, len(raw), 200) for b in traces.documents(raw[i:i + 200])]
         scale = np.sqrt(np.maximum(np.diag(self.landmarks.gram), 1e-9))
         values, vectors = np.linalg.eigh(self.landmarks.gram / scale / scale[:, None])
         self.root = (vectors / np.sqrt(np.maximum(values, 0.05))) @ vectors.T
