@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def byte_texts(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column, a null as an empty text."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

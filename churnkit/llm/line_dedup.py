@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import byte_texts, fresh, others_of, slices
+from churnkit.llm.common import byte_texts, discard, fresh, others_of, slices
 from churnkit.session import reliable_checkpoint, scratch_path
 
 BLANK = b" \t\n\x0b\x0c\r"
@@ -120,9 +120,15 @@ class LineRuns:
             at += 1
 
 
+    def close(self) -> None:
+        """Remove the runs' files."""
+        discard(self.spark, self.folder)
+
+
 def common_lines(docs: DataFrame, rows: DataFrame, min_docs: int, batches: int, fanout: int) -> DataFrame:
     """(h1, h2, holder) of the keys found in ``min_docs`` documents or
-    more. The documents arrive in ``batches`` ranges of falling doc_id."""
+    more, checkpointed. The documents arrive in ``batches`` ranges of
+    falling doc_id."""
     cuts = docs.select(F.col("doc_id").cast("long").alias("d")).approxQuantile(
         "d", [1 - k / batches for k in range(1, batches)], 0.01) if batches > 1 else []
     bounds = [None, *sorted({int(c) for c in cuts}, reverse=True), None]
@@ -134,7 +140,9 @@ def common_lines(docs: DataFrame, rows: DataFrame, min_docs: int, batches: int,
         if below is not None:
             part = part.where(F.col("doc") > below)
         runs.add(part)
-    return runs.merged().where(F.col("n") >= min_docs).select("h1", "h2", "holder")
+    common = reliable_checkpoint(runs.merged().where(F.col("n") >= min_docs).select("h1", "h2", "holder"))
+    runs.close()
+    return common
 
 
 def drop_common_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches: int = 3,
@@ -143,9 +151,9 @@ def drop_common_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, b
     above drops taken out: every input column, ``text`` replaced, plus
     ``n_lines`` and ``n_dropped``."""
     rows = reliable_checkpoint(line_rows(docs, min_chars))
-    # written, so that the join below exchanges both sides and a line of a
-    # third of all documents is split among tasks
-    common = reliable_checkpoint(common_lines(docs, rows, min_docs, batches, fanout))
+    # checkpointed, so the join below exchanges both sides, and a line that a
+    # third of all documents share is split among tasks
+    common = common_lines(docs, rows, min_docs, batches, fanout)
     key, gone = fresh(docs.columns, "doc_key", "gone_lines")
     drops = (rows.join(common, ["h1", "h2"]).where("doc <> holder")
              .groupBy(F.col("doc").alias(key)).agg(F.collect_list(F.struct("h1", "h2")).alias(gone)))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from churnkit.llm import line_dedup, packing, simhash, substring_dedup, toxicity
-from churnkit.llm.common import table, with_text
+from churnkit.llm.common import discard, table, with_text
 from churnkit.session import scratch_path, table_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -64,4 +64,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{folder}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if k:
+            discard(spark, before)
+        before = path
     return docs
