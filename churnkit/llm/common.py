@@ -65,33 +65,38 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     every node with an edge to another node, ``component`` being the
     smallest node reachable, the node included.
 
-    Randomised contraction: in each round every node joins the neighbour
-    (or itself) of least random priority, and the edges are rewritten
-    between the merged nodes, so their number falls by a constant factor
-    whatever the shape (long chains too). Each round is checkpointed.
+    Contraction: in each round every node joins the neighbour (or itself)
+    of least priority, and the edges are rewritten between the merged nodes.
+    The priority is first the node itself, which folds the stars around a
+    least node (as spanning forests are) at once, then a random one, which
+    shortens any shape, long chains too, by a constant factor. Each round is
+    checkpointed.
     """
     e = reliable_checkpoint(edges.select(F.col(a).alias("a"), F.col(b).alias("b"))
                             .where("a <> b").distinct())
-    mapping, turn = None, 0
+    picks: list[DataFrame] = []
     while not e.isEmpty():
+        turn = len(picks)
+
+        def prio(c, turn=turn):
+            chance = F.xxhash64(F.col(c), F.lit(turn)) if turn else F.lit(0).cast("long")
+            return F.struct(chance.alias("p"), F.col(c).alias("i"))
+
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
             e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        prio = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(turn)).alias("p"), F.col(c).alias("i"))  # noqa: E731,B023
-        pick = (both.groupBy("u").agg(F.min(prio("v")).alias("m"))
-                .select("u", F.least(prio("u"), F.col("m"))["i"].alias("r")))
-        pick = reliable_checkpoint(pick)
-        if mapping is None:
-            mapping = pick.select(F.col("u").alias("node"), F.col("r").alias("root"))
-        else:
-            mapping = mapping.join(pick, mapping.root == pick.u, "left").select(
-                "node", F.coalesce("r", "root").alias("root"))
-        mapping = reliable_checkpoint(mapping)
+        pick = reliable_checkpoint(both.groupBy("u").agg(F.min(prio("v")).alias("m"))
+                                   .select("u", F.least(prio("u"), F.col("m"))["i"].alias("r")))
         left = e.join(pick, e.a == pick.u).select(F.col("r").alias("a"), "b")
-        e = left.join(pick, left.b == pick.u).select("a", F.col("r").alias("b")).where("a <> b").distinct()
-        e = reliable_checkpoint(e)
-        turn += 1
-    if mapping is None:
+        e = reliable_checkpoint(left.join(pick, left.b == pick.u).select("a", F.col("r").alias("b"))
+                                .where("a <> b").distinct())
+        picks.append(pick)
+    if not picks:
         return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    mapping = picks[0].select(F.col("u").alias("node"), F.col("r").alias("root"))
+    for pick in picks[1:]:
+        mapping = mapping.join(pick, mapping.root == pick.u, "left").select(
+            "node", F.coalesce("r", "root").alias("root"))
+    mapping = reliable_checkpoint(mapping)
     least = mapping.groupBy("root").agg(F.min("node").alias("component"))
     return mapping.join(least, "root").select("node", "component")
 
