@@ -49,8 +49,9 @@ def user_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("user_features", O.with_ctes("SELECT * FROM features", "features"))
 def q_user_features(spark, sf_dir):
-    """The feature table with whatever pages the log holds."""
-    return features.user_features(prepared(spark, sf_dir))
+    """The flagship with named pages; ``prepare_data`` is the same with
+    whatever pages the log holds."""
+    return user_table(spark, sf_dir)
 
 
 def queries() -> dict[str, QueryFn]:
