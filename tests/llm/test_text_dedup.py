@@ -41,7 +41,7 @@ def test_substring_finds_long_and_overlapping_repeats(spark):
     got = {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(
         spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     assert got == {i: v[:2] for i, v in H.substring_brute(texts).items()}
-    assert got[2] == (62, 60) and got[3] == (120, 120) and got[4] == (50, 50) and got[5] == (19, 0)
+    assert got[2] == (62, 60) and got[3] == (120, 120) and got[4] == (50, 49) and got[5] == (19, 0)
 
 
 def test_substring_odd_cases(spark):
@@ -55,7 +55,7 @@ def test_substring_odd_cases(spark):
     assert by[10][0].n_removed == 23 and by[10][0].text == ""
     assert sorted(r.n_removed for r in by[None]) == [0, 23]  # a null doc_id comes last
     assert by[0][0].text is None and by[0][0].n_words == 0
-    assert by[11][0].n_removed == 5000  # every window covers a word that another one repeats
+    assert by[11][0].n_removed == 4999 and by[11][0].text == "x"  # word 0 is in the first window alone
     assert by[5][0].text == "Two words" and by[5][0].spans == 5
     assert substring_dedup.remove_repeats(H.empty_documents(spark)).count() == 0
 
