@@ -15,8 +15,8 @@ most one row per fingerprint, and become components by contraction.
 
 Defined results: a null or empty text has fingerprint zero and links like
 any other; a null doc_id takes part, but never names a component that has
-another document; rows that repeat a doc_id are separate rows of one
-document; other columns are ignored (``keep_one`` passes them through).
+another document; rows that repeat a doc_id are separate rows and link by their
+texts alone; other columns are ignored (``keep_one`` passes them through).
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnkit.llm.common import byte_texts, components, fresh, slices
@@ -60,12 +60,21 @@ def fingerprint(text: bytes, shingle: int, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+    """(doc_id, hash_a, hash_b, fp): two hashes of the text (a null differs
+    from an empty one) and the fingerprint as a signed long."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE_BYTES):
-            fp = [fingerprint(t, shingle) for t in byte_texts(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(emit, "doc_id long, fp long")
+            fp = [fingerprint(t, shingle) for t in byte_texts(batch.column(3))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fp, pa.int64())],
+                                             names=["doc_id", "hash_a", "hash_b", "fp"])
+    return docs.select(*row_key("doc_id", "hash_a", "hash_b"), "text").mapInArrow(
+        emit, "doc_id long, hash_a long, hash_b long, fp long")
+
+
+def row_key(*names: str) -> list:
+    """A row's doc_id and two hashes of its text, under these names."""
+    columns = F.col("doc_id").cast("long"), F.xxhash64("text"), F.xxhash64(F.lit(1), F.col("text"))
+    return [c.alias(n) for c, n in zip(columns, names)]
 
 
 def segment_counts(fp: np.ndarray) -> np.ndarray:
@@ -191,27 +200,35 @@ def links(classes: DataFrame, k: int = 2) -> DataFrame:
     return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(compare, "a long, b long")
 
 
+def _rooted(classes: DataFrame, k: int) -> DataFrame:
+    """``classes`` with ``root``, one fingerprint of their component."""
+    linked = components(links(classes, k), "a", "b")
+    return classes.join(linked, classes.fp == linked.node, "left").select(
+        *classes.columns, F.coalesce("component", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, k: int = 2) -> DataFrame:
     """(doc_id, fp, component_id), one row per row of ``docs``:
     ``component_id`` is the smallest doc_id reachable by links of at most
     ``k`` differing bits."""
-    prints = reliable_checkpoint(fingerprints(docs, shingle))
+    prints = reliable_checkpoint(fingerprints(docs, shingle).select("doc_id", "fp"))
     classes = reliable_checkpoint(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    linked = components(links(classes, k), "a", "b")
-    rooted = classes.join(linked, classes.fp == linked.node, "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("root"))
+    rooted = _rooted(classes, k)
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(names, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, k: int = 2) -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each component
-    does: the one that names it. Of rows that repeat its doc_id the one of
-    least text stays."""
-    kept, rank = fresh(docs.columns, "kept_id", "rank")
-    stay = (near_duplicates(docs, shingle, k).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias(kept)).distinct())
-    one = Window.partitionBy(kept).orderBy("text")
-    return (docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col(kept)))
-            .withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1).select(*docs.columns))
+    """The rows of ``docs`` that stay when one row of each component does:
+    the one of least doc_id (a null comes last), of rows that repeat it the
+    one of least text hash. Of rows equal in doc_id and text any one stays."""
+    # the key names a row up to equal texts, which share a component
+    key = fresh(docs.columns, "row_id", "hash_a", "hash_b")
+    least = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "hash_a", "hash_b")
+    classes = reliable_checkpoint(fingerprints(docs, shingle).groupBy("fp").agg(F.min(least).alias("least")))
+    stay = _rooted(classes, k).groupBy("root").agg(F.min("least").alias("m")).select(
+        *(F.col(f"m.{c}").alias(f"stay_{c}") for c in ("doc_id", "hash_a", "hash_b")))
+    one = docs.select("*", *row_key(*key)).dropDuplicates(key)
+    return one.join(stay, one[key[0]].eqNullSafe(stay.stay_doc_id) & (one[key[1]] == stay.stay_hash_a)
+                    & (one[key[2]] == stay.stay_hash_b), "left_semi").select(*docs.columns)

@@ -111,6 +111,25 @@ def test_simhash_odd_cases(spark):
     assert simhash.keep_one(H.empty_documents(spark)).count() == 0
 
 
+def test_simhash_keeps_one_row_of_each_component(spark):
+    words = lambda tag: " ".join(f"{tag}{i}" for i in range(200))
+    texts = {t: words(t) for t in "abcdefg"}
+    rows = [(3, texts["b"]), (5, texts["b"]), (5, texts["a"]),  # row 5 / a is the only one of its group
+            (7, texts["c"]), (7, texts["d"]), (7, texts["d"]), (8, texts["c"]),
+            (None, texts["e"]), (None, texts["e"]), (None, texts["f"]), (None, texts["g"]), (9, texts["g"]),
+            (None, None), (None, "")]
+    docs = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "doc_id long, text string, n long")
+    prints = {H.fingerprint_brute(t) for t in texts.values()} | {0}
+    assert min((a ^ b).bit_count() for a in prints for b in prints if a != b) > 2
+    kept = simhash.keep_one(docs.repartition(3))
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    blank = [r for r in got if not r[1]]
+    expected = [(3, texts["b"]), (5, texts["a"]), (7, texts["c"]), (7, texts["d"]), (None, texts["e"]),
+                (None, texts["f"]), (9, texts["g"])]
+    assert len(blank) == 1 and sorted(map(str, got)) == sorted(map(str, expected + blank))
+    assert kept.columns == docs.columns
+
+
 def test_components_of_a_long_chain(spark):
     n = 300
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(1000, 1001), (1001, 1001)], "a long, b long")
