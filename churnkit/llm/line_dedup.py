@@ -52,19 +52,23 @@ def _as_longs(keys: list[bytes]) -> np.ndarray:
 
 
 def line_rows(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(h1, h2, doc): each key once per document row, null doc_id as the
-    smallest long."""
+    """(h1, h2, doc, th): each key once per document row, null doc_id as
+    the smallest long; ``th`` is a hash of the row's text."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE_BYTES):
-            ids, keys = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1))):
+            ids, hashes, keys = [], [], []
+            for doc, th, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                     byte_texts(batch.column(2))):
                 own = {k for k in (line_key(x, min_chars) for x in text.split(b"\n")) if k}
                 keys += own
                 ids += [NO_ID if doc is None else doc] * len(own)
+                hashes += [th] * len(own)
             h = _as_longs(keys)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(ids, pa.int64())], names=["h1", "h2", "doc"])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(emit, "h1 long, h2 long, doc long")
+                [pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(ids, pa.int64()), pa.array(hashes, pa.int64())],
+                names=["h1", "h2", "doc", "th"])
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text").mapInArrow(
+        emit, "h1 long, h2 long, doc long, th long")
 
 
 class LineRuns:
@@ -145,6 +149,14 @@ def common_lines(docs: DataFrame, rows: DataFrame, min_docs: int, batches: int,
     return common
 
 
+def drop_lists(rows: DataFrame, common: DataFrame, key: str, text_key: str, gone: str) -> DataFrame:
+    """(key, text_key, gone): the line keys that the rows of a doc_id and
+    text lose, each once."""
+    return (rows.join(common, ["h1", "h2"]).where("doc <> holder")
+            .groupBy(F.col("doc").alias(key), F.col("th").alias(text_key))
+            .agg(F.collect_set(F.struct("h1", "h2")).alias(gone)))
+
+
 def drop_common_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches: int = 3,
                       fanout: int = 3) -> DataFrame:
     """``docs`` (doc_id, text, any others) with the lines that the rule
@@ -154,12 +166,15 @@ def drop_common_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, b
     # checkpointed, so the join below exchanges both sides, and a line that a
     # third of all documents share is split among tasks
     common = common_lines(docs, rows, min_docs, batches, fanout)
-    key, gone = fresh(docs.columns, "doc_key", "gone_lines")
-    drops = (rows.join(common, ["h1", "h2"]).where("doc <> holder")
-             .groupBy(F.col("doc").alias(key)).agg(F.collect_list(F.struct("h1", "h2")).alias(gone)))
+    key, text_key, gone = fresh(docs.columns, "doc_key", "text_key", "gone_lines")
+    # a set for each doc_id and text, so none is longer than a text's lines (texts
+    # of one doc_id that share a hash lose the same lines, so their union is right);
+    # checkpointed, so that copies without a doc_id are split among tasks as well
+    drops = reliable_checkpoint(drop_lists(rows, common, key, text_key, gone))
     others = others_of(docs, "text", "n_lines", "n_dropped")
-    joined = (docs.select(*others, "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias(key))
-              .join(drops, key, "left").select(*others, "text", gone))
+    joined = (docs.select(*others, "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias(key),
+                          F.xxhash64("text").alias(text_key))
+              .join(drops, [key, text_key], "left").select(*others, "text", gone))
     kinds = [docs.schema[c] for c in others]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

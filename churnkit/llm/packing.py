@@ -1,8 +1,10 @@
 """Best-fit packing into sequences of several permitted lengths.
 
 Documents are measured in words, cut into pieces no longer than the
-longest permitted length, and dealt by a hash of their doc_id into shards
-of about ``SHARD_PIECES`` pieces. Every shard is packed on its own:
+longest permitted length, and dealt into shards of about ``SHARD_PIECES``
+pieces by a hash of doc_id, words, piece and, of documents that agree in
+the first two, the ordinal: a doc_id that is null or repeated fills no
+shard more than others do. Every shard is packed on its own:
 
 * pieces are placed in order of falling length, each into the open bin
   whose remaining room is least but sufficient, whatever the bin's size;
@@ -37,6 +39,7 @@ from pyspark.sql import functions as F
 LENGTHS = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 16
 SHARD_PIECES = 4000
+COPIES = 1000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -102,6 +105,17 @@ def best_fit(lengths: Sequence[int], permitted: Sequence[int] = LENGTHS,
     return bins, place, [sizes[bisect_left(sizes, u)] for u in used]
 
 
+def numbered(measured: DataFrame) -> DataFrame:
+    """The rows (doc_id, words), those that are equal told apart by
+    ``copy`` (0, 1, ...), whatever the partitioning. Equal rows are counted
+    and made again a block at a time, so no task gets all of them."""
+    equal = measured.groupBy("doc_id", "words").agg(F.count(F.lit(1)).alias("n"))
+    blocks = equal.select("doc_id", "words", "n", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.col("n") - 1, F.lit(COPIES).cast("long"))).alias("first"))
+    return blocks.repartition("doc_id", "words", "first").select("doc_id", "words", F.explode(F.sequence(
+        F.col("first"), F.least(F.col("n"), F.col("first") + COPIES) - 1)).alias("copy"))
+
+
 def pack(docs: DataFrame, permitted: Sequence[int] = LENGTHS, overhead: int = OVERHEAD,
          shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """One row per piece of ``docs`` (doc_id, text): doc_id, piece (0, 1,
@@ -109,15 +123,16 @@ def pack(docs: DataFrame, permitted: Sequence[int] = LENGTHS, overhead: int = OV
     place (position within the bin), bin_length (the bin's final size) and
     bin_used (its words)."""
     longest = max(permitted)
-    measured = docs.select(F.col("doc_id").cast("long"), word_count("text").alias("words"))
-    pieces = measured.select("doc_id", "words", F.explode(F.sequence(
+    measured = numbered(docs.select(F.col("doc_id").cast("long"), word_count("text").alias("words")))
+    pieces = measured.select("doc_id", "words", "copy", F.explode(F.sequence(
         F.lit(0), F.greatest(F.ceil(F.col("words") / longest) - 1, F.lit(0)).cast("int"))).alias("piece"))
     pieces = pieces.select(
-        "doc_id", "piece", (F.col("piece").cast("long") * longest).alias("start"),
+        "doc_id", "words", "copy", "piece", (F.col("piece").cast("long") * longest).alias("start"),
         F.least(F.col("words") - F.col("piece").cast("long") * longest, F.lit(longest)).cast("long").alias("length"))
     # footers or one narrow column: no text is read for the count
     shards = max(1, -(-docs.select("doc_id").count() // shard_pieces))
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("long"))
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "words", "copy", "piece"), F.lit(shards)).cast("long"))
+    dealt = dealt.drop("words", "copy")
 
     def fill(group: pa.Table) -> pa.Table:
         group = group.sort_by([("doc_id", "ascending"), ("piece", "ascending"), ("length", "ascending")])

@@ -87,6 +87,16 @@ def turns_of(spark, conversations):
     return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
 
 
+def test_packing_deals_rows_without_doc_id_evenly(spark, monkeypatch):
+    monkeypatch.setattr(packing, "COPIES", 70)
+    docs = [(None, "a b c")] * 900 + [(None, "a b")] * 300 + [(5, None)] * 600 + [(i, "one") for i in range(10, 600)]
+    rows = packing.pack(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), shard_pieces=200).collect()
+    assert sorted((str(r.doc_id), r.length) for r in rows) == sorted(
+        (str(i), len((t or "").split())) for i, t in docs)
+    shards = [r.bin_id >> 32 for r in rows]
+    assert max(map(shards.count, set(shards))) < 300
+
+
 def test_chat_collapses_prefixes_and_copies(spark):
     a, b, c = ("user", "hi"), ("assistant", "hello <|end|>"), ("user", None)
     turns = turns_of(spark, [(1, [a]), (2, [a, b]), (3, [a, b, c]), (4, [a, b, c]), (5, [b]), (6, [a, c]), (7, [(None, "hi")])])

@@ -160,3 +160,19 @@ def test_lines_odd_cases(spark):
     # doc_ids 9 (three times), 10 and null hold one line: three documents
     assert by[9].text == "" and by[10].text != ""
     assert line_dedup.drop_common_lines(H.empty_documents(spark)).count() == 0
+
+
+def test_lines_of_rows_without_doc_id_stay_apart(spark):
+    """A list of dropped lines holds no other row's lines, and each once."""
+    line = lambda i: f"this is the common line number {i}"
+    docs = [(None, f"{line(i)}\n{line(i)}\nown {i}") for i in range(30)] * 4
+    docs += [(d, line(i)) for d in (1, 2, 3) for i in range(30)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    rows = line_dedup.line_rows(frame, 20)
+    common = line_dedup.common_lines(frame, rows, 3, 2, 3)
+    lists = line_dedup.drop_lists(rows, common, "k", "t", "gone").select("k", F.size("gone").alias("n")).collect()
+    assert {r.n for r in lists} == {1} and sum(r.k == line_dedup.NO_ID for r in lists) == 30
+    got = line_dedup.drop_common_lines(frame).collect()
+    assert sorted(r.text for r in got if r.doc_id is None) == sorted(f"own {i}" for i in range(30) for _ in range(4))
+    assert all(r.n_dropped == 2 for r in got if r.doc_id is None)
+    assert all((r.text == "") == (r.doc_id < 3) for r in got if r.doc_id)
