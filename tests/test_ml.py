@@ -67,3 +67,19 @@ def test_written_splits_equal_the_transformed_ones(spark):
     got = E.queries()["splits_json_roundtrip"](spark, SF01)
     want = queries_ml._transformed(train.PreparedSplits(registry.user_table(spark, SF01)))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+
+
+def test_boosted_trees_are_tuned_by_five_folds(spark, monkeypatch):
+    asked, whole = [], train.cross_validate
+
+    def spy(*args, folds=5, **kw):
+        asked.append(folds)
+        # trees of one level: the test is of the job's shape
+        return whole(*args, folds=folds, **kw | {"estimator": kw["estimator"].setMaxIter(1).setMaxDepth(1)})
+
+    monkeypatch.setattr(train, "cross_validate", spy)
+    row, = registry.queries()["cross_validate_gbt_scores"](spark, SF01).collect()
+    assert row.is_best and 0 < row.avg_f1 <= 1
+    assert all(0 <= row[f"{split}_{m}"] <= 1 for split in ("validation", "test") for m in ("auc", "f1"))
+    assert registry.queries()["cross_validate_gbt"](spark, SF01).first().n_candidates == 1
+    assert asked == [5, 5]
