@@ -86,48 +86,48 @@ class WordIds:
         self.reset()
 
     def reset(self) -> None:
-        self.known: dict[str, np.ndarray] = {}  # parts: words without case and closing marks
+        self.known: dict[str, int] = {}  # places of parts: words without case and closing marks
+        self.part_ids, self.part_ends = _Grown(), _Grown(np.int64)
+        self.part_ends.add(np.zeros(1, np.int64))
         self.words: dict[str, int] = {}
-        self.flat, self.ends = np.empty(1 << 16, "<u4"), np.zeros(1 << 12, np.int64)
+        self.ids, self.ends = _Grown(), _Grown(np.int64)
+        self.ends.add(np.zeros(1, np.int64))
 
     @staticmethod
-    def parts(word: str) -> tuple[str, ...]:
+    def parts(word: str) -> tuple[str, str]:
+        """A word's parts; the second may be empty."""
         if "<|" in word:
-            return (word,)
+            return word, ""
         if word.isascii():
             word = word.lower()
         core = word.rstrip(CLOSING)
-        return (core, word[len(core):]) if core and core != word and core[-1].isalpha() else (word,)
+        return (core, word[len(core):]) if core and core[-1].isalpha() else (word, "")
 
     def _ask(self, parts: list[str]) -> None:
+        """Encode new parts. Those with a special token's sign are encoded
+        alone, the others joined by one."""
         plain = [p for p in parts if "<|" not in p]
-        for at in range(0, len(plain), WORDS_AT_ONCE):
-            some = plain[at:at + WORDS_AT_ONCE]
+        asked = [plain[at:at + WORDS_AT_ONCE] for at in range(0, len(plain), WORDS_AT_ONCE)]
+        for some in [*asked, *([p] for p in parts if "<|" in p)]:
             ids = np.array(self.library.encode_batch_fast([self.mark.join(some)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(ids == self.mark_id)
+            inside = ids != self.mark_id if len(some) > 1 else np.ones(len(ids), bool)
+            cuts = np.flatnonzero(~inside)
             if len(cuts) != len(some) - 1:
                 raise ValueError("a word holds the id of the mark between words")
-            first, end = np.concatenate([[0], cuts + 1]).tolist(), [*cuts.tolist(), len(ids)]
-            self.known.update((p, ids[i:j]) for p, i, j in zip(some, first, end))
-        for p in parts:
-            if "<|" in p:
-                self.known[p] = np.array(self.library.encode(p, add_special_tokens=False).ids, "<u4")
+            ends = np.append(cuts - np.arange(len(cuts)), int(inside.sum()))
+            self.part_ends.add(len(self.part_ids) + ends)
+            self.part_ids.add(ids[inside])
+            self.known.update(zip(some, range(len(self.known), len(self.known) + len(some))))
 
     def learn(self, new: list[str]) -> None:
         split = [self.parts(w) for w in new]
-        self._ask(list({p for s in split for p in s if p not in self.known}))
-        ids = [self.known[p] for s in split for p in s]
-        size = np.fromiter((sum(len(self.known[p]) for p in s) for s in split), np.int64, len(split))
-        at, base = len(self.words), int(self.ends[len(self.words)])
-        while len(self.ends) < at + len(new) + 1:
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.ends[at + 1:at + len(new) + 1] = base + np.cumsum(size)
-        total = int(self.ends[at + len(new)])
-        while len(self.flat) < total:
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        if ids:
-            self.flat[base:total] = np.concatenate(ids)
-        self.words.update(zip(new, range(at, at + len(new))))
+        self._ask([p for p in dict.fromkeys(x for s in split for x in s) if p not in self.known])
+        get = self.known.__getitem__
+        at = np.fromiter((get(x) for s in split for x in s), np.int64, 2 * len(split))
+        ids, total = _gathered(self.part_ids.all(), self.part_ends.all(), at)
+        self.ends.add(len(self.ids) + total[1::2])
+        self.ids.add(ids)
+        self.words.update(zip(new, range(len(self.words), len(self.words) + len(new))))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all ``texts`` (nulls are empty) one after the other,
@@ -141,19 +141,44 @@ class WordIds:
             split = pc.utf8_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
-        self.learn([w for w in words if w and w not in self.words])
-        empty = len(self.words)  # leading, trailing blanks and empty texts give empty words
-        place = np.fromiter((self.words[w] if w else empty for w in words), np.int64, len(words))
+        known = self.words
+        self.learn([w for w in words if w not in known])  # the empty word, beside blanks, has no ids
+        place = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         at = place[coded.indices.to_numpy(zero_copy_only=False)]
-        ends = np.append(self.ends[:empty + 1], self.ends[empty])
-        size = ends[at + 1] - ends[at]
-        total = np.cumsum(size)
-        n = int(total[-1]) if len(total) else 0
-        ids = self.flat[np.arange(n) + np.repeat(ends[at] - (total - size), size)]
+        ids, total = _gathered(self.ids.all(), self.ends.all(), at)
         counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
         return ids, np.concatenate([[0], total])[np.cumsum(counts)]
 
 
+class _Grown:
+    """An array with room to grow."""
+
+    def __init__(self, dtype="<u4"):
+        self.room, self.size = np.empty(1 << 16, dtype), 0
+
+    def __len__(self) -> int:
+        return self.size
+
+    def add(self, values: np.ndarray) -> None:
+        while len(self.room) < self.size + len(values):
+            self.room = np.concatenate([self.room, np.empty_like(self.room)])
+        self.room[self.size:self.size + len(values)] = values
+        self.size += len(values)
+
+    def all(self) -> np.ndarray:
+        return self.room[:self.size]
+
+
+def _gathered(flat: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows ``at`` of ``flat``, one after the other, and where each ends
+    there; row i of ``flat`` is [ends[i], ends[i + 1])."""
+    first = ends[at]
+    size = ends[at + 1] - first
+    total = np.cumsum(size)
+    n = int(total[-1]) if len(total) else 0
+    return flat[np.arange(n) + np.repeat(first - total + size, size)], total
+
+
 _LOADED: dict[str, WordIds] = {}
 
 
