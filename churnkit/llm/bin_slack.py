@@ -51,8 +51,8 @@ END_TOKEN = 1
 TOKENIZER = "word_bpe_49k.json"
 SHARD_PIECES = 4000
 COPIES = 1000
-SLICE_BYTES = 4 << 20
-WORDS_KEPT = 600_000
+SLICE_BYTES = 8 << 20
+WORDS_KEPT = 1_200_000
 WORDS_AT_ONCE = 1000
 PIECE = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
 CLOSING = ".,!?;:"
@@ -100,8 +100,10 @@ class WordIds:
             return word, ""
         if word.isascii():
             word = word.lower()
+        if word[-1:] not in CLOSING:
+            return word, ""
         core = word.rstrip(CLOSING)
-        return (core, word[len(core):]) if core and core[-1].isalpha() else (word, "")
+        return (core, word[len(core):]) if core[-1:].isalpha() else (word, "")
 
     def _ask(self, parts: list[str]) -> None:
         """Encode new parts. Those with a special token's sign are encoded
