@@ -6,12 +6,17 @@ directory (``spark.checkpoint.dir``) and read back with declared schemas.
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.sql import functions as F
+
 from churnkit.operators import clean, features
+from churnkit.operators.incremental import FeatureStore
 from churnkit.plans import oracle as O
 from churnkit.plans.registry import events, register, user_table
 from churnkit.schema import EVENT_SCHEMA, LOG_SCHEMA
 from churnkit.session import scratch_path, table_path
-from churnkit.sources import io
+from churnkit.sources import io, landing, layout
 
 W = O.with_ctes
 EVENT_COLS = ", ".join(f.name for f in EVENT_SCHEMA.fields)
@@ -94,6 +99,103 @@ def q_sql_view_query(spark, sf_dir):
                      "FROM churnkit_events GROUP BY page")
 
 
+# ---------------------------------------------------------------------------
+# The log landed as date-partitioned Parquet, and what builds on it
+# ---------------------------------------------------------------------------
+
+def _log_lines(events, bad: bool):
+    """The log as JSON lines; with ``bad`` some lines that cannot be landed
+    are added, one for every event of a few ids."""
+    lines = events.select(F.to_json(F.struct(*events.columns)).alias("value"))
+    if not bad:
+        return lines
+    for rest, end in ((7, ""), (9, ',"ts":"later"}'), (11, ',"userId":"u"}')):
+        some = events.where(F.col("event_id") % 50 == rest)
+        lines = lines.union(some.select(F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(end))))
+    return lines
+
+
+def _landed(spark, sf_dir, bad=True):
+    """Land the test log; (table, quarantine, counts)."""
+    base = scratch_path(spark, "landing")
+    _log_lines(events(spark, sf_dir), bad).write.text(f"{base}/lines")
+    counts = landing.land_events(spark, f"{base}/lines", f"{base}/events", f"{base}/bad", "first")
+    return f"{base}/events", f"{base}/bad", counts
+
+
+_DATE = "CAST(make_timestamp(CAST(ts AS BIGINT) * 1000) AS DATE)"
+
+
+@register("land_events", W(f"SELECT {EVENT_COLS}, {_DATE} AS event_date FROM event_log", "event_log"))
+def q_land_events(spark, sf_dir):
+    """S1 -> S4: the JSON log with planted bad lines as Parquet by date."""
+    return landing.read_landed(spark, _landed(spark, sf_dir)[0])
+
+
+_BAD_SQL = " UNION ALL ".join(
+    f"SELECT 'first' AS batch, '{reason}' AS reason, '{{\"event_id\":' || event_id || '{end}' AS line FROM event_log "
+    f"WHERE event_id % 50 = {rest}" for reason, rest, end in (
+        ("unreadable", 7, ""), ("unreadable", 9, ',"ts":"later"}'), ("no timestamp", 11, ',"userId":"u"}')))
+
+
+@register("land_quarantine", W(_BAD_SQL, "event_log"))
+def q_land_quarantine(spark, sf_dir):
+    return landing.read_quarantine(spark, _landed(spark, sf_dir)[1])
+
+
+@register("land_counts", W(
+    "SELECT count(*) + count(*) FILTER (event_id % 50 IN (7, 9, 11)) AS lines, count(*) AS rows, "
+    "count(*) FILTER (event_id % 50 IN (7, 9)) AS unreadable, count(*) FILTER (event_id % 50 = 11) AS no_timestamp, "
+    "CAST(0 AS BIGINT) AS other_day FROM event_log", "event_log"))
+def q_land_counts(spark, sf_dir):
+    """The counts observed while the log was written."""
+    c = _landed(spark, sf_dir)[2]
+    return spark.createDataFrame([(c.lines, c.rows, c.unreadable, c.no_timestamp, c.other_day)],
+                                 "lines long, rows long, unreadable long, no_timestamp long, other_day long")
+
+
+@register("incremental_features", W("SELECT * FROM features", "features"))
+def q_incremental_features(spark, sf_dir):
+    """L8 / L9 from three loads of the landed log, one of them loaded again
+    after a compaction."""
+    log = landing.read_landed(spark, _landed(spark, sf_dir, bad=False)[0])
+    first, last = log.agg(F.min("event_date"), F.max("event_date")).first()
+    third = (last - first) / 3
+    starts = [first, first + third, first + 2 * third, last + dt.timedelta(days=1)]
+    store = FeatureStore(spark, scratch_path(spark, "feature-store"))
+    ranges = [(a, b - dt.timedelta(days=1)) for a, b in zip(starts, starts[1:])]
+    for i, (a, b) in enumerate(ranges[:2]):
+        store.load(log, f"load-{i}", a, b)
+    store.compact()
+    store.load(log, "load-2", *ranges[2])
+    store.load(log, "load-1", *ranges[1])
+    return store.features()
+
+
+def _laid_out(spark, sf_dir):
+    """The cleaned log laid out by user, a user of more than 200 events in
+    parts."""
+    log = clean.filter_missing_user(events(spark, sf_dir))
+    return layout.lay_out(log, scratch_path(spark, "layout"), heavy=200)
+
+
+@register("label_events_laid_out", W("SELECT userId, event_id, page, churn_lab FROM labelled", "labelled"))
+def q_label_events_laid_out(spark, sf_dir):
+    return layout.label_laid_out(_laid_out(spark, sf_dir)).select("userId", "event_id", "page", "churn_lab")
+
+
+@register("churned_events_laid_out", W(
+    "SELECT userId, event_id, page FROM labelled WHERE churn_lab = 1", "labelled"))
+def q_churned_events_laid_out(spark, sf_dir):
+    return layout.churned_events(_laid_out(spark, sf_dir)).select("userId", "event_id", "page")
+
+
+@register("retained_events_laid_out", W(
+    "SELECT userId, event_id, page FROM labelled WHERE churn_lab = 0", "labelled"))
+def q_retained_events_laid_out(spark, sf_dir):
+    return layout.churned_events(_laid_out(spark, sf_dir), anti=True).select("userId", "event_id", "page")
+
+
 # ---------------------------------------------------------------------------
 # Streaming: the events table read as a file stream
 # ---------------------------------------------------------------------------
