@@ -11,14 +11,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def confusion_counts(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Tp, fp, tn, fn in one pass."""
+def confusion_counts(pred: DataFrame, label: str = "label", prediction: str = "prediction",
+                     by: Sequence[str] = ()) -> DataFrame:
+    """Tp, fp, tn, fn in one pass, of all rows or for each group ``by``."""
     p, y = F.col(prediction), F.col(label)
-    return pred.agg(
+    return (pred.groupBy(*by) if by else pred).agg(
         F.count_if((p == 1.0) & (y == 1.0)).alias("tp"),
         F.count_if((p == 1.0) & (y == 0.0)).alias("fp"),
         F.count_if((p == 0.0) & (y == 0.0)).alias("tn"),
@@ -38,7 +39,7 @@ def confusion_pct(counts: DataFrame) -> DataFrame:
                            for c in ("tp", "fp", "tn", "fn")])
 
 
-def metrics_from_counts(counts: DataFrame) -> DataFrame:
+def metrics_from_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """E2 / E3 from confusion counts: accuracy, class-weighted precision /
     recall / F1 (the multiclass evaluator's ``weighted*`` and ``f1``) and
     the churn-class precision / recall / F1."""
@@ -49,6 +50,7 @@ def metrics_from_counts(counts: DataFrame) -> DataFrame:
     f1_1, f1_0 = _div(p1 * r1 * 2.0, p1 + r1), _div(p0 * r0 * 2.0, p0 + r0)
     w1, w0 = _div(tp + fn, n), _div(tn + fp, n)
     return counts.select(
+        *by,
         _div(tp + tn, n).alias("accuracy"),
         (w0 * p0 + w1 * p1).alias("weighted_precision"),
         (w0 * r0 + w1 * r1).alias("weighted_recall"),
@@ -72,12 +74,6 @@ def area_under_roc(pred: DataFrame, label: str = "label", raw: str = "rawPredict
     return ev.evaluate(pred)
 
 
-def evaluator_metric(pred: DataFrame, metric: str, label: str = "label") -> float:
-    """The multiclass evaluator itself (f1, accuracy, weightedPrecision, ...)."""
-    return MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
-                                             metricName=metric).evaluate(pred)
-
-
 def confusion_comparison(named: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """Confusion counts of several models, one row per model."""
     rows = [confusion_counts(p).select(F.lit(name).alias("model"), "*") for name, p in named]

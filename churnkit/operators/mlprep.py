@@ -15,6 +15,7 @@ from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from churnkit.operators.ranks import numbered
 from churnkit.schema import CATEGORICAL_COLUMNS, LEAKY_PAGES, MEASURE_COLUMNS, MODEL_PAGE_COLUMNS, SPLIT_PERCENT
 
 NUMERIC_INPUTS = tuple(MEASURE_COLUMNS) + tuple(MODEL_PAGE_COLUMNS)
@@ -63,6 +64,24 @@ def string_indexer(cols: Sequence[str] = CATEGORICAL_COLUMNS) -> StringIndexer:
                          handleInvalid="keep", stringOrderType="frequencyDesc")
 
 
+def frequency_index(df: DataFrame, col: str, name: str = "idx") -> DataFrame:
+    """M1 / M3 for a vocabulary too large for the driver: (col, n, idx) of
+    every value, the most frequent 0 (ties in the values' order). The
+    numbers come from a distributed sort of the counted values; no
+    vocabulary is collected."""
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    return numbered(counts, [F.desc("n"), F.asc(col)], name)
+
+
+def with_frequency_index(df: DataFrame, col: str, index: DataFrame, name: str = "idx") -> DataFrame:
+    """``df`` with the index of ``col`` joined on; null and unseen values get
+    the number of indexed values, like ``StringIndexer`` that keeps them. As
+    a one-hot slot that number is the all-zero baseline."""
+    size = index.count()
+    return (df.join(index.select(F.col(col), F.col(name).alias("_idx")), col, "left")
+            .select(*df.columns, F.coalesce("_idx", F.lit(size)).cast("double").alias(index_col(col))))
+
+
 def one_hot_encoder(cols: Sequence[str] = CATEGORICAL_COLUMNS) -> OneHotEncoder:
     """M3: one slot per known value; null / unseen is the all-zero baseline."""
     return OneHotEncoder(inputCols=[index_col(c) for c in cols], outputCols=[encoded_col(c) for c in cols],

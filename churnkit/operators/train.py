@@ -14,10 +14,12 @@ from multiprocessing.pool import ThreadPool
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
-from churnkit.operators import evaluate, mlprep
+from churnkit.operators import evaluate, mlprep, roc
+from churnkit.operators.folds import fold_statistics, scaled_vector
 from churnkit.schema import LR_GRID
 from churnkit.session import reliable_checkpoint
 
@@ -97,19 +99,31 @@ def metric_row(name: str, metrics: dict) -> tuple:
             metrics["churn_recall"], metrics["churn_f1"])
 
 
+METRIC_SCHEMA = "model string, " + ", ".join(f"{c} double" for c in METRIC_COLUMNS[1:])
+
+
 def compare_models(spark, named_models: Sequence[tuple[str, object]], validation: DataFrame):
     """E5 + E6: metric table of fitted models on the validation split, and
-    the best one by strictly greater weighted F1 (ties: first listed)."""
+    the best one by strictly greater weighted F1 (ties: first listed).
+
+    All models' scores are one table of (model, label, prediction, score),
+    written once; its confusion counts and ROC curves are one aggregate and
+    one sorted pass for all models."""
+    scores = None
+    for i, (_, model) in enumerate(named_models):
+        rows = model.transform(validation).select(
+            F.lit(i).alias("model"), "label", "prediction", vector_to_array("rawPrediction")[1].alias("score"))
+        scores = rows if scores is None else scores.union(rows)
+    scores = materialize(scores)
+    metrics = evaluate.metrics_from_counts(evaluate.confusion_counts(scores, by=["model"]), by=["model"])
+    areas = roc.roc_summary(roc.roc_points(scores)).select("model", "area_under_roc")
+    found = {r["model"]: r.asDict() for r in metrics.join(areas, "model").collect()}  # a row per model
     rows, best = [], None
-    for name, model in named_models:
-        pred = model.transform(validation)
-        m = evaluate.classification_metrics(pred).first().asDict()
-        m["area_under_roc"] = evaluate.area_under_roc(pred)
-        rows.append(metric_row(name, m))
-        if best is None or m["weighted_f1"] > best[1]:
-            best = (name, m["weighted_f1"], model)
-    table = spark.createDataFrame(rows, list(METRIC_COLUMNS))
-    return table, best
+    for i, (name, model) in enumerate(named_models):
+        rows.append(metric_row(name, found[i]))
+        if best is None or found[i]["weighted_f1"] > best[1]:
+            best = (name, found[i]["weighted_f1"], model)
+    return spark.createDataFrame(rows, METRIC_SCHEMA), best
 
 
 def param_grid(estimator, grid: dict | None = None):
@@ -131,30 +145,34 @@ def evaluator_for(metric: str):
 
 
 def cross_validate(raw_train: DataFrame, inputs: Sequence[str] | None = None, grid: dict | None = None,
-                   folds: int = 5, parallelism: int = 4, estimator=None, metric: str = "areaUnderROC"):
+                   folds: int = 5, parallelism: int = 8, estimator=None, metric: str = "areaUnderROC"):
     """T6 + T7: k-fold cross-validation of a classifier (by default logistic
     regression by AUC; gradient-boosted trees by weighted F1 with an empty
     grid is the source's other run). Folds come from a hash of the user id
-    (reproducible on any partitioning). The transforms don't depend on the
-    grid: they are fitted once a fold, and the candidates of a fold, fitted
-    ``parallelism`` at a time, read its checkpointed vectors. Returns the
-    pipeline refitted on all rows with the best candidate, and the table."""
+    (reproducible on any partitioning). The transforms of all folds come from
+    one aggregate (``folds``) and are expressions over one checkpointed
+    table; every candidate of every fold is fitted on its own,
+    ``parallelism`` at a time. Returns the pipeline refitted on all rows with
+    the best candidate, and the table."""
     estimator = logistic_regression() if estimator is None else estimator
     params, by = param_grid(estimator, grid), evaluator_for(metric)
     fold = (mlprep.split_bucket() % folds).cast("int")
     data = materialize(raw_train.withColumn("fold", fold))
-    metrics = [[0.0] * folds for _ in params]
-    for k in range(folds):
-        inside, outside = data.where(F.col("fold") != k), data.where(F.col("fold") == k)
-        transform = mlprep.feature_transform(inputs).fit(inside)
-        fit_on, check_on = (materialize(transform.transform(d).select("label", "scaled_features"))
-                            for d in (inside, outside))
-
-        def one(i, k=k, fit_on=fit_on, check_on=check_on):
-            metrics[i][k] = by.evaluate(estimator.fit(fit_on, params[i]).transform(check_on))
-
-        with ThreadPool(parallelism) as pool:
-            pool.map(one, range(len(params)))
+    found = fold_statistics(data, inputs)
+    missing = [k for k in range(folds) if k not in found.rows]
+    if missing:
+        raise ValueError(f"folds without rows: {missing}; use fewer folds or a larger data set")
+    vectors = [data.select("fold", "label", scaled_vector(found.without(k)).alias("scaled_features")) for k in range(folds)]
+
+    def one(task):
+        i, k = task
+        inside, outside = (vectors[k].where(c) for c in (F.col("fold") != k, F.col("fold") == k))
+        return by.evaluate(estimator.fit(inside, params[i]).transform(outside))
+
+    tasks = [(i, k) for i in range(len(params)) for k in range(folds)]
+    with ThreadPool(parallelism) as pool:
+        scores = pool.map(one, tasks)
+    metrics = [scores[i * folds:(i + 1) * folds] for i in range(len(params))]
     names = list(LR_GRID if grid is None else grid)
     rows = [tuple(float(pm[estimator.getParam(n)]) for n in names) + (sum(m) / folds,)
             for pm, m in zip(params, metrics)]

@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from churnkit.operators import evaluate, mlprep, score, train
+from churnkit.operators import clean, evaluate, explain, folds, mlprep, roc, score, train
 from churnkit.plans import oracle as O
-from churnkit.plans.registry import register, user_table
+from churnkit.plans.registry import events, register, user_table
 from churnkit.plans.oracle import TEST_FEATURE_COLUMNS as FEATURE_COLUMNS, TEST_PAGES, TEST_PAGE_COLUMNS as PAGE_COLUMNS
 from churnkit.schema import CATEGORICAL_COLUMNS
 from churnkit.session import reliable_checkpoint, scratch_path
@@ -273,6 +273,58 @@ def q_auc(spark, sf_dir):
     return counts.select(F.round(F.lit(value), 6).alias("auc"), "n_pos", "n_neg")
 
 
+# -- ROC curves of two fixed scorers in one pass --------------------------------
+
+ROC_SQL = RULE + """,
+scorers AS (
+  SELECT 'errors' AS model, label, score FROM rule UNION ALL
+  SELECT 'adverts', CAST(churn_label AS DOUBLE), CAST(Roll_Advert AS DOUBLE) / nullif(""" + _TOTAL + """, 0) FROM features),
+counted AS (
+  SELECT model, score, count(*) FILTER (WHERE label = 1.0) AS pos, count(*) FILTER (WHERE label = 0.0) AS neg
+  FROM scorers GROUP BY model, score),
+points AS (
+  SELECT model, score AS threshold, pos, neg,
+         CAST(sum(pos) OVER (PARTITION BY model ORDER BY score DESC) AS BIGINT) AS tp,
+         CAST(sum(neg) OVER (PARTITION BY model ORDER BY score DESC) AS BIGINT) AS fp,
+         CAST(sum(pos) OVER (PARTITION BY model) AS BIGINT) AS p, CAST(sum(neg) OVER (PARTITION BY model) AS BIGINT) AS n
+  FROM counted)"""
+
+
+def _scorers(spark, sf_dir):
+    users = user_table(spark, sf_dir)
+    total = sum((F.coalesce(F.col(c), F.lit(0)) for c in PAGE_COLUMNS), F.lit(0))
+    scores = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.try_divide(F.col(c).cast("double"), total).alias("score"))
+                                 for m, c in (("errors", "Error"), ("adverts", "Roll_Advert"))]))
+    return users.select(F.col("churn_label").cast("double").alias("label"), scores.alias("s")).select("label", "s.*")
+
+
+@register("roc_points", W(
+    "SELECT model, threshold, tp, fp, CAST(tp AS DOUBLE) / p AS tpr, CAST(fp AS DOUBLE) / n AS fpr FROM points",
+    "features", extra=ROC_SQL))
+def q_roc_points(spark, sf_dir):
+    return roc.roc_curve(roc.roc_points(_scorers(spark, sf_dir)))
+
+
+@register("roc_summary", W(
+    "SELECT model, max(p) AS n_pos, max(n) AS n_neg, sum(neg * (2 * tp - pos)) / (2.0 * max(p) * max(n)) AS area_under_roc, "
+    "max(2.0 * tp / (tp + fp + p)) AS best_f1, arg_max(threshold, (2.0 * tp / (tp + fp + p), threshold)) AS best_threshold "
+    "FROM points GROUP BY model", "features", extra=ROC_SQL))
+def q_roc_summary(spark, sf_dir):
+    return roc.roc_summary(reliable_checkpoint(roc.roc_points(_scorers(spark, sf_dir))))
+
+
+@register("index_large_vocabulary", W(
+    "SELECT u.userId, u.location, CAST(i.idx AS DOUBLE) AS location_index FROM users u JOIN (SELECT location, "
+    "row_number() OVER (ORDER BY count(*) DESC, location) - 1 AS idx FROM users GROUP BY location) i USING (location)",
+    "event_log", extra="users AS (SELECT DISTINCT userId, location FROM event_log WHERE userId <> '')"))
+def q_index_large_vocabulary(spark, sf_dir):
+    """M1 without a vocabulary on the driver: the users' locations."""
+    users = clean.filter_missing_user(events(spark, sf_dir)).select("userId", "location").distinct()
+    users = _fit_input(users)
+    index = _fit_input(mlprep.frequency_index(users, "location"))
+    return mlprep.with_frequency_index(users, "location", index)
+
+
 # ---------------------------------------------------------------------------
 # T / R: fitted models (rows-only)
 # ---------------------------------------------------------------------------
@@ -345,6 +397,206 @@ def q_boosting_known_answer(spark, sf_dir):
     return _on_parity(spark, sf_dir, train.gradient_boosted_trees("features").setMaxIter(1).setMaxDepth(1))
 
 
+# -- what these models make of it: metrics, churners, coefficients, contributions --
+
+PARITY_SQL = """
+users AS (SELECT userId, CAST(churn_label AS DOUBLE) AS label, CAST(coalesce(total_items, 0) % 2 AS DOUBLE) AS odd, split, b
+          FROM features JOIN (""" + SPLIT_SQL.replace("END AS split", "END AS split, b") + """) USING (userId)),
+fit AS (SELECT avg(label) FILTER (odd = 1) AS s1, avg(label) FILTER (odd = 0) AS s0, avg(label) AS s, avg(odd) AS mean,
+               stddev_samp(odd) AS sd FROM users WHERE split = 'train'),
+fitted AS (SELECT *, ln(s1 / (1 - s1)) - ln(s0 / (1 - s0)) AS slope FROM fit),
+known AS (SELECT userId, label, odd, CASE WHEN odd = 1 THEN s1 ELSE s0 END AS share, s, mean, slope, split FROM users, fitted),
+rule_pred AS (SELECT userId, label, share AS score, CASE WHEN share > s THEN 1.0 ELSE 0.0 END AS prediction
+              FROM known WHERE split = 'validation')"""
+
+
+class _Parity:
+    """The user table reduced to the parity of the item total (and a constant
+    input), its splits, and a logistic regression that calls a user a churner
+    above the training split's churn share."""
+
+    def __init__(self, spark, sf_dir):
+        from pyspark.ml.feature import VectorAssembler
+        users = mlprep.label_cast(user_table(spark, sf_dir).select("userId", "churn_label", "total_items"))
+        users = users.withColumns({"odd": (F.coalesce("total_items", F.lit(0)) % 2).cast("double"), "same": F.lit(1.0)})
+        users = _fit_input(VectorAssembler(inputCols=["odd", "same"], outputCol="features").transform(users))
+        self.train, self.validation, self.test = mlprep.split_users(users)
+        self.share = self.train.agg(F.avg("label")).first()[0]
+
+    def regression(self, **kw):
+        return train.logistic_regression(**{"features": "features", "tol": 1e-12, "threshold": self.share, **kw}).fit(self.train)
+
+    def boosted(self):
+        """One tree of depth 1: its probability is 1 / (1 + exp(-2 (2 share - 1)))."""
+        import math
+        cut = 1 / (1 + math.exp(-2 * (2 * self.share - 1)))
+        one = train.gradient_boosted_trees("features").setMaxIter(1).setMaxDepth(1)
+        return one.setThresholds([1 - cut, cut]).fit(self.train)
+
+
+_AUC_SQL = ("(SELECT (sum(r) FILTER (WHERE label = 1.0) - max(p) * (max(p) + 1) / 2.0) / (max(p) * max(n)) FROM (SELECT label, "
+            "rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r, "
+            "count(*) FILTER (WHERE label = 1.0) OVER () AS p, count(*) FILTER (WHERE label = 0.0) OVER () AS n FROM rule_pred))")
+
+
+@register("known_comparison", W(
+    "SELECT v.model, round(weighted_f1, 6) AS f1_score, round(" + _AUC_SQL + ", 6) AS area_under_roc, round(accuracy, 6) AS accuracy, "
+    "round(weighted_precision, 6) AS precision, round(weighted_recall, 6) AS recall, round(churn_f1, 6) AS churn_f1, "
+    "v.model = 'Logistic Regression' AS is_best FROM (" + METRICS_SQL + ") m, (VALUES ('Logistic Regression'), "
+    "('Gradient Boosted Trees')) AS v(model)", "features", extra=PARITY_SQL + ",\n" + COUNTS))
+def q_known_comparison(spark, sf_dir):
+    """Two models whose predictions SQL can make; the first of
+    equal F1 is the best."""
+    p = _Parity(spark, sf_dir)
+    table, best = train.compare_models(spark, [("Logistic Regression", p.regression()),
+                                               ("Gradient Boosted Trees", p.boosted())], p.validation)
+    names = ("f1_score", "area_under_roc", "accuracy", "precision", "recall", "churn_f1")
+    return table.select("model", *[F.round(c, 6).alias(c) for c in names], (F.col("model") == best[0]).alias("is_best"))
+
+
+@register("known_confusion", W("SELECT v.model, tp, fp, tn, fn FROM counts, (VALUES ('Logistic Regression'), "
+                               "('Gradient Boosted Trees')) AS v(model)", "features", extra=PARITY_SQL + ",\n" + COUNTS))
+def q_known_confusion(spark, sf_dir):
+    """The confusion counts of two models, cell by cell."""
+    p = _Parity(spark, sf_dir)
+    return evaluate.confusion_comparison([("Logistic Regression", p.regression().transform(p.validation)),
+                                          ("Gradient Boosted Trees", p.boosted().transform(p.validation))])
+
+
+@register("known_predicted_churners", W(
+    "SELECT userId, prediction, round(score, 6) AS churn_probability, label FROM rule_pred WHERE prediction = 1.0",
+    "features", extra=PARITY_SQL))
+def q_known_predicted_churners(spark, sf_dir):
+    """R2."""
+    p = _Parity(spark, sf_dir)
+    found = score.predicted_churners(p.regression().transform(p.validation))
+    return found.withColumn("churn_probability", F.round("churn_probability", 6))
+
+
+@register("known_actual_churners", W(
+    "SELECT userId, prediction, round(score, 6) AS churn_probability, label FROM rule_pred WHERE label = 1.0",
+    "features", extra=PARITY_SQL))
+def q_known_actual_churners(spark, sf_dir):
+    """R3."""
+    p = _Parity(spark, sf_dir)
+    found = score.actual_churners(p.regression().transform(p.validation))
+    return found.withColumn("churn_probability", F.round("churn_probability", 6))
+
+
+@register("known_coefficients", W(
+    "SELECT CAST(0 AS INTEGER) AS idx, 'odd' AS feature, round(sd * slope, 4) AS coefficient, round(abs(sd * slope), 4) "
+    "AS abs_coefficient FROM fitted UNION ALL SELECT 1, 'same', 0.0, 0.0", "features", extra=PARITY_SQL))
+def q_known_coefficients(spark, sf_dir):
+    """On scaled inputs the coefficient is the input's deviation times
+    the log odds ratio."""
+    p = _Parity(spark, sf_dir)
+    scaled = mlprep.scaler().fit(p.train).transform(p.train)
+    model = train.logistic_regression(tol=1e-12).fit(scaled)
+    table = score.top_features(score.coefficient_table(spark, model, p.train), 10)
+    return table.select("idx", "feature", *[(F.round(c, 4) + F.lit(0.0)).alias(c) for c in ("coefficient", "abs_coefficient")])
+
+
+@register("known_importances", "SELECT CAST(0 AS INTEGER) AS idx, 'odd' AS feature, CAST(1.0 AS DOUBLE) AS importance "
+                               "UNION ALL SELECT 1, 'same', 0.0")
+def q_known_importances(spark, sf_dir):
+    """All importance lies on the one input that splits."""
+    p = _Parity(spark, sf_dir)
+    return score.feature_importance(spark, p.boosted(), p.train)
+
+
+@register("known_topk_retrain", W(
+    "SELECT round(weighted_f1, 6) AS weighted_f1, round(accuracy, 6) AS accuracy, round(churn_f1, 6) AS churn_f1 FROM ("
+    + METRICS_SQL + ")", "features", extra=PARITY_SQL + ",\n" + COUNTS))
+def q_known_topk_retrain(spark, sf_dir):
+    """The best input alone, scaled again, gives the same predictions."""
+    p = _Parity(spark, sf_dir)
+    table = score.coefficient_table(spark, p.regression(), p.train)
+    indices = [r["idx"] for r in score.top_features(table, 1).collect()]
+    top = score.topk_estimator(indices)
+    top.getStages()[-1].setThreshold(p.share).setTol(1e-12)
+    metrics = evaluate.classification_metrics(top.fit(p.train).transform(p.validation))
+    return metrics.select(*[F.round(c, 6).alias(c) for c in ("weighted_f1", "accuracy", "churn_f1")])
+
+
+@register("lr_contributions", W(
+    "SELECT userId, 'odd' AS feature, round(slope * (odd - mean), 4) AS contribution, "
+    "round(ln(share / (1 - share)), 4) AS log_odds FROM known WHERE split = 'validation' UNION ALL "
+    "SELECT userId, 'same', 0.0, round(ln(share / (1 - share)), 4) FROM known WHERE split = 'validation'",
+    "features", extra=PARITY_SQL))
+def q_lr_contributions(spark, sf_dir):
+    """R5 for single users: contributions, and the log odds they add up to."""
+    p = _Parity(spark, sf_dir)
+    found = explain.lr_contributions(p.regression(), p.validation, explain.mean_vector(p.train, "features"), "features")
+    return _with_total(found, "log_odds")
+
+
+@register("tree_contributions", W(
+    "SELECT userId, feature, CASE feature WHEN 'odd' THEN round(2 * (share - s), 4) + 0.0 ELSE 0.0 END AS contribution, "
+    "round(2 * share - 1, 4) AS raw_score FROM known, (VALUES ('odd'), ('same')) AS v(feature) WHERE split = 'validation'",
+    "features", extra=PARITY_SQL))
+def q_tree_contributions(spark, sf_dir):
+    """R7 for single users: Shapley values of boosted trees."""
+    p = _Parity(spark, sf_dir)
+    return _with_total(explain.tree_contributions(p.boosted(), p.validation, "features"), "raw_score")
+
+
+def _with_total(found, name):
+    from pyspark.sql import Window
+    total = F.col("base_value") + F.sum("contribution").over(Window.partitionBy("userId"))  # a row per slot of a user
+    return found.select("userId", "feature", (F.round("contribution", 4) + F.lit(0.0)).alias("contribution"),
+                        F.round(total, 4).alias(name))
+
+
+def _fold_sql():
+    numeric = " UNION ALL ".join(
+        f"SELECT fold, '{c}' AS input, '' AS category, CAST({c} AS DOUBLE) AS x FROM folded" for c in NUMERIC)
+    slots = " UNION ALL ".join(
+        f"SELECT f.fold, '{c}', v.{c}, CASE WHEN f.{c} = v.{c} THEN 1.0 ELSE 0.0 END FROM folded f, "
+        f"(SELECT DISTINCT {c} FROM folded WHERE {c} IS NOT NULL) v" for c in CATEGORICAL_COLUMNS)
+    return W(
+        "SELECT k.fold, v.input, v.category, count(*) AS n, round(avg(x), 4) + 0.0 AS mean, round(stddev_samp(x), 4) + 0.0 AS sd "
+        "FROM vals v, (SELECT DISTINCT fold FROM folded) k WHERE v.fold <> k.fold GROUP BY k.fold, v.input, v.category "
+        "HAVING v.category = '' OR sum(x) > 0", "features", extra=",\n".join([
+            _filled_sql(), "folded AS (SELECT f.*, CAST(b % 5 AS INTEGER) AS fold FROM filled f JOIN ("
+            + SPLIT_SQL.replace("END AS split", "END AS split, b") + ") USING (userId) WHERE b < 70)",
+            f"vals AS ({numeric} UNION ALL {slots})"]))
+
+
+@register("cv_fold_moments", _fold_sql())
+def q_cv_fold_moments(spark, sf_dir):
+    """Mean and deviation of every slot of every fold's transform, merged
+    from one aggregate over the folds."""
+    users, _, _ = mlprep.split_users(_users_filled(spark, sf_dir))
+    data = users.withColumn("fold", (mlprep.split_bucket() % 5).cast("int"))
+    found = folds.fold_statistics(data)
+    rows = [(k, c, value or "", m.n, m.mean, m.sd) for k in sorted(found.rows) for c, value, m in found.without(k)]
+    table = spark.createDataFrame(rows, "fold int, input string, category string, n long, mean double, sd double")
+    return table.withColumns({c: F.round(c, 4) + F.lit(0.0) for c in ("mean", "sd")})
+
+
+def _cv_sql():
+    """Two candidates whose scores only order the two groups: a fold's area
+    follows from the groups' shares in the other folds."""
+    return W(
+        "SELECT v.reg AS \"regParam\", round(avg(auc), 6) AS avg_auc, v.reg = 0.0 AS is_best FROM (SELECT fold, CASE WHEN s1 = s0 THEN 0.5 ELSE CASE WHEN s1 > s0 "
+        "THEN (p1 * n0 + 0.5 * (p1 * n1 + p0 * n0)) ELSE (p0 * n1 + 0.5 * (p1 * n1 + p0 * n0)) END / ((p0 + p1) * (n0 + n1)) END AS auc "
+        "FROM (SELECT k.fold, avg(label) FILTER (u.fold <> k.fold AND odd = 1) AS s1, avg(label) FILTER (u.fold <> k.fold AND odd = 0) "
+        "AS s0, " + ", ".join(
+            f"count(*) FILTER (u.fold = k.fold AND odd = {o} AND label = {y}) AS {'np'[y]}{o}" for o in (0, 1) for y in (0, 1))
+        + " FROM folded u, (SELECT DISTINCT fold FROM folded) k GROUP BY k.fold)), (VALUES (0.0), (0.01)) AS v(reg) GROUP BY v.reg",
+        "features", extra=PARITY_SQL + ",\nfolded AS (SELECT *, b % 5 AS fold FROM users WHERE split = 'train')")
+
+
+@register("known_cross_validation", _cv_sql())
+def q_known_cross_validation(spark, sf_dir):
+    """5 folds, two candidates; the first of equal area is chosen."""
+    users = mlprep.label_cast(mlprep.fill_nulls(user_table(spark, sf_dir)))
+    users = users.withColumn("odd", (F.col("total_items") % 2).cast("double"))
+    fit_on, _, _ = mlprep.split_users(_fit_input(users))
+    _, table = train.cross_validate(fit_on, ["odd"], grid={"regParam": (0.0, 0.01)})
+    return table.select("regParam", F.round("avg_auc", 6).alias("avg_auc"), "is_best")
+
+
 @register("train_and_evaluate")
 def q_train_and_evaluate(spark, sf_dir):
     s = _splits(spark, sf_dir)
