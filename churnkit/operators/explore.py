@@ -13,10 +13,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from churnkit.functions.columns import first_values, total_length
 from churnkit.functions.dates import days_between
-from churnkit.operators.joins import sized_broadcast
+from churnkit.operators.boxplot import SKETCH_K, quartiles
 from churnkit.operators.label import churned_users, label_events
 from churnkit.schema import CHURN_PAGE
-from churnkit.session import reliable_checkpoint
 
 
 def _mean_length(col="length"):
@@ -160,68 +159,18 @@ def days_since_registration(events: DataFrame, key: str = "userId") -> DataFrame
     return first_values(with_days, key, ["NumDaysSinceRegistration"], with_label="churn_lab")
 
 
-QUARTILES = (0.25, 0.5, 0.75)
-# Label values up to which the per-group quartile targets are broadcast.
-MAX_LABEL_VALUES = 1000
+def metric_values(users: DataFrame, metrics: Sequence[str], label: str = "churn_label",
+                  keep: Sequence[str] = ()) -> DataFrame:
+    """(*keep, label, metric, value): the users' metrics, one row each."""
+    pairs = ", ".join(f"'{m}', CAST(`{m}` AS DOUBLE)" for m in metrics)
+    return users.selectExpr(*[f"`{c}`" for c in (*keep, label)], f"stack({len(metrics)}, {pairs}) AS (metric, value)")
 
 
 def metric_summary_by_label(users: DataFrame, metrics: Sequence[str], label: str = "churn_label",
-                            accuracy: int = 10_000) -> DataFrame:
+                            accuracy: int = SKETCH_K) -> DataFrame:
     """Five-number summary (min, quartiles, max) of per-user metrics by
-    label; the numbers behind the box plots.
-
-    Quartiles are exact: the value at rank max(1, ceil(p * n)) of the
-    group's non-null values (a discrete percentile). No task gathers a
-    group's values:
-
-    1. One mergeable aggregate per (metric, label), checkpointed (a row per
-       group): n, min, max and, from a bounded quantile sketch, two values
-       whose ranks are within the sketch's error (n / ``accuracy``) below
-       and above each target rank, so the target value lies between them.
-    2. A second pass counts, per group and quartile, the values below that
-       band and the occurrences of each distinct value inside it; a running
-       count over those band rows (at most about 6 n / ``accuracy``
-       distinct values, whatever the duplicates) picks the exact value.
-    """
-    group = ["metric", label]
-    pairs = ", ".join(f"'{m}', CAST(`{m}` AS DOUBLE)" for m in metrics)
-    long = users.selectExpr(label, f"stack({len(metrics)}, {pairs}) AS (metric, value)")
-    slack = 2.0 / accuracy
-    band_probs = [x for p in QUARTILES for x in (max(0.0, p - slack), min(1.0, p + slack))]
-    # one row per (metric, label): checkpointed, so the size check below and
-    # the two uses of it do not each recompute the first pass
-    stats = reliable_checkpoint(long.groupBy(*group).agg(
-        F.count("value").alias("n"), F.min("value").alias("min_value"), F.max("value").alias("max_value"),
-        F.percentile_approx("value", band_probs, accuracy).alias("_band")))
-    targets = stats.filter(F.col("n") > 0).select(*group, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("q"),
-                 F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("n"))).cast("long").alias("rank"),
-                 F.col("_band")[2 * i].alias("lo"), F.col("_band")[2 * i + 1].alias("hi"))
-        for i, p in enumerate(QUARTILES)])).alias("t")).select(*group, "t.*")
-    # targets: 3 rows per (metric, label value); broadcast once that count is
-    # proven small (a 0/1 label gives 6 per metric), else a shuffle join
-    targets = sized_broadcast(targets, len(QUARTILES) * len(metrics) * MAX_LABEL_VALUES)
-    value = F.col("value")
-    kind = F.when(value < F.col("lo"), 0).when(value <= F.col("hi"), 1).otherwise(2)
-    counted = (_join_on_groups(long.filter(value.isNotNull()), targets, group)
-               .groupBy(*group, "q", "rank", kind.alias("kind"), F.when(kind == 1, value).alias("v"))
-               .agg(F.count(F.lit(1)).alias("c")))
-    below = F.sum(F.when(F.col("kind") == 0, F.col("c"))).over(Window.partitionBy(*group, "q"))
-    running = F.sum(F.when(F.col("kind") == 1, F.col("c"))).over(
-        Window.partitionBy(*group, "q").orderBy(F.col("kind"), F.col("v"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counted.withColumn("_upto", F.coalesce(below, F.lit(0)) + running)
-    picked = (ranked.filter((F.col("kind") == 1) & (F.col("_upto") >= F.col("rank")))
-              .groupBy(*group).pivot("q", list(range(len(QUARTILES)))).agg(F.min("v"))
-              .toDF(*group, "q1", "median", "q3"))
-    return (_join_on_groups(stats, picked, group, "left")
-            .select("metric", label, "n", "min_value", "q1", "median", "q3", "max_value"))
-
-
-def _join_on_groups(a: DataFrame, b: DataFrame, group: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on the group columns with null-safe equality (a null label is a
-    group like any other, as in ``groupBy``); the group columns of ``a`` stay."""
-    keys = {c: f"_group_{i}" for i, c in enumerate(group)}
-    b = b.withColumnsRenamed(keys)
-    cond = [a[c].eqNullSafe(b[k]) for c, k in keys.items()]
-    return a.join(b, cond, how).drop(*keys.values())
+    label, the numbers behind the box plots. Quartiles are exact: the value
+    at rank max(1, ceil(p * n)) of the group's non-null values (see
+    ``boxplot``), whatever the sketch's ``accuracy`` (its size, 8 at least)."""
+    found = quartiles(metric_values(users, metrics, label), ["metric", label], k=max(accuracy, 8))
+    return found.select("metric", label, "n", "min_value", "q1", "median", "q3", "max_value")

@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from churnkit.functions.columns import (
     event_order, exact_length, first_values, length_sum, other_length)
 from churnkit.schema import CHURN_PAGE, PAGES, feature_columns, page_column
+from churnkit.session import reliable_checkpoint
 
 _CHURN_COLUMN = page_column(CHURN_PAGE)
 # Pages beyond which a pivot is refused (a column each).
@@ -63,8 +64,9 @@ GID = {name: _gid(cols) for name, cols in _SETS.items()}
 
 def pages_of(events: DataFrame) -> tuple[str, ...]:
     """The declared pages and, after them in alphabetical order, whatever
-    other pages the events hold: no visit is left out of a pivot. One
-    aggregate over the page column; more than ``MAX_PAGES`` are refused."""
+    other pages the rows hold: no visit is left out of a pivot. One
+    aggregate over the page column (of events, or better of counts already
+    reduced); more than ``MAX_PAGES`` are refused."""
     found = (events.select("page").where(F.col("page").isNotNull() & ~F.col("page").isin(*PAGES))
              .distinct().limit(MAX_PAGES + 1).collect())
     if len(found) > MAX_PAGES:
@@ -124,10 +126,19 @@ def user_rollup(grains: DataFrame, pages, key: str = "userId") -> DataFrame:
 
 def user_features(prepared: DataFrame, key: str = "userId", pages=None) -> DataFrame:
     """The one-row-per-user feature table. ``pages`` names the page
-    counts; by default all pages that occur (``pages_of``, one more pass over
-    the page column)."""
-    pages = pages_of(prepared) if pages is None else tuple(pages)
-    return features_from_rollup(user_rollup(event_grains(prepared, key), pages, key), pages, key)
+    counts; by default all pages that occur (see ``grains_and_pages``)."""
+    grains, pages = grains_and_pages(prepared, key, pages)
+    return features_from_rollup(user_rollup(grains, pages, key), pages, key)
+
+
+def grains_and_pages(prepared: DataFrame, key: str = "userId", pages=None) -> tuple[DataFrame, tuple[str, ...]]:
+    """Step 1 and the pages to count. Without named pages the grains are
+    checkpointed and the pages found in them: the events are read once."""
+    grains = event_grains(prepared, key)
+    if pages is not None:
+        return grains, tuple(pages)
+    grains = reliable_checkpoint(grains)
+    return grains, pages_of(grains.where(F.col("_gid") == GID["profile"]))
 
 
 def features_from_rollup(part: DataFrame, pages, key: str = "userId") -> DataFrame:
@@ -234,10 +245,13 @@ def page_pivot(prepared: DataFrame, key: str = "userId", label: str | None = Non
 
     The counts are conditional counts inside one map-side-combined
     aggregate. ``pages`` fixes the schema; by default the declared pages and
-    whatever others occur. ``label`` adds the user's churn flag."""
-    pages = pages_of(prepared) if pages is None else tuple(pages)
-    aggs = _page_counts(pages)
-    if label:
-        out = prepared.groupBy(key).agg(*aggs, F.max(label).cast("int").alias(label))
-        return out.select(key, label, *[page_column(p) for p in pages])
-    return prepared.groupBy(key).agg(*aggs)
+    whatever others occur: visits are then counted per user and page first,
+    once, and both the pages and the columns come from these counts.
+    ``label`` adds the user's churn flag."""
+    flag = [F.max(label).cast("int").alias(label)] if label else []
+    if pages is None:
+        visits = reliable_checkpoint(prepared.groupBy(key, "page").agg(F.count(F.lit(1)).alias("n"), *flag))
+        pages = pages_of(visits)
+        aggs = [F.coalesce(F.sum(F.when(F.col("page") == p, F.col("n"))), F.lit(0)).alias(page_column(p)) for p in pages]
+        return visits.groupBy(key).agg(*flag, *aggs)
+    return prepared.groupBy(key).agg(*flag, *_page_counts(tuple(pages)))

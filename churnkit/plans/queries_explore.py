@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from churnkit.functions.columns import sanitize_names
 from churnkit.functions.location import city_of
-from churnkit.operators import clean, explore, features, label
+from churnkit.operators import boxplot, clean, explore, features, label
 from churnkit.operators.joins import join_user_aggregates
 from churnkit.plans import oracle as O
 from churnkit.plans.registry import events, prepared, register, user_table
@@ -346,8 +346,8 @@ def q_page_pivot(spark, sf_dir):
     "SELECT userId, " + ", ".join(PAGE_COLUMNS) + " FROM page_pivot", "page_pivot"))
 def q_rename_sanitize(spark, sf_dir):
     # pivot with the raw page names (spaces), then one renaming projection
-    ev = prepared(spark, sf_dir)
-    raw = ev.groupBy("userId").pivot("page", list(features.pages_of(ev))).agg(F.count(F.lit(1))).na.fill(0)
+    visits = reliable_checkpoint(prepared(spark, sf_dir).groupBy("userId", "page").agg(F.count(F.lit(1)).alias("n")))
+    raw = visits.groupBy("userId").pivot("page", list(features.pages_of(visits))).agg(F.sum("n")).na.fill(0)
     return sanitize_names(raw)
 
 
@@ -405,6 +405,46 @@ def q_metric_summary_by_label(spark, sf_dir):
     return explore.metric_summary_by_label(users, SUMMARY_METRICS)
 
 
+_VALUES_SQL = "vals AS (" + " UNION ALL ".join(
+    f"SELECT userId, state, '{m}' AS metric, churn_label, CAST({m} AS DOUBLE) AS value FROM features"
+    for m in SUMMARY_METRICS) + """),
+boxes AS (
+  SELECT metric, churn_label, count(value) AS n, min(value) AS min_value, quantile_disc(value, 0.25) AS q1,
+         quantile_disc(value, 0.5) AS median, quantile_disc(value, 0.75) AS q3, max(value) AS max_value
+  FROM vals GROUP BY metric, churn_label),
+fenced AS (
+  SELECT v.*, value BETWEEN q1 - (q3 - q1) * 1.5 AND q3 + (q3 - q1) * 1.5 AS within
+  FROM vals v JOIN boxes b ON v.metric = b.metric AND v.churn_label = b.churn_label WHERE value IS NOT NULL)"""
+
+
+def _metric_values(spark, sf_dir):
+    users = reliable_checkpoint(user_table(spark, sf_dir))  # read by every pass
+    return users, explore.metric_values(users, SUMMARY_METRICS, keep=["userId"])
+
+
+@register("box_plots", W(
+    "SELECT b.*, min(value) FILTER (within) AS lower_whisker, max(value) FILTER (within) AS upper_whisker, "
+    "count(*) FILTER (NOT within) AS n_outliers FROM boxes b JOIN fenced f ON b.metric = f.metric "
+    "AND b.churn_label = f.churn_label GROUP BY ALL", "features", extra=_VALUES_SQL))
+def q_box_plots(spark, sf_dir):
+    """A29 with whiskers, from sketches by state merged per label."""
+    users, values = _metric_values(spark, sf_dir)
+    by_state = boxplot.value_sketches(explore.metric_values(users, SUMMARY_METRICS, keep=["state"]),
+                                      ["metric", "churn_label", "state"])
+    group = ["metric", "churn_label"]
+    box = reliable_checkpoint(boxplot.quartiles(values, group, boxplot.merge_sketches(by_state, group)))
+    return boxplot.box_plot(values, box, group)
+
+
+@register("box_plot_outliers", W(
+    "SELECT userId, churn_label, metric, value FROM fenced WHERE NOT within", "features", extra=_VALUES_SQL))
+def q_box_plot_outliers(spark, sf_dir):
+    """The points that box plots draw one by one."""
+    _, values = _metric_values(spark, sf_dir)
+    group = ["metric", "churn_label"]
+    return boxplot.outliers(values, reliable_checkpoint(boxplot.quartiles(values, group)), group)
+
+
 # ---------------------------------------------------------------------------
 # L / J: labelling, per-user tables, joins
 # ---------------------------------------------------------------------------
@@ -449,9 +489,8 @@ def q_join_user_aggregates(spark, sf_dir):
     (about one row per user, one scan of the event log); each would
     otherwise prune the shared aggregate differently, and the log would be
     scanned once per table."""
-    events = prepared(spark, sf_dir)
-    pages = features.pages_of(events)
-    part = reliable_checkpoint(features.user_rollup(features.event_grains(events), pages))
+    grains, pages = features.grains_and_pages(prepared(spark, sf_dir))
+    part = reliable_checkpoint(features.user_rollup(grains, pages))
     return join_user_aggregates(*features.user_tables(part, pages)).select(*FEATURE_COLUMNS)
 
 

@@ -73,8 +73,10 @@ def write_split_json(split: DataFrame, path: str) -> None:
 
 
 def read_split_json(spark: SparkSession, path: str) -> DataFrame:
-    """The users, labels and scaled features of a written split."""
-    return spark.read.schema("userId string, label double, scaled_features array<double>").json(path)
+    """The users, labels and scaled features of a written split; a line that
+    does not fit fails the read."""
+    schema = "userId string, label double, scaled_features array<double>"
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
