@@ -97,15 +97,17 @@ def events_per_user(events: DataFrame) -> DataFrame:
     return per_user_with_label(events, [F.count(F.lit(1)).alias("n_events")])
 
 
-def artist_plays_by_label(events: DataFrame, key: str = "userId") -> DataFrame:
+def artist_plays_by_label(events: DataFrame, key: str = "userId", churned: DataFrame | None = None) -> DataFrame:
     """Plays per (artist, label); the null artist (non-song events) is a
     group. Events are reduced to (user, artist) counts, which are joined to
     the churners as events are in ``label_events``: neither side of the join
     is partitioned on the user beforehand, so a user with a large catalogue
     is split among tasks. Counts are then added up per (artist, label). The
-    second scan keeps the marker rows and two columns."""
+    second scan keeps the marker rows and two columns. Where ``events`` are a
+    part of the log, ``churned`` names the churners."""
+    churned = churned_users(events, key) if churned is None else churned
     plays = events.groupBy(key, "artist").agg(F.count(F.lit(1)).alias("n"))
-    return label_events(plays, key, churned_users(events, key)).groupBy("artist", "churn_lab").agg(
+    return label_events(plays, key, churned).groupBy("artist", "churn_lab").agg(
         F.sum("n").alias("plays"))
 
 

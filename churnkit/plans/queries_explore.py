@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from churnkit.functions.columns import sanitize_names
 from churnkit.functions.location import city_of
-from churnkit.operators import boxplot, clean, explore, features, label
+from churnkit.operators import boxplot, clean, explore, features, hitters, label
 from churnkit.operators.joins import join_user_aggregates
 from churnkit.plans import oracle as O
 from churnkit.plans.registry import events, prepared, register, user_table
@@ -128,6 +128,14 @@ def q_top_artists(spark, sf_dir):
     return clean.top_n(plays, 10, F.desc("plays"), F.asc_nulls_first("artist"), F.asc("churn_lab"))
 
 
+@register("top_artists_by_candidates", W(
+    "SELECT artist, churn_lab, count(*) AS plays FROM labelled GROUP BY artist, churn_lab "
+    "ORDER BY plays DESC, artist ASC NULLS FIRST, churn_lab ASC LIMIT 10", "labelled"))
+def q_top_artists_by_candidates(spark, sf_dir):
+    """P17 from bounded summaries, with exact counts of the candidates."""
+    return hitters.top_artists(clean_events(spark, sf_dir), 10)
+
+
 @register("lowest_listening_users", W(
     "SELECT userId, churn_label, total_session_length, avg_session_length FROM features "
     "ORDER BY total_session_length ASC NULLS LAST, userId LIMIT 10", "features"))
