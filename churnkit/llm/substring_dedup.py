@@ -26,7 +26,7 @@ probability 2^-48.
 Defined results: a null or empty text has no words; a null doc_id comes
 after every other; rows that repeat both doc_id and text are one document
 listed again (same result in each), rows that repeat a doc_id with
-another text come in the order of a 32-bit hash of the text; fewer than
+another text come in the order of a 128-bit hash of the text; fewer than
 ``window`` words are never removed on their own account; other columns
 pass through (columns named ``n_words``, ``n_removed`` or ``kept_words``
 are replaced).
@@ -122,8 +122,8 @@ def least_phrase(phrases: np.ndarray, width: int) -> np.ndarray:
 def suffixes(docs: list[tuple[int, int, np.ndarray]], window: int, powers: Powers):
     """Of documents in their order: for every window its document's index,
     start, phrase hash, phrase position and hash."""
-    lengths = np.array([len(h) for _, _, h in docs], np.int64)
-    words = np.concatenate([h for _, _, h in docs]) if docs else np.empty(0, U64)
+    lengths = np.array([len(h) for *_, h in docs], np.int64)
+    words = np.concatenate([h for *_, h in docs]) if docs else np.empty(0, U64)
     if len(words) < window:
         return None
     whole = rolling(words, window, powers)
@@ -152,10 +152,12 @@ def unpack(blob: bytes, kinds: dict[str, str]) -> dict[str, np.ndarray]:
     return {k: np.frombuffer(raw[e - s:e], kind) for (k, kind), s, e in zip(kinds.items(), sizes, ends)}
 
 
-#: a branch: document, order among equal doc_ids, start, windows, settled
+#: a row's place among the documents: its doc_id, then two hashes of its text
+ROW = ("doc", "tie", "tie2")
+#: a branch: document (ROW), start, windows, settled
 #: within its batch or not; only open ones have a phrase and, in print,
 #: 3 x 16 bits of each window's hash
-KINDS = {"doc": "<i8", "tie": "<u4", "start": "<i4", "size": "<u4", "settled": "u1", "phrase": "<u8",
+KINDS = {"doc": "<i8", "tie": "<i8", "tie2": "<i8", "start": "<i4", "size": "<u4", "settled": "u1", "phrase": "<u8",
          "print": "<u2"}
 
 
@@ -176,33 +178,36 @@ def branches(docs, window: int, powers: Powers, crowded: np.ndarray, groups: int
     new[1:] |= ~same[1:] & ((lead[1:] != lead[:-1]) | (group[1:] != group[:-1]))
     first = np.flatnonzero(new)
     size = np.diff(np.append(first, len(doc)))
-    ids = np.array([d for d, _, _ in docs], np.int64)
-    ties = np.array([t for _, t, _ in docs], np.uint32)
-    by_group = np.argsort(group[first], kind="stable")
-    cuts = np.flatnonzero(np.diff(group[first][by_group])) + 1
+    rows = {c: np.array([d[i] for d in docs], np.int64) for i, c in enumerate(ROW)}
+    # runs settled here need no group: those of a batch go along with one
+    # that the batch, not the passage, decides
+    own = int(mix(rows["doc"].view(U64)[:1] ^ rows["tie"].view(U64)[:1] + U64(len(docs)))[0] >> U64(33)) % groups
+    to = np.where(same[first], own, group[first])
+    by_group = np.argsort(to, kind="stable")
+    cuts = np.flatnonzero(np.diff(to[by_group])) + 1
     for part in np.split(by_group, cuts):
         f, s = first[part], size[part]
         settled = same[f]
         live, n = f[~settled], s[~settled]
         each = np.repeat(live - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         prints = whole[each].astype("<u8").view("<u2").reshape(-1, 4)[:, 1:]
-        yield int(group[f[0]]), pack({
-            "doc": ids[doc[f]], "tie": ties[doc[f]], "start": start[f].astype(np.int32),
+        yield int(to[part[0]]), pack({
+            **{c: v[doc[f]] for c, v in rows.items()}, "start": start[f].astype(np.int32),
             "size": s.astype(np.uint32), "settled": settled.astype(np.uint8),
             "phrase": phrase[live], "print": prints.ravel()})
 
 
 def repeats_of_group(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(doc, tie, start, windows) of the runs of windows in the group that
-    start earlier elsewhere."""
+    """(doc, tie, tie2, start, windows) of the runs of windows in the group
+    that start earlier elsewhere."""
     parts = [unpack(b, KINDS) for b in blobs]
     whole = {k: np.concatenate([p[k] for p in parts]) for k in KINDS}
     settled = whole["settled"].astype(bool)
-    done = [whole[k][settled] for k in ("doc", "tie", "start", "size")]
-    live = {k: whole[k][~settled] for k in ("doc", "tie", "start", "size")}
+    done = [whole[k][settled] for k in (*ROW, "start", "size")]
+    live = {k: whole[k][~settled] for k in (*ROW, "start", "size")}
     size = live["size"].astype(np.int64)
     begin = np.cumsum(size) - size
-    order = np.lexsort((live["start"], live["tie"], live["doc"]))  # the documents' order
+    order = np.lexsort((live["start"], live["tie2"], live["tie"], live["doc"]))  # the documents' order
     size = size[order]
     base = np.cumsum(size) - size
     branch = np.repeat(np.arange(len(order)), size)
@@ -214,41 +219,49 @@ def repeats_of_group(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
     leaves = np.argsort(key, kind="stable")
     same = (phrase[leaves[1:]] == phrase[leaves[:-1]]) & (fingerprint[leaves[1:]] == fingerprint[leaves[:-1]])
     node = np.concatenate([[0], np.cumsum(~same)])[:len(leaves)]  # leaves under one deep node
-    doc, tie = live["doc"][order][branch], live["tie"][order][branch]
+    row = [live[c][order][branch] for c in ROW]
     start = live["start"][order][branch] + step
     later = np.zeros(len(branch), bool)
     if len(leaves):
         head = leaves[np.searchsorted(node, np.arange(node[-1] + 1))][node]
-        later[leaves] = (doc[leaves] != doc[head]) | (tie[leaves] != tie[head]) | (start[leaves] != start[head])
+        later[leaves] = start[leaves] != start[head]
+        for r in row:
+            later[leaves] |= r[leaves] != r[head]
     at = np.flatnonzero(later)
     new = np.ones(len(at), bool)
-    new[1:] = (doc[at[1:]] != doc[at[:-1]]) | (tie[at[1:]] != tie[at[:-1]]) | (start[at[1:]] != start[at[:-1]] + 1)
+    new[1:] = start[at[1:]] != start[at[:-1]] + 1
+    for r in row:
+        new[1:] |= r[at[1:]] != r[at[:-1]]
     first = np.flatnonzero(new)
-    runs = [doc[at[first]], tie[at[first]], start[at[first]], np.diff(np.append(first, len(at)))]
+    runs = [*(r[at[first]] for r in row), start[at[first]], np.diff(np.append(first, len(at)))]
     return tuple(np.concatenate([a.astype(np.int64), b.astype(np.int64)]) for a, b in zip(runs, done))
 
 
+def _hash(seed: int):
+    return F.xxhash64(F.lit(seed), F.coalesce(F.col("text"), F.lit("")))
+
+
 def _key():
-    return (F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
-            F.expr("cast(xxhash64(coalesce(text, '')) & 4294967295 as long)"))
+    """The columns of ``ROW``: rows that agree in them are repeats of one
+    row (128 bits of a text's hash, among rows of one doc_id or of none)."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), _hash(1), _hash(2)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(doc, tie, text): the order of the documents, and their texts."""
-    doc, tie = _key()
-    return docs.select(doc.alias("doc"), tie.alias("tie"), "text")
+    """(doc, tie, tie2, text): the order of the documents, and their texts."""
+    return docs.select(*(c.alias(n) for c, n in zip(_key(), ROW)), "text")
 
 
 def _documents(batches: Iterator[pa.RecordBatch], words: Words):
-    """Batches of (doc, tie, word hashes) in the documents' order, each
+    """Batches of (doc, tie, tie2, word hashes) in the documents' order, each
     once a batch."""
     for batch in slices(batches, "text", BATCH_BYTES):
-        doc, tie = (np.asarray(batch.column(i).to_numpy(zero_copy_only=False)) for i in range(2))
-        texts = byte_texts(batch.column(2))
-        order = np.lexsort((tie, doc))
+        doc, tie, tie2 = (np.asarray(batch.column(i).to_numpy(zero_copy_only=False)) for i in range(3))
+        texts = byte_texts(batch.column(3))
+        order = np.lexsort((tie2, tie, doc))
         out, last = [], None
         for i in order.tolist():
-            if last != (key := (int(doc[i]), int(tie[i]))):
+            if last != (key := (int(doc[i]), int(tie[i]), int(tie2[i]))):
                 out.append((*key, words(texts[i].split())))
             last = key
         yield out
@@ -275,7 +288,7 @@ def crowded_phrases(docs: DataFrame, window: int, n_docs: int) -> np.ndarray:
 
 
 def repeat_runs(docs: DataFrame, window: int = 20) -> DataFrame:
-    """(doc, tie, start, windows): runs of windows of a document whose
+    """(doc, tie, tie2, start, windows): runs of windows of a document whose
     words also start earlier; each window in one run."""
     if window < LEAD:
         raise ValueError(f"window must be at least {LEAD}")
@@ -292,10 +305,10 @@ def repeat_runs(docs: DataFrame, window: int = 20) -> DataFrame:
 
     def build(group: pa.Table) -> pa.Table:
         found = repeats_of_group(group.column("blob").to_pylist())
-        return pa.table([pa.array(x) for x in found], names=["doc", "tie", "start", "windows"])
+        return pa.table([pa.array(x) for x in found], names=[*ROW, "start", "windows"])
 
     parts = _keyed(docs).mapInArrow(split, "part int, blob binary")
-    return parts.groupBy("part").applyInArrow(build, "doc long, tie long, start long, windows long")
+    return parts.groupBy("part").applyInArrow(build, "doc long, tie long, tie2 long, start long, windows long")
 
 
 def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
@@ -305,8 +318,8 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     ``n_words``, ``n_removed`` and ``kept_words`` (the kept words joined by
     one space, as bytes)."""
     runs = repeat_runs(docs, window)
-    doc, tie, found = fresh(docs.columns, "doc_key", "tie_key", "spans")
-    spans = runs.groupBy(F.col("doc").alias(doc), F.col("tie").alias(tie)).agg(
+    *row, found = fresh(docs.columns, "doc_key", "tie_key", "tie2_key", "spans")
+    spans = runs.groupBy(*(F.col(c).alias(n) for c, n in zip(ROW, row))).agg(
         F.collect_list(F.struct("start", "windows")).alias(found))
     others = others_of(docs, "text", "n_words", "n_removed", "kept_words")
 
@@ -350,9 +363,9 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
                    pa.array(n_gone, pa.int64()), pa.array(kept_words, pa.binary())],
                 names=[*others, "text", "n_words", "n_removed", "kept_words"])
 
-    keyed = docs.select(*(c.alias(n) for c, n in zip(_key(), (doc, tie))), *others, "text")
+    keyed = docs.select(*(c.alias(n) for c, n in zip(_key(), row)), *others, "text")
     small = StructType([StructField(f.name, BinaryType() if f.name == "text" else f.dataType) for f in keyed.schema])
-    joined = keyed.mapInArrow(shrink, small).join(spans, [doc, tie], "left").select(*others, "text", found)
+    joined = keyed.mapInArrow(shrink, small).join(spans, row, "left").select(*others, "text", found)
     out = StructType([*(StructField(c, docs.schema[c].dataType) for c in others), docs.schema["text"],
                       StructField("n_words", LongType()), StructField("n_removed", LongType()),
                       StructField("kept_words", BinaryType())])

@@ -1,5 +1,7 @@
 """Line dedup, substring dedup and SimHash near-dedup against brute force."""
 
+import collections
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -176,3 +178,31 @@ def test_lines_of_rows_without_doc_id_stay_apart(spark):
     assert sorted(r.text for r in got if r.doc_id is None) == sorted(f"own {i}" for i in range(30) for _ in range(4))
     assert all(r.n_dropped == 2 for r in got if r.doc_id is None)
     assert all((r.text == "") == (r.doc_id < 3) for r in got if r.doc_id)
+
+
+def test_substring_rows_of_one_id_are_told_apart_by_the_second_hash(spark, monkeypatch):
+    """With a first hash that is the same for all texts, texts of one doc_id
+    (or of none) are still documents of their own."""
+    whole = substring_dedup._hash
+    monkeypatch.setattr(substring_dedup, "_hash", lambda seed: F.lit(0).cast("long") if seed == 1 else whole(seed))
+    first, other = (" ".join(f"{c}{i}" for i in range(24)) for c in "ab")
+    rows = [(1, first), (None, first), (None, other), (9, other), (5, other), (5, first), (5, other)]
+    kept = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = collections.Counter((r.doc_id, r.n_removed) for r in kept)
+    # `other` comes first in document 5 (listed twice), `first` in document 1
+    assert found == {(1, 0): 1, (5, 0): 2, (5, 24): 1, (9, 24): 1, (None, 24): 2}
+
+
+def test_substring_settled_runs_are_spread_over_the_groups():
+    """A passage that every document holds puts no more than an even share
+    of the documents into one group."""
+    rng = np.random.default_rng(1)
+    passage = rng.integers(0, 2 ** 63, 40).astype(np.uint64)
+    powers, counts, groups = substring_dedup.Powers(), collections.Counter(), 16
+    for batch in range(200):
+        docs = [(batch * 10 + i, i, -i, np.concatenate([rng.integers(0, 2 ** 63, 30).astype(np.uint64), passage]))
+                for i in range(10)]
+        for group, blob in substring_dedup.branches(docs, 20, powers, np.empty(0, np.uint64), groups):
+            rows = substring_dedup.unpack(blob, substring_dedup.KINDS)
+            counts[group] += int(rows["settled"].sum())
+    assert sum(counts.values()) == 200 * 9 and max(counts.values()) < 3 * 1800 / groups
