@@ -12,7 +12,10 @@ thus idempotent, and a date can be landed again from corrected lines.
   observation stands behind the shuffle, in the writing stage itself, whose
   tasks count once each: a map task that is run again after a lost executor
   does not count its rows twice. A second pass writes the quarantine, and
-  only if the first has counted any such line.
+  only if the first has counted any such line. The observing pass runs in a
+  session of its own with the same settings: a session that has observed
+  holds an object that cannot be serialised, and fitted models carry their
+  session to the executors.
 * Rows are dealt to files by ``REBALANCE`` on the date: the planner splits a
   large date into files of the advisory size and joins small ones, instead
   of a file for each task and date. Within a file rows are sorted by user.
@@ -70,25 +73,33 @@ def _judged(spark: SparkSession, path: str, schema: T.StructType, days: Sequence
     return rows.withColumn(_REASON, reason)
 
 
+def _observing_session(spark: SparkSession) -> SparkSession:
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    return own
+
+
 def land_events(spark: SparkSession, path: str, target: str, quarantine: str, batch: str,
                 schema: T.StructType = EVENT_SCHEMA, days: Sequence[dt.date] | None = None) -> Landed:
     """Land the JSON lines at ``path`` in the table ``target``; lines that
     cannot be landed replace those of the same ``batch`` in ``quarantine``."""
     if not _BATCH_NAME.fullmatch(batch):
         raise ValueError(f"a batch is named by letters, digits, '_', '.' and '-': {batch!r}")
-    judged, seen = _judged(spark, path, schema, days), Observation()
+    seen = Observation()
 
     def of(reason):
         return F.count_if(F.col(_REASON) == reason)
 
-    counted = judged.hint("rebalance", EVENT_DATE).observe(
+    counted = _judged(_observing_session(spark), path, schema, days).hint("rebalance", EVENT_DATE).observe(
         seen, F.count(F.lit(1)).alias("lines"), F.count_if(F.col(_REASON).isNull()).alias("rows"),
         of(UNREADABLE).alias("unreadable"), of(NO_TIMESTAMP).alias("no_timestamp"), of(OTHER_DAY).alias("other_day"))
     good = counted.where(F.col(_REASON).isNull()).select(*[f.name for f in landed_schema(schema).fields])
     (good.sortWithinPartitions(EVENT_DATE, "userId").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(EVENT_DATE).parquet(target))
     landed = Landed(**seen.get)
-    _replace_quarantine(spark, judged, schema, quarantine, batch, landed.quarantined)
+    _replace_quarantine(spark, _judged(spark, path, schema, days), schema, quarantine, batch, landed.quarantined)
     return landed
 
 

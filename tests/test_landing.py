@@ -92,6 +92,18 @@ def test_a_large_date_is_written_as_several_files(spark, tmp_path):
     assert sum("1970-01-06" in f for f in found) > 2 and sum("1970-01-07" in f for f in found) <= 2
 
 
+def test_models_still_run_after_landing(spark, tmp_path):
+    """A session that observes cannot ship models that know it."""
+    from pyspark.ml.feature import VectorAssembler
+    from churnkit.operators import train
+    path = lines_of(tmp_path / "a", [event(i, 0) for i in range(3)])
+    landing.land_events(spark, path, str(tmp_path / "events"), str(tmp_path / "bad"), "a")
+    rows = spark.createDataFrame([(float(i % 2), float(i % 3)) for i in range(30)], "label double, x double")
+    rows = VectorAssembler(inputCols=["x"], outputCol="scaled_features").transform(rows)
+    assert train.logistic_regression().fit(rows).transform(rows).count() == 30
+    assert len(train.logistic_regression().fit(rows).transform(rows).select("prediction").collect()) == 30
+
+
 @pytest.fixture(scope="module")
 def landed(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("landed")
