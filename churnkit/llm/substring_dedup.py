@@ -202,38 +202,43 @@ def repeats_of_group(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
     that start earlier elsewhere."""
     parts = [unpack(b, KINDS) for b in blobs]
     whole = {k: np.concatenate([p[k] for p in parts]) for k in KINDS}
+    del parts
     settled = whole["settled"].astype(bool)
     done = [whole[k][settled] for k in (*ROW, "start", "size")]
     live = {k: whole[k][~settled] for k in (*ROW, "start", "size")}
     size = live["size"].astype(np.int64)
     begin = np.cumsum(size) - size
     order = np.lexsort((live["start"], live["tie2"], live["tie"], live["doc"]))  # the documents' order
+    live = {k: v[order] for k, v in live.items()}
     size = size[order]
     base = np.cumsum(size) - size
-    branch = np.repeat(np.arange(len(order)), size)
-    step = np.arange(len(branch)) - base[branch]
+    other = np.zeros(len(order), np.int32)
+    for c in ROW:
+        other[1:] |= live[c][1:] != live[c][:-1]
+    row = np.cumsum(other, dtype=np.int32)  # the rows of the group, numbered
+    branch = np.repeat(np.arange(len(order), dtype=np.int32), size)
+    step = (np.arange(len(branch)) - base[branch]).astype(np.int32)
     p = whole["print"].reshape(-1, 3)[begin[order][branch] + step].astype(U64)
     fingerprint = (p[:, 0] << U64(32)) | (p[:, 1] << U64(16)) | p[:, 2]
     phrase = whole["phrase"][order][branch]
+    del p, whole
     key = mix(phrase + fingerprint * U64(BASE))
     leaves = np.argsort(key, kind="stable")
+    del key
     same = (phrase[leaves[1:]] == phrase[leaves[:-1]]) & (fingerprint[leaves[1:]] == fingerprint[leaves[:-1]])
+    del phrase, fingerprint
     node = np.concatenate([[0], np.cumsum(~same)])[:len(leaves)]  # leaves under one deep node
-    row = [live[c][order][branch] for c in ROW]
-    start = live["start"][order][branch] + step
+    own, start = row[branch], live["start"][branch] + step
     later = np.zeros(len(branch), bool)
     if len(leaves):
         head = leaves[np.searchsorted(node, np.arange(node[-1] + 1))][node]
-        later[leaves] = start[leaves] != start[head]
-        for r in row:
-            later[leaves] |= r[leaves] != r[head]
+        later[leaves] = (own[leaves] != own[head]) | (start[leaves] != start[head])
     at = np.flatnonzero(later)
     new = np.ones(len(at), bool)
-    new[1:] = start[at[1:]] != start[at[:-1]] + 1
-    for r in row:
-        new[1:] |= r[at[1:]] != r[at[:-1]]
+    new[1:] = (own[at[1:]] != own[at[:-1]]) | (start[at[1:]] != start[at[:-1]] + 1)
     first = np.flatnonzero(new)
-    runs = [*(r[at[first]] for r in row), start[at[first]], np.diff(np.append(first, len(at)))]
+    of = branch[at[first]]
+    runs = [*(live[c][of] for c in ROW), start[at[first]], np.diff(np.append(first, len(at)))]
     return tuple(np.concatenate([a.astype(np.int64), b.astype(np.int64)]) for a, b in zip(runs, done))
 
 
