@@ -29,7 +29,7 @@ def test_sql(spark, key):
 def test_registered():
     import __spark_entry__
     names = __spark_entry__.queries()
-    assert sorted(int(k[2:].split("_")[0]) for k in names if k.startswith("op") and k[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in names if k.startswith("op") and k[2].isdigit()) == list(range(1, 14))
     assert "pipeline" in names and [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "line_dedup", "simhash_near_dedup", "substring_dedup", "best_fit_packing"]
 
