@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnkit.session import reliable_checkpoint, table_path
@@ -113,11 +113,13 @@ def sigmoid(x):
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, train, per_class: int,
-                    max_chars: int) -> tuple[list[str], np.ndarray]:
-    """At most ``per_class`` labelled training texts of each class, with
-    their labels, on the driver: the rows of least hash among those that
-    ``train(doc_id)`` admits (so the choice doesn't depend on partitioning).
-    A text contributes at most ``max_chars`` characters to the fit."""
+                    max_bytes: int) -> tuple[list[str], np.ndarray]:
+    """A bounded sample of labelled training texts, whole, with their labels,
+    on the driver: of each class the rows of least hash among those that
+    ``train(doc_id)`` admits (so the choice doesn't depend on partitioning),
+    at most ``per_class`` of them and only until their texts pass
+    ``max_bytes`` together: fewer rows, never shorter texts. Of the rows of
+    a repeated doc_id the least text stands for all."""
     picked = None
     for value in (0, 1):
         rows = (labels.where((F.col(label) == value) & train("doc_id")).select(F.col("doc_id").alias("id"))
@@ -125,11 +127,14 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, train,
                 .select("id", F.lit(value).alias("y")))
         picked = rows if picked is None else picked.union(rows)
     # at most 2 * per_class rows of two numbers: a proven bound
-    rows = (documents.select(F.col("doc_id").alias("id"), "text")
-            .join(F.broadcast(picked), "id")
-            .select("id", "y", F.substring(F.coalesce("text", F.lit("")), 1, max_chars).alias("t"))
-            .groupBy("id", "y").agg(F.min("t").alias("t")).orderBy("id", "y"))
-    got = rows.toArrow()
+    rows = reliable_checkpoint(
+        documents.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("t"))
+        .join(F.broadcast(picked), "id").groupBy("id", "y").agg(F.min("t").alias("t")))
+    size = F.octet_length("t").cast("long")
+    in_turn = Window.partitionBy("y").orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0)
+    fits = (rows.select("id", "y", size.alias("n")).withColumn("before", F.sum("n").over(in_turn) - F.col("n"))
+            .where(F.col("before") < max_bytes).select("id", "y"))
+    got = rows.join(F.broadcast(fits), ["id", "y"]).orderBy("id", "y").select("t", "y").toArrow()
     texts, y = got.column("t").to_pylist(), np.array(got.column("y").to_pylist(), dtype=np.int64)
     del got
     pa.default_memory_pool().release_unused()

@@ -11,8 +11,9 @@ layer are trained together by back-propagation (only the largest response
 of a chunk carries gradient), then the probability is calibrated to the
 labels' share.
 
-The fit takes a bounded sample (``PER_CLASS`` documents of each class,
-``MAX_CHARS`` characters of each); every text is scored whole.
+The fit takes a bounded sample of whole texts (``PER_CLASS`` documents of
+each class, fewer where they pass ``MAX_BYTES``); every text is scored
+whole.
 
 Defined results: a null or empty text is one block of zero bytes; a null
 doc_id is scored and counts as not held out; repeated rows get equal scores
@@ -37,7 +38,8 @@ WIDTH, STRIDE = 8, 4
 BLOCK, CHUNK = 64, 512
 HOP = CHUNK - BLOCK
 FILTERS = 24
-PER_CLASS, MAX_CHARS = 1500, 4096
+PER_CLASS, MAX_BYTES = 1500, 8 << 20
+FIT_CHUNKS, PART_BLOCKS = 512, 1 << 13
 EPOCHS, BATCH, RATE = 6, 48, 4e-3
 THRESHOLD = 0.3
 SLICE_BYTES = 4 << 20
@@ -96,13 +98,18 @@ class Network:
     def pooled(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(chunks, filters) largest responses, and each chunk's text."""
         raw, blocks = _padded(texts)
-        half = STRIDE * DIM
-        x = EMBEDDING[raw].reshape(-1, half)
-        response = x @ self.filters[:half]
-        response[:-1] += (x @ self.filters[half:])[1:]
-        # the last position of a text (zeros alone) would look into the next
-        response[np.cumsum(blocks) * PER_BLOCK - 1] = -1e9
-        best = response.reshape(-1, PER_BLOCK, FILTERS).max(axis=1)
+        half, total = STRIDE * DIM, len(raw) // BLOCK
+        raw = np.concatenate([raw, np.zeros(STRIDE, np.uint8)])
+        ends = np.zeros(total * PER_BLOCK, bool)
+        ends[np.cumsum(blocks) * PER_BLOCK - 1] = True
+        best = np.empty((total, FILTERS), np.float32)
+        for i in range(0, total, PART_BLOCKS):
+            j = min(i + PART_BLOCKS, total)
+            x = EMBEDDING[raw[i * BLOCK:j * BLOCK + STRIDE]].reshape(-1, half)
+            response = x[:-1] @ self.filters[:half] + x[1:] @ self.filters[half:]
+            # the last position of a text (zeros alone) would look into the next
+            response[ends[i * PER_BLOCK:j * PER_BLOCK]] = -1e9
+            best[i:j] = response.reshape(-1, PER_BLOCK, FILTERS).max(axis=1)
         best = np.vstack([best, np.zeros((1, FILTERS), np.float32)])
         start, end, owner = _chunks(blocks)
         pairs = np.stack([start, end], axis=1).ravel()
@@ -152,19 +159,17 @@ class Network:
         raw = np.concatenate([raw, np.zeros(CHUNK + WIDTH, np.uint8)])
         start, end, owner = _chunks(blocks)
         n, m = len(texts), len(start)
-        positions = CHUNK // STRIDE
-        at = start[:, None] * BLOCK + np.arange(CHUNK)
-        x = EMBEDDING[raw[at]].reshape(m * positions, -1)
-        half = STRIDE * DIM
-        a = (x @ self.filters[:half]).reshape(m, positions, FILTERS)
-        tail = EMBEDDING[raw[start[:, None] * BLOCK + CHUNK + np.arange(STRIDE)]].reshape(m, 1, half) @ self.filters[half:]
-        b = np.concatenate([(x @ self.filters[half:]).reshape(m, positions, FILTERS)[:, 1:], tail], axis=1)
-        response = a + b
+        positions, half = CHUNK // STRIDE, STRIDE * DIM
         inside = (end - start) * PER_BLOCK - np.isin(end, np.cumsum(blocks))
-        beyond = np.arange(positions)[None, :] >= inside[:, None]
-        response[beyond] = -1e9
-        arg = response.argmax(axis=1)
-        top = np.take_along_axis(response, arg[:, None, :], axis=1)[:, 0] + self.bias
+        arg, top = np.empty((m, FILTERS), np.int64), np.empty((m, FILTERS), np.float32)
+        for i in range(0, m, FIT_CHUNKS):  # a long text's chunks, a part at a time
+            part = slice(i, i + FIT_CHUNKS)
+            at = start[part, None] * BLOCK + np.arange(CHUNK + STRIDE)
+            x = EMBEDDING[raw[at]].reshape(len(at), positions + 1, half)
+            response = x[:, :-1] @ self.filters[:half] + x[:, 1:] @ self.filters[half:]
+            response[np.arange(positions)[None, :] >= inside[part, None]] = -1e9
+            arg[part] = response.argmax(axis=1)
+            top[part] = np.take_along_axis(response, arg[part][:, None, :], axis=1)[:, 0] + self.bias
         chunk = np.maximum(top, 0)
         features = self.combined(chunk, owner, n)
         delta = (sigmoid(features @ self.layer + self.offset) - y) / n
@@ -177,8 +182,11 @@ class Network:
         g = hi[owner] * share(is_hi) + (mean / count)[owner] + lo[owner] * share(is_lo)
         g = (g * (top > 0)).astype(np.float32)
         where = start[:, None] * BLOCK + arg * STRIDE  # (chunks, filters) byte positions
-        windows = EMBEDDING[raw[where[:, :, None] + np.arange(WIDTH)]].reshape(m, FILTERS, -1)
-        g_filters = np.einsum("mf,mfd->df", g, windows) + 1e-5 * self.filters
+        g_filters = 1e-5 * self.filters
+        for i in range(0, m, FIT_CHUNKS):
+            part = slice(i, i + FIT_CHUNKS)
+            windows = EMBEDDING[raw[where[part, :, None] + np.arange(WIDTH)]].reshape(-1, FILTERS, WIDTH * DIM)
+            g_filters = g_filters + np.einsum("mf,mfd->df", g[part], windows)
         return g_filters, g.sum(axis=0), g_layer, np.array([delta.sum()])
 
 
@@ -203,10 +211,10 @@ class Model:
         return self.network.scores(texts) if self.ready else np.full(len(texts), self.share)
 
 
-def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_bytes: int = MAX_BYTES) -> Model:
     """Fit on the labelled rows whose CRC-32 remainder by 5 is not 0."""
     train = in_train(5, 0)
-    texts, y = labelled_sample(documents, labels, "quality", train, per_class, max_chars)
+    texts, y = labelled_sample(documents, labels, "quality", train, per_class, max_bytes)
     prior = labels.where(train("doc_id")).agg(F.avg(F.col("quality").cast("double"))).first()[0]
     return Model(texts, y, prior)
 

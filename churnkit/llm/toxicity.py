@@ -22,8 +22,9 @@ toxic document, the highest-scoring one and those that hold a toxic
 landmark nearly whole being positive, in ``ROUNDS`` turns. A
 logistic curve over a document's highest sentence gives its score.
 
-The model is fitted on a bounded sample (``PER_CLASS`` documents of each
-class, ``MAX_CHARS`` characters of each); every text is scored whole.
+The model is fitted on a bounded sample of whole texts (``PER_CLASS``
+documents of each class, fewer where they pass ``MAX_BYTES``); every text is
+scored whole.
 
 Defined results: a null or empty text has one empty sentence, and so the
 score of text without any trace; a null doc_id is scored and counts as not held out;
@@ -51,7 +52,7 @@ CLASSES = 32
 #: distances of the second letter from the first and of the third from it
 GAPS = sorted(((a, b) for a in range(1, SPAN - 1) for b in range(1, SPAN - a)), key=sum)
 TRACE, WHOLE, ALIKE = 0.5, 0.9, 0.6
-PER_CLASS, MAX_CHARS = 2500, 12_000
+PER_CLASS, MAX_BYTES = 3000, 16 << 20
 CONTEXTS = 1 << 28
 TOXIC_LANDMARKS, CLEAN_LANDMARKS = 56, 16
 ROUNDS = 4
@@ -362,10 +363,10 @@ class Model:
         return sigmoid(self.curve[0] * z + self.curve[1])
 
 
-def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_bytes: int = MAX_BYTES) -> Model:
     """Fit on the labelled rows whose CRC-32 remainder by 4 is not 2."""
     train = in_train(4, 2)
-    texts, y = labelled_sample(documents, labels, "toxic", train, per_class, max_chars)
+    texts, y = labelled_sample(documents, labels, "toxic", train, per_class, max_bytes)
     prior = labels.where(train("doc_id")).agg(F.avg(F.col("toxic").cast("double"))).first()[0]
     return Model(texts, y, prior)
 
