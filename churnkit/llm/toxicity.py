@@ -3,7 +3,7 @@
 *Kernel.* Two words are compared by the letter triples they share as
 subsequences: the tightest occurrence of a triple, of up to ``SPAN``
 letters, counts with ``DECAY`` to the power of the letters skipped, so
-inserted letters and gaps weaken a match without breaking it, and a long
+inserted and missing letters weaken a match without breaking it, and a long
 word that repeats a syllable gains nothing by it. Marks between letters are left
 out beforehand, a few digits and marks stand for letters (``LOOKALIKE``),
 and single letters in a row are read as one word.
@@ -13,13 +13,22 @@ training documents use far more often when toxic, greedily chosen so that
 no landmark resembles an earlier one, and some common words of clean
 documents. A word is described by its kernel value against every landmark
 over the landmark's own; a sentence by the largest values among its words.
+How far a match may be weakened differs by landmark: each has a floor, the
+value that the words of all but a share ``CHANCE`` of the clean training
+documents stay under (whole occurrences apart). Values up to the floor are
+chance and count nothing; from there to the whole landmark they are stretched
+to ``TRACE`` to 1.
 The landmarks' kernel matrix to the power -1/2 (Nyström) maps that to the
 feature space of a linear SVM.
 
 *Training.* The labels are given for documents: the SVM is fitted on
 sentences, every sentence of a clean document being negative and, of each
 toxic document, the highest-scoring one and those that hold a toxic
-landmark nearly whole being positive, in ``ROUNDS`` turns. A
+landmark nearly whole being positive, in ``ROUNDS`` turns. Few labelled insults are
+spoiled, so spoiled forms of the toxic landmarks (letters inserted or left
+out) that still pass a floor join the positive sentences, and the toxic
+documents behind the curve, with the weight ``SPOILED`` together, each landmark by
+how much oftener toxic documents hold it whole than clean ones. A
 logistic curve over a document's highest sentence gives its score.
 
 The model is fitted on a bounded sample of whole texts (``PER_CLASS``
@@ -36,7 +45,6 @@ other columns are ignored.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -47,13 +55,15 @@ from pyspark.sql import functions as F
 
 from churnkit.llm.common import byte_texts, in_train, labelled_sample, sigmoid, slices
 
-SPAN, DECAY = 6, 0.5
+SPAN, DECAY = 7, 0.8
 CLASSES = 32
 #: distances of the second letter from the first and of the third from it
 GAPS = sorted(((a, b) for a in range(1, SPAN - 1) for b in range(1, SPAN - a)), key=sum)
 TRACE, WHOLE, ALIKE = 0.5, 0.9, 0.6
+CHANCE, FLOORS, LEVELS = 0.0003, (0.15, 0.9), 400
+SPOILED, VARIANTS = 0.25, 24
+RATIO = 4  # a toxic landmark's share of toxic texts over its share of clean ones, at least
 PER_CLASS, MAX_BYTES = 3000, 16 << 20
-CONTEXTS = 1 << 28
 TOXIC_LANDMARKS, CLEAN_LANDMARKS = 56, 16
 ROUNDS = 4
 THRESHOLD = 0.3
@@ -123,6 +133,32 @@ class Landmarks:
             np.maximum.at(self.weights, (self.slot[code], own), weight)
         self.gram = self.weights.T.astype(float) @ self.weights.astype(float)
         self.scaled = (self.weights / np.maximum(np.diag(self.gram), 1e-9)).astype(np.float32)
+        self.floors = np.full(len(strings), TRACE, np.float32)
+
+    def learn_floors(self, texts: list[bytes]) -> None:
+        """The floors by clean ``texts``: per landmark the least value that
+        at most CHANCE of the texts, counted once a word, pass."""
+        held = Counter(w for t in texts for w in set(t.lower().split()))
+        words = list(held)
+        met = np.zeros((len(self.strings), LEVELS + 1))
+        for i in range(0, len(words), 1 << 13):
+            part = words[i:i + (1 << 13)]
+            x = self.values(part)
+            word, mark = np.nonzero(x > 0)
+            value = x[word, mark]
+            short = value < WHOLE + 0.05
+            times = np.array([held[w] for w in part])[word[short]]
+            np.add.at(met, (mark[short], (value[short] * LEVELS).astype(np.int64)), times)
+        beyond = np.cumsum(met[:, ::-1], axis=1)[:, ::-1]  # met at this level or a higher one
+        level = (beyond > CHANCE * len(texts)).sum(axis=1)
+        self.floors = np.clip(level / LEVELS, *FLOORS).astype(np.float32)
+
+    def calibrated(self, words: list[bytes]) -> np.ndarray:
+        """The values, those up to the floor as 0, the rest from TRACE on."""
+        return self._calibrated(self.values(words))
+
+    def _calibrated(self, x: np.ndarray) -> np.ndarray:
+        return np.where(x > self.floors, TRACE + (1 - TRACE) * (x - self.floors) / (1 - self.floors), 0)
 
     def values(self, words: list[bytes]) -> np.ndarray:
         """(words, landmarks): kernel over the landmark's own value."""
@@ -150,6 +186,28 @@ class Landmarks:
                 out[r[first]] += np.add.reduceat(part, first, axis=0)
         return out
 
+    def spoiled(self, n: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+        """Spoiled forms of the first ``n`` landmarks that still pass a floor
+        (VARIANTS tries each): calibrated values, and the landmark. One to
+        three letters are inserted, or one is left out."""
+        rng = np.random.default_rng(seed)
+        words, mark = [], []
+        for k, string in enumerate(self.strings[:n]):
+            for v in range(VARIANTS):
+                codes = list(string)
+                if v % 4:
+                    for at in sorted(rng.integers(1, max(len(codes), 2), v % 4).tolist(), reverse=True):
+                        codes.insert(at, int(rng.integers(1, 27)))
+                elif len(codes) > 4:
+                    del codes[int(rng.integers(1, len(codes) - 1))]
+                words.append(codes)
+                mark.append(k)
+        codes = np.array([c for w in words for c in w], np.int64)
+        owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        x = self._calibrated(self._values(codes, owner, len(words)))
+        hit = x.any(axis=1)
+        return x[hit], np.array(mark, np.int64)[hit]
+
 
 def sentences(text: bytes) -> list[bytes]:
     return _SENTENCE.split(text)
@@ -162,7 +220,8 @@ def sentence_words(sentence: bytes) -> list[bytes]:
 
 
 class Traces:
-    """Per word its kernel values if one reaches TRACE, through a cache."""
+    """Per word its calibrated kernel values if one passes its floor, through
+    a cache."""
 
     def __init__(self, landmarks: Landmarks):
         self.landmarks, self.ids = landmarks, {}
@@ -174,12 +233,12 @@ class Traces:
         new = [w for w in words if w not in self.ids]
         for i in range(0, len(new), 1 << 14):
             part = new[i:i + (1 << 14)]
-            x = self.landmarks.values(part)
-            hit = x.max(axis=1, initial=0) >= TRACE
+            x = self.landmarks.calibrated(part)
+            hit = x.any(axis=1)
             base = len(self.rows)
             at = np.where(hit, base + np.cumsum(hit) - 1, -1).tolist()
             self.ids.update(zip(part, at))
-            self.rows.extend(np.where(x[hit] >= TRACE, x[hit], 0))
+            self.rows.extend(x[hit])
 
     def documents(self, texts: list[bytes]) -> list[np.ndarray]:
         """For each text the vectors of its sentences with a trace, after
@@ -220,31 +279,32 @@ def choose_landmarks(texts: list[bytes], y: np.ndarray) -> list[bytes]:
     """Strings over-represented in toxic texts (log-likelihood ratio),
     unlike one another, then common clean words."""
     counts = (Counter(), Counter())
-    known: dict[bytes, bytes] = {}
-    met = (bytearray(CONTEXTS >> 3), bytearray(CONTEXTS >> 3))  # a bit a context, whatever the sample's size
+    ids: dict[bytes, int] = {}
+    met: tuple[list, list] = ([], [])  # of every text its contexts' hashes and words
     for text, label in zip(texts, y.tolist()):
-        seen, words = set(), text.lower().split()
-        known_here = met[label]
-        for around in set(zip([b"", *words], words, [*words[1:], b""])):
-            # a word between the same neighbours is a copy, not evidence
-            bit = zlib.crc32(b" ".join(around)) % CONTEXTS
-            if known_here[bit >> 3] >> (bit & 7) & 1:
-                continue
-            known_here[bit >> 3] |= 1 << (bit & 7)
-            w = around[1]
-            c = known.get(w)
-            if c is None:
-                c = known[w] = letters(w)
-            if 4 <= len(c):
-                seen.add(c[:12])
-                seen.update(c[:n] for n in (4, 5, 6) if n < len(c))
-        counts[label].update(seen)
+        words = text.lower().split()
+        around = set(zip([b"", *words], words, [*words[1:], b""]))
+        met[label].append((np.fromiter(map(hash, around), np.int64, len(around)),
+                           np.fromiter((ids.setdefault(w, len(ids)) for _, w, _ in around), np.int32, len(around))))
+    strings = []
+    for c in map(letters, ids):
+        strings.append({c[:12], *(c[:n] for n in (4, 5, 6) if n < len(c))} if len(c) >= 4 else ())
+    for label in (0, 1):
+        if not met[label]:
+            continue
+        # a word between the same neighbours is a copy, not evidence: its first text counts
+        first = np.sort(np.unique(np.concatenate([h for h, _ in met[label]]), return_index=True)[1])
+        word = np.concatenate([w for _, w in met[label]])[first]
+        ends = np.searchsorted(first, np.cumsum([len(w) for _, w in met[label]]))
+        for own in np.split(word, ends[:-1]):
+            counts[label].update(set().union(*(strings[k] for k in set(own.tolist()))))
+    del met, ids, strings
     n1, n0 = max(int(y.sum()), 1), max(int((1 - y).sum()), 1)
 
     def surprise(s: bytes) -> float:
         a, b = counts[1][s], counts[0][s]
         p, p1, p0 = (a + b) / (n1 + n0), a / n1, b / n0
-        if p1 <= p0 or a < 4:
+        if p1 <= RATIO * p0 or a < 4:
             return 0.0
         ll = lambda k, n, q: k * np.log(max(q, 1e-12)) + (n - k) * np.log(max(1 - q, 1e-12))
         return float(ll(a, n1, p1) + ll(b, n0, p0) - ll(a, n1, p) - ll(b, n0, p)) * (p1 - p0) / max(p1, 1e-12)
@@ -321,8 +381,12 @@ class Model:
             return
         raw = [t.encode() for t in texts]
         self.landmarks = Landmarks(choose_landmarks(raw, y))
+        self.landmarks.learn_floors([t for t, label in zip(raw, y) if not label])
         traces = Traces(self.landmarks)
         bags = [b for i in range(0, len(raw), 200) for b in traces.documents(raw[i:i + 200])]
+        n_toxic = max(len(self.landmarks.strings) - CLEAN_LANDMARKS, 1)
+        held_clean, held_toxic = (sum((b[:, :n_toxic] >= WHOLE).any(axis=0) for b, t in zip(bags, y) if t == label)
+                                  / (y == label).sum() for label in (0, 1))
         scale = np.sqrt(np.maximum(np.diag(self.landmarks.gram), 1e-9))
         values, vectors = np.linalg.eigh(self.landmarks.gram / scale / scale[:, None])
         self.root = (vectors / np.sqrt(np.maximum(values, 0.05))) @ vectors.T
@@ -336,21 +400,27 @@ class Model:
         # positive sentences: in each toxic document the highest-scoring one
         # (at first the nearest to the toxic landmarks) and every one that
         # holds a toxic landmark nearly whole
-        n_toxic = max(len(self.landmarks.strings) - CLEAN_LANDMARKS, 1)
         holds = [(b[:, :n_toxic] >= WHOLE).any(axis=1) for b, t in zip(bags, y) if t and b.any()]
+        spoiled, mark = self.landmarks.spoiled(n_toxic)
+        trust = np.maximum(held_toxic - held_clean, 0)[mark] / np.maximum(np.bincount(mark, minlength=n_toxic), 1)[mark]
+        trust = SPOILED * trust / max(trust.sum(), 1e-9)
         w, b = np.linalg.solve(self.root, (np.arange(len(self.root)) < n_toxic).astype(float)), 0.0
+        share = prior or self.share
         for _ in range(ROUNDS):
             if not toxic:
                 break
             witness = np.vstack([m[h | (np.arange(len(m)) == np.argmax(m @ w))] for m, h in zip(toxic, holds)])
-            x = np.vstack([clean, witness])
-            t = np.r_[np.zeros(len(clean)), np.ones(len(witness))]
-            w, b = fit_svm(x, t, np.r_[times / times.sum(), np.full(len(witness), 1 / len(witness))])
+            x = np.vstack([clean, witness, spoiled @ self.root])
+            t = np.r_[np.zeros(len(clean)), np.ones(len(witness) + len(spoiled))]
+            # weighed as documents are in the corpus: a clean sentence for its document, a witness for its own
+            w, b = fit_svm(x, t, np.r_[times * ((1 - share) / (y == 0).sum()),
+                                       np.full(len(witness), share / len(witness)), trust * share])
         self.weights = self.root @ w
         self.bias = float(b)
         z = np.array([self._highest(v) for v in bags])
         keep = np.repeat(np.arange(len(y)), np.maximum(np.rint(weight_of * 4), 1).astype(int))
-        self.curve = fit_curve(z[keep], y[keep])
+        more = np.repeat(spoiled @ self.weights + self.bias, np.rint(trust * y[keep].sum()).astype(int))
+        self.curve = fit_curve(np.r_[z[keep], more], np.r_[y[keep], np.ones(len(more))])
 
     def _highest(self, vectors: np.ndarray) -> float:
         return float((vectors @ self.weights).max()) + self.bias

@@ -5,9 +5,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from churnkit.llm import quality, queries, toxicity
-from churnkit.llm.common import table
+from churnkit.llm.common import labelled_sample, table
 from tests.llm import helpers as H
 
 SF = "/root/testdata/sf0.1"
@@ -71,6 +72,38 @@ def test_toxicity_tolerates_gaps_and_insertions():
     assert (scores[:2] < 0.3).all() and (scores[2:] >= 0.3).all(), scores
 
 
+def test_toxicity_tolerates_several_insertions_and_omissions():
+    model = planted_model()
+    spoiled = [b"bloxckxhead", b"bzloqckheazd", b"bxlxoxcxkxhxexaxd", b"nixtwyit", b"nzizizwizt", b"blckhead", b"blokhead",
+               b"nitwt"]
+    scores = model.scores([b"you " + w + b" by the garden. summer" for w in spoiled])
+    assert (scores >= 0.3).all(), dict(zip(spoiled, scores))
+    fine = [b"stone bridge and river", b"a letter", b"with it", b"black bread", b"blocks ahead of the head"]
+    assert (model.scores(fine[:4]) < 0.3).all()
+
+
+def test_floors_keep_chance_matches_out():
+    rng = np.random.default_rng(2)
+    clean = [b" ".join([b"insane", b"result", b"garden"][k] for k in rng.integers(0, 3, 20)) for _ in range(200)]
+    marks = toxicity.Landmarks([toxicity.letters(b"insult")])
+    marks.learn_floors(clean)
+    chance = marks.values([b"insane", b"result"])[:, 0].max()
+    assert marks.floors[0] >= chance
+    assert not marks.calibrated([b"insane", b"result"]).any()
+    assert marks.calibrated([b"insult"])[0, 0] == pytest.approx(1)
+    assert marks.calibrated([b"insxulzt"])[0, 0] > toxicity.TRACE
+
+
+def test_sample_bounds_rows_and_bytes_never_texts(spark):
+    docs = spark.createDataFrame([(i, "x" * 1000) for i in range(40)] + [(None, "n")], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(None, 1)], "doc_id long, toxic int")
+    everyone = lambda c: F.col(c).isNotNull()
+    texts, y = labelled_sample(docs, marks, "toxic", everyone, 15, 1 << 20)
+    assert len(texts) == 30 and y.sum() == 15 and {len(t) for t in texts} == {1000}
+    texts, y = labelled_sample(docs, marks, "toxic", everyone, 15, 4500)  # five texts of each class pass it
+    assert len(texts) == 10 and y.sum() == 5 and {len(t) for t in texts} == {1000}
+
+
 def test_models_without_both_classes():
     for module in (toxicity, quality):
         assert module.Model([], np.array([], int)).scores([b"x", b""]).tolist() == [0.0, 0.0]
