@@ -36,6 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnkit.session import reliable_checkpoint
+
 LENGTHS = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 16
 SHARD_PIECES = 4000
@@ -105,11 +107,10 @@ def best_fit(lengths: Sequence[int], permitted: Sequence[int] = LENGTHS,
     return bins, place, [sizes[bisect_left(sizes, u)] for u in used]
 
 
-def numbered(measured: DataFrame) -> DataFrame:
-    """The rows (doc_id, words), those that are equal told apart by
-    ``copy`` (0, 1, ...), whatever the partitioning. Equal rows are counted
-    and made again a block at a time, so no task gets all of them."""
-    equal = measured.groupBy("doc_id", "words").agg(F.count(F.lit(1)).alias("n"))
+def numbered(equal: DataFrame) -> DataFrame:
+    """The rows (doc_id, words) that ``equal`` (doc_id, words, n) counts,
+    told apart by ``copy`` (0, 1, ...), whatever the partitioning. They are
+    made a block at a time, so no task gets all equal rows."""
     blocks = equal.select("doc_id", "words", "n", F.explode(F.sequence(
         F.lit(0).cast("long"), F.col("n") - 1, F.lit(COPIES).cast("long"))).alias("first"))
     return blocks.repartition("doc_id", "words", "first").select("doc_id", "words", F.explode(F.sequence(
@@ -123,14 +124,17 @@ def pack(docs: DataFrame, permitted: Sequence[int] = LENGTHS, overhead: int = OV
     place (position within the bin), bin_length (the bin's final size) and
     bin_used (its words)."""
     longest = max(permitted)
-    measured = numbered(docs.select(F.col("doc_id").cast("long"), word_count("text").alias("words")))
-    pieces = measured.select("doc_id", "words", "copy", F.explode(F.sequence(
-        F.lit(0), F.greatest(F.ceil(F.col("words") / longest) - 1, F.lit(0)).cast("int"))).alias("piece"))
+    # three numbers a document, kept: the texts are read once, for the number of pieces and for the pieces
+    equal = reliable_checkpoint(docs.select(F.col("doc_id").cast("long"), word_count("text").alias("words"))
+                                .groupBy("doc_id", "words").agg(F.count(F.lit(1)).alias("n")))
+    last = F.greatest(F.ceil(F.col("words") / longest) - 1, F.lit(0))
+    total = equal.agg(F.sum(F.col("n") * (last + 1)).cast("long")).first()[0] or 0
+    pieces = numbered(equal).select("doc_id", "words", "copy", F.explode(F.sequence(
+        F.lit(0), last.cast("int"))).alias("piece"))
     pieces = pieces.select(
         "doc_id", "words", "copy", "piece", (F.col("piece").cast("long") * longest).alias("start"),
         F.least(F.col("words") - F.col("piece").cast("long") * longest, F.lit(longest)).cast("long").alias("length"))
-    # footers or one narrow column: no text is read for the count
-    shards = max(1, -(-docs.select("doc_id").count() // shard_pieces))
+    shards = max(1, -(-total // shard_pieces))
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "words", "copy", "piece"), F.lit(shards)).cast("long"))
     dealt = dealt.drop("words", "copy")
 

@@ -97,6 +97,14 @@ def test_packing_deals_rows_without_doc_id_evenly(spark, monkeypatch):
     assert max(map(shards.count, set(shards))) < 300
 
 
+def test_shards_follow_the_pieces_of_long_texts(spark):
+    """Ten texts of 400 pieces each fill as many shards as 4,000 short ones."""
+    docs = spark.createDataFrame([(i, "w " * (400 * 64)) for i in range(10)], "doc_id long, text string")
+    rows = packing.pack(docs, permitted=(16, 64), shard_pieces=200).collect()
+    shards = [r.bin_id >> 32 for r in rows]
+    assert len(rows) == 4000 and len(set(shards)) == 20 and max(map(shards.count, set(shards))) < 300
+
+
 def test_chat_collapses_prefixes_and_copies(spark):
     a, b, c = ("user", "hi"), ("assistant", "hello <|end|>"), ("user", None)
     turns = turns_of(spark, [(1, [a]), (2, [a, b]), (3, [a, b, c]), (4, [a, b, c]), (5, [b]), (6, [a, c]), (7, [(None, "hi")])])
