@@ -152,6 +152,30 @@ def test_lines_whatever_the_batches(spark, documents, batches, fanout):
     assert got == H.lines_brute(documents)
 
 
+def test_line_runs_are_joined_and_merged_as_they_lie(spark, documents):
+    """Ten batches, two levels of compaction: each run costs a batch one
+    merge join and no exchange or sort; merging costs no exchange."""
+    docs = table(spark, SF, "documents")
+    bounds = line_dedup.batch_bounds(docs, 10)
+    rows = line_dedup.line_rows(docs, 20, bounds).cache()
+    runs = line_dedup.LineRuns(spark, fanout=3)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for k in range(10):
+        with line_dedup._runs_lie_sorted(spark):
+            text = plan(runs.marked(rows.where(F.col("batch") == k)))
+        assert text.count("SortMergeJoin") == len(runs.live())
+        assert text.count("Sort [") == bool(runs.live()) and text.count("Exchange hashpartitioning") == 2
+        runs.add(rows.where(F.col("batch") == k))
+    assert [len(level) for level in runs.levels] == [1, 0, 1]
+    assert "Exchange" not in plan(runs.merged())
+    got = {(r.h1, r.h2): (r.n, r.holder) for r in runs.merged().collect()}
+    expected = {(r.h1, r.h2): (r.n, r.holder) for r in rows.groupBy("h1", "h2").agg(
+        F.countDistinct("doc").alias("n"), F.max("doc").alias("holder")).collect()}
+    assert got == expected
+    runs.close()
+    rows.unpersist()
+
+
 def test_lines_odd_cases(spark):
     docs = H.odd_documents(spark)
     rows = line_dedup.drop_common_lines(docs).collect()
@@ -170,8 +194,9 @@ def test_lines_of_rows_without_doc_id_stay_apart(spark):
     docs = [(None, f"{line(i)}\n{line(i)}\nown {i}") for i in range(30)] * 4
     docs += [(d, line(i)) for d in (1, 2, 3) for i in range(30)]
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
-    rows = line_dedup.line_rows(frame, 20)
-    common = line_dedup.common_lines(frame, rows, 3, 2, 3)
+    bounds = line_dedup.batch_bounds(frame, 2)
+    rows = line_dedup.line_rows(frame, 20, bounds)
+    common = line_dedup.common_lines(rows, len(bounds) + 1, 3, 3)
     lists = line_dedup.drop_lists(rows, common, "k", "t", "gone").select("k", F.size("gone").alias("n")).collect()
     assert {r.n for r in lists} == {1} and sum(r.k == line_dedup.NO_ID for r in lists) == 30
     got = line_dedup.drop_common_lines(frame).collect()
