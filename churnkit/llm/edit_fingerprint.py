@@ -15,10 +15,15 @@ two fingerprints is the share of agreeing samples, corrected for chance,
 each octave weighted by the steps it stands for in the longer text. A
 sample beyond a text's end agrees with nothing but another end.
 
-``near_pairs`` finds similar texts by banding: groups of ``BAND`` samples
-of an octave are bucket keys (bit sampling); every text is linked to the
-least doc_id of its bucket and a link counts only if the likeness of the
-two fingerprints reaches the threshold.
+``near_duplicates`` finds similar texts by banding (bit sampling): ``BANDS``
+random groups of ``BAND`` samples of each of a text's last two octaves are
+bucket keys, and two texts of a bucket link if the likeness of their
+fingerprints reaches the threshold. Equal fingerprints are one class. In
+each bucket all classes are first compared with the least one; classes that
+this has put into one component need no further comparison, any other pair
+of the bucket is compared then, a crowded bucket in blocks dealt to tasks.
+What leaves the tasks is links that span, never all pairs, so components
+lose no link that shares a bucket.
 
 Defined results: a null or empty text has the fingerprint of no samples
 (its header alone), two such are alike (1.0) and unlike any other text
@@ -38,12 +43,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import byte_texts, slices
+from churnkit.llm.common import byte_texts, components, slices
+from churnkit.session import reliable_checkpoint
 
 PERIOD = 4096
 SAMPLES = 32
 OCTAVES = 40
-BAND = 8
+BAND, BANDS = 6, 16
+BLOCK = 256
 SLICE_BYTES = 6 << 20
 WALK_CHARS = 16 << 20
 SEED = 20240229
@@ -275,40 +282,125 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
               "near_edited double, near_next double")
 
 
-def near_pairs(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """(doc_id, least_id, near): documents of ``prints`` (doc_id,
-    fingerprint) linked to the least doc_id that shares a band with them,
-    where the likeness of the two fingerprints reaches ``threshold``. Equal
-    fingerprints are one class, so copies are compared once."""
-    def bands(batches):
+def _band_members() -> list[np.ndarray]:
+    """Per octave the samples of each of its bands."""
+    rng = np.random.default_rng(SEED + 2)
+    out = []
+    for n in COUNTS.tolist():
+        size = min(BAND, max(1, n // 2))
+        out.append(np.stack([np.sort(rng.choice(n, size, replace=False)) for _ in range(BANDS)]))
+    return out
+
+
+MEMBERS = _band_members()
+FIRST = np.cumsum(COUNTS) - COUNTS
+
+
+def bands_of(samples: np.ndarray) -> list[bytes]:
+    """Bucket keys of a fingerprint: bands of its last two octaves, those
+    that reach beyond the text's end left out."""
+    if not len(samples):
+        return []
+    last = int(_OCTAVE_OF[len(samples) - 1])
+    out = []
+    for o in range(max(0, last - 1), last + 1):
+        picked = samples[FIRST[o]:FIRST[o] + COUNTS[o]][MEMBERS[o]]
+        for k in np.flatnonzero((picked < 16).all(axis=1)).tolist():
+            out.append(bytes([o, k]) + picked[k].tobytes())
+    return out
+
+
+def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): the rows of (a, pa, b, pb) whose fingerprints are alike."""
+    def emit(batches):
+        for batch in batches:
+            near = [likeness(x[0], y[0], x[1], y[1]) >= threshold for x, y in
+                    zip(map(parse, batch.column(1).to_pylist()), map(parse, batch.column(3).to_pylist()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], names=["a", "b"]).filter(
+                pa.array(near, pa.bool_()))
+
+    return pairs.select("a", "pa", "b", "pb").mapInArrow(emit, "a binary, b binary")
+
+
+def links(classes: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links that span the components of ``classes`` (cls,
+    fingerprint): every two classes of a bucket whose likeness reaches the
+    threshold are connected by them."""
+    def emit(batches):
         for batch in batches:
             at, keys = [], []
             for i, f in enumerate(batch.column(1).to_pylist()):
-                samples, _ = parse(f)
-                octave = _OCTAVE_OF[:len(samples)]
-                for o in range(max(0, int(octave[-1]) - 1) if len(samples) else 0, OCTAVES):
-                    own = samples[octave == o]
-                    if not len(own):
-                        break
-                    for b in range(0, len(own), BAND):
-                        at.append(i)
-                        keys.append(f"{o}/{b}/" + own[b:b + BAND].tobytes().hex())
-            rows = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows),
-                                              pa.array(keys, pa.string())], names=["doc_id", "fingerprint", "band"])
-
-    def verify(batches):
-        for batch in batches:
-            near = [likeness(a[0], b[0], a[1], b[1]) for a, b in
-                    zip(map(parse, batch.column(1).to_pylist()), map(parse, batch.column(3).to_pylist()))]
-            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(near, pa.float64())],
-                                             names=["doc_id", "least_id", "near"])
-            yield out.filter(pa.array([x >= threshold for x in near], pa.bool_()))
-
-    one = prints.where("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
-    rows = one.select("doc_id", "fingerprint").mapInArrow(bands, "doc_id long, fingerprint string, band string")
-    least = rows.groupBy("band").agg(F.min(F.struct("doc_id", "fingerprint")).alias("m")).select(
-        "band", F.col("m.doc_id").alias("least_id"), F.col("m.fingerprint").alias("least_print"))
-    pairs = (rows.join(least, "band").where("doc_id <> least_id")
-             .select("doc_id", "fingerprint", "least_id", "least_print").distinct())
-    return pairs.mapInArrow(verify, "doc_id long, least_id long, near double")
+                own = bands_of(parse(f)[0])
+                at += [i] * len(own)
+                keys += own
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), batch.column(0).take(pa.array(at, pa.int64()))],
+                                             names=["band", "cls"])
+
+    rows = classes.select("cls", "fingerprint").mapInArrow(emit, "band binary, cls binary")
+    buckets = rows.groupBy("band").agg(F.min("cls").alias("hub"), F.max("cls").alias("top"), F.count(F.lit(1)).alias("n"))
+    shared = reliable_checkpoint(buckets.where("hub <> top").select("band", "hub", "n"))
+    # both sides exchanged: a crowded bucket is split among tasks
+    members = reliable_checkpoint(rows.join(shared, "band").select("band", "cls", "hub", "n"))
+    prints = lambda c, p: classes.select(F.col("cls").alias(c), F.col("fingerprint").alias(p))
+    stars = (members.where("cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
+             .join(prints("b", "pb"), "b").join(prints("a", "pa"), "a"))
+    first = reliable_checkpoint(_verified(stars, threshold))
+
+    # classes of a bucket outside the hub's component meet all others but the hub
+    roots = components(first, "a", "b")
+    root = lambda c: F.coalesce(F.col(f"{c}_root"), F.col(c))
+    named = (members.where("n > 2 and cls <> hub")
+             .join(roots.select(F.col("node").alias("cls"), F.col("component").alias("cls_root")), "cls", "left")
+             .join(roots.select(F.col("node").alias("hub"), F.col("component").alias("hub_root")), "hub", "left")
+             .select("band", "cls", root("cls").alias("root"), (root("cls") != root("hub")).alias("apart")))
+    named = reliable_checkpoint(named)
+    open_ = reliable_checkpoint(named.groupBy("band").agg(
+        F.count(F.lit(1)).alias("all"), F.count_if("apart").alias("apart_n"))
+        .where("apart_n > 0 and all > 1").select(
+        "band", F.ceil(F.col("all") / BLOCK).cast("int").alias("wide"),
+        F.ceil(F.col("apart_n") / BLOCK).cast("int").alias("tall")))
+    left = named.join(open_, "band").join(prints("cls", "print"), "cls")
+    spread = lambda n: F.pmod(F.xxhash64("cls"), F.col(n)).cast("int")
+    count_to = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asked = left.where("apart").select("band", spread("tall").alias("i"), count_to("wide").alias("j"), "cls", "root",
+                                       "print", F.lit(True).alias("asks"))
+    met = left.select("band", count_to("tall").alias("i"), spread("wide").alias("j"), "cls", "root", "print",
+                      F.lit(False).alias("asks"))
+
+    def compare(key, rows):
+        import pandas as pd
+        parent = {r: r for r in rows["root"]}
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        parsed = [parse(f) for f in rows["print"]]
+        ids, own = rows["cls"].tolist(), rows["root"].tolist()
+        asks = rows["asks"].to_numpy(bool)
+        out = []
+        for x in np.flatnonzero(asks).tolist():
+            for y in np.flatnonzero(~asks).tolist():
+                u, v = find(own[x]), find(own[y])
+                if u != v and likeness(parsed[x][0], parsed[y][0], parsed[x][1], parsed[y][1]) >= threshold:
+                    parent[u] = v
+                    out.append((ids[x], ids[y]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    rest = asked.unionByName(met).groupBy("band", "i", "j").applyInPandas(compare, "a binary, b binary")
+    return first.unionByName(reliable_checkpoint(rest))
+
+
+def near_duplicates(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """(doc_id, fingerprint, component_id), one row per row of ``prints``
+    (doc_id, fingerprint): the least doc_id reachable by links between
+    fingerprints whose likeness reaches ``threshold``, found by banding."""
+    keyed = reliable_checkpoint(prints.select("doc_id", "fingerprint", F.unhex(F.md5("fingerprint")).alias("cls")))
+    classes = reliable_checkpoint(keyed.groupBy("cls").agg(F.min("fingerprint").alias("fingerprint"),
+                                                           F.min("doc_id").alias("least")))
+    roots = components(links(classes, threshold), "a", "b").select(F.col("node").alias("cls"), "component")
+    rooted = classes.join(roots, "cls", "left").select("cls", "least", F.coalesce("component", "cls").alias("root"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root")
+    return keyed.join(reliable_checkpoint(named.select("cls", "component_id")), "cls").select(
+        "doc_id", "fingerprint", "component_id")

@@ -159,10 +159,65 @@ def test_fingerprint_odd_cases(spark):
     assert E.document_fingerprints(H.empty_documents(spark)).count() == 0
 
 
-def test_near_pairs_by_banding(spark):
+def test_near_duplicates_by_banding(spark):
     rng = random.Random(4)
     base = ["".join(rng.choice("abcdefghij ") for _ in range(1500)) for _ in range(6)]
     docs = [(i, t) for i, t in enumerate(base)] + [(10 + i, t[:700] + "x" + t[700:]) for i, t in enumerate(base)] + [(20, base[0])]
     prints = E.document_fingerprints(spark.createDataFrame(docs, "doc_id long, text string")).select("doc_id", "fingerprint")
-    got = {(r.doc_id, r.least_id) for r in E.near_pairs(prints, 0.75).collect()}
-    assert got == {(10 + i, i) for i in range(6)}
+    got = {r.doc_id: r.component_id for r in E.near_duplicates(prints, 0.75).collect()}
+    assert got == {i: i for i in range(6)} | {10 + i: i for i in range(6)} | {20: 0}
+
+
+def _edited_texts(rng, seeds: int, copies: int) -> list[str]:
+    """Random texts and copies of them with a few letters changed, taken out
+    or put in."""
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz     "))
+    texts = []
+    for _ in range(seeds):
+        base = rng.choice(letters, int(rng.integers(60, 1500))).tolist()
+        texts.append("".join(base))
+        for _ in range(copies):
+            t = list(base)
+            for _ in range(int(rng.integers(1, 2 + len(t) // 100))):
+                at = int(rng.integers(0, len(t)))
+                t[at:at + int(rng.integers(0, 2))] = rng.choice(letters, int(rng.integers(0, 2))).tolist()
+            texts.append("".join(t))
+    return texts
+
+
+def _alike(prints: list[str], threshold: float) -> list[tuple[int, int]]:
+    parsed = [E.parse(p) for p in prints]
+    return [(i, j) for i in range(len(prints)) for j in range(i)
+            if E.likeness(parsed[i][0], parsed[j][0], parsed[i][1], parsed[j][1]) >= threshold]
+
+
+def _prints(texts: list[str]) -> list[str]:
+    return [E.as_string(x, len(t)) for t, x in zip(texts, E.fingerprints([E.classes(t) for t in texts]))]
+
+
+def test_bands_find_pairs_above_the_threshold():
+    prints = _prints(_edited_texts(np.random.default_rng(5), 60, 4))
+    keys = [set(E.bands_of(E.parse(p)[0])) for p in prints]
+    pairs = [(i, j) for i, j in _alike(prints, 0.8) if prints[i] != prints[j]]
+    found = sum(bool(keys[i] & keys[j]) for i, j in pairs)
+    assert len(pairs) > 150 and found >= 0.95 * len(pairs)
+
+
+def test_near_duplicates_lose_no_link_of_a_bucket(spark, monkeypatch):
+    """Components equal brute force over the pairs that share a band, with
+    crowded buckets in blocks of three; null and repeated doc_ids too."""
+    monkeypatch.setattr(E, "BLOCK", 3)
+    prints = _prints(_edited_texts(np.random.default_rng(6), 12, 9) + ["", "", "short", "short"])
+    rows = [(None if i % 10 == 3 else i // 2 * 2, p) for i, p in enumerate(prints)]
+    keys = [set(E.bands_of(E.parse(p)[0])) for p in prints]
+    pairs = [(i, j) for i, j in _alike(prints, 0.8) if prints[i] == prints[j] or keys[i] & keys[j]]
+    root = H.components_brute(range(len(rows)), pairs)
+    least = {}
+    for i, r in root.items():
+        least[r] = min([x for x in (rows[i][0], least.get(r)) if x is not None], default=None)
+    got = E.near_duplicates(spark.createDataFrame(rows, "doc_id long, fingerprint string").repartition(3)).collect()
+    as_key = lambda x: tuple(-1 if v is None else v for v in x)
+    assert sorted(((r.doc_id, r.fingerprint, r.component_id) for r in got), key=as_key) == sorted(
+        ((d, p, least[root[i]]) for i, (d, p) in enumerate(rows)), key=as_key)
+    empty = spark.createDataFrame([], "doc_id long, fingerprint string")
+    assert E.near_duplicates(empty).count() == 0
