@@ -43,8 +43,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import byte_texts, components, slices
-from churnkit.session import reliable_checkpoint
+from churnkit.llm.common import byte_texts, components, discard, slices
+from churnkit.session import reliable_checkpoint, scratch_path
 
 PERIOD = 4096
 SAMPLES = 32
@@ -170,17 +170,24 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
+def _mark():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"),
-                       F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), "text")
+                       F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), "text",
+                       _mark().alias("mark"))
 
 
-def with_following(docs: DataFrame, chars: int = 8 << 20) -> DataFrame:
-    """(part, context, doc_id, text) partitioned and sorted so that every
+def with_following(docs: DataFrame, chars: int = 8 << 20, *, named: DataFrame | None = None) -> DataFrame:
+    """(part, context, doc_id, key, text, mark) partitioned and sorted so that every
     row with ``context`` false is followed by the row after it in
     descending order of doc_id, the last by the first: the documents are
     dealt by ranges of doc_id, and the row that begins a range is repeated
-    (``context``) at the end of the range before. Texts travel compressed."""
+    (``context``) at the end of the range before. Texts travel compressed.
+    The rows of ``named`` (doc_id, mark, cls, component_id) come without a
+    text, each before the texts of its doc_id and mark."""
     keyed = _keyed(docs)
     size = keyed.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("c")).first()
     parts = max(1, min(-(-(size["c"] or 0) // chars), size["n"], 100_000))
@@ -220,56 +227,83 @@ def with_following(docs: DataFrame, chars: int = 8 << 20) -> DataFrame:
             context = np.arange(len(rows)) >= len(ids)
             to = np.concatenate([part, target[at[extra]]])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(to), pa.array(context), batch.column(0).take(pa.array(rows)),
-                 pa.array(ids[rows]), packed.take(pa.array(rows))], names=["part", "context", "doc_id", "key", "text"])
+                [pa.array(to), pa.array(context), batch.column(0).take(pa.array(rows)), pa.array(ids[rows]),
+                 packed.take(pa.array(rows)), batch.column(3).take(pa.array(rows))],
+                names=["part", "context", "doc_id", "key", "text", "mark"])
 
-    dealt = keyed.mapInArrow(deal, "part long, context boolean, doc_id long, key long, text binary")
+    def tag(batches):
+        for batch in batches:
+            part = part_of(np.asarray(batch.column(0).to_numpy(), np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(part), *batch.columns],
+                                             names=["part", "key", "mark", "cls", "component_id"])
+
+    dealt = keyed.mapInArrow(deal, "part long, context boolean, doc_id long, key long, text binary, mark long")
+    if named is not None:
+        names = named.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "mark", "cls", "component_id").mapInArrow(
+            tag, "part long, key long, mark long, cls binary, component_id long")
+        dealt = dealt.unionByName(names.withColumn("context", F.lit(False)), allowMissingColumns=True)
+    # a name has no text, so it comes before the texts of its key and mark
     return (dealt.repartition(max(1, len(present)), "part")
-            .sortWithinPartitions("part", "context", F.desc("key"), F.sha2("text", 256)))
+            .sortWithinPartitions("part", "context", F.desc("key"), "mark", F.sha2("text", 256)))
 
 
-def document_fingerprints(docs: DataFrame) -> DataFrame:
+def document_fingerprints(docs: DataFrame, named: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_chars,
     edited_sha256, fingerprint, edited_fingerprint, near_edited and
     near_next: the document against its edited text (see ``edited``) and
-    against the next document in descending order of doc_id."""
+    against the next document in descending order of doc_id. With ``named``
+    (doc_id, mark, cls, component_id) also component_id."""
+    grouped = named is not None
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grow = zstandard.ZstdDecompressor()
-        held: list[tuple] = []  # (part, doc_id, text); the next row of the same part closes each
+        held: list[tuple] = []  # (part, doc_id, text, names); the next row of the same part closes each
         part_now, closed = None, False
+        names: dict[bytes, int | None] = {}  # component by class, for the texts of one doc_id and mark
+        names_of = None
 
         def work(rows: list[tuple]) -> pa.RecordBatch:
             texts, edits = [], []
-            for (_, _, text), (_, _, following) in zip(rows, rows[1:]):
-                texts.append(text)
-                edits.append(edited(text, following))
+            for row, following in zip(rows, rows[1:]):
+                texts.append(row[2])
+                edits.append(edited(row[2], following[2]))
             last = rows[-1][2]
             every = fingerprints([classes(t) for t in (*texts, last, *edits)])
             own, other = every[:len(texts) + 1], every[len(texts) + 1:]
             sizes = [len(t) for t in (*texts, last)]
             sizes_e = [len(t) for t in edits]
             n = len(texts)
+            strings = [as_string(own[i], sizes[i]) for i in range(n)]
+            group = [pa.array(
+                [r[3][hashlib.md5(f.encode()).digest()] for r, f in zip(rows, strings)], pa.int64())] if grouped else []
             return pa.RecordBatch.from_arrays([
                 pa.array([r[1] for r in rows[:-1]], pa.int64()), pa.array(sizes[:n], pa.int64()),
                 pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edits], pa.string()),
-                pa.array([as_string(own[i], sizes[i]) for i in range(n)], pa.string()),
+                pa.array(strings, pa.string()),
                 pa.array([as_string(other[i], sizes_e[i]) for i in range(n)], pa.string()),
                 pa.array([likeness(own[i], other[i], sizes[i], sizes_e[i]) for i in range(n)], pa.float64()),
                 pa.array([likeness(own[i], own[i + 1], sizes[i], sizes[i + 1]) for i in range(n)], pa.float64()),
-            ], names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
-                      "near_next"])
+                *group], names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                                "near_edited", "near_next", *(["component_id"] if group else [])])
 
         size = 0
         for batch in batches:
             parts, contexts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             ids, packed = batch.column(2).to_pylist(), batch.column(4)
+            keys, marks = batch.column(3).to_pylist(), batch.column(5).to_pylist()
+            classes_of = batch.column(6).to_pylist() if grouped else [None] * batch.num_rows
             for i in range(batch.num_rows):
                 if parts[i] != part_now:
                     part_now, closed, held, size = parts[i], False, [], 0
+                if classes_of[i] is not None:
+                    if (parts[i], keys[i], marks[i]) != names_of:
+                        names, names_of = {}, (parts[i], keys[i], marks[i])
+                    names[classes_of[i]] = batch.column(7)[i].as_py()
+                    continue
                 if closed:
                     continue
                 text = grow.decompress(packed[i].as_py()).decode()
-                held.append((parts[i], ids[i], text))
+                held.append((parts[i], ids[i], text, names))
                 size += len(text)
                 closed = contexts[i]
                 if closed or size >= WALK_CHARS:
@@ -277,9 +311,11 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
                         yield work(held)
                     held, size = held[-1:], len(text)
 
-    return with_following(docs).mapInArrow(
+    rows = with_following(docs, named=named)
+    columns = ["part", "context", "doc_id", "key", "text", "mark"] + (["cls", "component_id"] if grouped else [])
+    return rows.select(*columns).mapInArrow(
         emit, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-              "near_edited double, near_next double")
+              "near_edited double, near_next double" + (", component_id long" if grouped else ""))
 
 
 def _band_members() -> list[np.ndarray]:
@@ -322,28 +358,37 @@ def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.select("a", "pa", "b", "pb").mapInArrow(emit, "a binary, b binary")
 
 
-def links(classes: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): links that span the components of ``classes`` (cls,
-    fingerprint): every two classes of a bucket whose likeness reaches the
-    threshold are connected by them."""
+def links(prints: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links that span the components of ``prints`` (cls,
+    fingerprint; a class may come often): every two classes of a bucket
+    whose likeness reaches the threshold are connected by them."""
     def emit(batches):
         for batch in batches:
-            at, keys = [], []
-            for i, f in enumerate(batch.column(1).to_pylist()):
-                own = bands_of(parse(f)[0])
-                at += [i] * len(own)
-                keys += own
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), batch.column(0).take(pa.array(at, pa.int64()))],
+            at, keys, seen = [], [], set()
+            for i, (c, f) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                if c not in seen:
+                    seen.add(c)
+                    own = bands_of(parse(f)[0])
+                    at += [i] * len(own)
+                    keys += own
+            band = np.frombuffer(b"".join(k.ljust(8, b"\x20") for k in keys), "<i8")
+            yield pa.RecordBatch.from_arrays([pa.array(band), batch.column(0).take(pa.array(at, pa.int64()))],
                                              names=["band", "cls"])
 
-    rows = classes.select("cls", "fingerprint").mapInArrow(emit, "band binary, cls binary")
-    buckets = rows.groupBy("band").agg(F.min("cls").alias("hub"), F.max("cls").alias("top"), F.count(F.lit(1)).alias("n"))
-    shared = reliable_checkpoint(buckets.where("hub <> top").select("band", "hub", "n"))
+    rows = prints.select("cls", "fingerprint").mapInArrow(emit, "band long, cls binary")
+    some = F.xxhash64("cls")
+    shared = reliable_checkpoint(rows.groupBy("band").agg(F.min(some).alias("low"), F.max(some).alias("high"))
+                                 .where("low <> high").select("band"))
     # both sides exchanged: a crowded bucket is split among tasks
-    members = reliable_checkpoint(rows.join(shared, "band").select("band", "cls", "hub", "n"))
-    prints = lambda c, p: classes.select(F.col("cls").alias(c), F.col("fingerprint").alias(p))
+    found = reliable_checkpoint(rows.join(shared, "band").distinct())
+    members = reliable_checkpoint(found.join(found.groupBy("band").agg(
+        F.min("cls").alias("hub"), F.count(F.lit(1)).alias("n")), "band"))
+    needed = found.select("cls").distinct()
+    classes = reliable_checkpoint(prints.select("cls", "fingerprint").join(needed, "cls", "left_semi")
+                                  .groupBy("cls").agg(F.min("fingerprint").alias("fingerprint")))
+    named_print = lambda c, p: classes.select(F.col("cls").alias(c), F.col("fingerprint").alias(p))
     stars = (members.where("cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
-             .join(prints("b", "pb"), "b").join(prints("a", "pa"), "a"))
+             .join(named_print("b", "pb"), "b").join(named_print("a", "pa"), "a"))
     first = reliable_checkpoint(_verified(stars, threshold))
 
     # classes of a bucket outside the hub's component meet all others but the hub
@@ -359,7 +404,7 @@ def links(classes: DataFrame, threshold: float) -> DataFrame:
         .where("apart_n > 0 and all > 1").select(
         "band", F.ceil(F.col("all") / BLOCK).cast("int").alias("wide"),
         F.ceil(F.col("apart_n") / BLOCK).cast("int").alias("tall")))
-    left = named.join(open_, "band").join(prints("cls", "print"), "cls")
+    left = named.join(open_, "band").join(named_print("cls", "print"), "cls")
     spread = lambda n: F.pmod(F.xxhash64("cls"), F.col(n)).cast("int")
     count_to = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     asked = left.where("apart").select("band", spread("tall").alias("i"), count_to("wide").alias("j"), "cls", "root",
@@ -393,14 +438,41 @@ def links(classes: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_duplicates(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """(doc_id, fingerprint, component_id), one row per row of ``prints``
-    (doc_id, fingerprint): the least doc_id reachable by links between
+    """``prints`` (doc_id, fingerprint, any others) without the fingerprint
+    and with component_id: the least doc_id reachable by links between
     fingerprints whose likeness reaches ``threshold``, found by banding."""
-    keyed = reliable_checkpoint(prints.select("doc_id", "fingerprint", F.unhex(F.md5("fingerprint")).alias("cls")))
-    classes = reliable_checkpoint(keyed.groupBy("cls").agg(F.min("fingerprint").alias("fingerprint"),
-                                                           F.min("doc_id").alias("least")))
-    roots = components(links(classes, threshold), "a", "b").select(F.col("node").alias("cls"), "component")
-    rooted = classes.join(roots, "cls", "left").select("cls", "least", F.coalesce("component", "cls").alias("root"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root")
-    return keyed.join(reliable_checkpoint(named.select("cls", "component_id")), "cls").select(
-        "doc_id", "fingerprint", "component_id")
+    keyed = prints.withColumn("cls", F.unhex(F.md5("fingerprint")))
+    roots = components(links(keyed, threshold), "a", "b").select(F.col("node").alias("cls"), "component")
+    rooted = reliable_checkpoint(keyed.drop("fingerprint").join(roots, "cls", "left")
+                                 .withColumn("root", F.coalesce("component", "cls")).drop("component"))
+    least = reliable_checkpoint(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")))
+    return rooted.join(least, "root").drop("root")
+
+
+def own_prints(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, fingerprint) of every row of ``docs``; ``mark`` is a
+    hash of the text."""
+    def emit(batches):
+        for batch in slices(batches, "text", SLICE_BYTES):
+            texts = [t.decode() for t in byte_texts(batch.column(2))]
+            prints = [as_string(x, len(t)) for t, x in zip(texts, fingerprints([classes(t) for t in texts]))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints, pa.string())],
+                                             names=["doc_id", "mark", "fingerprint"])
+
+    return docs.select(F.col("doc_id").cast("long"), _mark().alias("mark"), "text").mapInArrow(
+        emit, "doc_id long, mark long, fingerprint string")
+
+
+def fingerprint_groups(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """``document_fingerprints`` of ``docs`` with component_id: the least
+    doc_id of the texts that are near duplicates of one another (see
+    ``near_duplicates``). The fingerprints are made first, by themselves;
+    the components then travel to the tasks that hold the texts, so neither
+    texts nor results are shuffled once more."""
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "prints")
+    own_prints(docs).write.option("compression", "zstd").parquet(path)
+    prints = spark.read.schema("doc_id long, mark long, fingerprint string").parquet(path)
+    named = reliable_checkpoint(near_duplicates(prints, threshold).select("doc_id", "mark", "cls", "component_id")
+                                .distinct())
+    discard(spark, path)
+    return document_fingerprints(docs, named)

@@ -108,7 +108,7 @@ def op7(spark, sf_dir):
 
 @register("op8_document_fingerprints")
 def op8(spark, sf_dir):
-    return edit_fingerprint.document_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return edit_fingerprint.fingerprint_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @register("op9_line_dedup", LINE_SQL)

@@ -215,9 +215,27 @@ def test_near_duplicates_lose_no_link_of_a_bucket(spark, monkeypatch):
     least = {}
     for i, r in root.items():
         least[r] = min([x for x in (rows[i][0], least.get(r)) if x is not None], default=None)
-    got = E.near_duplicates(spark.createDataFrame(rows, "doc_id long, fingerprint string").repartition(3)).collect()
-    as_key = lambda x: tuple(-1 if v is None else v for v in x)
-    assert sorted(((r.doc_id, r.fingerprint, r.component_id) for r in got), key=as_key) == sorted(
-        ((d, p, least[root[i]]) for i, (d, p) in enumerate(rows)), key=as_key)
+    frame = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, fingerprint string, row long")
+    got = E.near_duplicates(frame.repartition(3)).collect()
+    assert sorted((r.row, r.component_id) for r in got) == [(i, least[root[i]]) for i in range(len(rows))]
     empty = spark.createDataFrame([], "doc_id long, fingerprint string")
     assert E.near_duplicates(empty).count() == 0
+
+
+def test_fingerprint_groups_equal_brute_force(spark):
+    """The query's components: equal fingerprints, and pairs that share a
+    band and are alike, over the whole table; the odd table too."""
+    rows = queries.queries()["op8_document_fingerprints"](spark, SF).collect()
+    prints = [r.fingerprint for r in rows]
+    keys = [set(E.bands_of(E.parse(p)[0])) for p in prints]
+    pairs = [(i, j) for i, j in _alike(prints, 0.8) if prints[i] == prints[j] or keys[i] & keys[j]]
+    root = H.components_brute(range(len(rows)), pairs)
+    least = {}
+    for i, r in root.items():
+        least[r] = min(rows[i].doc_id, least.get(r, rows[i].doc_id))
+    assert [r.component_id for r in rows] == [least[root[i]] for i in range(len(rows))]
+    assert len(set(least.values())) < len(rows)
+    odd = E.fingerprint_groups(H.odd_documents(spark)).collect()
+    by = {r.doc_id: r.component_id for r in odd if r.doc_id is not None}
+    assert len(odd) == H.odd_documents(spark).count() and by[10] == 9 and by[1] == 0
+    assert E.fingerprint_groups(H.empty_documents(spark)).count() == 0
