@@ -49,7 +49,7 @@ from churnkit.session import reliable_checkpoint, scratch_path
 PERIOD = 4096
 SAMPLES = 32
 OCTAVES = 40
-BAND, BANDS = 6, 16
+BAND, BANDS = 8, 16
 BLOCK = 256
 SLICE_BYTES = 6 << 20
 WALK_CHARS = 16 << 20
@@ -346,6 +346,15 @@ def bands_of(samples: np.ndarray) -> list[bytes]:
     return out
 
 
+def _as_long(band: bytes) -> int:
+    """A bucket key (octave, number, up to eight samples of four bits) as a
+    number, without loss."""
+    out = band[0] << 40 | band[1] << 32
+    for k, sample in enumerate(band[2:]):
+        out |= sample << 4 * k
+    return out
+
+
 def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
     """(a, b): the rows of (a, pa, b, pb) whose fingerprints are alike."""
     def emit(batches):
@@ -371,7 +380,7 @@ def links(prints: DataFrame, threshold: float) -> DataFrame:
                     own = bands_of(parse(f)[0])
                     at += [i] * len(own)
                     keys += own
-            band = np.frombuffer(b"".join(k.ljust(8, b"\x20") for k in keys), "<i8")
+            band = np.array([_as_long(k) for k in keys], np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(band), batch.column(0).take(pa.array(at, pa.int64()))],
                                              names=["band", "cls"])
 
