@@ -60,7 +60,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(33))
 
 
-def components(edges: DataFrame, a: str, b: str) -> DataFrame:
+def _folded(edges: DataFrame) -> DataFrame:
+    """(u, r): every node of a few ``edges`` (a, b) with one node of its
+    component, by one task."""
+    kind = edges.schema["a"].dataType.simpleString()
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from churnkit.llm.simhash import forest  # which imports this module
+        held = pa.Table.from_batches(list(batches))
+        nodes = pa.chunked_array([*held.column(0).chunks, *held.column(1).chunks]).combine_chunks().dictionary_encode()
+        ends = nodes.indices.to_numpy().astype(np.int64)
+        root = np.arange(len(nodes.dictionary))
+        other, least = forest(ends[:held.num_rows], ends[held.num_rows:])
+        root[other] = least
+        yield pa.RecordBatch.from_arrays([nodes.dictionary, nodes.dictionary.take(pa.array(root))], names=["u", "r"])
+
+    return edges.select("a", "b").coalesce(1).mapInArrow(fold, f"u {kind}, r {kind}")
+
+
+def components(edges: DataFrame, a: str, b: str, few: int = 0) -> DataFrame:
     """Connected components of undirected ``edges``: (node, component) for
     every node with an edge to another node, ``component`` being the
     smallest node reachable, the node included.
@@ -70,13 +88,17 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     The priority is first the node itself, which folds the stars around a
     least node (as spanning forests are) at once, then a random one, which
     shortens any shape, long chains too, by a constant factor. Each round is
-    checkpointed.
+    checkpointed. As soon as at most ``few`` edges are left, one task folds
+    them at once: the last rounds have many stages and hardly any rows.
     """
     e = reliable_checkpoint(edges.select(F.col(a).alias("a"), F.col(b).alias("b"))
                             .where("a <> b").distinct())
     picks: list[DataFrame] = []
     while not e.isEmpty():
         turn = len(picks)
+        if few and e.count() <= few:
+            picks.append(reliable_checkpoint(_folded(e)))
+            break
 
         def prio(c, turn=turn):
             chance = F.xxhash64(F.col(c), F.lit(turn)) if turn else F.lit(0).cast("long")

@@ -50,7 +50,9 @@ PERIOD = 4096
 SAMPLES = 32
 OCTAVES = 40
 BAND, BANDS = 8, 16
-BLOCK = 256
+BLOCK = 1024
+#: links that one task may fold (see ``components``): 32 bytes each
+FEW_LINKS = 1 << 17
 SLICE_BYTES = 6 << 20
 WALK_CHARS = 16 << 20
 SEED = 20240229
@@ -138,6 +140,7 @@ def as_string(samples: np.ndarray, n_chars: int) -> str:
 _DIGITS = bytes(b"0123456789abcdef-"[i] if i < 17 else 45 for i in range(256))
 _VALUES = bytes((int(chr(i), 16) if chr(i) in "0123456789abcdef" else 16) for i in range(256))
 _OCTAVE_OF = np.repeat(np.arange(OCTAVES), COUNTS)
+_WEIGHTS = 2.0 ** _OCTAVE_OF / COUNTS[_OCTAVE_OF]
 
 
 def likeness(a: np.ndarray, b: np.ndarray, length_a: int, length_b: int) -> float:
@@ -163,6 +166,26 @@ def parse(fingerprint: str) -> tuple[np.ndarray, int]:
     return np.frombuffer(samples.encode("ascii").translate(_VALUES), np.uint8), int(size, 16)
 
 
+def packed(prints: list[str]) -> np.ndarray:
+    """The samples of fingerprints, one row each, 17 after the last."""
+    found = [parse(p)[0] for p in prints]
+    out = np.full((len(found), max(map(len, found), default=0)), 17, np.uint8)
+    for row, samples in zip(out, found):
+        row[:len(samples)] = samples
+    return out
+
+
+def likenesses(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``likeness`` of each row of ``a`` (or its only one) and the same row
+    of ``b`` (both as ``packed``, equally wide): the same values, as sums of
+    the weights, which are whole numbers, are exact in any order."""
+    weight, equal, inside = _WEIGHTS[:a.shape[1]], a == b, a < 16
+    same = (equal & inside) @ weight
+    total = weight.sum() - (equal & ~inside) @ weight  # steps beyond both ends stand for nothing
+    share = same / np.maximum(total, 1e-12)
+    return np.where(total == 0, 1.0, np.clip((share - 1 / 16) / (1 - 1 / 16), 0.0, 1.0))
+
+
 def edited(text: str, following: str) -> str:
     """The last floor(n / 2) code points replaced by the first as many (or
     all) of the following text."""
@@ -358,11 +381,11 @@ def _as_long(band: bytes) -> int:
 def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
     """(a, b): the rows of (a, pa, b, pb) whose fingerprints are alike."""
     def emit(batches):
-        for batch in batches:
-            near = [likeness(x[0], y[0], x[1], y[1]) >= threshold for x, y in
-                    zip(map(parse, batch.column(1).to_pylist()), map(parse, batch.column(3).to_pylist()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], names=["a", "b"]).filter(
-                pa.array(near, pa.bool_()))
+        for whole in batches:
+            for batch in (whole.slice(i, BLOCK) for i in range(0, whole.num_rows, BLOCK)):
+                a, b = np.split(packed(batch.column(1).to_pylist() + batch.column(3).to_pylist()), 2)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], names=["a", "b"]).filter(
+                    pa.array(likenesses(a, b) >= threshold))
 
     return pairs.select("a", "pa", "b", "pb").mapInArrow(emit, "a binary, b binary")
 
@@ -401,7 +424,7 @@ def links(prints: DataFrame, threshold: float) -> DataFrame:
     first = reliable_checkpoint(_verified(stars, threshold))
 
     # classes of a bucket outside the hub's component meet all others but the hub
-    roots = components(first, "a", "b")
+    roots = components(first, "a", "b", FEW_LINKS)
     root = lambda c: F.coalesce(F.col(f"{c}_root"), F.col(c))
     named = (members.where("n > 2 and cls <> hub")
              .join(roots.select(F.col("node").alias("cls"), F.col("component").alias("cls_root")), "cls", "left")
@@ -421,28 +444,23 @@ def links(prints: DataFrame, threshold: float) -> DataFrame:
     met = left.select("band", count_to("tall").alias("i"), spread("wide").alias("j"), "cls", "root", "print",
                       F.lit(False).alias("asks"))
 
-    def compare(key, rows):
-        import pandas as pd
-        parent = {r: r for r in rows["root"]}
-
-        def find(x):
-            while parent[x] != x:
-                x = parent[x]
-            return x
-
-        parsed = [parse(f) for f in rows["print"]]
-        ids, own = rows["cls"].tolist(), rows["root"].tolist()
-        asks = rows["asks"].to_numpy(bool)
-        out = []
+    def compare(rows: pa.Table) -> pa.Table:
+        asks = rows.column("asks").to_numpy()
+        root = rows.column("root").combine_chunks().dictionary_encode().indices.to_numpy().copy()
+        samples = packed(rows.column("print").to_pylist())
+        meets = np.flatnonzero(~asks)
+        pairs = []
         for x in np.flatnonzero(asks).tolist():
-            for y in np.flatnonzero(~asks).tolist():
-                u, v = find(own[x]), find(own[y])
-                if u != v and likeness(parsed[x][0], parsed[y][0], parsed[x][1], parsed[y][1]) >= threshold:
-                    parent[u] = v
-                    out.append((ids[x], ids[y]))
-        return pd.DataFrame(out, columns=["a", "b"])
-
-    rest = asked.unionByName(met).groupBy("band", "i", "j").applyInPandas(compare, "a binary, b binary")
+            others = meets[root[meets] != root[x]]
+            near = others[likenesses(samples[x:x + 1], samples[others]) >= threshold]
+            # one link to each component that is near
+            for y in near[np.unique(root[near], return_index=True)[1]].tolist():
+                root[root == root[y]] = root[x]
+                pairs.append((x, y))
+        at = np.array(pairs, np.int64).reshape(-1, 2)
+        return pa.table({n: rows.column("cls").take(pa.array(at[:, k])) for k, n in enumerate("ab")})
+
+    rest = asked.unionByName(met).groupBy("band", "i", "j").applyInArrow(compare, "a binary, b binary")
     return first.unionByName(reliable_checkpoint(rest))
 
 
@@ -451,7 +469,7 @@ def near_duplicates(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
     and with component_id: the least doc_id reachable by links between
     fingerprints whose likeness reaches ``threshold``, found by banding."""
     keyed = prints.withColumn("cls", F.unhex(F.md5("fingerprint")))
-    roots = components(links(keyed, threshold), "a", "b").select(F.col("node").alias("cls"), "component")
+    roots = components(links(keyed, threshold), "a", "b", FEW_LINKS).select(F.col("node").alias("cls"), "component")
     rooted = reliable_checkpoint(keyed.drop("fingerprint").join(roots, "cls", "left")
                                  .withColumn("root", F.coalesce("component", "cls")).drop("component"))
     least = reliable_checkpoint(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")))

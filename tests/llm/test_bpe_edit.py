@@ -7,8 +7,9 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer as Library
 
-from churnkit.llm import bpe, edit_fingerprint as E, queries
+from churnkit.llm import bpe, common, edit_fingerprint as E, queries
 from churnkit.llm.common import table
+from churnkit.session import reliable_checkpoint
 from tests.llm import helpers as H
 
 SF = "/root/testdata/sf0.001"
@@ -239,3 +240,52 @@ def test_fingerprint_groups_equal_brute_force(spark):
     by = {r.doc_id: r.component_id for r in odd if r.doc_id is not None}
     assert len(odd) == H.odd_documents(spark).count() and by[10] == 9 and by[1] == 0
     assert E.fingerprint_groups(H.empty_documents(spark)).count() == 0
+
+
+def test_likenesses_equal_likeness():
+    prints = _prints(_edited_texts(np.random.default_rng(9), 12, 4) + ["", "", "a", "a", "ab" * 40])
+    parsed, matrix = [E.parse(p) for p in prints], E.packed(prints)
+    for i, (x, n) in enumerate(parsed):
+        expected = [E.likeness(x, y, n, m) for y, m in parsed]
+        assert E.likenesses(matrix[i:i + 1], matrix).tolist() == expected
+        assert E.likenesses(np.repeat(matrix[i:i + 1], len(prints), axis=0), matrix).tolist() == expected
+    assert E.likenesses(E.packed([]), E.packed([])).tolist() == []
+
+
+def test_near_duplicates_need_few_checkpoints(spark, monkeypatch):
+    """The driver keeps every job in mind: few links, though in a long
+    chain, must not take one round of jobs after another."""
+    rng = random.Random(12)
+    text = [rng.choice("abcdefghijklmnop ") for _ in range(1200)]
+    texts = []
+    for _ in range(150):  # each is like the next, none like those far away
+        for _ in range(12):
+            text[rng.randrange(len(text))] = rng.choice("abcdefghijklmnop ")
+        texts.append("".join(text))
+    prints = _prints(texts)
+    keys = [set(E.bands_of(E.parse(p)[0])) for p in prints]
+    pairs = [(i, j) for i, j in _alike(prints, 0.8) if prints[i] == prints[j] or keys[i] & keys[j]]
+    assert E.likeness(*(E.parse(prints[k])[0] for k in (0, -1)), 1200, 1200) < 0.5 and len(pairs) > 150
+    made = []
+
+    def counted(df):
+        made.append(1)
+        return reliable_checkpoint(df)
+
+    monkeypatch.setattr(E, "reliable_checkpoint", counted)
+    monkeypatch.setattr(common, "reliable_checkpoint", counted)
+    frame = spark.createDataFrame(list(enumerate(prints)), "doc_id long, fingerprint string")
+    got = {r.doc_id: r.component_id for r in E.near_duplicates(frame).collect()}
+    assert got == H.components_brute(range(len(texts)), pairs)
+    assert len(made) <= 18  # 28 before
+
+
+def test_components_of_few_edges(spark):
+    rng = random.Random(13)
+    pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(180)] + [(i, i + 1) for i in range(1000, 1100)]
+    frame = spark.createDataFrame(pairs, "a long, b long").repartition(5)
+    nodes = {n for a, b in pairs if a != b for n in (a, b)}
+    expected = {n: r for n, r in H.components_brute(nodes, [p for p in pairs if p[0] != p[1]]).items()}
+    for few in (0, 1, 60, 10_000):
+        assert {r.node: r.component for r in common.components(frame, "a", "b", few).collect()} == expected
+    assert common.components(frame.where("a < 0"), "a", "b", 10).count() == 0
